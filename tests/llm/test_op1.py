@@ -16,7 +16,7 @@ ODD = "aB1 '\n\t\r\x0b\x1c\x1f\x85    　é́ñ中😀٣_.,s|<>endoftext"
 
 
 def both(texts):
-    codec = op1_bpe.codec(op1_bpe.VOCABULARY)
+    codec = op1_bpe.encoder(op1_bpe.VOCABULARY)
     column = pa.array(texts, pa.string())
     ids, offsets = codec.encode(column)
     data, ends = codec.decode(ids.astype(np.int64), offsets)

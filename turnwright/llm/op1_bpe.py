@@ -19,6 +19,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from turnwright.llm.clusterio import table
 from turnwright.llm.words import gather, range_hashes, raw, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-CACHED_CUTS = 250_000
+CACHED_CUTS = 150_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -38,25 +39,38 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
 
-class ByteBpe:
-    """An encoder and decoder with a tokenizers vocabulary file of the byte-level kind."""
+class ByteTable:
+    """The bytes of each token of a tokenizers vocabulary file of the byte-level kind."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, models
-
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.model = Tokenizer(models.BPE(model["vocab"], merges, cache_capacity=0))
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        characters = byte_characters()
-        self.written = {ord(chr(b)): c for b, c in characters.items()}
-        back = {c: b for b, c in characters.items()}
-        tokens = [b""] * (max(model["vocab"].values()) + 1)
-        for token, i in model["vocab"].items():
+            self.vocabulary: dict[str, int] = json.load(f)["model"]["vocab"]
+        back = {c: b for b, c in byte_characters().items()}
+        tokens = [b""] * (max(self.vocabulary.values()) + 1)
+        for token, i in self.vocabulary.items():
             tokens[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.token_ends = np.cumsum([0, *map(len, tokens)])
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all rows, and of each row where they start."""
+        data, ends = gather(self.token_bytes, self.token_ends[ids], self.token_ends[ids + 1])
+        return data, ends[offsets]
+
+
+class ByteBpe(ByteTable):
+    """An encoder with such a vocabulary and its merges."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, models
+
+        super().__init__(path)
+        with open(path, encoding="utf-8") as f:
+            merges = json.load(f)["model"]["merges"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+        self.model = Tokenizer(models.BPE(self.vocabulary, merges, cache_capacity=0))
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.written = {ord(chr(b)): c for b, c in byte_characters().items()}
         self._forget()
 
     def _forget(self) -> None:
@@ -116,11 +130,6 @@ class ByteBpe:
         ids, ends = gather(self.store, ends[where], ends[where + 1])
         return ids, ends[np.searchsorted(cuts, offsets)] if len(cuts) > 1 else np.zeros(len(offsets), np.int64)
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all rows, and of each row where they start."""
-        data, ends = gather(self.token_bytes, self.token_ends[ids], self.token_ends[ids + 1])
-        return data, ends[offsets]
-
     def spans(self, column: pa.Array, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each id, the characters of its row that it touches: the first, and the one after the last."""
         buf, rows = raw(column)
@@ -131,22 +140,31 @@ class ByteBpe:
         return (chars[end - size + 1] - 1 - own).astype(np.int32), (chars[end] - own).astype(np.int32)
 
 
-@cache
-def codec(path: str) -> ByteBpe:
-    return ByteBpe(path)
+encoder, decoder = cache(ByteBpe), cache(ByteTable)
+
+
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of one row at least, and at most two megabytes of text or half a million ids."""
+    at = batch.schema.get_field_index(column)
+    if pa.types.is_list(batch.schema.field(at).type):
+        ends, done = np.cumsum(np.asarray(pc.list_value_length(batch.column(at)).fill_null(0))), 0
+        while done < batch.num_rows:
+            to = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + 500_000, side="right")))
+            yield batch.slice(done, to - done)
+            done = to
+    else:
+        yield from slices(iter([batch]), column, 2 << 20)
 
 
-def _with(df: DataFrame, add: list[T.StructField], column: str, work: Callable[[pa.Array], list[pa.Array]], limit: int = 8 << 20) -> DataFrame:
+def _with(df: DataFrame, add: list[T.StructField], column: str, work: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """df with columns that work makes of one column, batch by batch."""
     names = {f.name for f in add}
     keep = [c for c in df.columns if c not in names]
     schema = T.StructType([*(f for f in df.schema.fields if f.name in keep), *add])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = batches
-        for batch in text:
-            parts = slices(iter([batch]), column, limit) if pa.types.is_string(batch.schema.field(column).type) else [batch] * bool(batch.num_rows)
-            for part in parts:
+        for batch in batches:
+            for part in _parts(batch, column):
                 got = work(part.column(part.schema.get_field_index(column)))
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in keep), *got], names=[*keep, *(f.name for f in add)])
 
@@ -157,7 +175,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", spans: bool = Fa
     """df with the ids of each text; spans: also the characters that each id touches, as starts and ends."""
 
     def work(column: pa.Array) -> list[pa.Array]:
-        own = codec(path)
+        own = encoder(path)
         got, offsets = own.encode(column)
         rows = pa.array(offsets.astype(np.int32))
         return [pa.ListArray.from_arrays(rows, pa.array(x)) for x in (got, *(own.spans(column, got, offsets) if spans else ()))]
@@ -171,10 +189,10 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str
 
     def work(column: pa.Array) -> list[pa.Array]:
         flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        offsets = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(column).fill_null(0)))])
-        data, ends = codec(path).decode(flat, offsets)
+        offsets = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column).fill_null(0)))])
+        data, ends = decoder(path).decode(flat, offsets)
         out = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-        return [pa.compute.if_else(column.is_valid(), out, pa.scalar(None, pa.binary()))] if column.null_count else [out]
+        return [pc.if_else(column.is_valid(), out, pa.scalar(None, pa.binary()))] if column.null_count else [out]
 
     return _with(df, [T.StructField(decoded, T.BinaryType())], ids, work)
 
