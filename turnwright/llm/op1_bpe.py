@@ -140,7 +140,14 @@ class ByteBpe(ByteTable):
         return (chars[end - size + 1] - 1 - own).astype(np.int32), (chars[end] - own).astype(np.int32)
 
 
-encoder, decoder = cache(ByteBpe), cache(ByteTable)
+@cache
+def encoder(path: str) -> ByteBpe:
+    return ByteBpe(path)
+
+
+@cache
+def decoder(path: str) -> ByteTable:
+    return ByteTable(path)
 
 
 def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
