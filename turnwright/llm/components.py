@@ -1,0 +1,37 @@
+"""Connected components of an edge table by alternating large-star and small-star steps."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from turnwright.llm.clusterio import cut
+
+
+def _state(e: DataFrame) -> tuple:
+    return tuple(e.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) of every node with an edge; root is the component's smallest node.
+
+    Each step replaces edges by edges to the smallest neighbour, sums before it shuffles, and never gathers a node's
+    neighbours in one place; steps are checkpointed and end when they change nothing. Loops and repeated edges are harmless.
+    """
+    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    e = cut(e)
+    before = _state(e)
+    while before[0]:
+        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        near = large.join(low, "u")
+        small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        e = cut(small)
+        now = _state(e)
+        if now == before:
+            break
+        before = now
+    roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return roots.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

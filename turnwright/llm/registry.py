@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = {
     "op1_byte_bpe": "op1_bpe",
     "op4_quality_rules": "op4_quality",
+    "op6_ngram_join": "op6_join",
 }
 
 
