@@ -8,6 +8,7 @@ MODULES = {
     "op1_byte_bpe": "op1_bpe",
     "op4_quality_rules": "op4_quality",
     "op6_ngram_join": "op6_join",
+    "op8_substring_dedup": "op8_substrings",
 }
 
 
