@@ -9,6 +9,7 @@ MODULES = {
     "op4_quality_rules": "op4_quality",
     "op6_ngram_join": "op6_join",
     "op8_substring_dedup": "op8_substrings",
+    "op9_quality_classifier": "op9_classifier",
 }
 
 
