@@ -10,6 +10,7 @@ MODULES = {
     "op6_ngram_join": "op6_join",
     "op8_substring_dedup": "op8_substrings",
     "op9_quality_classifier": "op9_classifier",
+    "op10_language_id": "op10_language",
 }
 
 
