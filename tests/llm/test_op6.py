@@ -65,6 +65,8 @@ def test_any_boundary_finds_all_links(spark, light, monkeypatch):
 
 def test_blocks_nulls_and_repeats(spark, monkeypatch):
     monkeypatch.setattr(op6_join, "BLOCK", 300)
+    monkeypatch.setattr(op6_join, "BUCKET", 500)
+    monkeypatch.setattr(op6_join, "SEEN", 200)
     rows = corpus(7, 100) + [(1000, None), (1001, ""), (1002, " \n"), (None, "a b c"), (3, "a b c"), (1003, "a b c"), (1003, "a b c"), (1004, " ".join(map(str, range(60_000))))]
     assert run(spark, rows) == brute(rows)
 

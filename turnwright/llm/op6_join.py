@@ -3,8 +3,9 @@
 Documents with equal sets form a class; only classes are joined. With similarity S, sets of at most m shingles that link
 have c(m) = ceil(S m) in common, m being the larger size. Light sets (size up to a boundary) put every subset of each such fixed
 size c that a partner may call for in an index. Heavy sets put their prefix in inverted lists that are scanned: the
-size - ceil(S size) + 1 rarest shingles, one of which two linked sets must share. Rare means: seldom counted twice within a
-part of the input, in a bounded table of the most frequent shingles; any such order finds all links, a good one makes the lists short.
+size - ceil(S size) + 1 rarest shingles, one of which two linked sets must share. Rare means: not in a bounded table of the most
+frequent shingles; any such order finds all links, a good one makes the lists short. Sets with more shingles that no other set has
+than a link allows are found first, by one scan of all inverted lists, and put out nothing.
 The boundary is the one of least cost, by the sizes of all sets: subsets put out, against list entries times the mean list.
 A list is not expanded into pairs. Its classes are connected with its smallest one; classes so connected are compared by their
 whole sets, each set against those that share one of its rarest shingles and are not yet connected with it. Groups too large
@@ -23,6 +24,9 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +36,9 @@ from turnwright.llm.words import Words, mix, ngrams, slices, words
 
 SIZE, SIMILARITY = 5, 80
 #: Shingles in the table of frequent ones; the largest light set; shingles of a group, or of a block of one, that a task compares.
-FREQUENT, LIGHTEST, BLOCK = 1 << 16, 12, 2_000_000
-SEEN = 2_000_000
+FREQUENT, LIGHTEST, BLOCK = 1 << 18, 12, 2_000_000
+#: Shingles of a piece of input; bytes of text for each bucket of shingles; times that make one frequent; marks of classes that may link.
+SEEN, BUCKET, OFTEN, ALIVE = 3_000_000, 24 << 20, 4, 1 << 22
 
 
 def overlap(size: int, s: int = SIMILARITY) -> int:
@@ -76,36 +81,130 @@ def boundary(sizes: dict[int, int], mean_list: float, s: int = SIMILARITY) -> in
     return min(range(LIGHTEST + 1), key=cost)
 
 
-def survey(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(kind, key, n): of kind 1, shingles found in n documents of a part of the input, if over one; of kind 0, sets of each size."""
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, each by bytes of equal weight, compressed."""
+    parts = [np.array([len(columns[0])]).tobytes(), *(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[np.ndarray] = []
-        many = 0
 
-        def counted() -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(pending), return_counts=True)
-            value, n = value[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int32)), pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"])
+def _unpack(payload: bytes, *kinds: type) -> list[np.ndarray]:
+    data = zstandard.decompress(payload)
+    n, at, out = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+def _rows(kind: int, bucket: list[int], key: list[int], n: list[int], payload: list[bytes] | None = None) -> pa.RecordBatch:
+    many = len(bucket)
+    columns = [pa.array(np.full(many, kind, np.int32)), pa.array(bucket, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(payload or [None] * many, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", "key", "n", "payload"])
+
+
+SURVEY = "kind int, bucket long, key long, n long, payload binary"
+
+
+def survey(docs: DataFrame, buckets: int, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
+    """(kind, key, n): of kind 0, each document's class and set size, key null if the set links with no other; of kind 1, counts of frequent shingles.
+
+    Pieces of the input send their sorted shingles to buckets by range, each once: with its document if it is in one only,
+    else with the count. A bucket's lists tell which occur nowhere else. A set with so many of these that the rest is less than
+    links call for has no link, and is left out of all that follows. Shingles are told apart by their first 48 bits, so chance may
+    only let a set through.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[np.ndarray] = []
+        many, piece = 0, (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            every = np.concatenate(pending)
+            doc = np.repeat(np.arange(len(pending), dtype=np.int32), [len(x) for x in pending])
+            value, first, n = np.unique(every >> np.uint64(16), return_index=True, return_counts=True)
+            mark = np.where(n == 1, doc[first], -np.minimum(n, 1 << 30)).astype(np.int32)
+            edges = np.searchsorted(value, (np.arange(buckets + 1, dtype=np.float64) / buckets * 2.0**48).astype(np.uint64))
+            out = [(k, _pack(np.diff(value[a:b], prepend=np.uint64(0)), mark[a:b])) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+            yield _rows(2, [k for k, _ in out], [piece] * len(out), [len(pending)] * len(out), [x for _, x in out])
+            names = np.array([class_id(x) for x in pending], np.int64)
+            yield _rows(0, [piece % buckets], [piece], [len(pending)], [_pack(names, np.array([len(x) for x in pending], np.int64))])
 
         for part in slices(batches, "text"):
-            sets = shingle_sets(words(part.column(0), lower=True), size)
-            value, n = np.unique([len(s) for s in sets], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"])
-            pending.extend(sets)
-            many += sum(map(len, sets))
-            if many > SEEN:
-                yield counted()
-                pending, many = [], 0
+            for own in shingle_sets(words(part.column(0), lower=True), size):
+                pending.append(own)
+                many += len(own)
+                if many > SEEN:
+                    yield from sent()
+                    pending, many, piece = [], 0, piece + 1
         if pending:
-            yield counted()
+            yield from sent()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, bytes]] = []
+        current = None
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            lists = [_unpack(payload, np.uint64, np.int32) for _, _, payload in held]
+            value = np.concatenate([np.cumsum(v, dtype=np.uint64) for v, _ in lists])
+            mark, source = np.concatenate([m for _, m in lists]), np.repeat(np.arange(len(lists)), [len(m) for _, m in lists])
+            order = np.argsort(value, kind="stable")
+            start = np.flatnonzero(np.append(True, np.diff(value[order]) > 0))
+            lone = order[start[np.diff(np.append(start, len(order))) == 1]]
+            lone = lone[mark[lone] >= 0]
+            times = np.add.reduceat(np.where(mark < 0, -mark, 1)[order].astype(np.int64), start)
+            often = times >= OFTEN
+            yield _rows(1, [current] * int(often.sum()), value[order][start[often]].astype(np.int64).tolist(), times[often].tolist())
+            lone = lone[np.argsort(source[lone], kind="stable")]
+            ends = np.searchsorted(source[lone], np.arange(len(held) + 1))
+            counts = [_pack(np.bincount(mark[lone[a:b]], minlength=n).astype(np.int32)) for (_, n, _), a, b in zip(held, ends[:-1], ends[1:], strict=True)]
+            yield _rows(2, [0] * len(held), [piece for piece, _, _ in held], [n for _, n, _ in held], counts)
+
+        for batch in batches:
+            known = batch.filter(pc.equal(batch.column(0), 0))
+            if known.num_rows:
+                yield known
+            batch = batch.filter(pc.equal(batch.column(0), 2))
+            for bucket, piece, n, payload in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                if bucket != current:
+                    yield from ended()
+                    held, current = [], bucket
+                held.append((piece, n, payload))
+        yield from ended()
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, names, sizes, lone = None, None, None, None
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if names is not None:
+                least = sizes - -(-s * sizes // 100) + 1
+                alive = (sizes > 0) & (lone < least)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(names), np.int32)), pa.array(names, mask=~alive), pa.array(sizes)], names=["kind", "key", "n"])
+
+        for batch in batches:
+            often = batch.filter(pc.equal(batch.column(0), 1))
+            if often.num_rows:
+                yield often.select(["kind", "key", "n"])
+            batch = batch.filter(pc.not_equal(batch.column(0), 1))
+            for kind, piece, n, payload in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4)), strict=True):
+                if piece != current:
+                    yield from ended()
+                    current, names, lone = piece, None, np.zeros(n, np.int64)
+                if kind == 0:
+                    names, sizes = _unpack(payload, np.int64, np.int64)
+                else:
+                    lone += _unpack(payload, np.int32)[0]
+        yield from ended()
 
-    return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    sent = docs.select("text").mapInArrow(send, SURVEY).repartition("bucket").sortWithinPartitions("bucket")
+    return sent.mapInArrow(count, SURVEY).repartition("key").sortWithinPartitions("key").mapInArrow(judge, "kind int, key long, n long")
 
 
-def signatures(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, light: int, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
+def signatures(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, alive: np.ndarray, light: int, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
     """(doc_id, n, class, keys) of every document: the class's keys in the index of subsets and the inverted lists."""
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, counts, alive))
 
     def keys(own: np.ndarray) -> np.ndarray:
         n, out = len(own), []
@@ -117,18 +216,19 @@ def signatures(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, light:
         if 100 * n // s > light:
             often, known = np.zeros(n, np.int64), shared.value[0]
             if len(known):
-                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                often = np.where(known[at] == own, shared.value[1][at], 0)
+                at = np.minimum(np.searchsorted(known, own >> np.uint64(16)), len(known) - 1)
+                often = np.where(known[at] == own >> np.uint64(16), shared.value[1][at], 0)
             out.append(own[np.argsort(often, kind="stable")[: n - overlap(n, s) + 1]] if often.any() else own[: n - overlap(n, s) + 1])
         return np.concatenate(out).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(words(part.column(1), lower=True), size)
-            found = [keys(x) if len(x) else np.zeros(0, np.int64) for x in sets]
+            names = [class_id(x) for x in sets]
+            found = [keys(x) if len(x) and shared.value[2][name % len(shared.value[2])] else np.zeros(0, np.int64) for x, name in zip(sets, names, strict=True)]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_id(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+                [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
                 names=["doc_id", "n", "class", "keys"],
             )
 
@@ -201,17 +301,20 @@ def compare(members: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFr
 def join(docs: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    seen = cut(survey(docs, size))
-    sizes = {r.key: r.n for r in seen.where("kind = 0 and key > 0").groupBy(F.least("key", F.lit(4 * LIGHTEST)).alias("key")).agg(F.sum("n").alias("n")).collect()}
-    scale = {r.level: r.n for r in seen.where("kind = 1").groupBy(F.floor(F.log2(F.col("n"))).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    level = next((k for k in range(64) if sum(n for v, n in scale.items() if v >= k) <= FREQUENT), 64)
-    often = seen.where(f"kind = 1 and n >= {1 << level}").select("key", "n").toPandas()  # FREQUENT rows at most
-    known = often["key"].to_numpy().astype(np.int64).view(np.uint64)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    seen = cut(survey(docs, 1 + total // BUCKET, size, s))
+    sizes = {r.k: r.m for r in seen.where("kind = 0 and n > 0").groupBy(F.least("n", F.lit(4 * LIGHTEST)).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("m")).collect()}
+    scale = {r.level: r.m for r in seen.where("kind = 1").groupBy(F.floor(F.log2(F.col("n"))).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("m")).collect()}
+    level = next(k for k in range(65) if sum(m for v, m in scale.items() if v >= k) <= FREQUENT)
+    often = seen.where(f"kind = 1 and n >= {1 << min(level, 62)}").select("key", "n").toPandas()  # FREQUENT rows at most
+    known = often["key"].to_numpy().astype(np.uint64)
     order = np.argsort(known)
+    alive = np.zeros(ALIVE, bool)  # a class that may link is surely marked; its marks are ALIVE at most
+    alive[seen.where("kind = 0 and key is not null").select(F.pmod("key", F.lit(ALIVE)).cast("int").alias("at")).distinct().toPandas()["at"].to_numpy().astype(np.int64)] = True
     repeats = seen.where("kind = 1").agg(F.sum("n"), F.sum(F.col("n").cast("double") ** 2)).first()
     mean_list = 1 + (repeats[1] / repeats[0] if repeats[0] else 0)
     light = boundary(sizes, mean_list, s)
-    own = cut(signatures(docs, known[order], often["n"].to_numpy()[order], light, size, s))
+    own = cut(signatures(docs, known[order], often["n"].to_numpy()[order], alive, light, size, s))
 
     linked = own.where("n > 0 and doc_id is not null")
     entries = linked.select("class", F.explode("keys").alias("key"))
