@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = {
     "op1_byte_bpe": "op1_bpe",
     "op2_decontamination": "op2_decontaminate",
+    "op3_html_extraction": "op3_html",
     "op4_quality_rules": "op4_quality",
     "op6_ngram_join": "op6_join",
     "op8_substring_dedup": "op8_substrings",
