@@ -10,6 +10,7 @@ MODULES = {
     "op3_html_extraction": "op3_html",
     "op4_quality_rules": "op4_quality",
     "op6_ngram_join": "op6_join",
+    "op7_license_scan": "op7_licenses",
     "op8_substring_dedup": "op8_substrings",
     "op9_quality_classifier": "op9_classifier",
     "op10_language_id": "op10_language",
