@@ -9,6 +9,7 @@ MODULES = {
     "op2_decontamination": "op2_decontaminate",
     "op3_html_extraction": "op3_html",
     "op4_quality_rules": "op4_quality",
+    "op5_chat_format": "op5_chat",
     "op6_ngram_join": "op6_join",
     "op7_license_scan": "op7_licenses",
     "op8_substring_dedup": "op8_substrings",
