@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 from turnwright.llm.clusterio import cut, table
 from turnwright.llm.words import gather, mix, ngrams, slices, words
 
-WINDOW, MER = 20, 4
+WINDOW, MER = 20, 3
 #: Bytes of text for each bucket; packed strings of a minimiser in a piece of input to report it; in all, to deal its windows by themselves; such minimisers.
 BUCKET, REPORT, HOT, TABLE = 4 << 20, 16, 20_000, 1 << 16
+#: Marks of documents that lose words; others, told by a broadcast table of the marks, aren't shuffled.
+MARKS = 1 << 22
 LAST = np.iinfo(np.int64).max
 _OTHER = np.uint64(0xA0761D6478BD642F)
 
@@ -115,7 +117,7 @@ def packed(docs: DataFrame, hot: np.ndarray, buckets: int, size: int) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for part in slices(batches, "text", 4 << 20):
             p = Piece(part, shared.value, size)
             yield ranges(p.doc[p.again], p.text[p.row[p.again]], p.start[p.again], buckets)
@@ -212,11 +214,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = WINDOW) -> D
     level = next(k for k in range(65) if sum(n for v, n in levels.items() if v >= k) <= TABLE)
     hot = seen.where(f"kind = 1 and n >= {max(HOT, 1 << level)}").select("key").toPandas()["key"].to_numpy().astype(np.int64).view(np.uint64)  # TABLE rows at most
     found = sort_buckets(packed(own, hot, buckets, size), buckets, size)
-    found = found.groupBy("doc", "text_hash").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("windows"))
+    found = cut(found.groupBy("doc", "text_hash").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("windows")))
+    marks = found.select(F.pmod(F.xxhash64("doc", "text_hash"), F.lit(MARKS)).alias("__mark")).distinct()  # MARKS rows at most
 
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     keep = [c for c in docs.columns if c not in {f.name for f in added}]
     rows = docs.select(*keep, F.coalesce("doc_id", F.lit(int(LAST))).alias("__doc"), F.hash(text).alias("__hash"), F.col(text).alias("__text"))
+    rows = rows.withColumn("__mark", F.pmod(F.xxhash64("__doc", "__hash"), F.lit(MARKS)))
+    whole = rows.join(F.broadcast(marks), "__mark", "left_anti").select(*keep, "__text", F.lit(None).cast("array<int>").alias("windows"))
+    rows = rows.join(F.broadcast(marks), "__mark", "left_semi")
     rows = rows.join(found, (F.col("__doc") == F.col("doc")) & (F.col("__hash") == F.col("text_hash")), "left").select(*keep, "__text", "windows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +243,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = WINDOW) -> D
             kept = pc.utf8_slice_codeunits(kept, 0, -1).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(keep))), pa.array(np.diff(bounds)), pa.array(np.diff(lost[bounds])), kept], names=[*keep, *(f.name for f in added)])
 
-    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *added]))
+    schema = T.StructType([*(docs.schema[c] for c in keep), *added])
+    return whole.mapInArrow(run, schema).union(rows.mapInArrow(run, schema))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
