@@ -38,7 +38,7 @@ SIZE, SIMILARITY = 5, 80
 #: Shingles in the table of frequent ones; the largest light set; shingles of a group, or of a block of one, that a task compares.
 FREQUENT, LIGHTEST, BLOCK = 1 << 18, 12, 2_000_000
 #: Shingles of a piece of input; bytes of text for each bucket of shingles; times that make one frequent; marks of classes that may link.
-SEEN, BUCKET, OFTEN, ALIVE = 3_000_000, 24 << 20, 4, 1 << 22
+SEEN, BUCKET, OFTEN, ALIVE = 2_000_000, 16 << 20, 4, 1 << 22
 
 
 def overlap(size: int, s: int = SIMILARITY) -> int:
