@@ -49,12 +49,13 @@ def small_blocks(df: DataFrame, keys: list[str], order: list[str], short: float,
     return out.drop("__group")
 
 
-def sandwich(df: DataFrame, keys: list[str], order: list[str], short: float, most_words: int = 5, unknown: str = "UNKNOWN") -> DataFrame:
-    """A short unknown block between two long ones of one known speaker becomes theirs."""
+def sandwich(df: DataFrame, keys: list[str], order: list[str], long: float, short: float | None = None, most_words: int = 5, unknown: str = "UNKNOWN") -> DataFrame:
+    """An unknown block under `short` (as `long` if not given) between two of one known speaker, each of `long` at least, becomes theirs."""
+    short = long if short is None else short
     w = W.partitionBy(*keys).orderBy(*order)
     d = F.col("end") - F.col("start")
     a, b = F.lag("speaker").over(w), F.lead("speaker").over(w)
-    long_both = (F.lag(d).over(w) >= short) & (F.lead(d).over(w) >= short)
+    long_both = (F.lag(d).over(w) >= long) & (F.lead(d).over(w) >= long)
     small = (F.size(F.split(F.trim("text"), r"\s+")) <= most_words) & ~F.rlike(F.rtrim("text"), F.lit(r'[.!?:,"]$'))
     hit = F.coalesce((F.col("speaker") == unknown) & (d < short) & (a == b) & (a != unknown) & long_both & small, F.lit(False))
     return df.withColumn("attached", hit).withColumn("speaker", F.when(hit, a).otherwise(F.col("speaker")))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from turnwright.plans import joins, scalars
+from turnwright.plans import ends, joins, scalars, sequences, tables
 
-PARTS = (joins, scalars)
+PARTS = (joins, scalars, sequences, tables, ends)
 
 
 def queries() -> dict:
