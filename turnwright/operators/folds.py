@@ -53,6 +53,11 @@ def fold(df: DataFrame, keys: list[str], order: list[str], work: Callable[[list[
     return df.groupBy(*keys).applyInPandas(run, schema)
 
 
+def _seconds(a: float, b: float) -> float:
+    """From a to b, to the millisecond, so that limits are met exactly."""
+    return round(b - a, 3)
+
+
 def _joined(a: str, b: str) -> str:
     return f"{a} {b}".strip()
 
@@ -62,7 +67,7 @@ def chunk_turns(rows: list[dict], gap: float = 1.2, cap: float = 35.0, most: int
     out: list[dict] = []
     for r in rows:
         last = out[-1] if out else None
-        if last and last["speaker"] == r["speaker"] and r["start"] - last["end"] <= gap and last["end"] - last["start"] < cap and not (len(last["text"]) >= most and last["text"][-1:] in tuple(".!?")):
+        if last and last["speaker"] == r["speaker"] and _seconds(last["end"], r["start"]) <= gap and _seconds(last["start"], last["end"]) < cap and not (len(last["text"]) >= most and last["text"][-1:] in tuple(".!?")):
             last |= {"end": max(last["end"], r["end"]), "text": _joined(last["text"], r["text"]), "n": last["n"] + 1}
         else:
             out.append({**r, "n": 1})

@@ -144,9 +144,9 @@ _CENT = f"{_VEC}, x AS (SELECT label, unnest(range(len(e))) AS k, unnest(e) AS m
 def scores(spark, sf):
     e = table(spark, sf, "embeddings")
     references = mean_vector(e, ["label"], "embedding").select(F.col("label").alias("reference"), F.col("embedding").alias("centroid"))
-    # every candidate against every reference is asked for; references are one a label, and are joined by a label each candidate is dealt
-    labels = references.agg(F.collect_list(F.struct("reference", "centroid")).alias("all"))
-    return e.select("vec_id", "label", "embedding", F.lit(1).alias("k")).join(labels.withColumn("k", F.lit(1)), "k").select("vec_id", "label", "embedding", F.explode("all").alias("r")).select("vec_id", "label", F.col("r.reference").alias("reference"), cosine("embedding", "r.centroid").alias("score"))
+    # every candidate against every reference is asked for; the references, one a label, come as one array, so nothing is shuffled
+    each = references.agg(F.collect_list(F.struct("reference", "centroid"))).scalar()
+    return e.select("vec_id", "label", "embedding", F.explode(each).alias("r")).select("vec_id", "label", F.col("r.reference").alias("reference"), cosine("embedding", "r.centroid").alias("score"))
 
 
 @plans.add("j16_cross_score", f"WITH {_CENT}, s AS (SELECT a.vec_id, b.label AS reference, {_COS} AS score FROM v a, c b), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, reference) AS n FROM s) SELECT vec_id, reference AS best, floor(score * 1000000 + 0.5) / 1000000 AS best_score FROM r WHERE n = 1")
