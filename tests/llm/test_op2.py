@@ -19,11 +19,14 @@ def grams(w):
 def brute(docs, items):
     """(doc_id, item_id, similarity) over all windows of all documents."""
     out = set()
+    read = [(i, plain(x), grams(plain(x))) for i, x in items]
     for d, t in docs:
         w = plain(t)
-        for i, x in items:
-            q = plain(x)
-            b, best = grams(q), (0, 1)
+        known = {size: {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} for size in range(1, 6)}
+        for i, q, b in read:
+            best = (0, 1)
+            if not q or known[min(5, len(q))].isdisjoint(b):
+                continue
             for k in range(len(w) - len(q) + 1) if q else ():
                 a = grams(w[k : k + len(q)])
                 pair = (sum((a & b).values()), sum((a | b).values()))

@@ -17,6 +17,9 @@ from turnwright.llm import op3_html as op3
         ('<article><p title="a > b">q</p><script>var t="</p>";</script><style>p{}</style><!-- no --><p>r</p></article>', "q r"),
         ("<main><p>in</p></main><p>out</p>", "in"),
         ("<header><p>top</p></header><article><header><h1>Title</h1></header><p>x</p></article>", "Title x"),
+        ("<div class='site-header'>top</div><main><p>a</p><div class='ad'>no<p>end</main><div>out</div>", "a"),
+        ("<body><article><div class=promo>no<section class=comments><article>c</article></section><p>x</article><article><p>b</article></body>", "b"),
+        ("<article><div class='post-header'><h1>T</h1></div><figure><figcaption>f</figcaption></figure></article>", "T f"),
         ("<p" + " a='" * 50, "<p a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a=' a='"),
     ],
 )

@@ -25,11 +25,12 @@ from turnwright.llm.words import slices
 WINDOW, SURGE = 3, 80
 # Elements without text of their own, elements that are never the article, elements that don't end a line, and void ones.
 RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "textarea", "title", "head")
-DROPPED = ("nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "label", "fieldset", "figure", "audio", "video")
+DROPPED = ("nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "label", "fieldset", "audio", "video")
 INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "input")
+OUTER = ("article", "main", "body", "html")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 NAMES = (
-    "ad", "ads", "advert", "advertisement", "adverts", "advertising", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "commentlist", "complementary", "consent", "contentinfo", "cookie",
+    "ad", "ads", "advert", "advertisement", "adverts", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "complementary", "consent", "contentinfo", "cookie",
     "cookies", "disclaimer", "disqus", "footer", "form", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promotion", "related",
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toc", "toolbar", "widget",
 )
@@ -46,6 +47,8 @@ def unwanted(name: str, attributes: str, in_article: bool) -> bool:
     if not attributes or name in ("body", "html", "main"):
         return False
     words = {w for m in _NAMED.finditer(attributes) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower())}
+    if not in_article and "header" in words and words <= {"header", "site", "page", "top", "main", "global", ""}:
+        return True
     return not words.isdisjoint(NAMES) or bool(re.search(r"""(?:^|\s)(?:hidden(?=\s|$|=)|aria-hidden\s*=\s*["']?true)""", attributes))
 
 
@@ -56,7 +59,7 @@ class Page:
         self.lines: list[tuple[str, int, bool]] = []
         self.text: list[str] = []
         self.linked, self.links, self.articles, self.mains = 0, 0, 0, 0
-        skip, depth, at = "", 0, 0
+        skip, depth, inner, at = "", 0, 0, 0
         while True:
             m = _TAG.search(html, at)
             if not skip:
@@ -79,7 +82,13 @@ class Page:
                 if name == skip:
                     depth += -1 if close else 1
                     skip = skip if depth else ""
-                continue
+                    continue
+                if name not in OUTER:
+                    continue
+                inner += -1 if close else 1
+                if inner >= 0:
+                    continue
+                skip = ""  # what was stripped never ended, but what holds it does
             if name not in INLINE:
                 self.end()
             if close:
@@ -90,7 +99,7 @@ class Page:
                 self.end()
                 self.lines.append(("", 0, False))
                 if name not in VOID and not attributes.endswith("/"):
-                    skip, depth = name, 1
+                    skip, depth, inner = name, 1, 0
             else:
                 self.links += name == "a"
                 self.articles += name == "article"
