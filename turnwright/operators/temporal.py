@@ -112,17 +112,16 @@ def best_overlap(gold: DataFrame, found: DataFrame, keys: list[str], item: str,
     return gold.join(best, [*keys, item], "left")
 
 
-def containment(texts: DataFrame, phrases: DataFrame, text: str, phrase: str, order: str) -> DataFrame:
-    """Each text with the first phrase that it contains, whatever its case.
+def containment(texts: DataFrame, phrases: DataFrame, key: str, text: str, phrase: str, order: str) -> DataFrame:
+    """Each text (told by key) with the first phrase that it contains, whatever its case.
 
     Texts are cut in lower-case words, and joined with phrases on a phrase's first word; so only phrases whose first word occurs are compared.
     """
     words = lambda x: F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     keyed = phrases.select(F.col(phrase).alias("__p"), F.col(order).alias("__o"), F.element_at(words(F.col(phrase)), 1).alias("__w"))
-    rows = texts.withColumn("__row", F.monotonically_increasing_id())
-    each = rows.select("__row", F.lower(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text)))).alias("__w"))
-    hits = each.join(keyed, "__w").where(F.contains("__t", F.lower("__p"))).groupBy("__row").agg(F.min_by("__p", "__o").alias("found"))
-    return rows.join(hits, "__row", "left").drop("__row")
+    each = texts.select(key, F.lower(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text)))).alias("__w"))
+    hits = each.join(keyed, "__w").where(F.contains("__t", F.lower("__p"))).groupBy(key).agg(F.min_by("__p", "__o").alias("found"))
+    return texts.join(hits, key, "left")
 
 
 def overrides(turns: DataFrame, windows: DataFrame, keys: list[str], turn: str) -> DataFrame:

@@ -54,7 +54,7 @@ def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float
     return dealt.groupBy("i", "j").applyInPandas(work, f"a {df.schema[key].dataType.simpleString()}, b {df.schema[key].dataType.simpleString()}, sim double")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) with the least node of each connected component, by passing on the least label until nothing changes.
 
     Each round also jumps to the label's own label, so long chains halve. Rounds cut lineage by a checkpoint where a folder is set.
@@ -62,7 +62,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     labels = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
     checkpoints = edges.sparkSession.sparkContext.getCheckpointDir() is not None or edges.sparkSession.conf.get("spark.checkpoint.dir", None) is not None
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
         new = labels.join(near, labels["node"] == near["a"], "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"))
         up = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
@@ -71,8 +71,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         changed = new.join(labels.withColumnRenamed("root", "was"), "node").where("root <> was").limit(1).count()
         labels = new
         if not changed:
-            break
-    return labels
+            return labels
 
 
 def average_linkage(sim: np.ndarray, least: float) -> np.ndarray:

@@ -165,7 +165,7 @@ def w16(spark, sf):
 
 @plans.add("j17_containment", "WITH h AS (SELECT doc_id, min(item_id) AS i FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text)) GROUP BY doc_id) SELECT doc_id, b.text AS found FROM documents LEFT JOIN h USING (doc_id) LEFT JOIN benchmark b ON h.i = b.item_id")
 def j17(spark, sf):
-    out = temporal.containment(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").withColumnRenamed("text", "phrase"), "text", "phrase", "item_id")
+    out = temporal.containment(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").withColumnRenamed("text", "phrase"), "doc_id", "text", "phrase", "item_id")
     return out.select("doc_id", "found")
 
 
