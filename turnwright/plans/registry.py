@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from turnwright.plans import ends, joins, scalars, sequences, tables
+from turnwright.plans import ends, joins, lifecycle, scalars, sequences, tables
 
-PARTS = (joins, scalars, sequences, tables, ends)
+PARTS = (joins, scalars, sequences, tables, ends, lifecycle)
 
 
 def queries() -> dict:
