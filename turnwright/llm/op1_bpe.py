@@ -29,7 +29,7 @@ from turnwright.llm.clusterio import table
 from turnwright.llm.words import gather, range_hashes, raw, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-CACHED_CUTS = 150_000
+CACHED_CUTS, CACHED_PIECES = 200_000, 100_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -73,26 +73,34 @@ class ByteBpe(ByteTable):
         self.written = {ord(chr(b)): c for b, c in byte_characters().items()}
         self._forget()
 
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.store, self.store_ends = np.zeros(1 << 16, np.int32), [0]
+    def _forget(self, but: list[int] = ()) -> None:
+        """An empty cache, but for some known cuts."""
+        if but:
+            at, ends = np.array([self.known[h] for h in but]), np.array(self.store_ends)
+            ids, ends = gather(self.store, ends[at], ends[at + 1])
+            self.known, self.store, self.store_ends = {h: k for k, h in enumerate(but)}, ids, ends.tolist()
+        else:
+            self.known, self.store, self.store_ends = {}, np.zeros(0, np.int32), [0]
+            self.pieces: dict[str, list[int]] = {}
 
     def _learn(self, hashes: list[int], texts: list[str]) -> None:
         pieces = [self.pattern.findall(t) for t in texts]
         distinct = list(dict.fromkeys(chain.from_iterable(pieces)))
-        ids: dict[str, list[int]] = {}
-        for k in range(0, len(distinct), 4096):
-            part = distinct[k : k + 4096]
+        if len(self.pieces) + len(distinct) > CACHED_PIECES:
+            self.pieces = {p: self.pieces[p] for p in distinct if p in self.pieces}
+        ids, new = self.pieces, [p for p in distinct if p not in self.pieces]
+        for k in range(0, len(new), 4096):
+            part = new[k : k + 4096]
             mapped = [p.encode().decode("latin-1").translate(self.written) for p in part]
             ids.update(zip(part, (e.ids for e in self.model.encode_batch_fast(mapped, add_special_tokens=False)), strict=True))
-        for h, p in zip(hashes, pieces, strict=True):
-            got = list(chain.from_iterable(map(ids.__getitem__, p)))
-            end = self.store_ends[-1] + len(got)
-            if end > len(self.store):
-                self.store = np.concatenate([self.store, np.zeros(max(end, len(self.store)), np.int32)])
-            self.store[self.store_ends[-1] : end] = got
-            self.known[h] = len(self.store_ends) - 1
-            self.store_ends.append(end)
+        flat, base, count = [], self.store_ends[-1], len(self.store_ends) - 1
+        ends = self.store_ends
+        for own in pieces:
+            for p in own:
+                flat += ids[p]
+            ends.append(base + len(flat))
+        self.known.update(zip(hashes, range(count, count + len(hashes)), strict=True))
+        self.store = np.concatenate([self.store[:base], np.array(flat, np.int32)])
 
     @staticmethod
     def cuts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -119,9 +127,9 @@ class ByteBpe(ByteTable):
         buf, offsets = raw(column)
         cuts = self.cuts(buf, offsets)
         hashes, first, inverse = np.unique(range_hashes(buf, cuts), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > CACHED_CUTS:
-            self._forget()
         keys = hashes.tolist()
+        if len(self.known) + len(hashes) > CACHED_CUTS:
+            self._forget([h for h in keys if h in self.known])
         new = [k for k, h in enumerate(keys) if h not in self.known]
         data = buf.tobytes()
         self._learn([keys[k] for k in new], [data[cuts[first[k]] : cuts[first[k] + 1]].decode() for k in new])
