@@ -99,7 +99,8 @@ def explode(spark, sf):
 
 @plans.add("f11_token_join")
 def token_join(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", t.join_tokens(F.flatten(F.transform(F.split("text", r"\s+"), lambda w: F.when(F.rlike(w, F.lit(r"^.+[.,!?]$")), F.array(F.expr("1").cast("string").substr(2, 0), w)).otherwise(F.array(w))))).alias("x"))
+    apart = F.regexp_replace("text", r"([.,!?:;])(\s|$)", " $1$2")
+    return table(spark, sf, "documents").select("doc_id", t.join_tokens(F.split(apart, r"\s+")).alias("x"))
 
 
 @plans.add("f31_self_intro", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE 'Customer Ito' END AS x FROM customer")
