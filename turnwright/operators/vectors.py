@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnwright.session import cut
+
 
 def dot(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -57,20 +59,17 @@ def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) with the least node of each connected component, by passing on the least label until nothing changes.
 
-    Each round also jumps to the label's own label, so long chains halve. Rounds cut lineage by a checkpoint where a folder is set.
+    Each round also jumps to the label's own label, so long chains halve, and cuts lineage by a checkpoint.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
-    checkpoints = edges.sparkSession.sparkContext.getCheckpointDir() is not None or edges.sparkSession.conf.get("spark.checkpoint.dir", None) is not None
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        new = labels.join(near, labels["node"] == near["a"], "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"))
+        new = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("root").alias("was"), F.least("root", F.coalesce("near", "root")).alias("root"))
         up = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = new.join(up, "root", "left").select("node", F.least("root", F.coalesce("up", "root")).alias("root"))
-        new = new.checkpoint() if checkpoints else new.persist()
-        changed = new.join(labels.withColumnRenamed("root", "was"), "node").where("root <> was").limit(1).count()
-        labels = new
-        if not changed:
+        new = cut(new.join(up, "root", "left").select("node", "was", F.least("root", F.coalesce("up", "root")).alias("root")))
+        labels = new.select("node", "root")
+        if new.where("root <> was").isEmpty():
             return labels
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -21,3 +22,11 @@ def session(name: str = "turnwright", **conf: str) -> SparkSession:
     """A local session with adaptive execution, for tools and tests."""
     builder = SparkSession.builder.appName(name).config(map={"spark.sql.adaptive.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", **conf})
     return reachable(builder.getOrCreate())
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a reliable checkpoint in the session's spark.checkpoint.dir; only where that is unset (tests), in a new temporary folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()
