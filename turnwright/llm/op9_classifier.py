@@ -112,12 +112,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     vectors = draw.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     past = np.full(BUCKETS, 1e-8, np.float32)
     layer, bias = draw.normal(0, 1, (2, WIDTH)).astype(np.float32), np.zeros(2, np.float32)
-    bags = [features(t) for t in texts]
+    bags = [(bucket.astype(np.int32), share.astype(np.float32)) for bucket, share in map(features, texts)]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for k in draw.permutation(len(bags)):
             bucket, share = bags[k]
-            hidden = share.astype(np.float32) @ vectors[bucket] if len(bucket) else np.zeros(WIDTH, np.float32)
+            hidden = share @ vectors[bucket] if len(bucket) else np.zeros(WIDTH, np.float32)
             logits = layer @ hidden + bias
             error = np.exp(logits - logits.max())
             error /= error.sum()
