@@ -90,3 +90,35 @@ def test_query_on_whole_table(spark):
     docs = [d for d in docs if len(d[1]) < 4000]
     got = {(r.doc_id, r.item_id, r.similarity) for r in op2.query(spark, sf).collect()}
     assert {g for g in got if g[0] in dict(docs)} == brute(docs, items)
+
+
+def test_texts_shorter_than_items(spark):
+    r = random.Random(5)
+    items = [(k, " ".join(f"v{r.randrange(40)}" for _ in range(r.choice([5, 6, 9, 12, 60])))) for k in range(20)] + [(50, "a a a a a a a a a a"), (51, "b c")]
+    docs, expected = [], set()
+    for k in range(400):
+        w = r.choice(items)[1].split()
+        w = w[r.randrange(2) : max(2, len(w) - r.randrange(-1, 8))]
+        if r.random() < 0.2:
+            w[r.randrange(len(w))] = "changed"
+        docs.append((k, " ".join(w)))
+    docs += [(500, " ".join(items[-3][1].split()[:3])), (501, "a a a a a a a a a"), (502, "b"), (503, "")]
+    for d, t in docs:
+        for i, q in items:
+            if len(plain(t)) < len(plain(q)) and grams(plain(t)):
+                a, b = grams(plain(t)), grams(plain(q))
+                common, total = sum((a & b).values()), sum((a | b).values())
+                if 100 * common >= 80 * total:
+                    expected.add((d, i, common / total))
+    assert len(expected) > 30 and any(d == 501 for d, _, _ in expected)
+    assert run(spark, docs, items) == expected | brute(docs, items)
+    item = " ".join(f"x{k}" for k in range(60))
+    d = spark.createDataFrame([(1, " ".join(item.split()[:55]))], "doc_id long, text string")
+    [leak] = op2.find_leaks(d, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert (leak.first_word, leak.n_words, leak.similarity) == (0, 55, 51 / 56)
+
+
+def test_clean_heeds_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "this is the question of all questions"), (2, "nothing of the kind is said here")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "this is the question of all questions")], "item_id long, text string")
+    assert [r.doc_id for r in op2.clean(docs, items).collect()] == [2] and op2.find_leaks(docs, items).count() == 0

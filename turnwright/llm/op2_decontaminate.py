@@ -1,14 +1,16 @@
 """Benchmark decontamination: SimHash over windows as long as the benchmark's items, found by a multi-index, then verified.
 
-Texts and items are read as words without case and punctuation. An item of n words is held against windows of n words of every document.
+Texts and items are read as words without case and punctuation. An item of n words is held against windows of n words of every document,
+and against the whole text of a document of fewer words.
 Each window has a SimHash of BITS bits of its weighted shingles (SIZE words, weight: occurrences). Items are indexed by each of RADIUS + 1
 blocks of bits: two fingerprints that differ in at most RADIUS bits agree in a whole block, so every pair within the radius is met.
 These pairs are verified by the exact weighted Jaccard similarity of their shingles, which must be at least SIMILARITY percent.
 
-Windows with fewer shingles of any item than similarity calls for can't be similar to one and get no fingerprint; all others do.
+Windows with fewer shingles of any item than similarity calls for can't be similar to one and get no fingerprint; all others do. A whole text that is
+shorter than items needs no fingerprint: those that share enough of its shingles are looked up by shingle and verified.
 The benchmark is taken in blocks of at most ITEM_WORDS words, so what tasks hold is bounded however large it is; documents are only read.
 
-Defined results: a null or empty text is clean; a null or empty item leaks nowhere; items of fewer words than a shingle are one shingle; equal
+Defined results: a null or empty text is clean; a null or empty item leaks nowhere; an item without id isn't reported, but clean() heeds it; items of fewer words than a shingle are one shingle; equal
 items, and rows with equal doc_ids, are reported each; other columns are ignored or, in clean(), passed on.
 """
 
@@ -74,6 +76,8 @@ class Items:
     grams: list[np.ndarray]
     length: np.ndarray
     known: np.ndarray
+    holders: np.ndarray
+    first_holder: np.ndarray
     lengths_of: dict[int, np.ndarray]
     prints: np.ndarray
     index: dict[tuple[int, int], np.ndarray]
@@ -92,12 +96,25 @@ class Items:
         for k, row in enumerate(blocks(prints) if len(grams) else []):
             for b in row.tolist():
                 index.setdefault((int(length[k]), b), []).append(k)
-        known = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
+        order = np.argsort(value, kind="stable")
+        known, first = np.unique(value[order], return_index=True)
         lengths: dict[int, set[int]] = {}
         for g, n in zip(grams, length.tolist(), strict=True):
             for x in g.tolist():
                 lengths.setdefault(x, set()).add(n)
-        return cls([ids[k] for k in some], grams, length, known, {x: np.array(sorted(n)) for x, n in lengths.items()}, prints, {b: np.array(k) for b, k in index.items()})
+        return cls([ids[k] for k in some], grams, length, known, owner[order], np.append(first, len(order)), {x: np.array(sorted(n)) for x, n in lengths.items()}, prints, {b: np.array(k) for b, k in index.items()})
+
+    def sharing(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items that have any of the sorted shingles, and how many of these at most are common."""
+        value, count = np.unique(grams, return_counts=True)
+        at = np.searchsorted(self.known, value)
+        some = at < len(self.known)
+        some[some] = self.known[at[some]] == value[some]
+        total = np.zeros(len(self.grams), np.int64)
+        for k, n in zip(at[some].tolist(), count[some].tolist(), strict=True):
+            total[self.holders[self.first_holder[k] : self.first_holder[k + 1]]] += n
+        near = np.flatnonzero(total)
+        return near, total[near]
 
     def sizes(self) -> list[int]:
         return sorted({min(SIZE, int(n)) for n in self.length})
@@ -160,9 +177,25 @@ def leaks(hashes: np.ndarray, items: Items, hits: dict[int, np.ndarray]) -> Iter
                     common, total = similarity(own, items.grams[i])
                     if 100 * common >= SIMILARITY * total and (i not in best or common * best[i][3] > best[i][2] * total):
                         best[i] = (i, s, common, total)
+    best |= {i: (i, 0, common, total) for i, common, total in _shorter(hashes, items, hits)}
     yield from sorted(best.values())
 
 
+def _shorter(hashes: np.ndarray, items: Items, hits: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """(item's number, common, all) of each item of more words than a whole text that is similar to it; only texts of SIZE words or more can be."""
+    m = len(hashes) - SIZE + 1
+    # the item has at least m + 1 shingles, and the share that similarity calls for bounds them from above
+    if m < 1 or (100 + SIMILARITY) * len(hits.get(SIZE, ())) < SIMILARITY * (2 * m + 1) or 100 * m < SIMILARITY * (m + 1):
+        return
+    own = np.sort(ngrams(hashes, SIZE))
+    near, most = items.sharing(own)
+    theirs = items.length[near] - SIZE + 1
+    for i in near[(theirs > m) & ((100 + SIMILARITY) * most >= SIMILARITY * (m + theirs))].tolist():
+        common, total = similarity(own, items.grams[i])
+        if 100 * common >= SIMILARITY * total:
+            yield i, common, total
+
+
 def _item_blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The benchmark in blocks of about ITEM_WORDS words, each with at least one item."""
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
@@ -205,7 +238,7 @@ def _finder(spark: SparkSession, block: Items):
                 a, b = bounds[r], bounds[r + 1]
                 own = {size: at[np.searchsorted(at, a) : np.searchsorted(at, b)] - a for size, at in hits.items()}
                 for i, first, common, total in leaks(w.hash[a:b], items, own):
-                    found.append((part.column(0)[int(r)].as_py(), items.ids[i], first, int(items.length[i]), common / total))
+                    found.append((part.column(0)[int(r)].as_py(), items.ids[i], first, min(int(items.length[i]), int(b - a)), common / total))
             if found:
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
@@ -215,7 +248,8 @@ def _finder(spark: SparkSession, block: Items):
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold an item of the benchmark; rows without doc_id stay only if no such row leaks."""
-    leaking = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__leak")).distinct()
+    named = benchmark.withColumn("item_id", F.coalesce("item_id", F.xxhash64("text")))
+    leaking = find_leaks(docs, named).select(F.col("doc_id").alias("__leak")).distinct()
     return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col("__leak")), "left_anti")
 
 
