@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -51,3 +52,28 @@ def test_query_and_sql(spark, sf):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     assert sorted(con.execute(op7.ORACLE_SQL).fetchall()) == got
     assert not any("Python" in line or "Arrow" in line for line in op7.query(spark, sf)._jdf.queryExecution().toString().split("\n"))
+
+
+NOTICES = {
+    "MIT": MIT.partition("\n\n")[2] + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n(c) Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "GPL-3-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+}
+
+
+def test_wrapped_notices_and_long_forms(spark):
+    rows = [(text, [name]) for name, text in NOTICES.items()]
+    for name, text in NOTICES.items():
+        for width in (30, 45, 72):
+            for mark in ("", " * ", "# ", "// "):
+                lines = [x for block in text.split("\n") for x in textwrap.wrap(block, width) or [""]]
+                rows.append(("Copyright (c) 2020 X\n\n" + "\r\n".join(mark + x for x in lines) + "\n\nend", [name]))
+    rows += [("// SPDX-License-Identifier: GPL-3.0-or-later\ncode", ["GPL-3-or-later"]), ("SPDX-License-Identifier: LGPL-2.1-or-later", ["LGPL-2.1-or-later"])]
+    rows += [("This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]), ("Creative Commons Attribution 4.0 International License", ["CC-BY-4.0"])]
+    rows += [("Released under a Creative Commons Attribution-NoDerivs 3.0 Unported License!", ["CC-BY-ND-3.0"]), ("not released under the\n\nMIT License.", []), ("It is not so. That was licensed under\nthe MIT License.", [])]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in op7.scan(df).collect()}
+    assert [(t, got[k]) for k, (t, _) in enumerate(rows)] == rows

@@ -1,7 +1,8 @@
 """Licence scans by sentence rules, in built-in functions only.
 
-A text is cut in sentences at line ends and after full stops, question and exclamation marks; a sentence is normalised to lower-case letters and
-digits with single spaces. Known licence sentences have identifiers; the identifiers of a text's known sentences, in order, are matched against
+A text is cut in sentences at blank lines, after list marks and after full stops, question and exclamation marks; a sentence is normalised to
+lower-case letters and digits with single spaces. A line end may, but need not, end a sentence: a known one is found wherever it is a run of whole
+lines, however it is wrapped and whatever signs of a comment its lines begin with. Known licence sentences have identifiers; the identifiers of a text's known sentences, in order, are matched against
 rules in order, each a run of identifiers that names a licence. A rule takes the runs that it matches away, so that a later, more general rule
 doesn't see them; what no rule takes is reported as unruled. All is done row by row, without any shuffle.
 
@@ -50,6 +51,19 @@ for _terms in _CC:
         _starts = ("licensed under", "released under", "this work is licensed under", "published under")
         SENTENCES[f"Cc{_terms.title().replace(' ', '')}{_v.replace(' ', '')}"] = (*(f"{s} {cc} {_terms} {_v}" for s in _starts for cc in ("cc", "creative commons")), f"spdx license identifier cc {_terms} {_v}")
 
+#: More forms of the same identifiers, which ORACLE_SQL doesn't know; nor does it join wrapped lines.
+MORE: dict[str, tuple[str, ...]] = {
+    f"{kind}{v.replace(' ', '')}Later": (f"spdx license identifier {kind.lower()} {(v + ' 0')[:3]} or later",) for kind in _GNU for v in _VERSIONS[kind]
+}
+_LONG = {"by": "attribution", "sa": "sharealike", "nd": "noderivatives", "nc": "noncommercial"}
+_SCOPE = {"2 0": "generic", "2 5": "generic", "3 0": "unported", "4 0": "international"}
+for _terms in _CC:
+    for _v in _CC_VERSIONS:
+        _long = " ".join(_LONG[x] for x in _terms.split())
+        _names = [f"creative commons {x} {_v}{scope}{end}" for x in dict.fromkeys((_long, _long.replace("noderivatives", "noderivs"))) for scope in ("", f" {_SCOPE[_v]}") for end in ("", " license", " public license")]
+        _starts = ("", *(f"{s} {a}" for s in ("licensed under", "released under", "this work is licensed under", "published under") for a in ("", "a ", "the ")))
+        MORE[f"Cc{_terms.title().replace(' ', '')}{_v.replace(' ', '')}"] = tuple(dict.fromkeys(s + n for s in _starts for n in _names))
+
 #: Licences with the runs of identifiers that name them, the more specific first.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("ApacheName", "ApacheUse", "ApacheCopy", "ApacheAsIs")),
@@ -71,16 +85,42 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Proprietary", ("AllRights",)),
 ]
 #: Every known sentence matches this, so a text that does not has none.
-_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+(?:cc|creative\W+commons)\W|required\W+by\W+applicable"
+_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+cc\W|creative\W+commons|required\W+by\W+applicable"
+
+
+def _pattern(sentences: list[str]) -> str:
+    """A regular expression of all the sentences, longer ones first, where each space may be a line end."""
+    tree: dict = {}
+    for s in sentences:
+        node = tree
+        for w in s.split():
+            node = node.setdefault(w, {})
+        node[""] = {}
+
+    def rest(node: dict) -> str:
+        ways = [f"[ \n]{w}{rest(n)}" for w, n in node.items() if w] + [r"(?![^\n\x01])"] * ("" in node)
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    return rf"(?<![^\n\x01])(?:{'|'.join(w + rest(n) for w, n in tree.items())})"
 
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's known sentences, in order; none where the text has no anchor."""
-    known = {s: name for name, forms in SENTENCES.items() for s in forms}
+    known = {s: name for more in (SENTENCES, MORE) for name, forms in more.items() for s in forms}
     names = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    cut = F.split(F.lower(text), r"\n|[.!?]+(?=\s|$)")
-    plain = F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    found = F.transform(F.filter(plain, lambda s: s.isin(list(known))), lambda s: F.element_at(names, s))
+    # \x01 ends a sentence, and a line end that is left is one within a paragraph
+    plain = F.translate(F.lower(text), "\x01", " ")
+    for old, new in (
+        (r"\bv\.(?=[^a-z0-9.!?]+[0-9])", "v"),
+        (r"[.!?]+(?=\s|$)", "\x01"),
+        (r"(?<![^\n])[^a-z0-9\n\x01]*+[a-z0-9]{1,2}\)(?=\s)", "\x01"),
+        (r"[^a-z0-9\n\x01]+", " "),
+        (r"[ \n\x01]*(?:\x01|\n ?\n)[ \n\x01]*", "\x01"),
+        (r" ?\n ?", "\n"),
+    ):
+        plain = F.regexp_replace(plain, old, new)
+    met = F.regexp_extract_all(F.trim(plain), F.lit(_pattern(list(known))), F.lit(0))
+    found = F.transform(met, lambda s: F.element_at(names, F.translate(s, "\n", " ")))
     return F.when(F.lower(text).rlike(_ANCHOR), found).otherwise(F.array().cast("array<string>"))
 
 
