@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +11,19 @@ def edits(a: list[str], b: list[str]) -> int:
     """Words to change, add or drop."""
     if not a or not b:
         return max(len(a), len(b))
-    names = {w: k for k, w in enumerate(dict.fromkeys(a + b))}
-    x, y = np.array([names[w] for w in a]), np.array([names[w] for w in b])
-    row = np.arange(len(y) + 1)
-    step = np.arange(len(y) + 1)
-    for k, w in enumerate(x, 1):
-        new = np.empty_like(row)
-        new[0] = k
-        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (y != w))
-        row = np.minimum.accumulate(new - step) + step
-    return int(row[-1])
+    # a column of the table of distances as two bit vectors: where it rises, and where it falls, by one word
+    n, rises, falls, at = len(a), (1 << len(a)) - 1, 0, len(a)
+    full, last, places = rises, 1 << (n - 1), dict[str, int]()
+    for k, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << k
+    for w in b:
+        same = places.get(w, 0)
+        across = (((same & rises) + rises) ^ rises) | same | falls
+        up, down = falls | (full & ~(across | rises)), rises & across
+        at += bool(up & last) - bool(down & last)
+        up, down = (up << 1 | 1) & full, down << 1 & full
+        rises, falls = down | (full & ~(across | up)), up & across
+    return at
 
 
 def wer(reference: str, hypothesis: str) -> Column:
