@@ -54,3 +54,28 @@ def test_odd_rows(spark):
     got = op3.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 99_999, 99_999]
     assert op3.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article class='post no-sidebar'><p>a</p></article>", "a"),
+        ("<article class='post category-social'><p>a</p></article>", "a"),
+        ("<article class='social'><p>a</p></article>", "a"),
+        ("<div class='content has-sidebar'><article><p>a</p></article></div>", "a"),
+        ("<div class='widget'><article><p>a</p></article></div><div class='widget'>w</div>", "a"),
+        ("<article><p>a</p><p class='disclaimer'>b</p><div class='comment-list'>c</div><div class='ad-slot'>d</div></article>", "a b"),
+        ("<section class='comments'><article>c</article></section><main><p>a</p></main>", "a"),
+        ("<article><p class='ad'>buy<p>a<p>b</article>", "a b"),
+        ("<article><p class='ad'>buy <b>now</b><br>!<div>a</div></article>", "a"),
+        ("<article><div><p class='ad'>buy</div>a</article>", "a"),
+        ("<article><ul><li class='ad'>buy<ul><li>x</ul><li>a</ul><dl><dt class=ad>q<dd>b</dl></article>", "a b"),
+        ("<article><ul><li class='ad'>buy</ul><p>a</article>", "a"),
+        ("<main><h1>T</h1><p>lead</p><article><p>the whole of the text</p></article><p>more</p><ul><li><a href=x>link</a></ul></main>", "T lead the whole of the text more"),
+        ("<article><p>a teaser</p></article><main><p>the longer text of the page</p></main>", "the longer text of the page"),
+        ("<article><ul><li class='ad'>x</p><ul><li>y</article><article>b</article>", "b"),
+        (f"<main><p>{'own text ' * 30}</p><article>teaser</article></main>", ("own text " * 30 + "teaser")),
+    ],
+)
+def test_text_that_stays(page, text):
+    assert op3.main_text(page) == text

@@ -2,8 +2,9 @@
 the text between the points where the sums surge and dive is kept.
 
 A line is a block of the page. Stripping empties the lines of scripts, styles, menus, page headers and footers, sidebars, notices,
-adverts, forms and reader comments, told by elements (DROPPED) and by words in class, id and role (NAMES). Where a page has an
-article or main element, the lines outside are empty too, and any text makes a window surge. Elsewhere lines that mostly are links count
+adverts, forms and reader comments, told by elements (DROPPED) and by words in class, id and role (NAMES), which count beside words of place
+only (BESIDE) and don't strip what is or holds an article or main element. Where a page has an article or main element, the lines outside
+are empty too, and any text makes a window surge. Elsewhere lines that mostly are links count
 as empty, and a region of lines is kept if one of its windows reaches SURGE characters, or a quarter of the page's largest window.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are tolerated; a page is read whole whatever its size;
@@ -13,7 +14,8 @@ equal pages get equal texts; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -38,28 +40,57 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
-
-
-def unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element can't be part of the article."""
+#: Words that may stand beside one of NAMES in a class or id ("site-footer", "comment-list"); beside others ("no-sidebar", "category-social") it says something else.
+BESIDE = frozenset(NAMES) | {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "global", "header", "inner", "item", "left", "links", "list", "main", "page", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "top", "unit", "wrap", "wrapper", "", *map(str, range(10))}
+# Elements that end where the next of the second ones begins, unless it lies in one of the third ones, or where what holds them ends.
+_BLOCKS = ("address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul", "li", "dt", "dd", "search", "summary")
+IMPLIED = {"p": (_BLOCKS, ()), "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option", "optgroup"), ())}
+# Readers' words, which may be written as articles; what else holds an article or main is never stripped for its name.
+_READERS = frozenset(("comment", "comments", "commentlist", "disqus", "related", "replies", "reply", "respond"))
+_KEPT = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
+
+
+def unwanted(name: str, attributes: str, in_article: bool, holds: Callable[[], bool] = lambda: False) -> bool:
+    """Whether an element can't be part of the article. holds: whether it holds an article or main element."""
     if name in DROPPED or name == "header" and not in_article:
         return True
-    if not attributes or name in ("body", "html", "main"):
+    if not attributes or name in OUTER:
         return False
-    words = {w for m in _NAMED.finditer(attributes) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower())}
-    if not in_article and "header" in words and words <= {"header", "site", "page", "top", "main", "global", ""}:
+    if re.search(r"""(?:^|\s)(?:hidden(?=\s|$|=)|aria-hidden\s*=\s*["']?true)""", attributes):
         return True
-    return not words.isdisjoint(NAMES) or bool(re.search(r"""(?:^|\s)(?:hidden(?=\s|$|=)|aria-hidden\s*=\s*["']?true)""", attributes))
+    tokens = [_SPLIT.split(token) for m in _NAMED.finditer(attributes) for token in (m[1] or m[2] or m[3] or "").lower().split()]
+    words = {w for token in tokens for w in token}
+    if not in_article and "header" in words and words <= {"header", "site", "page", "top", "main", "global", ""}:
+        return not holds()
+    named = {w for token in tokens if BESIDE.issuperset(token) for w in token if w in NAMES}
+    if in_article and name == "p":
+        named.discard("disclaimer")  # a paragraph of the article
+    return bool(named) and (in_article or not named.isdisjoint(_READERS) or not holds())
+
+
+def holds(html: str, at: int, name: str, kept: list[int]) -> bool:
+    """Whether the element whose content begins at a place has one of the article and main elements, told by their places, before its end."""
+    k = bisect_left(kept, at)
+    if k == len(kept) or name in ("p", "dt", "option", *VOID):
+        return False
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(html, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m.start() > kept[k]
+    return False  # what never ends holds nothing for sure
 
 
 class Page:
     """Lines of a page: text, characters in links, and whether they lie in an article or main element; gaps for what was stripped."""
 
     def __init__(self, html: str):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.text: list[str] = []
         self.linked, self.links, self.articles, self.mains = 0, 0, 0, 0
         skip, depth, inner, at = "", 0, 0, 0
+        opened: dict[str, int] = {}
+        kept = [m.start() for m in _KEPT.finditer(html)]
         while True:
             m = _TAG.search(html, at)
             if not skip:
@@ -78,7 +109,27 @@ class Page:
                 elif end:
                     at = end.end()
                 continue
-            if skip:
+            if skip in IMPLIED:
+                nexts, lists = IMPLIED[skip]
+                if close and name == skip and not depth:
+                    skip = ""
+                    continue
+                if name in INLINE or name in VOID and name not in nexts:
+                    continue
+                if name in nexts and not close and not depth:
+                    skip = ""  # its end is implied by the next one
+                elif name in lists and not close:
+                    depth += 1
+                    continue
+                elif name in lists and depth:
+                    depth -= 1
+                    continue
+                elif close and opened.get(name, 0) <= 0 and (name not in IMPLIED or not depth and name != "p"):
+                    skip = ""  # or by the end of what holds it
+                else:
+                    opened[name] = opened.get(name, 0) + (-1 if close else 1)
+                    continue
+            elif skip:
                 if name == skip:
                     depth += -1 if close else 1
                     skip = skip if depth else ""
@@ -95,11 +146,11 @@ class Page:
                 self.links -= name == "a" and self.links > 0
                 self.articles -= name == "article" and self.articles > 0
                 self.mains -= name == "main" and self.mains > 0
-            elif unwanted(name, attributes, self.articles > 0):
+            elif unwanted(name, attributes, self.articles > 0, lambda: holds(html, at, name, kept)):
                 self.end()
-                self.lines.append(("", 0, False))
+                self.lines.append(("", 0, 0))
                 if name not in VOID and not attributes.endswith("/"):
-                    skip, depth, inner = name, 1, 0
+                    skip, depth, inner, opened = name, int(name not in IMPLIED), 0, {}
             else:
                 self.links += name == "a"
                 self.articles += name == "article"
@@ -114,7 +165,7 @@ class Page:
     def end(self) -> None:
         text = " ".join(unescape("".join(self.text)).split())
         if text:
-            self.lines.append((text, self.linked, 2 if self.articles else 1 if self.mains else 0))
+            self.lines.append((text, self.linked, 2 * (self.articles > 0) + (self.mains > 0)))
         self.text, self.linked, self.links = [], 0, 0
 
 
@@ -129,9 +180,16 @@ def windows(lengths: list[int], size: int = WINDOW) -> list[int]:
 
 def main_text(html: str | None) -> str:
     lines = Page(html or "").lines
-    inside = max((x[2] for x in lines if x[0]), default=0)
+    inside = max((x[2] & 3 for x in lines if x[0]), default=0)
     if inside:
-        lengths, surge = [len(t) if t and x == inside else 0 for t, _, x in lines], 1
+        # a main element with articles is taken whole, but for lines of links; of others, the one with more text in a window
+        articles = [len(t) if x & 2 else 0 for t, _, x in lines]
+        rest = [len(t) if x == 1 and 2 * linked <= len(t) else 0 for t, linked, x in lines]
+        if any(x == 3 for _, _, x in lines):
+            articles = [a or r for a, r in zip(articles, rest, strict=True)]
+        elif max(windows(rest), default=0) > max(windows(articles), default=0):
+            articles = rest
+        lengths, surge = articles if any(articles) else [len(t) if x else 0 for t, _, x in lines], 1
     else:
         lengths = [len(t) if 2 * linked <= len(t) else 0 for t, linked, _ in lines]
         surge = min(SURGE, max(windows(lengths), default=0) / 4)
