@@ -60,3 +60,17 @@ def test_query(spark):
         assert got[r.doc_id].n_tokens == len(ids)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_thue_morse_words():
+    word = "a"
+    for k in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+        if k >= 8:
+            other = word.translate(str.maketrans("ab", "ba"))
+            both([word, other, f"{word} {other} {word}"])
+
+
+def test_equal_hashes_of_unequal_cuts(monkeypatch):
+    monkeypatch.setattr(op1_bpe, "range_hashes", lambda buf, cuts: np.zeros(len(cuts) - 1, np.uint64))
+    both(["one two six one", None, "six", "one two"])

@@ -73,3 +73,30 @@ def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in op8.query(spark, sf).collect()), key=str) == brute(rows)
+
+
+def test_thue_morse_words(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(map(str, range(19)))
+    rows = [(1, f"{word} {rest}"), (2, f"{other} {rest}"), (3, f"{other} {rest}")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_clashing_columns(spark):
+    same = " ".join(map(str, range(25)))
+    names = ["windows", "doc", "text_hash", "mark", "own", "__text", "low", "bucket"]
+    df = spark.createDataFrame([(k, same, *[f"{k}{c}" for c in names]) for k in range(3)], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names))
+    got = op8.remove_repeats(df)
+    assert got.columns == [*df.columns, "n_words", "n_removed", "kept_text"]
+    for r in got.collect():
+        assert r.n_removed == (25 if r.doc_id else 0) and r.text == same and all(r[c] == f"{r.doc_id}{c}" for c in names)
+
+
+def test_buckets_beyond_memory(spark, monkeypatch):
+    monkeypatch.setattr(op8, "HELD", 300)
+    monkeypatch.setattr(op8, "BUCKET", 1 << 30)
+    rows = corpus(9, 200)
+    assert run(spark, rows) == brute(rows)

@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 Texts are cut at single white space characters between other characters, where no match of the split pattern can
-cross; each distinct cut of a batch is split by the pattern, written in the vocabulary's byte characters and encoded
-once by the library's BPE model, and the ids are then laid out for every row. Decoding reverses the byte table token
+cross; each distinct cut of a batch (told by a hash, then by its bytes) is split by the pattern, written in the vocabulary's byte characters and
+encoded once by the library's BPE model, and the ids are then laid out for every row. Decoding reverses the byte table token
 by token, so a character that two tokens share comes back whole.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; null ids decode to null; equal rows get
@@ -73,9 +73,10 @@ class ByteBpe(ByteTable):
         self.written = {ord(chr(b)): c for b, c in byte_characters().items()}
         self._forget()
 
-    def _forget(self, but: list[int] = ()) -> None:
+    def _forget(self, but: list[bytes] = ()) -> None:
         """An empty cache, but for some known cuts."""
         if but:
+            but = list(dict.fromkeys(but))
             at, ends = np.array([self.known[h] for h in but]), np.array(self.store_ends)
             ids, ends = gather(self.store, ends[at], ends[at + 1])
             self.known, self.store, self.store_ends = {h: k for k, h in enumerate(but)}, ids, ends.tolist()
@@ -83,8 +84,9 @@ class ByteBpe(ByteTable):
             self.known, self.store, self.store_ends = {}, np.zeros(0, np.int32), [0]
             self.pieces: dict[str, list[int]] = {}
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        pieces = [self.pattern.findall(t) for t in texts]
+    def _learn(self, cuts: list[bytes]) -> None:
+        cuts = list(dict.fromkeys(cuts))
+        pieces = [self.pattern.findall(t.decode()) for t in cuts]
         distinct = list(dict.fromkeys(chain.from_iterable(pieces)))
         if len(self.pieces) + len(distinct) > CACHED_PIECES:
             self.pieces = {p: self.pieces[p] for p in distinct if p in self.pieces}
@@ -99,7 +101,7 @@ class ByteBpe(ByteTable):
             for p in own:
                 flat += ids[p]
             ends.append(base + len(flat))
-        self.known.update(zip(hashes, range(count, count + len(hashes)), strict=True))
+        self.known.update(zip(cuts, range(count, count + len(cuts)), strict=True))
         self.store = np.concatenate([self.store[:base], np.array(flat, np.int32)])
 
     @staticmethod
@@ -122,17 +124,30 @@ class ByteBpe(ByteTable):
         edge[at[buf[at] != 0x20] + 1] = True
         return np.flatnonzero(edge)
 
+    @staticmethod
+    def distinct(buf: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct cuts, each by its first place, and of every cut its number among them. Cuts with equal hashes count as equal only if their bytes are."""
+        _, first, inverse = np.unique(range_hashes(buf, cuts), return_index=True, return_inverse=True)
+        size = np.diff(cuts)
+        same = size[first][inverse] == size
+        like = np.where(same, first[inverse], np.arange(len(size)))
+        copy, _ = gather(buf, cuts[like], cuts[like + 1])
+        at = np.searchsorted(cuts, np.flatnonzero(copy != buf[: cuts[-1]]), side="right") - 1
+        same[at] = False
+        alone = np.flatnonzero(~same)
+        inverse[alone] = len(first) + np.arange(len(alone))
+        return np.append(first, alone), inverse
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, and of each row where they start."""
         buf, offsets = raw(column)
         cuts = self.cuts(buf, offsets)
-        hashes, first, inverse = np.unique(range_hashes(buf, cuts), return_index=True, return_inverse=True)
-        keys = hashes.tolist()
-        if len(self.known) + len(hashes) > CACHED_CUTS:
-            self._forget([h for h in keys if h in self.known])
-        new = [k for k, h in enumerate(keys) if h not in self.known]
+        first, inverse = self.distinct(buf, cuts)
         data = buf.tobytes()
-        self._learn([keys[k] for k in new], [data[cuts[first[k]] : cuts[first[k] + 1]].decode() for k in new])
+        keys = [data[a:b] for a, b in zip(cuts[first].tolist(), cuts[first + 1].tolist(), strict=True)] if len(first) else []
+        if len(self.known) + len(keys) > CACHED_CUTS:
+            self._forget([k for k in keys if k in self.known])
+        self._learn([k for k in keys if k not in self.known])
         where = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
         ends = np.array(self.store_ends)
         ids, ends = gather(self.store, ends[where], ends[where + 1])

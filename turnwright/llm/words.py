@@ -2,7 +2,9 @@
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, so all functions see whole texts, whatever
 their length: a column is read in segments of about a megabyte that end at a word's end, which bounds memory.
-Equal words have equal 64-bit hashes in every task and run; unequal ones differ but for a chance of 2**-64.
+Equal words have equal 64-bit hashes in every task and run. A hash takes in eight bytes at a time and mixes after each, so no pattern of
+letters makes it collide by construction; unequal words then collide as random numbers do. It isn't made to withstand an adversary who
+searches for collisions. Where 64 bits are too few, a second, unrelated hash of the same bytes is at hand.
 """
 
 from __future__ import annotations
@@ -12,14 +14,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-SEGMENT = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_STEP = np.array([0xD1342543DE82EF95], np.uint64)
+SEGMENT, LONG = 1 << 20, 512
+_STEP = np.uint64(0xD1342543DE82EF95)
+#: What the two hashes of a word begin with.
+_SEEDS = (0x9E3779B97F4A7C15, 0xA0761D6478BD642F)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,18 +34,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse modulo 2**64."""
-    if len(_POWERS["up"]) <= n:
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            grown = np.full(n + 1, base, np.uint64)
-            grown[0] = 1
-            _POWERS[name] = np.multiply.accumulate(grown)
-    return _POWERS["up"], _POWERS["down"]
+def hash_ranges(buf: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """A hash of each range of bytes, mixed in eight bytes at a time; eight bytes must follow the last range. which: 0 or 1, two unrelated hashes."""
+    size = end - start
+    out = mix(size.astype(np.uint64) * _STEP + np.uint64(_SEEDS[which]))
+    eights = np.ndarray(max(len(buf) - 7, 0), "<u8", buf, strides=(1,))
+    some, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(some):
+        left = size[some] - at
+        chunk = eights[start[some] + at] & _MASK[np.minimum(left, 8)]
+        out[some] = mix(out[some] ^ chunk)
+        some, at = some[left > 8], at + 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(buf[start[k] : end[k]].tobytes(), _SEEDS[which])
+    return out
 
 
 @dataclass
@@ -53,6 +60,7 @@ class Words:
     end: np.ndarray
     row: np.ndarray
     hash: np.ndarray
+    other: np.ndarray
 
     def bounds(self) -> np.ndarray:
         """Of each row, the index of its first word; at last, the number of words."""
@@ -70,11 +78,10 @@ def raw(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(column: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool = True) -> Words:
-    """The words of each row. lower: hash A-Z as a-z."""
+def words(column: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: int = 1) -> Words:
+    """The words of each row. lower: hash A-Z as a-z. hashes: how many of the two hashes are wanted."""
     buf, offsets = raw(column)
-    table = _BYTES[_LOWER] if lower else _BYTES
-    starts, ends, found, at = [], [], [], 0
+    starts, ends, found, at = [], [], [[], []], 0
     edge = np.zeros(len(buf) + 1, bool)
     edge[offsets] = True
     while at < len(buf):
@@ -89,17 +96,16 @@ def words(column: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool
         after[:-1] |= ~ink[1:]
         s, e = np.flatnonzero(ink & before), np.flatnonzero(ink & after) + 1
         if hashes:
-            up, down = _powers(max(len(part), SEGMENT))
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(table[part] * up[: len(part)], out=total[1:])
-            found.append(mix((total[e] - total[s]) * down[s]))
+            padded = np.append(_LOWER[part] if lower else part, np.zeros(8, np.uint8))
+            for which in range(hashes):
+                found[which].append(hash_ranges(padded, s, e, which))
         starts.append(s + at)
         ends.append(e + at)
         at = stop
-    none = np.zeros(0, np.int64)
+    none, unhashed = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     start = np.concatenate(starts) if starts else none
     row = np.searchsorted(offsets[1:], start, side="right")
-    return Words(buf, offsets, start, np.concatenate(ends) if ends else none, row, np.concatenate(found) if found else np.zeros(0, np.uint64))
+    return Words(buf, offsets, start, np.concatenate(ends) if ends else none, row, *(np.concatenate(x) if x else unhashed for x in found))
 
 
 def range_hashes(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -107,12 +113,9 @@ def range_hashes(buf: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     out, k = np.zeros(max(len(cuts) - 1, 0), np.uint64), 0
     while k < len(cuts) - 1:
         to = max(k + 1, int(np.searchsorted(cuts, cuts[k] + SEGMENT, side="right")) - 1)
-        at, stop = int(cuts[k]), int(cuts[to])
-        up, down = _powers(max(stop - at, SEGMENT))
-        total = np.zeros(stop - at + 1, np.uint64)
-        np.cumsum(_BYTES[buf[at:stop]] * up[: stop - at], out=total[1:])
-        s, e = cuts[k:to] - at, cuts[k + 1 : to + 1] - at
-        out[k:to] = mix((total[e] - total[s]) * down[s])
+        at = int(cuts[k])
+        padded = np.append(buf[at : int(cuts[to])], np.zeros(8, np.uint8))
+        out[k:to] = hash_ranges(padded, cuts[k:to] - at, cuts[k + 1 : to + 1] - at)
         k = to
     return out
 
@@ -122,17 +125,15 @@ def ngrams(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, done, power, width, step = None, 0, hashes, 1, _STEP
-    shift = np.ones(1, np.uint64)
+    out, done, power, width = None, 0, hashes, 1
     while True:
         if size & width:
-            out = power[:n].copy() if out is None else out + shift * power[done : done + n]
+            out = power[:n].copy() if out is None else mix(out * _STEP + power[done : done + n])
             done += width
-            shift = shift * step
         if (width << 1) > size:
             return mix(out + np.uint64(size))
-        power = power[: len(power) - width] + step * power[width:]
-        step, width = step * step, width << 1
+        power = mix(power[: len(power) - width] * _STEP + power[width:])
+        width <<= 1
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
