@@ -1,4 +1,6 @@
+import math
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -14,17 +16,38 @@ def all_ways(data, p):
     if not data:
         return [(1.0, [])]
     out = []
-    for k in range(1, min(len(data), op10.LONGEST) + 1):
+    for k in range(1, len(data) + 1):
         if data[:k] in KNOWN:
             out += [(p[KNOWN[data[:k]]] * q, [KNOWN[data[:k]], *used]) for q, used in all_ways(data[k:], p)]
     return out
 
 
+def scored(texts, p):
+    lattice = op10.Lattice(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), PIECES)
+    with np.errstate(divide="ignore"):
+        each = lattice.log_likelihood(p[:, None], np.log(p[:, None]))[:, 0]
+    return lattice, np.bincount(lattice.owner, each, len(texts))
+
+
+def one_by_one(data, p):
+    """The probability of all segmentations and each piece's expected uses, as exact fractions, whatever the length."""
+    ahead, behind = [Fraction(0)] * (len(data) + 1), [Fraction(0)] * (len(data) + 1)
+    ahead[0] = behind[-1] = Fraction(1)
+    spans = [(a, b, KNOWN[data[a:b]]) for a in range(len(data)) for b in range(a + 1, len(data) + 1) if data[a:b] in KNOWN]
+    for a, b, k in sorted(spans, key=lambda x: x[1]):
+        ahead[b] += ahead[a] * p[k]
+    for a, b, k in sorted(spans, key=lambda x: -x[0]):
+        behind[a] += behind[b] * p[k]
+    use = {}
+    for a, b, k in spans:
+        use[k] = use.get(k, 0.0) + float(ahead[a] * p[k] * behind[b] / ahead[-1])
+    return ahead[-1], use
+
+
 def test_sums_over_all_segmentations():
     p = np.append(np.random.default_rng(0).random(len(KNOWN)), 0)
     texts = [b" there", b" \xc3\xa9t\xc3\xa9", b" a", b" thing,"]
-    lattice = op10.Lattice.of(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), PIECES)
-    got = lattice.log_likelihood(p[:, None])[:, 0]
+    lattice, got = scored(texts, p)
     use = np.zeros(len(p))
     for t, g in zip(texts, got, strict=True):
         ways = all_ways(t, p)
@@ -35,8 +58,31 @@ def test_sums_over_all_segmentations():
     assert np.allclose(lattice.expected(p[:, None], np.full(4, 2.0)), use)
 
 
+def test_long_words_and_pieces():
+    draw = np.random.default_rng(1)
+    p = np.append(draw.integers(1, 1 << 20, len(KNOWN)) / float(1 << 40), 0)
+    letters = "".join(chr(c) for c in draw.integers(97, 123, 200))
+    texts = [f" {x}".encode() for x in (letters, "=" * 130, "Straßenbahnhaltestelle" * 5, "中文分词没有空格" * 8, "http://example.org/aaaa/bbbb?cccc=dddd&e", "été")]
+    lattice, got = scored(texts, p)
+    use = np.zeros(len(p))
+    for t, g in zip(texts, got, strict=True):
+        total, own = one_by_one(t, [Fraction(int(x * (1 << 40)), 1 << 40) for x in p[:-1]])
+        assert np.isclose(g, math.log(total.numerator) - math.log(total.denominator))
+        for k, n in own.items():
+            use[k] += 3 * n
+    assert np.allclose(lattice.expected(p[:, None], np.full(len(texts), 3.0)), use)
+    assert max(len(PIECES.pieces[k]) for k in np.flatnonzero(use)) >= 64
+
+
 def test_every_piece_is_found():
-    assert (PIECES.find(PIECES.hashes) == np.arange(len(KNOWN))).all() and PIECES.find(np.array([1], np.uint64))[0] == len(KNOWN)
+    data = [t for t in PIECES.pieces]
+    assert len(data) == 50_256
+    ends = np.cumsum([0, *map(len, data)])
+    start, length, piece = PIECES.matches(np.frombuffer(b"".join(data), np.uint8), ends)
+    whole = length == np.diff(ends)[np.searchsorted(ends, start, side="right") - 1]
+    assert (piece[whole] == np.arange(len(data))).all()
+    for a, n, k in zip(start[:500], length, piece):
+        assert b"".join(data[:600])[a : a + n] == data[k]
 
 
 def test_query_on_held_out_rows(spark):

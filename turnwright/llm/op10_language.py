@@ -1,16 +1,20 @@
 """Language ID by segmentation-marginalised unigrams over a fixed public vocabulary.
 
-Each language has a probability for every piece, a byte string of the vocabulary of at most LONGEST bytes. A word, with a space before
-it, has the probability of all ways to cut it into pieces, summed up by the forward algorithm; a text that of its words. The pieces'
-probabilities are learned by expectation maximisation with forward and backward sums over the words of labelled texts. Distinct words of
-a batch are scored once, for all languages together.
+Each language has a probability for every piece, a byte string of the vocabulary. A word, with a space before it, has the probability of
+all ways to cut it into pieces, summed up by the forward algorithm; a text that of its words. The pieces' probabilities are learned by
+expectation maximisation with forward and backward sums over the words of labelled texts. Distinct words of a batch are scored once, for
+all languages together.
+
+All pieces and whole words take part, whatever their length. Where no piece in a word spans a place, every segmentation has a border there,
+so the word's sum is the product of its parts' sums: words are cut there, which loses nothing and keeps the parts short. Parts of up to
+SHORT bytes are summed together by length; longer ones alone, in logarithms, so that nothing underflows.
 
 Only fitting is bounded: about PER_LANGUAGE texts of each language, those with the smallest hashes, and TRAIN_ROWS in all at most. Every row
 is scored, over its whole text, with equal prior odds of all languages.
 
 Defined results: `und` and score 0 if the text is null or has no letter, or nothing was learned; ties go to the language first in order;
-equal texts get equal results; a word of over SPLIT bytes counts as several; other columns pass through, but for those that are added,
-which replace namesakes.
+equal texts get equal results; a piece that holds white space never matches, as words hold none; other columns pass through, but for those
+that are added, which replace namesakes.
 """
 
 from __future__ import annotations
@@ -28,45 +32,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnwright.llm.clusterio import crc_of_id, table
-from turnwright.llm.words import gather, mix, ngrams, slices, words
+from turnwright.llm.words import gather, slices, words
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-LONGEST, SPLIT, ROUNDS, SMOOTHING, BLOCK = 8, 30, 3, 0.05, 1 << 14
+SHORT, ROUNDS, SMOOTHING, BLOCK = 32, 3, 0.05, 1 << 14
 PER_LANGUAGE, TRAIN_ROWS = 400, 4000
 UNDETERMINED = "und"
 
 
-def _letters(data: np.ndarray) -> np.ndarray:
-    return mix(data.astype(np.uint64) + np.uint64(0x10CA1E))
-
-
 class Pieces:
-    """The pieces of a vocabulary file of ranks, found by the hash of their bytes in tables of growing depth."""
+    """The pieces of a vocabulary file of ranks, as a trie."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            tokens = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-        self.pieces = [t for t in tokens if len(t) <= LONGEST]
-        self.hashes = np.array([ngrams(_letters(np.frombuffer(t, np.uint8)), len(t))[0] for t in self.pieces])
-        self.levels, left, shift = [], np.arange(len(self.pieces)), 0
-        while len(left):
-            slots = np.full(1 << 18, -1, np.int32)
-            slots[self._slot(self.hashes[left], shift)] = left
-            self.levels.append(slots)
-            left, shift = left[slots[self._slot(self.hashes[left], shift)] != left], shift + 1
-
-    @staticmethod
-    def _slot(h: np.ndarray, shift: int) -> np.ndarray:
-        return ((h >> np.uint64(7 * shift)) & np.uint64((1 << 18) - 1)).astype(np.int64)
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Of each hash its piece; the number of pieces where there is none."""
-        out = np.full(len(h), len(self.pieces), np.int32)
-        for shift, slots in enumerate(self.levels):
-            at = slots[self._slot(h, shift)]
-            hit = (at >= 0) & (self.hashes[at] == h)
-            out[hit] = at[hit]
-        return out
+            self.pieces = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
+        nodes, piece, steps = 1, {}, {}
+        for k, token in enumerate(self.pieces):
+            at = 0
+            for byte in token:
+                step = at << 8 | byte
+                if step not in steps:
+                    steps[step], nodes = nodes, nodes + 1
+                at = steps[step]
+            piece[at] = k
+        self.piece = np.full(nodes, -1, np.int32)
+        self.piece[list(piece)] = list(piece.values())
+        self.step = np.array(sorted(steps), np.int64)
+        self.next = np.array([steps[s] for s in self.step.tolist()], np.int32)
+
+    def matches(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where pieces begin in the strings, their lengths and numbers, by place and length."""
+        last = np.repeat(ends[1:], np.diff(ends))
+        at, node, length, found = np.arange(len(data)), np.zeros(len(data), np.int64), 0, []
+        while len(at):
+            step = node << 8 | data[at + length]
+            to = np.minimum(np.searchsorted(self.step, step), len(self.step) - 1)
+            on = self.step[to] == step
+            at, node, length = at[on], self.next[to[on]].astype(np.int64), length + 1
+            hit = self.piece[node] >= 0
+            found.append((at[hit], np.full(int(hit.sum()), length), self.piece[node[hit]]))
+            more = at + length < last[at]
+            at, node = at[more], node[more]
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        start, length, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(start, kind="stable")
+        return start[order], length[order], piece[order]
 
 
 @cache
@@ -74,59 +85,100 @@ def vocabulary(path: str) -> Pieces:
     return Pieces(path)
 
 
-@dataclass
 class Lattice:
-    """Strings, shortest first: their lengths, where they start in the bytes, and the piece of each length from each byte on."""
-
-    size: np.ndarray
-    start: np.ndarray
-    piece: list[np.ndarray]
-    none: int
-
-    @classmethod
-    def of(cls, data: np.ndarray, ends: np.ndarray, pieces: Pieces) -> Lattice:
-        letters = _letters(data)
-        found = [pieces.find(ngrams(letters, k)) for k in range(1, LONGEST + 1)]
-        return cls(np.diff(ends), ends[:-1], found, len(pieces.pieces))
+    """The pieces in some strings, which are cut in parts where no piece crosses. owner: the string of each part."""
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray, pieces: Pieces):
+        self.none = len(pieces.pieces)
+        start, length, piece = pieces.matches(data, ends)
+        change = np.zeros(len(data) + 2, np.int64)
+        np.add.at(change, start + 1, 1)
+        np.add.at(change, start + length, -1)
+        free = np.cumsum(change[: len(data) + 1]) == 0
+        free[ends] = True
+        free[0] = free[-1] = True
+        parts = np.flatnonzero(free)
+        self.start, self.size = parts[:-1], np.diff(parts)
+        self.owner = np.searchsorted(ends, self.start, side="right") - 1
+        short = np.repeat(self.size <= SHORT, self.size)
+        # of short parts, the piece of each length that begins at each byte; of long ones, lists of the pieces that end at each place
+        few = short[start]
+        self.piece = [np.full(len(data), self.none, np.int32) for _ in range(int(length[few].max()) if few.any() else 0)]
+        for k in range(len(self.piece)):
+            own = few & (length == k + 1)
+            self.piece[k][start[own]] = piece[own]
+        stop = (start + length)[~few]
+        order = np.argsort(stop, kind="stable")
+        self.stop, self.back, self.ending = stop[order], length[~few][order], piece[~few][order]
+        self.uses = np.bincount(piece, minlength=self.none + 1).astype(float)
 
     def blocks(self) -> Iterator[tuple[np.ndarray, int]]:
-        """Strings of one length, BLOCK at most."""
+        """Short parts of one length, BLOCK at most."""
         order = np.argsort(self.size, kind="stable")
+        order = order[: np.searchsorted(self.size[order], SHORT, side="right")]
         edges = np.flatnonzero(np.append(True, np.append(np.diff(self.size[order]) > 0, True))) if len(order) else np.zeros(0, int)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             for k in range(a, b, BLOCK):
                 yield order[k : min(b, k + BLOCK)], int(self.size[order[a]])
 
+    def long(self) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+        """Long parts, and for each place but the first the pieces that end there: places where they begin, and numbers."""
+        for k in np.flatnonzero(self.size > SHORT).tolist():
+            edges = np.searchsorted(self.stop, np.arange(self.start[k] + 1, self.start[k] + self.size[k] + 2))
+            yield k, [(j + 1 - self.back[a:b], self.ending[a:b]) for j, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))]
+
     def forward(self, some: np.ndarray, length: int, p: np.ndarray) -> np.ndarray:
-        """Sums of the probabilities of all segmentations of each start of the strings; p: (pieces and one of 0) x languages."""
+        """Sums of the probabilities of all segmentations of each start of the parts; p: (pieces and one of 0) x languages."""
         sums = np.zeros((length + 1, len(some), p.shape[1]))
         sums[0] = 1
         for j in range(1, length + 1):
-            for k in range(1, min(j, LONGEST) + 1):
+            for k in range(1, min(j, len(self.piece)) + 1):
                 at = self.piece[k - 1][self.start[some] + j - k]
                 if (at != self.none).any():
                     sums[j] += sums[j - k] * p[at]
         return sums
 
-    def log_likelihood(self, p: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def logs(ending: list[tuple[np.ndarray, np.ndarray]], log_p: np.ndarray) -> np.ndarray:
+        """The logarithms of such sums of one long part."""
+        out = np.zeros((len(ending) + 1, log_p.shape[1]))
+        for j, (begin, piece) in enumerate(ending, 1):
+            out[j] = np.logaddexp.reduce(out[begin] + log_p[piece], axis=0)
+        return out
+
+    def log_likelihood(self, p: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+        """Of each part, by language."""
         out = np.zeros((len(self.size), p.shape[1]))
         for some, length in self.blocks():
             out[some] = np.log(self.forward(some, length, p)[length])
+        for k, ending in self.long():
+            out[k] = self.logs(ending, log_p)[-1]
         return out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of each piece under probabilities p (one column), strings weighted."""
-        out = np.zeros(self.none + 1)
+        out, weight = np.zeros(self.none + 1), weight[self.owner]
         for some, length in self.blocks():
             ahead = self.forward(some, length, p)[:, :, 0]
             behind = np.zeros_like(ahead)
             behind[length] = weight[some] / ahead[length]
             for j in range(length, 0, -1):
-                for k in range(1, min(j, LONGEST) + 1):
+                for k in range(1, min(j, len(self.piece)) + 1):
                     at = self.piece[k - 1][self.start[some] + j - k]
                     use = p[at, 0] * behind[j]
                     behind[j - k] += use
                     out += np.bincount(at, use * ahead[j - k], self.none + 1)
+        with np.errstate(divide="ignore"):
+            log_p = np.log(p)
+        for k, ending in self.long():
+            ahead = self.logs(ending, log_p)[:, 0]
+            behind = np.full(len(ahead), -np.inf)
+            behind[-1] = -ahead[-1]
+            for j in range(len(ending), 0, -1):
+                begin, piece = ending[j - 1]
+                use = log_p[piece, 0] + behind[j]
+                behind[begin] = np.logaddexp(behind[begin], use)
+                np.add.at(out, piece, weight[k] * np.exp(use + ahead[begin]))
         out[self.none] = 0
         return out
 
@@ -141,14 +193,6 @@ def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return data, ends, w.row, which, rows
 
 
-def split(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of parts of at most SPLIT bytes, and the string of each part."""
-    many = -(-np.diff(ends) // SPLIT)
-    owner = np.repeat(np.arange(len(many)), many)
-    part = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    return np.append(ends[:-1][owner] + part * SPLIT, ends[-1]), owner
-
-
 @dataclass
 class Model:
     languages: list[str]
@@ -159,10 +203,10 @@ class Model:
         data, ends, row, which, rows = strings(column)
         total = np.zeros((rows, len(self.languages)))
         if len(row):
-            parts, owner = split(ends)
-            each = Lattice.of(data, parts, vocabulary(self.path)).log_likelihood(np.exp(self.log_p))
+            lattice = Lattice(data, ends, vocabulary(self.path))
+            each = lattice.log_likelihood(np.exp(self.log_p), self.log_p)
             for k in range(len(self.languages)):
-                total[:, k] = np.bincount(row, np.bincount(owner, each[:, k])[which], rows)
+                total[:, k] = np.bincount(row, np.bincount(lattice.owner, each[:, k])[which], rows)
         odds = np.exp(total - total.max(axis=1, keepdims=True))
         best = total.argmax(axis=1)
         return [self.languages[k] for k in best], (odds[np.arange(rows), best] / odds.sum(axis=1)) if rows else np.zeros(0)
@@ -173,12 +217,9 @@ def fit(texts: dict[str, list[str]], path: str = VOCABULARY) -> Model:
     pieces, names, columns = vocabulary(path), sorted(texts), []
     for name in names:
         data, ends, _, which, _ = strings(pa.array(texts[name], pa.string()))
-        parts, owner = split(ends) if len(which) else (ends, np.zeros(0, np.int64))
-        lattice = Lattice.of(data, parts, pieces)
-        weight = np.bincount(which, minlength=len(ends) - 1)[owner].astype(float)
-        use = np.zeros(len(pieces.pieces) + 1)
-        for found in lattice.piece:
-            use += np.bincount(found, minlength=len(use))
+        lattice = Lattice(data, ends, pieces)
+        weight = np.bincount(which, minlength=len(ends) - 1).astype(float)
+        use = lattice.uses
         for _ in range(ROUNDS + 1):
             use[-1] = 0
             p = (use + SMOOTHING) / (use.sum() + SMOOTHING * (len(use) - 1))
