@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -79,3 +81,41 @@ def test_odd_rows(spark):
 )
 def test_text_that_stays(page, text):
     assert op3.main_text(page) == text
+
+
+LINKS = "".join(f"<li><a href='/{k}'>Another page of the site {k}</a></li>" for k in range(5))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><h1>T</h1><p>one</p><ul>{LINKS}</ul><p>two</p></article>", "T one two"),
+        (f"<article><p>one</p><p>two</p><h4>x</h4><ul>{LINKS}</ul></article>", "one two x"),
+        ("<article><p>one</p><p><a href=a>Tweet</a> <a href=b>Share</a></p><p>two</p></article>", "one two"),
+        ("<article><p>one</p><p><a href=a>A whole paragraph that is a link.</a></p><p>two</p></article>", "one A whole paragraph that is a link. two"),
+        ("<article><p>one</p><p>two</p><p><a href=a>Next article</a></p></article>", "one two"),
+        ("<article><p>By <a href=a>An Author</a></p><p>one</p></article>", "By An Author one"),
+        (f"<article><ul>{LINKS}</ul></article>", " ".join(f"Another page of the site {k}" for k in range(5))),
+        (f"<main><ul>{LINKS}</ul><article><p>one</p><ul>{LINKS}</ul></article></main>", "one"),
+    ],
+)
+def test_windows_decide_in_articles(page, text):
+    assert op3.main_text(page) == text
+
+
+def test_pages_without_article():
+    draw = random.Random(3)
+    for _ in range(30):
+        blocks = ["".join(draw.choice("abcdefgh ") for _ in range(draw.randrange(90, 300))).strip() + "." for _ in range(draw.randrange(3, 9))]
+        menu = "".join(f"<li><a href='/{k}'>{draw.choice('abcdef') * 5}</a></li>" for k in range(draw.randrange(4, 12)))
+        body = "".join(f"<p>{b}</p>" if draw.random() < 0.5 else f"<div><span>{b}</span></div>" for b in blocks)
+        page = f"<html><body><ul>{menu}</ul><div class='sidebar'>{blocks[0]}</div><div class='x'>{body}</div><div>{menu}</div><footer>{blocks[1]}</footer></body></html>"
+        assert op3.main_text(page) == " ".join(" ".join(b.split()) for b in blocks)
+
+
+@pytest.mark.parametrize("unit", ['<a "x', '<a ">" ', "<![CDATA[", "<!--x", "<a<a", "<p a='", "<div class=ad>", "<head>", "<script>x", "<p>", "<li class=ad>", "</div>", "<a '\"> ", "&amp", "<", "<a href=x>y", '<a "><b \'>'])
+def test_markup_left_open_takes_linear_time(unit):
+    for end in ("", "<article><p>x</p></article>", ">"):
+        began = time.perf_counter()
+        op3.main_text(unit * (1_000_000 // len(unit)) + end)
+        assert time.perf_counter() - began < 4

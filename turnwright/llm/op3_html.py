@@ -3,9 +3,15 @@ the text between the points where the sums surge and dive is kept.
 
 A line is a block of the page. Stripping empties the lines of scripts, styles, menus, page headers and footers, sidebars, notices,
 adverts, forms and reader comments, told by elements (DROPPED) and by words in class, id and role (NAMES), which count beside words of place
-only (BESIDE) and don't strip what is or holds an article or main element. Where a page has an article or main element, the lines outside
-are empty too, and any text makes a window surge. Elsewhere lines that mostly are links count
-as empty, and a region of lines is kept if one of its windows reaches SURGE characters, or a quarter of the page's largest window.
+only (BESIDE) and don't strip what is or holds an article or main element. Lines that mostly are links have no length of their own.
+
+The sums of lengths over WINDOW lines surge where text begins and dive to nothing where it ends; a region between is kept if one of its
+windows reaches SURGE characters, or a quarter of the page's largest window. Where a page has an article or main element, the lines outside
+are empty too, and as nothing but boilerplate may go there, any text makes a window surge: what the windows then tell is which lines of
+links belong to the text. One of a single link stays where it stands in a region; rows of links, runs of WINDOW lines of links and those
+after the last text (shares, related pages, menus without telling names) go. An article of nothing but links is kept as it is.
+
+Markup is read once from left to right in time proportional to the page's length, whatever is left open in it.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are tolerated; a page is read whole whatever its size;
 equal pages get equal texts; other columns are ignored.
@@ -36,7 +42,9 @@ NAMES = (
     "cookies", "disclaimer", "disqus", "footer", "form", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promotion", "related",
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toc", "toolbar", "widget",
 )
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/<>]*)")
+_NAMED_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)(?=[\s/>])")
+_STOP = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -68,46 +76,109 @@ def unwanted(name: str, attributes: str, in_article: bool, holds: Callable[[], b
     return bool(named) and (in_article or not named.isdisjoint(_READERS) or not holds())
 
 
-def holds(html: str, at: int, name: str, kept: list[int]) -> bool:
-    """Whether the element whose content begins at a place has one of the article and main elements, told by their places, before its end."""
-    k = bisect_left(kept, at)
-    if k == len(kept) or name in ("p", "dt", "option", *VOID):
-        return False
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(html, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            return m.start() > kept[k]
-    return False  # what never ends holds nothing for sure
+class Markup:
+    """Finds a page's tags one by one; what it didn't find once it doesn't look for again."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.closer, self.asked = -1, 0  # the first ">" from a place on
+        self.no_section_end = False
+        self.no_raw_end: set[str] = set()
+        self.failed: set[int] = set()  # places outside quotes from which no ">" outside quotes follows
+        self.ends: dict[int, int] | None = None
+        self.kept = [m.start() for m in _KEPT.finditer(html)]
+
+    def close(self, at: int) -> int:
+        """The place after the next ">", or 0."""
+        if not self.asked <= at <= self.closer and self.closer < len(self.html):
+            found = self.html.find(">", at)
+            self.asked, self.closer = at, found if found >= 0 else len(self.html)
+        return 0 if self.closer >= len(self.html) else self.closer + 1
+
+    def tag_end(self, at: int) -> int:
+        """The place after the ">" that ends a tag, outside quotes if there is one, else the next; or 0."""
+        plain, passed, k = self.close(at), [], at
+        while plain:
+            m = _STOP.search(self.html, k)
+            if not m:
+                break
+            if m[0] == ">":
+                return m.end()
+            k = self.html.find(m[0], m.end()) + 1
+            if not k or k in self.failed:
+                break
+            passed.append(k)
+        self.failed.update(passed)
+        return plain
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Of the next tag or comment: begin, end, whether it closes, name (none: no element), attributes."""
+        html = self.html
+        while (begin := html.find("<", at)) >= 0:
+            at = begin + 1
+            if html.startswith(("!", "?"), at):
+                if html.startswith("!--", at):
+                    end = html.find("-->", at + 3)
+                    return begin, end + 3 if end >= 0 else len(html), False, "", ""
+                if html.startswith("![CDATA[", at) and not self.no_section_end:
+                    end = html.find("]]>", at)
+                    if end >= 0:
+                        return begin, end + 3, False, "", ""
+                    self.no_section_end = True
+                end = self.close(at)
+                if end:
+                    return begin, end, False, "", ""
+            elif m := _NAME.match(html, at):
+                end = self.tag_end(m.end())
+                if end:
+                    return begin, end, bool(m[1]), m[2].lower(), html[m.end() : end - 1]
+        return None
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Where what follows such an element begins, or 0."""
+        m = None if name in self.no_raw_end else _RAW_END[name].search(self.html, at)
+        if not m:
+            self.no_raw_end.add(name)
+        return m.end() if m else 0
+
+    def holds(self, begin: int, name: str) -> bool:
+        """Whether the element whose tag begins at a place has an article or main element before its end; what never ends holds nothing for sure."""
+        k = bisect_left(self.kept, begin + 1)
+        if k == len(self.kept) or name in ("p", "dt", "option", *VOID):
+            return False
+        if self.ends is None:
+            self.ends, opened = {}, {}
+            for m in _NAMED_TAG.finditer(self.html):
+                stack = opened.setdefault(m[2].lower(), [])
+                if not m[1]:
+                    stack.append(m.start())
+                elif stack:
+                    self.ends[stack.pop()] = m.start()
+        return self.ends.get(begin, 0) > self.kept[k]
 
 
 class Page:
-    """Lines of a page: text, characters in links, and whether they lie in an article or main element; gaps for what was stripped."""
+    """Lines of a page: text, characters in links, number of links, and whether they lie in an article or main element; gaps for what was stripped."""
 
     def __init__(self, html: str):
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
-        self.linked, self.links, self.articles, self.mains = 0, 0, 0, 0
+        self.linked, self.links, self.anchors, self.articles, self.mains = 0, 0, 0, 0, 0
         skip, depth, inner, at = "", 0, 0, 0
         opened: dict[str, int] = {}
-        kept = [m.start() for m in _KEPT.finditer(html)]
+        markup = Markup(html)
         while True:
-            m = _TAG.search(html, at)
+            tag = markup.next(at)
             if not skip:
-                self.add(html[at : m.start() if m else len(html)])
-            if not m:
+                self.add(html[at : tag[0] if tag else len(html)])
+            if not tag:
                 break
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
+            begin, at, close, name, attributes = tag
             if not name:
                 continue
-            close, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
             if name in RAW and not close and not attributes.endswith("/"):
-                end = _RAW_END[name].search(html, at)
-                if name != "head":
-                    at = end.end() if end else len(html)
-                elif end:
-                    at = end.end()
+                end = markup.raw_end(name, at)
+                at = end or (at if name == "head" else len(html))
                 continue
             if skip in IMPLIED:
                 nexts, lists = IMPLIED[skip]
@@ -146,13 +217,14 @@ class Page:
                 self.links -= name == "a" and self.links > 0
                 self.articles -= name == "article" and self.articles > 0
                 self.mains -= name == "main" and self.mains > 0
-            elif unwanted(name, attributes, self.articles > 0, lambda: holds(html, at, name, kept)):
+            elif unwanted(name, attributes, self.articles > 0, lambda: markup.holds(begin, name)):
                 self.end()
-                self.lines.append(("", 0, 0))
+                self.lines.append(("", 0, 0, 0))
                 if name not in VOID and not attributes.endswith("/"):
                     skip, depth, inner, opened = name, int(name not in IMPLIED), 0, {}
             else:
                 self.links += name == "a"
+                self.anchors += name == "a"
                 self.articles += name == "article"
                 self.mains += name == "main"
         self.end()
@@ -165,8 +237,8 @@ class Page:
     def end(self) -> None:
         text = " ".join(unescape("".join(self.text)).split())
         if text:
-            self.lines.append((text, self.linked, 2 * (self.articles > 0) + (self.mains > 0)))
-        self.text, self.linked, self.links = [], 0, 0
+            self.lines.append((text, self.linked, self.anchors, 2 * (self.articles > 0) + (self.mains > 0)))
+        self.text, self.linked, self.links, self.anchors = [], 0, 0, 0
 
 
 def windows(lengths: list[int], size: int = WINDOW) -> list[int]:
@@ -180,26 +252,34 @@ def windows(lengths: list[int], size: int = WINDOW) -> list[int]:
 
 def main_text(html: str | None) -> str:
     lines = Page(html or "").lines
-    inside = max((x[2] & 3 for x in lines if x[0]), default=0)
-    if inside:
-        # a main element with articles is taken whole, but for lines of links; of others, the one with more text in a window
-        articles = [len(t) if x & 2 else 0 for t, _, x in lines]
-        rest = [len(t) if x == 1 and 2 * linked <= len(t) else 0 for t, linked, x in lines]
-        if any(x == 3 for _, _, x in lines):
-            articles = [a or r for a, r in zip(articles, rest, strict=True)]
+    own = [len(t) if 2 * linked <= len(t) else 0 for t, linked, _, _ in lines]
+    inside, stays = [place > 0 for *_, place in lines], [False] * len(lines)
+    surge = 1
+    if any(t and place for t, _, _, place in lines):
+        # a main element with articles is taken whole; of others, the one with more text in a window
+        articles = [n if place & 2 else 0 for n, (*_, place) in zip(own, lines, strict=True)]
+        rest = [n if place == 1 else 0 for n, (*_, place) in zip(own, lines, strict=True)]
+        if any(place == 3 for *_, place in lines):
+            lengths = [a or r for a, r in zip(articles, rest, strict=True)]
         elif max(windows(rest), default=0) > max(windows(articles), default=0):
-            articles = rest
-        lengths, surge = articles if any(articles) else [len(t) if x else 0 for t, _, x in lines], 1
+            lengths, inside = rest, [place == 1 for *_, place in lines]
+        else:
+            lengths, inside = articles, [place >= 2 for *_, place in lines] if any(articles) else inside
+        if any(lengths):
+            stays = [i and bool(t) and count == 1 for i, (t, _, count, _) in zip(inside, lines, strict=True)]
+        else:
+            lengths = [len(t) if i else 0 for i, (t, *_) in zip(inside, lines, strict=True)]
     else:
-        lengths = [len(t) if 2 * linked <= len(t) else 0 for t, linked, _ in lines]
+        lengths = own
         surge = min(SURGE, max(windows(lengths), default=0) / 4)
-    sums, kept, k = windows(lengths), [], 0
+    sums, kept, k, first = windows(lengths), [], 0, inside.index(True) if True in inside else -1
     while k < len(lengths):
         dive = k
         while dive < len(lengths) and sums[dive]:
             dive += 1
         if dive > k and max(sums[k:dive]) >= surge:
-            kept += [lines[j][0] for j in range(k, dive) if lengths[j]]
+            text = next(j for j in range(k, dive) if lengths[j])  # links before it are a run of WINDOW lines, but where the article begins
+            kept += [lines[j][0] for j in range(k if k <= first else text, dive) if lengths[j] or stays[j]]
         k = max(dive, k + 1)
     return " ".join(kept)
 
