@@ -2,11 +2,14 @@
 
 import json
 import os
+import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from turnwright.functions import text as t
-from turnwright.operators import resolve, review, sequence, temporal
+from turnwright.operators import graph, resolve, review, sequence, temporal, vectors
 from turnwright.sinks import publish
 from turnwright.sources import scans
 from turnwright.streaming import review as streams
@@ -28,9 +31,9 @@ def test_files_round_trip(spark, tmp_path):
     assert sorted(r.x for r in spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv")).collect()) == ['a "b", c', "d"]
     publish.search_index(rows.withColumn("meeting_date", F.lit("2026-01-06").cast("date")), str(tmp_path / "index"))
     assert spark.read.parquet(str(tmp_path / "index")).where("meeting_date = DATE '2026-01-06'").count() == 2
-    publish.atomic(rows, str(tmp_path / "t"))
-    publish.append_state(rows, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+    publish.append_state(rows, str(tmp_path / "log"))
+    publish.append_state(rows, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
     (tmp_path / "reg.json").write_text(json.dumps({"speakers": [{"speaker_key": "a", "display_name": "Old"}, {"speaker_key": "a", "display_name": "Ada Moss"}, {"speaker_key": " "}]}))
     assert [r.display_name for r in scans.registry(spark, str(tmp_path / "reg.json")).collect()] == ["Ada Moss"]
 
@@ -85,9 +88,100 @@ def test_streams(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     q = streams.latest_decisions(stream, str(tmp_path / "state"), str(tmp_path / "ck"), ["key"], ["t"])
     q.awaitTermination()
-    assert sorted((r.key, r.v) for r in spark.read.parquet(str(tmp_path / "state" / "batch=1")).collect()) == [(1, "d"), (2, "b")]
-    out = streams.capped_sessions(stream.select("key", "t"), "key", 10.0, 50.0)
+    state = lambda: sorted((r.key, r.v) for r in streams.decisions(spark, str(tmp_path / "state"), ["key"], ["t"]).collect())
+    assert state() == [(1, "d"), (2, "b")]
+    out = streams.capped_sessions(stream.select("key", "ts"), "key", 4 * 3600.0, 50 * 3600.0)
     q = out.writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start()
     q.awaitTermination()
-    assert [tuple(r) for r in spark.sql("SELECT * FROM closed").collect()] == [(1, 0.0, 5.0, 2)]
+    began = 1_704_067_200.0
+    assert sorted(tuple(r) for r in spark.sql("SELECT * FROM closed").collect()) == [(1, began, began + 3 * 3600, 2), (2, began, began, 1)]
     assert streams.sessions(spark.read.schema(schema).json(str(tmp_path / "in")), ["key"]).count() == 3
+
+
+def test_published_table_outlives_a_failed_writer(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert publish.current(spark, path) is None
+    old = publish.atomic(spark.range(3).toDF("id"), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("writer failed")).alias("id"))
+    with pytest.raises(Exception, match="writer failed"):
+        publish.atomic(broken, path)
+    assert publish.current(spark, path) == old and spark.read.parquet(old).count() == 3
+    new = publish.atomic(spark.range(7).toDF("id"), path)
+    assert publish.current(spark, path) == new and spark.read.parquet(new).count() == 7
+    publish.atomic(spark.read.parquet(new).limit(6), path)
+    assert spark.read.parquet(publish.current(spark, path)).count() == 6
+
+
+def test_decision_log_with_snapshots_and_a_batch_that_runs_twice(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "state")
+    source.mkdir()
+
+    def run(check):
+        stream = spark.readStream.schema("key long, t long, v string").option("maxFilesPerTrigger", 1).json(str(source))
+        streams.latest_decisions(stream, path, str(tmp_path / check), ["key"], ["t"], snapshot=2).awaitTermination()
+        return sorted((r.key, r.v) for r in streams.decisions(spark, path, ["key"], ["t"]).collect())
+
+    for k in range(5):
+        (source / f"{k}.json").write_text(f'{{"key": {k % 2}, "t": {k}, "v": "{k}"}}')
+        os.utime(source / f"{k}.json", (1_700_000_000 + 100 * k,) * 2)
+    assert streams.decisions(spark, path, ["key"], ["t"]) is None
+    assert run("a") == [(0, "4"), (1, "3")]
+    assert run("b") == [(0, "4"), (1, "3")]  # all batches once more, as after a crash that lost the checkpoint
+    assert sorted(f.name for f in (tmp_path / "state").glob("upto=*")) == ["upto=1", "upto=3"]
+
+
+def test_search_document(spark):
+    m = spark.createDataFrame([("a", "A"), ("b", "B")], "meeting_id string, title string")
+    s = spark.createDataFrame([("a", 2, "Y", "two"), ("a", 1, "X", "one")], "meeting_id string, pos int, speaker string, text string")
+    got = {r.meeting_id: json.loads(r.content) for r in publish.search_document(m, s, "now").collect()}
+    assert got["a"] == {"generated_at": "now", "meetings": [{"meeting_id": "a", "title": "A"}], "segments": [{"pos": 1, "speaker": "X", "text": "one"}, {"pos": 2, "speaker": "Y", "text": "two"}], "speakers": ["X", "Y"]}
+    assert got["b"]["segments"] == [] and got["b"]["speakers"] == []
+
+
+def test_containment_is_by_substring(spark):
+    texts = spark.createDataFrame([(1, "We conCATenate lists", "x"), (2, "nothing here", "y"), (3, None, "z"), (4, "wow ... !?", "u"), (4, "a dog", "v")], "id int, text string, found string").drop("found")
+    phrases = spark.createDataFrame([("Cat", 2), ("lists", 5), ("...", 1), ("dog", 9), ("aten", 3), (None, 0), ("!?", 0)], "p string, o int")
+    want = [(1, "Cat"), (2, None), (3, None), (4, "!?"), (4, "dog")]
+    assert sorted((r.id, r.found) for r in temporal.containment(texts, phrases, "id", "text", "p", "o").collect()) == sorted(want, key=str)
+    by_key = {r.id: r.found for r in temporal.containment(texts.where("text is null or text <> 'a dog'"), phrases, "id", "text", "p", "o", limit=6).collect()}
+    assert by_key == {1: "Cat", 2: None, 3: None, 4: "!?"}
+    every = phrases.union(spark.createDataFrame([("", 4)], "p string, o int"))
+    assert {(r.id, r.found) for r in temporal.containment(texts, every, "id", "text", "p", "o").collect()} == {(1, "Cat"), (2, ""), (3, None), (4, "!?"), (4, "")}
+    assert temporal.containment(texts, phrases.where("o > 99"), "id", "text", "p", "o").where("found is not null").isEmpty()
+
+
+def test_components_and_places(spark):
+    draw = random.Random(2)
+    edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(220)] + [(7, 7), (1000, None)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    root = {n: n for e in edges for n in e if n is not None}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        if b is not None:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    want = {(n, top(n)) for a, b in edges if b is not None and a != b for n in (a, b)}
+    for one_task in (1 << 20, 0):
+        assert {tuple(r) for r in graph.components(df, one_task=one_task).collect()} == want
+    assert graph.components(df.where("a < 0")).isEmpty()
+    rows = sequence.places(spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(9), [F.col("k").desc(), "id"])
+    got = sorted((r.place, -r.k, r.id) for r in rows.collect())
+    assert [p for p, *_ in got] == list(range(1, 1001)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
+
+
+def test_matches_in_blocks(spark):
+    draw = np.random.default_rng(4)
+    v = {k: draw.integers(-9, 9, 6).astype(float).tolist() for k in range(70)} | {70: [0.0] * 6}
+    df = spark.createDataFrame([(k, x, k % 3) for k, x in v.items()], "id long, e array<double>, g long")
+    cos = lambda a, b: float(np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b))) if any(a) and any(b) else 0.0
+    got = vectors.similar_pairs(df, "id", "e", "g", 0.4, size=9).collect()
+    assert {(r.a, r.b) for r in got} == {(a, b) for a in v for b in v if a < b and a % 3 != b % 3 and cos(v[a], v[b]) >= 0.4}
+    top = vectors.top_matches(df.where("id % 5 = 0"), df, "id", "e", 4, size=9).collect()
+    for q in range(0, 70, 5):
+        mine = sorted((r.place, r.score) for r in top if r.query == q)
+        assert np.allclose([s for _, s in mine], sorted((cos(v[q], v[b]) for b in v if b != q), reverse=True)[:4])

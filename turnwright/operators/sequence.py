@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from turnwright.session import cut
+
 
 def islands(df: DataFrame, keys: list[str], order: list[str], new: Column, name: str = "run_id") -> DataFrame:
     """df with the number of each row's run; a run begins where `new` is true or null. new may use lag over the same window."""
@@ -91,3 +93,17 @@ def first_seen(df: DataFrame, keys: list[str], label: str, order: str, name: str
 def running(df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "offset") -> DataFrame:
     """The sum of the values before each row."""
     return df.withColumn(name, F.coalesce(F.sum(value).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+
+
+def places(df: DataFrame, order: list, name: str = "place") -> DataFrame:
+    """Df with each row's place in an order, from 1 on, without any row left out.
+
+    Rows are sorted by ranges in parallel; what is added up in one place are the partitions' sizes. The sorted table is checkpointed, as
+    its ranges are drawn by samples.
+    """
+    mine = F.monotonically_increasing_id()
+    ranged = cut(df.orderBy(*order).withColumns({"__part": F.shiftright(mine, 33).cast("int"), "__row": mine.bitwiseAND((1 << 33) - 1)}))
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))  # one row a partition
+    return ranged.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__row") + 1).drop("__part", "__row", "__before")

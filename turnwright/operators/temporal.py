@@ -6,9 +6,16 @@ begun. Buckets are as wide as given, or as half the mean length of the intervals
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from turnwright.session import cut
 
 
 def bucket_of(intervals: DataFrame, start: str = "start", end: str = "end") -> int:
@@ -112,16 +119,58 @@ def best_overlap(gold: DataFrame, found: DataFrame, keys: list[str], item: str,
     return gold.join(best, [*keys, item], "left")
 
 
-def containment(texts: DataFrame, phrases: DataFrame, key: str, text: str, phrase: str, order: str) -> DataFrame:
-    """Each text (told by key) with the first phrase that it contains, whatever its case.
+#: Characters of phrases that tasks hold at once.
+PHRASES = 8 << 20
+
+
+def _finder(phrases: list[tuple[str, str]], keep: list[str]):
+    """Batches (keep, __lower) with the first of the phrases (in order; lower case, given form) that each text holds, and its place in the order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, always = ahocorasick.Automaton(), None
+        for k, (low, _) in enumerate(phrases):
+            if not low:
+                always = k if always is None else always
+            elif low not in found:
+                found.add_word(low, k)
+        found.make_automaton()
+        for batch in batches:
+            first = []
+            for text in batch.column(len(keep)).to_pylist():
+                hits = (k for _, k in found.iter(text)) if text and len(found) else ()
+                best = min(hits, default=None) if text is not None else None
+                first.append(min((k for k in (best, always) if k is not None), default=None) if text is not None else None)
+            out = [pa.array([None if k is None else phrases[k][1] for k in first], pa.string()), pa.array(first, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *out], names=[*keep, "found", "__place"])
+
+    return run
+
+
+def containment(texts: DataFrame, phrases: DataFrame, key: str, text: str, phrase: str, order: str, limit: int = PHRASES) -> DataFrame:
+    """Each text (told by key) with the first phrase that it contains, whatever its case; null if none, or no text.
 
-    Texts are cut in lower-case words, and joined with phrases on a phrase's first word; so only phrases whose first word occurs are compared.
+    All phrases are sought in one pass over a text. Tasks hold at most `limit` characters of phrases; of more, the texts are read once for
+    each part of the phrases, and the parts' finds are put together by key.
     """
-    words = lambda x: F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    keyed = phrases.select(F.col(phrase).alias("__p"), F.col(order).alias("__o"), F.element_at(words(F.col(phrase)), 1).alias("__w"))
-    each = texts.select(key, F.lower(text).alias("__t"), F.explode(F.array_distinct(words(F.col(text)))).alias("__w"))
-    hits = each.join(keyed, "__w").where(F.contains("__t", F.lower("__p"))).groupBy(key).agg(F.min_by("__p", "__o").alias("found"))
-    return texts.join(hits, key, "left")
+    known = phrases.where(F.col(phrase).isNotNull()).select(F.lower(phrase).alias("low"), F.col(phrase).alias("phrase"), F.col(order).alias("o"))
+    total = known.agg(F.sum(F.length("phrase") + 1)).first()[0] or 0
+    parts = max(1, -(-total // limit))
+    keep = texts.columns
+    read = texts.select(*keep, F.lower(text).alias("__lower"))
+
+    def part(k: int, columns: list[str]) -> tuple[DataFrame, list]:
+        rows = known.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == k).orderBy("o", "phrase").collect()
+        schema = T.StructType([*(texts.schema[c] for c in columns), T.StructField("found", T.StringType()), T.StructField("__place", T.LongType())])
+        return read.select(*columns, "__lower").mapInArrow(_finder([(r.low, r.phrase) for r in rows], columns), schema), rows
+
+    if parts == 1:
+        return part(0, keep)[0].drop("__place")
+    hits = None
+    for k in range(parts):
+        found, _ = part(k, [key])
+        found = cut(found.where("found is not null").select(key, "found").join(known.select(F.col("phrase").alias("found"), "o").groupBy("found").agg(F.min("o").alias("o")), "found"))
+        hits = found if hits is None else hits.union(found)
+    return texts.join(hits.groupBy(key).agg(F.min(F.struct("o", "found")).getField("found").alias("found")), key, "left")
 
 
 def overrides(turns: DataFrame, windows: DataFrame, keys: list[str], turn: str) -> DataFrame:

@@ -1,14 +1,13 @@
-"""Dense and sparse vectors: cosine, means, similarity joins, graph components, clustering, TF-IDF."""
+"""Dense and sparse vectors: cosine, means, similarity joins, clustering, TF-IDF."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from turnwright.session import cut
-
 
 def dot(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -26,12 +25,28 @@ def mean_vector(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     return each.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__m"))), lambda s: s["__m"]).alias(vector))
 
 
-def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, blocks: int = 8) -> DataFrame:
+#: Vectors of a block.
+BLOCK = 2048
+
+
+def unit_rows(vectors: pd.Series) -> np.ndarray:
+    """Vectors as a matrix of rows of length one; zero vectors stay."""
+    x = np.stack(vectors.to_numpy()).astype(float)
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+
+def blocks_of(df: DataFrame, size: int) -> int:
+    return max(1, -(-df.count() // size))
+
+
+def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, size: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of different groups with cosine of at least `least`, exact.
 
-    Rows are dealt to blocks; each pair of blocks is one task that multiplies two matrices, so memory is bounded by the block size,
-    and no pair below the threshold leaves its task. blocks grows with the table: rows / blocks vectors are held at once.
+    Rows are dealt to as many blocks of about `size` as there are; each pair of blocks is one task that multiplies two matrices, so a
+    task's memory is the same at any number of rows, and no pair below the threshold leaves it.
     """
+    blocks = blocks_of(df, size)
     rows = df.select(key, group, F.transform(vector, lambda x: x.cast("double")).alias("v"), F.expr(f"pmod(xxhash64({key}), {blocks})").cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     dealt = rows.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
@@ -41,9 +56,7 @@ def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float
         left, right = part[part["block"] == i], part[part["block"] == j]
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": [], "sim": []})
-        x, y = (np.stack(p["v"].to_numpy()) for p in (left, right))
-        norm = np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
-        sim = np.divide(x @ y.T, norm, out=np.zeros_like(norm), where=norm > 0)
+        sim = unit_rows(left["v"]) @ unit_rows(right["v"]).T
         a, b = np.nonzero(sim >= least)
         out = pd.DataFrame({"a": left[key].to_numpy()[a], "b": right[key].to_numpy()[b], "sim": sim[a, b], "ga": left[group].to_numpy()[a], "gb": right[group].to_numpy()[b]})
         if i == j:
@@ -56,21 +69,31 @@ def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float
     return dealt.groupBy("i", "j").applyInPandas(work, f"a {df.schema[key].dataType.simpleString()}, b {df.schema[key].dataType.simpleString()}, sim double")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) with the least node of each connected component, by passing on the least label until nothing changes.
+def top_matches(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, row_key: str | None = None, size: int = BLOCK) -> DataFrame:
+    """(query, key, score, place): of each query the k rows of greatest cosine, ties by key; row_key: the rows' key, if they are of another kind than queries, else a query isn't its own match.
 
-    Each round also jumps to the label's own label, so long chains halve, and cuts lineage by a checkpoint.
+    Blocks of queries meet blocks of rows, and of each pair of blocks only k rows a query go on, so nothing is held but two blocks.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        new = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("root").alias("was"), F.least("root", F.coalesce("near", "root")).alias("root"))
-        up = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = cut(new.join(up, "root", "left").select("node", "was", F.least("root", F.coalesce("up", "root")).alias("root")))
-        labels = new.select("node", "root")
-        if new.where("root <> was").isEmpty():
-            return labels
+    m, n = blocks_of(queries, size), blocks_of(rows, size)
+    kinds = queries.schema[key].dataType.simpleString(), rows.schema[row_key or key].dataType.simpleString()
+    deal = lambda df, name, side, own, other, count: df.select(F.col(name).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), F.lit(side).alias("side"), F.pmod(F.xxhash64(name), F.lit(m if side else n)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(other))
+    dealt = deal(queries, key, 1, "i", "j", n).unionByName(deal(rows, row_key or key, 0, "j", "i", m))
+
+    def work(part: pd.DataFrame) -> pd.DataFrame:
+        left, right = part[part["side"] == 1], part[part["side"] == 0].sort_values("id")
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query": [], "id": [], "score": []})
+        ids = right["id"].to_numpy()
+        sim = unit_rows(left["v"]) @ unit_rows(right["v"]).T
+        if row_key is None:
+            sim[left["id"].to_numpy()[:, None] == ids[None]] = -np.inf
+        best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+        out = pd.DataFrame({"query": np.repeat(left["id"].to_numpy(), best.shape[1]), "id": ids[best].ravel(), "score": np.take_along_axis(sim, best, axis=1).ravel()})
+        return out[out["score"] > -np.inf]
+
+    found = dealt.groupBy("i", "j").applyInPandas(work, f"query {kinds[0]}, id {kinds[1]}, score double")
+    place = F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "id"))
+    return found.withColumn("place", place).where(F.col("place") <= k).select("query", F.col("id").alias(row_key or key), "score", "place")
 
 
 def average_linkage(sim: np.ndarray, least: float) -> np.ndarray:

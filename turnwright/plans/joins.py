@@ -141,25 +141,25 @@ def j15(spark, sf):
 _CENT = f"{_VEC}, x AS (SELECT label, unnest(range(len(e))) AS k, unnest(e) AS m FROM v), y AS (SELECT label, k, avg(m) AS m FROM x GROUP BY label, k), c AS (SELECT label, list(m ORDER BY k) AS e FROM y GROUP BY label)"
 
 
-def scores(spark, sf):
-    e = table(spark, sf, "embeddings")
-    references = mean_vector(e, ["label"], "embedding").select(F.col("label").alias("reference"), F.col("embedding").alias("centroid"))
-    # every candidate against every reference is asked for; the references, one a label, come as one array, so nothing is shuffled
-    each = references.agg(F.collect_list(F.struct("reference", "centroid"))).scalar()
-    return e.select("vec_id", "label", "embedding", F.explode(each).alias("r")).select("vec_id", "label", F.col("r.reference").alias("reference"), cosine("embedding", "r.centroid").alias("score"))
+def best(spark, sf, k):
+    """Every candidate against every reference (one a label), in blocks."""
+    from turnwright.operators.vectors import top_matches
+
+    e = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    references = mean_vector(e, ["label"], "embedding").withColumnRenamed("label", "reference")
+    return top_matches(e, references, "vec_id", "embedding", k, "reference").withColumnRenamed("query", "vec_id")
 
 
 @plans.add("j16_cross_score", f"WITH {_CENT}, s AS (SELECT a.vec_id, b.label AS reference, {_COS} AS score FROM v a, c b), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, reference) AS n FROM s) SELECT vec_id, reference AS best, floor(score * 1000000 + 0.5) / 1000000 AS best_score FROM r WHERE n = 1")
 def j16(spark, sf):
-    best = scores(spark, sf).groupBy("vec_id").agg(F.min_by(F.struct("reference", "score"), F.struct((-F.col("score")).alias("s"), "reference")).alias("b"))
-    return best.select("vec_id", F.col("b.reference").alias("best"), (F.floor(F.col("b.score") * 1000000 + 0.5) / 1000000).alias("best_score"))
+    return best(spark, sf, 1).select("vec_id", F.col("reference").alias("best"), (F.floor(F.col("score") * 1000000 + 0.5) / 1000000).alias("best_score"))
 
 
 @plans.add("w16_top_two", f"WITH {_CENT}, s AS (SELECT a.vec_id, b.label AS reference, {_COS} AS score FROM v a, c b), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, reference) AS n FROM s), t AS (SELECT vec_id, max(CASE WHEN n = 1 THEN reference END) AS best, max(CASE WHEN n = 1 THEN score END) AS one, max(CASE WHEN n = 2 THEN score END) AS two FROM r GROUP BY vec_id) SELECT vec_id, best, CASE WHEN one >= 0.4 AND one - two >= 0.03 THEN 'accepted' WHEN one >= 0.3 THEN 'review' ELSE 'unknown' END AS decision FROM t")
 def w16(spark, sf):
     from turnwright.operators.sequence import top_two
 
-    two = top_two(scores(spark, sf), ["vec_id"], "reference", "score")
+    two = top_two(best(spark, sf, 2), ["vec_id"], "reference", "score")
     return two.select("vec_id", "best", F.when((F.col("best_score") >= 0.4) & (F.col("margin") >= 0.03), "accepted").when(F.col("best_score") >= 0.3, "review").otherwise("unknown").alias("decision"))
 
 

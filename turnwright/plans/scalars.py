@@ -29,7 +29,7 @@ c("f13_capitalise", "benchmark", "item_id", {"x": lambda k: t.capitalise(F.lower
 c("f14_capitalise_letter", "benchmark", "item_id", {"x": lambda k: t.capitalise_letter(F.concat(F.lit("\"12 "), F.lower(k("text"))))}, {"x": "'\"12 ' || upper(left(lower(text), 1)) || substr(lower(text), 2)"})
 c("f15_title_name", "customer", "c_custkey", {"x": lambda k: t.title_name(F.regexp_replace(k("c_name"), "#", "-o'"))}, {"x": "replace(upper(left(c_name, 1)) || lower(substr(c_name, 2)), '#', '-O''')"})
 c("f16_search_key", "documents", "doc_id", {"x": lambda k: t.search_key(k("text"))}, {"x": "trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"})
-c("f17_speaker_key", "documents", "doc_id", {"x": lambda k: t.speaker_key(F.substring(k("text"), 1, 60))}, {"x": "regexp_replace(lower(trim(regexp_replace(left(text, 60), '\\s+', ' ', 'g'))), '[\\s\\-'']', '', 'g')"})
+c("f17_speaker_key", "documents", "doc_id", {"x": lambda k: t.speaker_key(k("text"))}, {"x": "regexp_replace(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '[\\s\\-'']', '', 'g')"})
 c("f18_safe_name", "documents", "doc_id", {"x": lambda k: t.safe_name(k("text"))}, {"x": "left(regexp_replace(regexp_replace(text, '[<>:\"/\\\\|?*]', '', 'g'), '\\s+', '_', 'g'), 100)"})
 _UN = "s"
 for _name, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):

@@ -6,8 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwright.functions import text as t
-from turnwright.operators import evaluate, review, search, vectors
+from turnwright.operators import evaluate, graph, review, search, sequence, vectors
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
+from turnwright.session import cut
 
 plans = Plans()
 add = plans.add
@@ -49,17 +50,17 @@ def a7(spark, sf):
 
 
 def tokens(spark, sf):
-    return table(spark, sf, "documents").where("lang = 'en'").select("doc_id", "source", F.explode(t.tokens(F.col("text"))).alias("term"))
+    return table(spark, sf, "documents").select("doc_id", "source", F.explode(t.tokens(F.col("text"))).alias("term"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in t.STOP_WORDS)
-TOKENS_SQL = f"tok AS (SELECT doc_id, source, unnest(list_filter(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: length(w) > 2 AND w NOT IN ({_STOP}))) AS term FROM documents WHERE lang = 'en')"
+TOKENS_SQL = f"tok AS (SELECT doc_id, source, unnest(list_filter(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: length(w) > 2 AND w NOT IN ({_STOP}))) AS term FROM documents)"
 TFIDF_SQL = f"{TOKENS_SQL}, c AS (SELECT doc_id, source, term, count(*) AS c FROM tok GROUP BY ALL), m AS (SELECT doc_id, count(*) AS m FROM c GROUP BY doc_id), df AS (SELECT term, count(*) AS df FROM c GROUP BY term), n AS (SELECT count(DISTINCT doc_id) AS n FROM tok), w AS (SELECT c.doc_id, source, c.term, c / m * (ln((n + 1.0) / (df + 1.0)) + 1.0) AS weight FROM c JOIN m USING (doc_id) JOIN df USING (term), n)"
 
 
 @add("a8_sparse_mean", f"WITH {TFIDF_SQL}, k AS (SELECT source, count(DISTINCT doc_id) AS k FROM w GROUP BY source) SELECT source, term, floor(sum(weight) / any_value(k) * 1000000 + 0.5) AS micro FROM w JOIN k USING (source) GROUP BY source, term")
 def a8(spark, sf):
-    w = vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    w = cut(vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id"))
     k = w.groupBy("source").agg(F.count_distinct("doc_id").alias("k"))
     return w.groupBy("source", "term").agg(F.sum("weight").alias("s")).join(k, "source").select("source", "term", F.floor(F.col("s") / F.col("k") * 1000000 + 0.5).cast("double").alias("micro"))
 
@@ -130,7 +131,7 @@ _COS = "list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(li
 @add("a20_pairwise_matrix", f"WITH {_CENT} SELECT a.label AS a, b.label AS b, floor({_COS} * 1000000 + 0.5) / 1000000 AS sim FROM c a JOIN c b ON a.label < b.label")
 def a20(spark, sf):
     c = vectors.mean_vector(table(spark, sf, "embeddings"), ["label"], "embedding").select("label", "embedding", F.col("label").alias("own"))
-    return vectors.similar_pairs(c, "label", "embedding", "own", -2.0, 2).select("a", "b", t.rounded(F.col("sim"), 6).alias("sim"))
+    return vectors.similar_pairs(c, "label", "embedding", "own", -2.0).select("a", "b", t.rounded(F.col("sim"), 6).alias("sim"))
 
 
 @add("a21_speakers_per_window", f"WITH {TURNS_SQL}, w AS (SELECT meeting_id, unnest(range(start // 86400, \"end\" // 86400 + 1)) AS day, speaker FROM turns) SELECT meeting_id, day, count(DISTINCT speaker) AS speakers FROM w GROUP BY ALL HAVING count(DISTINCT speaker) >= 3")
@@ -139,10 +140,11 @@ def a21(spark, sf):
     return turns(spark, sf).select("meeting_id", day.alias("day"), "speaker").groupBy("meeting_id", "day").agg(F.count_distinct("speaker").alias("speakers")).where("speakers >= 3")
 
 
-@add("a22_corpus_stats", "SELECT source, arg_max(lang, doc_id) AS lang, CAST(sum(n_chars) AS BIGINT) AS n_chars, string_agg(left(text, 20), ' ' ORDER BY doc_id) AS text FROM documents GROUP BY source")
+@add("a22_corpus_stats", "SELECT conv_id, arg_max(role, turn) AS last_role, CAST(sum(length(text)) AS BIGINT) AS n_chars, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
 def a22(spark, sf):
-    rows = F.array_sort(F.collect_list(F.struct("doc_id", F.substring("text", 1, 20).alias("x"))))
-    return table(spark, sf, "documents").groupBy("source").agg(F.max_by("lang", "doc_id").alias("lang"), F.sum("n_chars").alias("n_chars"), F.array_join(F.transform(rows, lambda r: r["x"]), " ").alias("text"))
+    """Parts of one recording put together: the last role, the whole size, and all texts in order."""
+    rows = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.max_by("role", "turn").alias("last_role"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.array_join(F.transform(rows, lambda r: r["text"]), " ").alias("text"))
 
 
 # filters
@@ -231,10 +233,9 @@ def p28(spark, sf):
 
 
 # orders and limits
-@add("o1_newest_first", "SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders QUALIFY place <= 100")
+@add("o1_newest_first", "SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS place FROM orders")
 def o1(spark, sf):
-    top = table(spark, sf, "orders").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(100)
-    return top.select("o_orderkey", "o_orderdate", F.row_number().over(W.orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())).cast("long").alias("place"))
+    return sequence.places(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
 
 
 @add("o3_top_talkers", f"WITH {TURNS_SQL} SELECT meeting_id, CAST(sum(\"end\" - start) AS BIGINT) AS total FROM turns GROUP BY meeting_id ORDER BY total DESC, meeting_id LIMIT 12")
@@ -248,17 +249,17 @@ def o4(spark, sf):
     return turns(spark, sf).withColumn("n", F.row_number().over(w)).where("n <= 4").select("meeting_id", "event_id")
 
 
-@add("o5_best_matches", "WITH a AS (SELECT list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id = 0), b AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id > 0) SELECT vec_id FROM (SELECT vec_id, list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) AS s FROM a, b) ORDER BY s DESC, vec_id LIMIT 10")
+@add("o5_best_matches", "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), s AS (SELECT a.vec_id AS query, b.vec_id, list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) AS s FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id) SELECT query, vec_id, row_number() OVER (PARTITION BY query ORDER BY s DESC, vec_id) AS place FROM s QUALIFY place <= 10")
 def o5(spark, sf):
-    e = table(spark, sf, "embeddings")
-    one = e.where("vec_id = 0").select("embedding").scalar()
-    return e.where("vec_id > 0").withColumn("q", one).orderBy(vectors.cosine("embedding", "q").desc(), "vec_id").limit(10).select("vec_id")
+    """The ten best of all vectors for each one whose id is divisible by 50."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return vectors.top_matches(e.where("vec_id % 50 = 0"), e, "vec_id", "embedding", 10).select("query", "vec_id", F.col("place").cast("long").alias("place"))
 
 
-@add("o7_composite_order", "SELECT event_id, row_number() OVER (ORDER BY event_type, value DESC, ts) AS place FROM events QUALIFY place <= 500")
+@add("o7_composite_order", "SELECT event_id, row_number() OVER (ORDER BY event_type, value DESC, ts, event_id) AS place FROM events")
 def o7(spark, sf):
-    order = ["event_type", F.col("value").desc(), "ts"]
-    return table(spark, sf, "events").orderBy(*order).limit(500).select("event_id", F.row_number().over(W.orderBy(*order)).cast("long").alias("place"))
+    order = ["event_type", F.col("value").desc(), "ts", "event_id"]
+    return sequence.places(table(spark, sf, "events").select("event_id", "event_type", "value", "ts"), order).select("event_id", "place")
 
 
 # sets
@@ -311,7 +312,7 @@ def g1(spark, sf):
 
 @add("g2_components", f"WITH RECURSIVE {_EDGES}, r AS (SELECT a AS node, a AS root FROM bth UNION SELECT bth.b, r.root FROM r JOIN bth ON bth.a = r.node) SELECT node, min(root) AS root FROM r GROUP BY node")
 def g2(spark, sf):
-    return vectors.components(edges(spark, sf)).select("node", "root")
+    return graph.components(edges(spark, sf)).select("node", "root")
 
 
 @add("g4_cluster_count", "SELECT user_id, CASE WHEN count(*) <= 9 THEN count(*) ELSE least(count(*), greatest(9, CAST(ceil(count(*) / 2) AS BIGINT))) END AS k FROM events GROUP BY user_id")
@@ -340,7 +341,7 @@ def g3(spark, sf):
 
 @add("g6_component_assign", f"WITH RECURSIVE {_EDGES}, r AS (SELECT a AS node, a AS root FROM bth UNION SELECT bth.b, r.root FROM r JOIN bth ON bth.a = r.node), c AS (SELECT node, min(root) AS root FROM r GROUP BY node), k AS (SELECT root FROM c GROUP BY root HAVING count(*) >= 3) SELECT vec_id, CASE WHEN k.root IS NULL THEN 'SINGLE_' || vec_id ELSE 'CLUSTER_' || k.root END AS cluster FROM embeddings LEFT JOIN c ON vec_id = node LEFT JOIN k ON c.root = k.root")
 def g6(spark, sf):
-    c = vectors.components(edges(spark, sf))
+    c = graph.components(edges(spark, sf))
     big = c.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").select("root")
     named = c.join(big, "root").select(F.col("node").alias("vec_id"), F.concat(F.lit("CLUSTER_"), "root").alias("cluster"))
     return table(spark, sf, "embeddings").select("vec_id").join(named, "vec_id", "left").select("vec_id", F.coalesce("cluster", F.concat(F.lit("SINGLE_"), "vec_id")).alias("cluster"))
@@ -349,7 +350,7 @@ def g6(spark, sf):
 @add("g7_cluster_remap", f"WITH RECURSIVE {_EDGES}, r AS (SELECT a AS node, a AS root FROM bth UNION SELECT bth.b, r.root FROM r JOIN bth ON bth.a = r.node), c AS (SELECT node, min(root) AS root FROM r GROUP BY node), l AS (SELECT root, label, count(*) AS n FROM c JOIN embeddings ON node = vec_id GROUP BY ALL), d AS (SELECT root, label FROM l QUALIFY row_number() OVER (PARTITION BY root ORDER BY n DESC, label) = 1) SELECT vec_id, coalesce(d.label, e.label) AS label FROM embeddings e LEFT JOIN c ON vec_id = node LEFT JOIN d ON c.root = d.root")
 def g7(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "label")
-    c = vectors.components(edges(spark, sf)).withColumnRenamed("node", "vec_id")
+    c = graph.components(edges(spark, sf)).withColumnRenamed("node", "vec_id")
     main = c.join(e, "vec_id").groupBy("root", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("main"))
     return e.join(c.join(main, "root"), "vec_id", "left").select("vec_id", F.coalesce("main", "label").alias("label"))
 
@@ -357,7 +358,7 @@ def g7(spark, sf):
 @add("g8_attribution", f"WITH {TFIDF_SQL}, k AS (SELECT source, count(DISTINCT doc_id) AS k FROM w GROUP BY source), ce AS (SELECT source, term, sum(weight) / any_value(k) AS m FROM w JOIN k USING (source) GROUP BY source, term), cn AS (SELECT source, sqrt(sum(m * m)) AS n FROM ce GROUP BY source), dn AS (SELECT doc_id, sqrt(sum(weight * weight)) AS n FROM w GROUP BY doc_id), s AS (SELECT w.doc_id, ce.source, sum(weight * ce.m) / any_value(cn.n) / any_value(dn.n) AS s FROM w JOIN ce USING (term) JOIN cn ON ce.source = cn.source JOIN dn ON dn.doc_id = w.doc_id GROUP BY w.doc_id, ce.source) SELECT doc_id, source AS best FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY floor(s * 1000000000), source DESC) = count(*) OVER (PARTITION BY doc_id)")
 def g8(spark, sf):
     """Documents attributed to the source whose mean TF-IDF vector is most alike."""
-    w = vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    w = cut(vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id"))
     k = w.groupBy("source").agg(F.count_distinct("doc_id").alias("k"))
     c = w.groupBy("source", "term").agg(F.sum("weight").alias("s")).join(k, "source").select("source", "term", (F.col("s") / F.col("k")).alias("m"))
     cn = c.groupBy("source").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("cn"))

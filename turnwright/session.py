@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
+def local(spark: SparkSession) -> bool:
+    """Whether the driver and all tasks are one process, which sees its own folders."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def reachable(spark: SparkSession) -> SparkSession:
-    """spark, whose Python workers will find this package where it lies, as long as they see the same path."""
+    """spark, whose Python workers will find this package: by its path, and beyond one process from an archive that Spark ships."""
+    context = spark.sparkContext
+    if not local(spark) and not getattr(context, "_turnwright_shipped", False):
+        archive = Path(tempfile.mkdtemp(prefix="turnwright-")) / "turnwright.zip"  # read by the driver alone, which serves it
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(Path(ROOT, "turnwright").rglob("*.py")):
+                z.write(f, f.relative_to(ROOT))
+        context.addPyFile(str(archive))
+        context._turnwright_shipped = True
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{paths}" if paths else ROOT
@@ -25,8 +39,12 @@ def session(name: str = "turnwright", **conf: str) -> SparkSession:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the session's spark.checkpoint.dir; only where that is unset (tests), in a new temporary folder."""
-    context = df.sparkSession.sparkContext
+    """df as a reliable checkpoint in the session's spark.checkpoint.dir; only where that is unset and all is one process (tests), in a new temporary folder."""
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()

@@ -7,8 +7,9 @@ table so that readers see the old one or the new one.
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -72,14 +73,68 @@ def csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def search_document(meetings: DataFrame, segments: DataFrame, generated_at: str, key: str = "meeting_id") -> DataFrame:
+    """K4: one row a meeting with its JSON envelope {generated_at, meetings, segments, speakers}; segments in order, speakers by name. What one
+    file holds is one meeting's; envelope() is the small one of all meetings, without segments."""
+    fields = [c for c in segments.columns if c != key]
+    own = segments.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("segments"), F.array_sort(F.collect_set("speaker")).alias("speakers"))
+    row = F.struct(*meetings.columns)
+    body = F.struct(F.lit(generated_at).alias("generated_at"), F.array(row).alias("meetings"), F.coalesce("segments", F.array().cast(own.schema["segments"].dataType)).alias("segments"), F.coalesce("speakers", F.array().cast("array<string>")).alias("speakers"))
+    return meetings.join(own, key, "left").select(key, F.to_json(body).alias("content"))
+
+
 def search_index(segments: DataFrame, path: str, date: str = "meeting_date") -> None:
     """K4: segments by date, so that date filters prune files."""
     segments.repartition(date).write.mode("overwrite").partitionBy(date).parquet(path)
 
 
-def atomic(df: DataFrame, path: str) -> None:
-    """K9: df in place of what path holds; Spark's writer stages files and commits them together."""
-    df.write.mode("overwrite").parquet(path)
+def _pointer(spark: SparkSession, path: str, text: str | None = None) -> str | None:
+    """The version that a pointer file names; or, given a text, that version put in its place by one rename."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = file.getFileSystem(conf)
+    if text is None:
+        if not fs.exists(file):
+            return None
+        source = fs.open(file)
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+    new = jvm.org.apache.hadoop.fs.Path(f"{path}/_current.{uuid4().hex}")
+    out = fs.create(new)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(file.toUri(), conf).rename(new, file, options)
+    return text
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """K9: the folder of the version that atomic() published last."""
+    name = _pointer(spark, path)
+    return name and f"{path}/{name}"
+
+
+def atomic(df: DataFrame, path: str, version: str | None = None) -> str:
+    """K9: df in place of what was published at a path; returns its folder.
+
+    The rows go to a folder of their own; only when all are written does the pointer file change, by one rename. A writer that fails leaves
+    the old version as it was. Of older versions the last one stays, for readers that still have it open.
+    """
+    spark = df.sparkSession
+    before, name = _pointer(spark, path), version or f"v-{uuid4().hex}"
+    if name == before:
+        raise ValueError(f"{name} is what readers see now")
+    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    _pointer(spark, path, name)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        if f.isDirectory() and f.getPath().getName() not in (name, before) and not f.getPath().getName().startswith("log"):
+            fs.delete(f.getPath(), True)
+    return f"{path}/{name}"
 
 
 def append_state(df: DataFrame, path: str) -> None:

@@ -3,28 +3,58 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from turnwright.operators.resolve import latest
+from turnwright.sinks.publish import atomic, current
 
 
-def latest_decisions(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], order: list[str]) -> StreamingQuery:
-    """T4, T5: a stream of decisions kept as the last of each key. Each batch is merged and written anew under its own number, so a batch that runs twice gives one result."""
+#: Batches of a decision log between snapshots.
+SNAPSHOT = 20
 
-    def merge(batch: DataFrame, number: int) -> None:
+
+def _upto(folder: str | None) -> int:
+    return int(folder.rsplit("upto=", 1)[1]) if folder else -1
+
+
+def decisions(spark: SparkSession, table_path: str, keys: list[str], order: list[str]) -> DataFrame | None:
+    """T5: the last decision of each key: what the snapshot holds and the log adds since; None before the first batch."""
+    base = current(spark, table_path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path}/log/batch=*/_SUCCESS")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getParent().getName() for f in fs.globStatus(folder) or []]
+    paths = [f"{table_path}/log/{n}" for n in names if int(n.split("=")[1]) > _upto(base)]
+    parts = [spark.read.parquet(p) for p in ([base] if base else []) + paths]
+    return latest(reduce(lambda a, b: a.unionByName(b), parts), keys, order) if parts else None
+
+
+def latest_decisions(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], order: list[str], snapshot: int = SNAPSHOT) -> StreamingQuery:
+    """T4, T5: a stream of decisions kept as a log, one folder a batch with the last of each key in it; decisions() reads the state.
+
+    A batch writes its own rows only; a batch that runs twice writes the same folder. Each `snapshot` batches the state is written anew
+    and published by one rename, and the log up to there is dropped.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = f"{table_path}/batch={number - 1}"
-        rows = batch
-        if number > 0:
-            rows = spark.read.parquet(before).unionByName(batch)
-        latest(rows, keys, order).write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+        if number <= _upto(current(spark, table_path)):
+            return  # ran before, and its rows are in the snapshot
+        latest(batch, keys, order).write.mode("overwrite").parquet(f"{table_path}/log/batch={number}")
+        if number % snapshot == snapshot - 1:
+            atomic(decisions(spark, table_path, keys, order), table_path, f"upto={number}")
+            log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path}/log")
+            fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            for f in fs.listStatus(log):
+                if int(f.getPath().getName().split("=")[1]) <= number - snapshot:
+                    fs.delete(f.getPath(), True)
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def sessions(events: DataFrame, keys: list[str], gap: str = "6 hours", late: str = "1 hour", ts: str = "ts") -> DataFrame:
@@ -42,24 +72,34 @@ def churn(events: DataFrame, label: str, width: str = "1 day", late: str = "1 ho
     return df.groupBy(F.window(ts, width).alias("w")).agg(n.alias("labels"), F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "labels", "n")
 
 
-def capped_sessions(events: DataFrame, key: str, gap: float, cap: float, seconds: str = "t") -> DataFrame:
-    """T6 with a cap (W1 on a stream): sessions closed by a gap, or once they last `cap`, with state kept for each key."""
+def capped_sessions(events: DataFrame, key: str, gap: float, cap: float, ts: str = "ts", late: str = "1 hour") -> DataFrame:
+    """T6 with a cap (W1 on a stream): (key, start, end, n) of sessions in seconds, closed by a gap, or once they last `cap`.
+
+    A session goes out when a later event of its key closes it, or when the watermark has passed its end by the gap, and its state goes with it.
+    """
     schema = "key long, start double, end double, n long"
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         start, end, n = state.get if state.exists else (0.0, 0.0, 0)
         closed = []
-        for batch in batches:
-            for t in sorted(batch[seconds]):
+        if state.hasTimedOut:
+            closed.append((k[0], start, end, n))
+            state.remove()
+        else:
+            times = sorted(t for batch in batches for t in batch["__t"])
+            for t in times:
                 if n and (t - end > gap or end - start >= cap):
                     closed.append((k[0], start, end, n))
                     n = 0
                 start, end, n = (t if not n else start), (t if not n else max(end, t)), n + 1
-        state.update((float(start), float(end), int(n)))
+            state.update((float(start), float(end), int(n)))
+            state.setTimeoutTimestamp(max(int((end + gap) * 1000) + 1, state.getCurrentWatermarkMs() + 1))
         if closed:
             yield pd.DataFrame(closed, columns=["key", "start", "end", "n"])
 
-    return events.groupBy(key).applyInPandasWithState(step, schema, "start double, end double, n long", "append", GroupStateTimeout.NoTimeout)
+    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
+    df = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).withColumn("__t", seconds)
+    return df.groupBy(key).applyInPandasWithState(step, schema, "start double, end double, n long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def unseen(new: DataFrame, done: DataFrame, key: str) -> DataFrame:
