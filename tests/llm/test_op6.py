@@ -4,7 +4,6 @@ import re
 import pytest
 
 from turnwright.llm import op6_join
-from turnwright.llm.components import components
 
 
 def shingles(text):
@@ -64,13 +63,42 @@ def test_any_boundary_finds_all_links(spark, light, monkeypatch):
 
 
 def test_blocks_nulls_and_repeats(spark, monkeypatch):
-    monkeypatch.setattr(op6_join, "BLOCK", 300)
+    for name, value in (("BLOCK", 30), ("LARGEST", 60), ("STAR", 3), ("STARS", 1)):
+        monkeypatch.setattr(op6_join, name, value)
     monkeypatch.setattr(op6_join, "BUCKET", 500)
     monkeypatch.setattr(op6_join, "SEEN", 200)
     rows = corpus(7, 100) + [(1000, None), (1001, ""), (1002, " \n"), (None, "a b c"), (3, "a b c"), (1003, "a b c"), (1003, "a b c"), (1004, " ".join(map(str, range(60_000))))]
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("stars, block", [(0, 40), (1, 40), (2, 1 << 20), (0, 1 << 20)])
+def test_copies_that_only_their_source_links(spark, stars, block, monkeypatch):
+    """Each copy is like the source, and few are like another copy, so a hub of the group finds few links by itself."""
+    for name, value in (("STARS", stars), ("BLOCK", block)):
+        monkeypatch.setattr(op6_join, name, value)
+    r = random.Random(5)
+    rows = []
+    for g in range(3):
+        source = [f"{g}{r.choice('abcdefgh')}{k}" for k in range(90 + 20 * g)]
+        for k in range(25):
+            words = list(source)
+            for at in r.sample(range(len(words)), 0 if k == 11 else 2):
+                words[at] = f"x{g}{k}{at}"
+            rows.append((100 * g + k, " ".join(words)))
+    want = brute(rows)
+    assert max(sum(c == d for *_, c in want) for d, *_ in rows) >= 10
+    assert run(spark, rows) == want
+
+
+def test_thue_morse_words(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} a b c d"), (2, f"{other} a b c d"), (3, f"{other} a b c d")]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
@@ -89,17 +117,6 @@ def test_costs():
     assert op6_join.boundary({8: 1000}, 500.0) >= 8 > op6_join.boundary({8: 1000}, 0.01)
 
 
-def test_components(spark):
-    r = random.Random(1)
-    edges = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(k, k + 1) for k in range(100, 180)]
-    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    root = {n: n for e in edges for n in e}
-    for _ in root:
-        for a, b in edges:
-            root[a] = root[b] = min(root[a], root[b])
-    assert got == {n: root[n] for a, b in edges if a != b for n in (a, b)}
-
-
 def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

@@ -1,20 +1,13 @@
-"""Where operators cut lineage: the shared folder that the session names, never one executor's disk."""
+"""What operators share: tables, the folds of an id, and where lineage is cut (the shared folder that the session names, never one executor's disk)."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnwright.session import cut
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in spark.checkpoint.dir; only where that is unset (tests), in a new temporary folder."""
-    spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+__all__ = ["crc_of_id", "cut", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

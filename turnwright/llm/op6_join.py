@@ -7,9 +7,11 @@ size - ceil(S size) + 1 rarest shingles, one of which two linked sets must share
 frequent shingles; any such order finds all links, a good one makes the lists short. Sets with more shingles that no other set has
 than a link allows are found first, by one scan of all inverted lists, and put out nothing.
 The boundary is the one of least cost, by the sizes of all sets: subsets put out, against list entries times the mean list.
-A list is not expanded into pairs. Its classes are connected with its smallest one; classes so connected are compared by their
-whole sets, each set against those that share one of its rarest shingles and are not yet connected with it. Groups too large
-for one task are split in blocks, and each pair of blocks is a task, so nothing is unbounded and no link is lost.
+A list is not expanded into pairs. Each has a hub, the class of most documents in it, and its classes are held against the hub by their
+whole sets, in tasks of at most STAR classes; verified links are united. A list whose other classes are then still apart is worked through
+once more without its hub, with another one. What STARS rounds leave apart (few classes, unless texts only seem alike) is compared
+group by group: within a group only classes not yet connected, of sizes that can link; groups of over BLOCK shingles are cut in blocks
+by size, and each pair of blocks is a task, so nothing is unbounded and no link is lost.
 
 Defined results: rows with equal texts, or repeated doc_ids, are rows of their own with the same class; a null or empty text
 has no shingles and is its own component; a row without doc_id is linked with nothing and has no component; with fewer words than
@@ -31,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnwright.llm.clusterio import cut, table
-from turnwright.llm.components import components
 from turnwright.llm.words import Words, mix, ngrams, slices, words
+from turnwright.operators.graph import components
 
 SIZE, SIMILARITY = 5, 80
-#: Shingles in the table of frequent ones; the largest light set; shingles of a group, or of a block of one, that a task compares.
-FREQUENT, LIGHTEST, BLOCK = 1 << 18, 12, 2_000_000
+#: Shingles in the table of frequent ones; the largest light set; classes that a task holds against a hub; rounds of hubs.
+FREQUENT, LIGHTEST, STAR, STARS = 1 << 18, 12, 64, 2
+#: Shingles of a group, or of a block of one, that a task compares: blocks are so large at least; a group has so many, unless blocks were larger than the last number.
+BLOCK, BLOCKS, LARGEST = 16_000, 64, 2_000_000
 #: Shingles of a piece of input; bytes of text for each bucket of shingles; times that make one frequent; marks of classes that may link.
 SEEN, BUCKET, OFTEN, ALIVE = 2_000_000, 16 << 20, 4, 1 << 22
 
@@ -235,9 +239,10 @@ def signatures(docs: DataFrame, frequent: np.ndarray, counts: np.ndarray, alive:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, class long, keys array<long>")
 
 
-def clusters(sets: list[np.ndarray], s: int = SIMILARITY) -> np.ndarray:
-    """Labels of the sets such that linked sets, and only sets with a chain of links, have the same."""
-    m, label = len(sets), np.arange(len(sets))
+def clusters(sets: list[np.ndarray], s: int = SIMILARITY, label: np.ndarray | None = None) -> np.ndarray:
+    """Labels of the sets such that linked sets, and only sets with a chain of links, have the same. label: sets known to be connected."""
+    m = len(sets)
+    label = np.arange(m) if label is None else label.copy()
     size = np.array([len(x) for x in sets])
     ends = np.concatenate([[0], np.cumsum(size)])
     _, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -246,8 +251,9 @@ def clusters(sets: list[np.ndarray], s: int = SIMILARITY) -> np.ndarray:
     lists, list_ends = owner[order], np.concatenate([[0], np.cumsum(often)])
     mark, probed = np.zeros(len(often), bool), np.zeros(m, bool)
     while True:
+        # a link between two labels has an end outside the largest, and is found from there
         largest = np.bincount(label).argmax()
-        left = np.flatnonzero(~probed & (label != largest)) if probed.any() else np.array([int(size.argsort()[m // 2])])
+        left = np.flatnonzero(~probed & (label != largest))
         if not len(left):
             return label
         a = left[0]
@@ -271,31 +277,127 @@ def clusters(sets: list[np.ndarray], s: int = SIMILARITY) -> np.ndarray:
         mark[own] = False
 
 
-def compare(members: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
-    """(a, b): classes that are connected by links, from members (task, class, text), compared within each task."""
+def set_table(classes: DataFrame, docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """(class, payload): the set of each class, from the document that stands for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: dict[int, np.ndarray] = {}
+        for part in slices(batches, "text"):
+            sets = shingle_sets(words(part.column(1), lower=True), size)
+            names = part.column(0).to_numpy()
+            some = [(name, _pack(np.diff(own, prepend=np.uint64(0)))) for name, own in zip(names.tolist(), sets, strict=True) if class_id(own) == name]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in some], pa.int64()), pa.array([x for _, x in some], pa.binary())], names=["class", "payload"])
+
+    return classes.select("class", "doc_id").join(docs, "doc_id").select("class", "text").mapInArrow(run, "class long, payload binary")
+
+
+def _set(payload: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(payload, np.uint64)[0], dtype=np.uint64)
+
+
+def verified(stars: DataFrame, sets: DataFrame, s: int = SIMILARITY) -> DataFrame:
+    """(a, b): the links among pairs (class, hub), held against the hub's set in tasks of at most STAR classes or so."""
+    chunks = stars.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("chunks"))
+    task = F.xxhash64("hub", "chunk").alias("task")
+    each = stars.join(chunks, "hub").withColumn("chunk", F.expr("pmod(xxhash64(class), chunks)").cast("int")).select(task, F.lit(1).alias("side"), "class")
+    hubs = chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(task, F.lit(0).alias("side"), F.col("hub").alias("class"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, name, hub = None, None, None
+        for batch in batches:
+            found = []
+            for t, side, own, payload in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if side == 0:
+                    current, name, hub = t, own, _set(payload)
+                elif t == current:
+                    other = _set(payload)
+                    shared = len(np.intersect1d(hub, other, assume_unique=True))
+                    if 100 * shared >= s * (len(hub) + len(other) - shared):
+                        found.append((own, name))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    rows = each.union(hubs).join(sets, "class").select("task", "side", "class", "payload")
+    return rows.repartition("task").sortWithinPartitions("task", "side").mapInArrow(run, "a long, b long")
+
+
+def _placed(entries: DataFrame, s: int = SIMILARITY) -> DataFrame:
+    """(task, class, part): which tasks compare which classes of entries (key, class, n, part), so that each pair of classes of one key, of different parts and of sizes that can link, meets in one."""
+    lows = entries.groupBy("key").agg(F.min("class").alias("low"))
+    groups = components(entries.join(lows, "key").select("class", "low"), "class", "low").select(F.col("node").alias("class"), F.col("root").alias("task_root"))
+    members = entries.select("class", "n", "part").distinct().join(groups, "class")
+    sizes = members.groupBy("task_root").agg(F.sum("n").alias("all"))
+    members = cut(members.join(sizes, "task_root"))
+    small = members.where(f"all <= {BLOCK}").select(F.xxhash64("task_root").alias("task"), "class", "part")
+    large = members.where(f"all > {BLOCK}")
+    parts = large.groupBy("task_root", "part").agg(F.sum("n").alias("n"))
+    main = parts.groupBy("task_root").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    # sets that link are of one band of sizes or of neighbouring ones; two of the largest part needn't meet
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / s)) + 1e-9).cast("int")
+    large = large.join(main, "task_root").select("task_root", "class", "n", "part", "all", (F.col("part") == F.col("main")).alias("large"), band.alias("band"))
+    width = F.least(F.greatest(F.lit(BLOCK), F.max("all") / BLOCKS), F.lit(LARGEST))
+    bands = large.groupBy("task_root", "band", "large").agg(F.ceil(F.sum("n") / width).cast("int").alias("blocks"))
+    other = bands.select("task_root", F.col("band").alias("band2"), F.col("large").alias("large2"), F.col("blocks").alias("blocks2"))
+    # neighbouring bands with one to spare, as a set may lie on a band's edge
+    near = F.expr("band2 - band between 0 and 2 and not (large and large2) and (band2 > band or (large or not large2))")
+    pairs = bands.join(other, "task_root").where(near).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1)))
+    own = (F.col("band") == F.col("band2")) & (F.col("large") == F.col("large2"))
+    pairs = pairs.where(~own | (F.col("i") <= F.col("j"))).withColumn("task", F.xxhash64("task_root", "band", "large", "i", "band2", "large2", "j"))
+    ends = pairs.select("task_root", "task", "band", "large", F.col("i").alias("block")).union(pairs.where(~own | (F.col("i") < F.col("j"))).select("task_root", "task", "band2", "large2", "j"))
+    large = large.join(bands, ["task_root", "band", "large"]).withColumn("block", F.expr("pmod(xxhash64(class), blocks)").cast("int"))
+    return small.union(large.join(ends, ["task_root", "band", "large", "block"]).select("task", "class", "part"))
+
+
+def compare(members: DataFrame, sets: DataFrame, s: int = SIMILARITY) -> DataFrame:
+    """(a, b): classes that are connected by links, from members (task, class, part), compared within each task; classes of one part are known to be connected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[int, tuple[int, np.ndarray]] = {}
         current = None
 
         def ended() -> Iterator[pa.RecordBatch]:
             if len(group) > 1:
                 names = np.fromiter(group, np.int64, len(group))
-                label = clusters(list(group.values()), s)
-                root = names[label]
+                _, known = np.unique([part for part, _ in group.values()], return_inverse=True)
+                label = clusters([own for _, own in group.values()], s, known)
+                _, first = np.unique(label, return_index=True)
+                root = names[first[np.searchsorted(np.unique(label), label)]]
                 yield pa.RecordBatch.from_arrays([pa.array(names[names != root]), pa.array(root[names != root])], names=["a", "b"])
 
-        for part in slices(batches, "text"):
-            sets = shingle_sets(words(part.column(2), lower=True), size)
-            for task, name, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), sets, strict=True):
+        for batch in batches:
+            for task, name, part, payload in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if task != current:
                     yield from ended()
                     group, current = {}, task
-                if class_id(own) == name:
-                    group[name] = own
+                group[name] = (part, _set(payload))
         yield from ended()
 
-    return members.select("task", "class", "text").mapInArrow(run, "a long, b long")
+    rows = members.join(sets, "class").select("task", "class", "part", "payload")
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
+
+
+def linked_classes(classes: DataFrame, docs: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
+    """(class, root) of every class with a link, from classes (class, doc_id, n, copies, keys)."""
+    entries = cut(classes.select("class", "n", "copies", F.explode("keys").alias("key")))
+    several = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    entries = cut(entries.join(several, "key").withColumn("part", F.col("class")))
+    sets = cut(set_table(classes.join(entries.select("class").distinct(), "class", "left_semi"), docs, size))
+    links = roots = None
+    for _ in range(STARS):
+        if entries.isEmpty():
+            break
+        hubs = entries.groupBy("key").agg(F.max_by(F.struct("class", "n", "part"), F.struct("copies", "class")).alias("h"))
+        rays = entries.join(hubs.select("key", F.col("h.class").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.part").alias("hub_part")), "key").where("class <> hub")
+        stars = rays.where(f"part <> hub_part and 100 * least(n, hub_n) >= {s} * greatest(n, hub_n)").select("class", "hub").distinct()
+        found = cut(verified(stars, sets, s))
+        links = found if links is None else links.union(found)
+        roots = cut(components(links).select(F.col("node").alias("class"), "root"))
+        # the hub was held against all; what its list still holds apart are the others
+        rays = cut(rays.select("key", "class", "n", "copies").join(roots, "class", "left").select("key", "class", "n", "copies", F.coalesce("root", "class").alias("part")))
+        apart = rays.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("key")
+        entries = cut(rays.join(apart, "key"))
+    if not entries.isEmpty():
+        found = cut(compare(_placed(entries, s), sets, s))
+        roots = components(found if links is None else links.union(found)).select(F.col("node").alias("class"), "root")
+    return classes.sparkSession.createDataFrame([], "class long, root long") if roots is None else roots
 
 
 def join(docs: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
@@ -316,28 +418,16 @@ def join(docs: DataFrame, size: int = SIZE, s: int = SIMILARITY) -> DataFrame:
     light = boundary(sizes, mean_list, s)
     own = cut(signatures(docs, known[order], often["n"].to_numpy()[order], alive, light, size, s))
 
-    linked = own.where("n > 0 and doc_id is not null")
-    entries = linked.select("class", F.explode("keys").alias("key"))
-    lists = entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key", "low")
-    pairs = entries.join(lists, "key").where("class <> low").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
-    near = cut(components(pairs).select(F.col("node").alias("class"), "root"))
-
-    classes = linked.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    classes = cut(classes.join(near, "class", "left"))
-    blocks = classes.where("root is not null").groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK)).cast("int").alias("blocks"))
-    placed = classes.join(blocks, "root").withColumn("block", F.expr("pmod(xxhash64(class), blocks)").cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 or blocks = 2 or other <> block")
-    placed = placed.where("blocks <> 2 or other = 0")
-    task = F.struct("root", F.when(F.col("blocks") > 2, F.least("block", "other")).otherwise(0).alias("i"), F.when(F.col("blocks") > 2, F.greatest("block", "other")).otherwise(0).alias("j"))
-    members = placed.select("doc_id", "class", F.xxhash64(task).alias("task")).join(docs, "doc_id")
-    members = members.repartition("task").sortWithinPartitions("task")
-    roots = components(compare(members, size, s)).select(F.col("node").alias("class"), F.col("root").alias("label"))
-
-    labelled = classes.select("class", "doc_id").join(roots, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    # a document without keys shares its set with no other
+    some = own.where("size(keys) > 0 and doc_id is not null")
+    classes = cut(some.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")))
+    roots = linked_classes(classes, docs, size, s)
+    labelled = classes.select("class", "doc_id").join(roots, "class", "left").withColumn("label", F.coalesce("root", "class"))
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_class = labelled.join(lowest, "label").select("class", "component_id")
     out = own.select("doc_id", F.col("n").alias("n_shingles"), "class").join(of_class, "class", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
