@@ -80,16 +80,54 @@ def test_blocks_meet_all_pairs_in_the_radius():
     for row in bits:
         row[r.permutation(op2.BITS)[: op2.RADIUS]] ^= 1
     b = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
-    assert (op2.distance(a, b) == op2.RADIUS).all() and (op2.blocks(a) == op2.blocks(b)).any(axis=1).all()
+    assert (np.bitwise_count(a ^ b).sum(axis=1) == op2.RADIUS).all()
+    assert all(not set(x).isdisjoint(y) for x, y in zip(op2.blocks(a).tolist(), op2.blocks(b).tolist(), strict=True))
+
+
+def planted(seed, n):
+    """Items, and for each a text that is 80 to 90 % like it, with its fingerprint's keys."""
+    r = random.Random(seed)
+    items, texts = [], []
+    while len(items) < n:
+        item = [f"w{r.randrange(5000)}" for _ in range(r.choice([30, 60, 120]))]
+        text = list(item)
+        for k in r.sample(range(len(text)), r.choice([1, 1, 2, 3])):
+            text[k] = f"x{r.randrange(5000)}"
+        a, b = grams(item), grams(text)
+        if 0.8 <= sum((a & b).values()) / sum((a | b).values()) <= 0.9:
+            items.append(" ".join(item))
+            texts.append(" ".join(text))
+    return items, texts
+
+
+def test_index_finds_similar_items_and_meets_few_others():
+    items, texts = planted(1, 1500)
+    found = op2.Items.of(list(range(len(items))), items)
+    recall, met, possible = 0, 0, 0
+    for k, t in enumerate(texts):
+        w = op2.words(op2.plain(op2.pa.array([t])))
+        value, weight, owner = op2.bags([np.sort(op2.shingles(w.hash))])
+        near = found.met(op2.blocks(op2.fingerprints(value, weight, owner, 1))[0], len(t.split()))
+        recall += k in near
+        met += len(near) - (k in near)
+        possible += int((found.length == len(t.split())).sum()) - 1
+    print(f"recall {recall / len(texts):.5f}, met {met / possible:.4f}")
+    assert recall >= 0.999 * len(texts) and met <= 0.05 * possible
+
+
+def test_many_blocks_of_items(spark, monkeypatch):
+    items, texts = planted(2, 120)
+    docs = [(k, f"before it {t} and after") for k, t in enumerate(texts)] + [(1000 + k, f"clean text {k} of its own kind") for k in range(50)]
+    monkeypatch.setattr(op2, "ITEM_WORDS", 1000)
+    got = run(spark, docs, list(enumerate(items)))
+    assert {(d, i) for d, i, _ in got} == {(k, k) for k in range(120)}
 
 
 def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    docs = [d for d in docs if len(d[1]) < 4000]
-    got = {(r.doc_id, r.item_id, r.similarity) for r in op2.query(spark, sf).collect()}
-    assert {g for g in got if g[0] in dict(docs)} == brute(docs, items)
+    assert {(r.doc_id, r.item_id, r.similarity) for r in op2.query(spark, sf).collect()} == brute(docs, items)
 
 
 def test_texts_shorter_than_items(spark):

@@ -2,13 +2,15 @@
 
 Texts and items are read as words without case and punctuation. An item of n words is held against windows of n words of every document,
 and against the whole text of a document of fewer words.
-Each window has a SimHash of BITS bits of its weighted shingles (SIZE words, weight: occurrences). Items are indexed by each of RADIUS + 1
-blocks of bits: two fingerprints that differ in at most RADIUS bits agree in a whole block, so every pair within the radius is met.
-These pairs are verified by the exact weighted Jaccard similarity of their shingles, which must be at least SIMILARITY percent.
+Each window has a SimHash of BITS bits of its weighted shingles (SIZE words, weight: occurrences), in BLOCKS blocks. Items are indexed by each
+block and by what it is with one bit changed, and windows look up each of theirs likewise: so any pair that differs in at most NEAR bits of
+some block is met, and two fingerprints that differ in at most RADIUS = BLOCKS (NEAR + 1) - 1 bits do so in some block. Pairs that are met,
+about 3 % of the items by chance, are verified by the exact weighted Jaccard similarity of their shingles, which must be at least SIMILARITY percent.
 
 Windows with fewer shingles of any item than similarity calls for can't be similar to one and get no fingerprint; all others do. A whole text that is
 shorter than items needs no fingerprint: those that share enough of its shingles are looked up by shingle and verified.
-The benchmark is taken in blocks of at most ITEM_WORDS words, so what tasks hold is bounded however large it is; documents are only read.
+What tasks hold of the benchmark is bounded however large it is: it is taken in blocks of at most ITEM_WORDS words. Of several blocks, one pass
+over the documents keeps those that have any shingle of the benchmark in common with it, by a table of 2**MAYBE bits, and the blocks then read only these.
 
 Defined results: a null or empty text is clean; a null or empty item leaks nowhere; an item without id isn't reported, but clean() heeds it; items of fewer words than a shingle are one shingle; equal
 items, and rows with equal doc_ids, are reported each; other columns are ignored or, in clean(), passed on.
@@ -16,7 +18,7 @@ items, and rows with equal doc_ids, are reported each; other columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,14 +27,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwright.llm.clusterio import table
+from turnwright.llm.clusterio import cut, table
 from turnwright.llm.words import mix, ngrams, slices, words
 
 SIZE, SIMILARITY, BITS = 5, 80, 256
-#: Bits in which the fingerprints of similar windows may differ. At the least similarity about 15 % of the bits differ, so 39 with a
-#: standard deviation under 6; over 64 only by a chance of one in 100,000.
-RADIUS = 64
-ITEM_WORDS = 1 << 20
+#: Blocks of 16 bits; the bits of a block that may differ, one changed on either side of the index; and so the distance within which all pairs are met.
+#: At the least similarity about 15 % of the bits differ, so a block of 16 differs in over two with a chance of 0.45: all of them in one of 400,000 pairs.
+BLOCKS, NEAR = BITS // 16, 2
+RADIUS = BLOCKS * (NEAR + 1) - 1
+ITEM_WORDS, MAYBE = 1 << 20, 26
 _PUNCTUATION = regex.compile(r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+")
 
 
@@ -56,16 +59,13 @@ def fingerprints(value: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: in
     return out
 
 
-def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1)
+_FLIPS = np.array([0, *(1 << k for k in range(16))], np.int64)
 
 
 def blocks(prints: np.ndarray) -> np.ndarray:
-    """The RADIUS + 1 blocks of bits of each fingerprint, each with its number."""
-    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
-    edges = np.linspace(0, BITS, RADIUS + 2).astype(int)
-    out = [(bits[:, a:b] << np.arange(b - a, dtype=np.uint8)).sum(axis=1) | k << 8 for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
-    return np.stack(out, axis=1)
+    """The keys of each fingerprint: each of its blocks, as it is and with each one of its bits changed, after the block's number."""
+    value = prints.view("<u2").astype(np.int64)
+    return ((value[:, :, None] ^ _FLIPS) | (np.arange(BLOCKS) << 16)[:, None]).reshape(len(prints), -1)
 
 
 @dataclass
@@ -80,7 +80,8 @@ class Items:
     first_holder: np.ndarray
     lengths_of: dict[int, np.ndarray]
     prints: np.ndarray
-    index: dict[tuple[int, int], np.ndarray]
+    places: np.ndarray
+    keyed: np.ndarray
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str]) -> Items:
@@ -92,17 +93,22 @@ class Items:
         length = length[some]
         value, weight, owner = bags(grams)
         prints = fingerprints(value, weight, owner, len(grams))
-        index: dict[tuple[int, int], list[int]] = {}
-        for k, row in enumerate(blocks(prints) if len(grams) else []):
-            for b in row.tolist():
-                index.setdefault((int(length[k]), b), []).append(k)
+        keys = blocks(prints).ravel() if len(grams) else np.zeros(0, np.int64)
+        by_key = np.argsort(keys, kind="stable")
+        places = np.searchsorted(keys[by_key], np.arange((BLOCKS << 16) + 1)).astype(np.int32)
+        keyed = (by_key // (BLOCKS * len(_FLIPS))).astype(np.int32)
         order = np.argsort(value, kind="stable")
         known, first = np.unique(value[order], return_index=True)
         lengths: dict[int, set[int]] = {}
         for g, n in zip(grams, length.tolist(), strict=True):
             for x in g.tolist():
                 lengths.setdefault(x, set()).add(n)
-        return cls([ids[k] for k in some], grams, length, known, owner[order], np.append(first, len(order)), {x: np.array(sorted(n)) for x, n in lengths.items()}, prints, {b: np.array(k) for b, k in index.items()})
+        return cls([ids[k] for k in some], grams, length, known, owner[order], np.append(first, len(order)), {x: np.array(sorted(n)) for x, n in lengths.items()}, prints, places, keyed)
+
+    def met(self, keys: np.ndarray, length: int) -> np.ndarray:
+        """Items of so many words that have one of the keys."""
+        found = np.unique(np.concatenate([self.keyed[a:b] for a, b in zip(self.places[keys].tolist(), self.places[keys + 1].tolist(), strict=True) if b > a] or [np.zeros(0, np.int32)]))
+        return found[self.length[found] == length]
 
     def sharing(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items that have any of the sorted shingles, and how many of these at most are common."""
@@ -168,12 +174,8 @@ def leaks(hashes: np.ndarray, items: Items, hits: dict[int, np.ndarray]) -> Iter
             each = [np.sort(grams[s : s + n - size + 1]) for s in some]
             value, weight, owner = bags(each)
             prints = fingerprints(value, weight, owner, len(some))
-            for s, own, mark, keys in zip(some.tolist(), each, prints, blocks(prints).tolist(), strict=True):
-                met = [items.index[n, b] for b in keys if (n, b) in items.index]
-                if not met:
-                    continue
-                near = np.unique(np.concatenate(met))
-                for i in near[distance(items.prints[near], mark) <= RADIUS].tolist():
+            for s, own, keys in zip(some.tolist(), each, blocks(prints), strict=True):
+                for i in items.met(keys, n).tolist():
                     common, total = similarity(own, items.grams[i])
                     if 100 * common >= SIMILARITY * total and (i not in best or common * best[i][3] > best[i][2] * total):
                         best[i] = (i, s, common, total)
@@ -196,24 +198,58 @@ def _shorter(hashes: np.ndarray, items: Items, hits: dict[int, np.ndarray]) -> I
             yield i, common, total
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The benchmark in blocks of about ITEM_WORDS words, each with at least one item."""
+def _item_blocks(benchmark: DataFrame) -> tuple[int, Callable[[int], Items]]:
+    """How many blocks of about ITEM_WORDS words the benchmark has, and what makes each."""
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // ITEM_WORDS)
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield Items.of([r.item_id for r in rows], [r.text for r in rows])
+
+    def block(k: int) -> Items:
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
+        return Items.of([r.item_id for r in rows], [r.text for r in rows])
+
+    return n, block
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity): of each item that leaks into a document, the best window."""
     schema = "doc_id long, item_id long, first_word long, n_words long, similarity double"
-    out = None
-    for block in _item_blocks(benchmark):
-        found = docs.select("doc_id", "text").mapInArrow(_finder(docs.sparkSession, block), schema)
+    n, block = _item_blocks(benchmark)
+    docs = docs.select("doc_id", "text")
+    if not n:
+        return docs.sparkSession.createDataFrame([], schema)
+    if n == 1:
+        return docs.mapInArrow(_finder(docs.sparkSession, block(0))[0], schema)
+    maybe = np.zeros(1 << MAYBE, bool)
+    sizes: set[int] = set()
+    for k in range(n):
+        items = block(k)
+        maybe[(items.known >> np.uint64(64 - MAYBE)).astype(np.int64)] = True
+        sizes |= set(items.sizes())
+    some, out = cut(docs.mapInArrow(_sharing(docs.sparkSession, np.packbits(maybe), sorted(sizes)), docs.schema)), None
+    for k in range(n):
+        run, shared = _finder(docs.sparkSession, block(k))
+        found = cut(some.mapInArrow(run, schema))
+        shared.destroy()
         out = found if out is None else out.union(found)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+    return out
+
+
+def _sharing(spark: SparkSession, bits: np.ndarray, sizes: list[int]):
+    """Rows whose text has a shingle that is marked."""
+    shared = spark.sparkContext.broadcast(bits)  # 2**MAYBE / 8 bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 4 << 20):
+            w, some = words(plain(part.column(1))), np.zeros(part.num_rows, bool)
+            for size in sizes:
+                grams = ngrams(w.hash, size)
+                at = (grams >> np.uint64(64 - MAYBE)).astype(np.int64)
+                hit = np.flatnonzero(shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+                some[w.row[hit[w.row[hit] == w.row[hit + size - 1]]]] = True
+            yield part.filter(pa.array(some))
+
+    return run
 
 
 def _finder(spark: SparkSession, block: Items):
@@ -243,7 +279,7 @@ def _finder(spark: SparkSession, block: Items):
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
-    return run
+    return run, shared
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
