@@ -36,6 +36,26 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "MplName": ("this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0", "spdx license identifier mpl 2 0"),
     "PublicDomain": ("this is free and unencumbered software released into the public domain", "this work is in the public domain", "released into the public domain", "this work is dedicated to the public domain"),
     "AllRights": ("all rights reserved",),
+    "ApacheBody": ("apache license version 2 0 january 2004",),
+    "MitLiability": ("in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",),
+    "IscAsIs": ("the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",),
+    "BsdAsIs": ("this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",),
+    "ZlibAsIs": ("this software is provided as is without any express or implied warranty",),
+    "ZlibGrant": ("permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",),
+    "ZlibName": ("licensed under the zlib license", "released under the zlib license", "spdx license identifier zlib"),
+    "UnlicenseFree": ("anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",),
+    "UnlicenseName": ("spdx license identifier unlicense", "released under the unlicense", "licensed under the unlicense"),
+    "MplTitle": ("mozilla public license version 2 0",),
+    "MplCopy": ("if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    "Epl20Name": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at https www eclipse org legal epl 2 0", "licensed under the eclipse public license version 2 0", "released under the eclipse public license version 2 0", "spdx license identifier epl 2 0", "eclipse public license v 2 0"),
+    "Epl10Name": ("this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0", "licensed under the eclipse public license version 1 0", "released under the eclipse public license version 1 0", "spdx license identifier epl 1 0", "eclipse public license v 1 0"),
+    "Gpl2Body": ("gnu general public license version 2 june 1991",),
+    "Gpl3Body": ("gnu general public license version 3 29 june 2007",),
+    "Lgpl21Body": ("gnu lesser general public license version 2 1 february 1999",),
+    "Lgpl3Body": ("gnu lesser general public license version 3 29 june 2007",),
+    "Agpl3Body": ("gnu affero general public license version 3 19 november 2007",),
+    "FsfVerbatim": ("everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed",),
+    "GnuWarranty": tuple(f"this {w} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose" for w in ("program", "library")),
 }
 _GNU = {"Gpl": "gnu general public license", "Lgpl": "gnu lesser general public license", "Agpl": "gnu affero general public license"}
 _VERSIONS = {"Gpl": ("2", "3"), "Lgpl": ("2 1", "3"), "Agpl": ("3",)}
@@ -44,7 +64,9 @@ _CC_VERSIONS = ("2 0", "2 5", "3 0", "4 0")
 for _kind, _name in _GNU.items():
     for _v in _VERSIONS[_kind]:
         _starts = ("this work is licensed under the", "licensed under the", "released under the", "this program is licensed under the")
-        SENTENCES[f"{_kind}{_v.replace(' ', '')}Name"] = (*(f"{s} {_name} {w} {_v}" for s in _starts for w in ("version", "v")), f"spdx license identifier {_kind.lower()} {_v.split()[0]} {(_v.split() + ['0'])[1]} only")
+        _short = [f"{s} {n} {w}{_v}" for s in _starts for n in (_name, f"gnu {_kind.lower()}", _kind.lower()) for w in ("version ", "v ", "v")]
+        _only = [f"this {w} is free software you can redistribute it and or modify it under the terms of the {_name} version {_v} as published by the free software foundation" for w in ("program", "library")]
+        SENTENCES[f"{_kind}{_v.replace(' ', '')}Name"] = (*_short, *_only, f"spdx license identifier {_kind.lower()} {_v.split()[0]} {(_v.split() + ['0'])[1]} only")
         SENTENCES[f"{_kind}{_v.replace(' ', '')}Later"] = tuple(f"this {w} is free software you can redistribute it and or modify it under the terms of the {_name} as published by the free software foundation either version {_v} of the license or at your option any later version" for w in ("program", "library"))
 for _terms in _CC:
     for _v in _CC_VERSIONS:
@@ -68,24 +90,44 @@ for _terms in _CC:
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("ApacheName", "ApacheUse", "ApacheCopy", "ApacheAsIs")),
     ("Apache-2.0", ("ApacheName", "ApacheUse")),
+    ("Apache-2.0", ("ApacheBody",)),
+    ("BSD-3-Clause", ("BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse", "BsdAsIs")),
     ("BSD-3-Clause", ("BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse")),
+    ("BSD-2-Clause", ("BsdGrant", "BsdSource", "BsdBinary", "BsdAsIs")),
     ("BSD-2-Clause", ("BsdGrant", "BsdSource", "BsdBinary")),
+    ("MIT", ("MitGrant", "MitNotice", "MitAsIs", "MitLiability")),
     ("MIT", ("MitGrant", "MitNotice", "MitAsIs")),
     ("MIT", ("MitGrant", "MitNotice")),
+    ("ISC", ("IscGrant", "IscAsIs")),
     ("ISC", ("IscGrant", "MitAsIs")),
     ("ISC", ("IscGrant",)),
     ("Apache-2.0", ("ApacheName",)),
     ("MIT", ("MitName",)),
     ("BSD", ("BsdName",)),
+    ("Zlib", ("ZlibAsIs", "ZlibGrant")),
+    ("Zlib", ("ZlibGrant",)),
+    ("Zlib", ("ZlibName",)),
+    ("MPL-2.0", ("MplTitle", "MplName", "MplCopy")),
+    ("MPL-2.0", ("MplName", "MplCopy")),
     ("MPL-2.0", ("MplName",)),
+    ("MPL-2.0", ("MplCopy",)),
+    ("MPL-2.0", ("MplTitle",)),
+    ("EPL-2.0", ("Epl20Name",)),
+    ("EPL-1.0", ("Epl10Name",)),
+    ("Unlicense", ("PublicDomain", "UnlicenseFree")),
+    ("Unlicense", ("UnlicenseFree",)),
+    ("Unlicense", ("UnlicenseName",)),
+    *((f"{kind.upper()}-{(v.replace(' ', '.') + '.0')[:3]}", run) for kind in _GNU for v in _VERSIONS[kind] for run in ((f"{kind}{v.replace(' ', '')}Body", "FsfVerbatim"), (f"{kind}{v.replace(' ', '')}Body",))),
+    *((f"{kind.upper()}-{v.replace(' ', '.')}-or-later", (f"{kind}{v.replace(' ', '')}Later", "GnuWarranty")) for kind in _GNU for v in _VERSIONS[kind]),
     *((f"{kind.upper()}-{v.replace(' ', '.')}-or-later", (f"{kind}{v.replace(' ', '')}Later",)) for kind in _GNU for v in _VERSIONS[kind]),
+    *((f"{kind.upper()}-{(v.replace(' ', '.') + '.0')[:3]}", (f"{kind}{v.replace(' ', '')}Name", "GnuWarranty")) for kind in _GNU for v in _VERSIONS[kind]),
     *((f"{kind.upper()}-{(v.replace(' ', '.') + '.0')[:3]}", (f"{kind}{v.replace(' ', '')}Name",)) for kind in _GNU for v in _VERSIONS[kind]),
     *((f"CC-{t.upper().replace(' ', '-')}-{v.replace(' ', '.')}", (f"Cc{t.title().replace(' ', '')}{v.replace(' ', '')}",)) for t in _CC for v in _CC_VERSIONS),
     ("Public-Domain", ("PublicDomain",)),
     ("Proprietary", ("AllRights",)),
 ]
 #: Every known sentence matches this, so a text that does not has none.
-_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+cc\W|creative\W+commons|required\W+by\W+applicable"
+_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+cc\W|creative\W+commons|required\W+by\W+applicable|free\W+to\W+copy|in\W+the\W+hope|copy\W+of\W+the\W+mpl|gpl"
 
 
 def _pattern(sentences: list[str]) -> str:
