@@ -62,3 +62,32 @@ def test_recovers_hidden_roles(spark):
     truth = {(r.conv_id, r.turn): r.role for r in df.collect()}
     got = op5.render(hidden).collect()
     assert np.mean([truth[r.conv_id, r.turn] == r.role for r in got]) > 0.9
+
+
+def plain_viterbi(seen):
+    e = op5.emissions(np.array(seen))
+    best = op5.START + e[0]
+    for row in e[1:]:
+        best = (best[:, None] + op5.NEXT).max(axis=0) + row
+    return best.max()
+
+
+def test_whole_conversations_have_a_best_path(spark, monkeypatch):
+    monkeypatch.setattr(op5, "CHUNK", 2)
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").selectExpr("conv_id", "turn", "if(turn % 3 = 0, null, role) AS role", "text")
+    seen = {(r.conv_id, r.turn): r.seen for r in op5.features(df).collect()}
+    got = {(r.conv_id, r.turn): op5.ROLES.index(r.role) for r in op5.roles(df).collect()}
+    assert got.keys() == seen.keys()
+    for conv in {c for c, _ in seen}:
+        turns = sorted(t for c, t in seen if c == conv)
+        assert np.isclose(score([seen[conv, t] for t in turns], [got[conv, t] for t in turns]), plain_viterbi([seen[conv, t] for t in turns]))
+
+
+def test_one_conversation_of_equal_turns_is_cut_anywhere(spark, monkeypatch):
+    monkeypatch.setattr(op5, "CHUNK", 50)
+    df = spark.range(3000).selectExpr("7L AS conv_id", "CAST(NULL AS BIGINT) AS turn", "'user' AS role", "'hi' AS text").repartition(4)
+    placed = op5.sorted_turns(df)
+    assert placed.select("part").distinct().count() > 1 and placed.groupBy("part", "chunk").count().agg({"count": "max"}).first()[0] <= 50
+    got = [r.role for r in op5.roles(df).collect()]
+    first = op5.features(df).first().seen
+    assert len(got) == 3000 and got.count("user") == 3000 and np.isclose(score([first] * 3000, [1] * 3000), plain_viterbi([first] * 3000))

@@ -9,7 +9,7 @@ All pieces and whole words take part, whatever their length. Where no piece in a
 so the word's sum is the product of its parts' sums: words are cut there, which loses nothing and keeps the parts short. Parts of up to
 SHORT bytes are summed together by length; longer ones alone, in logarithms, so that nothing underflows.
 
-Only fitting is bounded: about PER_LANGUAGE texts of each language, those with the smallest hashes, and TRAIN_ROWS in all at most. Every row
+Only fitting is bounded: about PER_LANGUAGE texts of each language, those with the smallest hashes, and TRAIN_ROWS with TRAIN_BYTES of text in all at most. Every row
 is scored, over its whole text, with equal prior odds of all languages.
 
 Defined results: `und` and score 0 if the text is null or has no letter, or nothing was learned; ties go to the language first in order;
@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnwright.llm.clusterio import crc_of_id, table
+from turnwright.llm.clusterio import crc_of_id, sample, table
 from turnwright.llm.words import gather, slices, words
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHORT, ROUNDS, SMOOTHING, BLOCK = 32, 3, 0.05, 1 << 14
-PER_LANGUAGE, TRAIN_ROWS = 400, 4000
+#: Bounds of what the model is fitted on.
+PER_LANGUAGE, TRAIN_ROWS, TRAIN_BYTES = 400, 4000, 64 << 20
 UNDETERMINED = "und"
 
 
@@ -240,7 +241,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, limit: int = TRAIN_
     chosen = chosen.distinct().select(F.col("doc_id").alias("id"), F.col("lang").alias("own"))
     rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("own")))
     texts: dict[str, list[str]] = {}
-    for r in rows.orderBy(F.xxhash64("doc_id", "lang", "text")).limit(2 * limit).select("lang", "text").collect():
+    for r in sample(rows.withColumn("order", F.xxhash64("doc_id", "lang", "text")), ["order"], "text", limit, TRAIN_BYTES).select("lang", "text").collect():
         texts.setdefault(r.lang, []).append(r.text or "")
     return fit(texts, path)
 
@@ -251,7 +252,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     keep = [c for c in df.columns if c not in ("lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, 4 << 20):
+        for part in slices(batches, text, 2 << 20):
             names, score = shared.value.score(part.column(part.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(names, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 

@@ -2,13 +2,14 @@
 
 States are system, user and assistant. What is seen of a turn is its speaker marker (a known name in the role column, else one at the
 start of its text, such as `User:` or `### Assistant`), whether it ends with a question mark, and its length. Parameters are fixed, so decoding is the same for
-all tables. A conversation of any length is decoded exactly in chunks of turn numbers: each chunk's best scores between its first and last state are a
-small matrix; the matrices of a conversation give the states at chunk borders; then each chunk is decoded between its borders, by itself.
+all tables. All turns are sorted in parallel, by ranges that may cut a conversation anywhere, and each partition is dealt out in chunks of CHUNK rows.
+A conversation of any length is decoded exactly: the best scores between the first and last state of its part of a chunk are a small matrix; the
+matrices of a conversation give the states at the borders; then each part is decoded between its borders, by itself.
 
 Rendering: a leading marker is cut off the text, white space is trimmed, and special marks in it are broken up, so that a text can't pose as a turn.
 
-Defined results: one row per turn; a row without conv_id is a conversation of its own; turns go by number, null first, then marker and text, so
-repeated rows stand side by side; a null text is empty; a role that isn't known counts as none; other columns are ignored.
+Defined results: one row per turn; a row without conv_id is a conversation of its own; turns go by number, null first, then by what is seen
+and a hash of the text, so repeated rows stand side by side, however many there are; a null text is empty; a role that isn't known counts as none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def _known(name: Column, pattern: str) -> Column:
 
 
 def features(turns: DataFrame) -> DataFrame:
-    """(conv, chunk, conv_id, turn, text, mark, seen): seen is the number of the combination of features."""
+    """(conv_id, own, turn, text, mark, seen): seen is the number of the combination of features; own tells rows without conv_id apart."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lead = F.lower(F.regexp_extract(text, _LEAD % "|".join(MARKERS.values()), 1))
     mark = F.lit(0)
@@ -52,9 +53,8 @@ def features(turns: DataFrame) -> DataFrame:
     size = F.when(F.length(text) < 80, 0).when(F.length(text) < 400, 1).otherwise(2)
     own = F.xxhash64("turn", "role", "text", F.lit("alone"))
     df = turns.select("conv_id", "turn", "role", text.alias("text"), mark.alias("mark"), asks.alias("asks"), size.alias("size"), F.when(F.col("conv_id").isNull(), own).alias("own"))
-    chunk = F.when(F.col("conv_id").isNull(), F.col("own")).otherwise(F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 40))))
     seen = (F.col("mark") * 6 + F.col("asks") * 3 + F.col("size")).cast("int")
-    return df.select("conv_id", F.col("own").alias("own"), chunk.cast("long").alias("chunk"), "turn", "text", F.col("mark").cast("int").alias("mark"), seen.alias("seen"))
+    return df.select("conv_id", "own", "turn", "text", F.col("mark").cast("int").alias("mark"), seen.alias("seen"))
 
 
 def emissions(seen: np.ndarray) -> np.ndarray:
@@ -125,17 +125,22 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _ordered(df: DataFrame, keys: list[str], then: list[str]) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys, *then)
+def sorted_turns(turns: DataFrame) -> DataFrame:
+    """features() with part and row, the place in the order of conversations and turns, and chunk. It is checkpointed, as its ranges are drawn by samples."""
+    # rows alike in all else are told by where they were read, so that ranges can cut between them
+    order = ["conv_id", "own", "turn", "seen", F.xxhash64("text"), F.col("mark"), F.monotonically_increasing_id()]
+    place = F.monotonically_increasing_id()
+    df = features(turns).orderBy(*order).withColumns({"part": F.shiftright(place, 33).cast("int"), "row": place.bitwiseAND((1 << 33) - 1)})
+    return cut(df.withColumn("chunk", F.floor(F.col("row") / CHUNK).cast("long")))
 
 
 def roles(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, n_marked, text): each turn with its recovered role."""
-    seen = features(turns)
-    keys = ["conv_id", "own", "chunk"]
+    rows = sorted_turns(turns)
+    keys = ["conv_id", "own", "part", "chunk"]
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 3):
+        for group in _groups(batches, 4):
             m = matrix(group.column("seen").to_numpy())
             yield pa.RecordBatch.from_arrays([*(group.column(k).combine_chunks()[:1] for k in keys), pa.array([m.ravel().tolist()], pa.list_(pa.float64()))], names=[*keys, "m"])
 
@@ -145,18 +150,18 @@ def roles(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(group.column(k).combine_chunks() for k in keys), pa.array([a for a, _ in found], pa.int32()), pa.array([b for _, b in found], pa.int32())], names=[*keys, "first", "last"])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 3):
+        for group in _groups(batches, 4):
             states = decode(group.column("seen").to_numpy(), group.column("first")[0].as_py(), group.column("last")[0].as_py())
             yield pa.RecordBatch.from_arrays([*(group.column(k).combine_chunks() for k in ("conv_id", "turn")), pa.array([ROLES[s] for s in states]), group.column("mark").combine_chunks(), group.column("text").combine_chunks()], names=["conv_id", "turn", "role", "mark", "text"])
 
-    kind = "conv_id long, own long, chunk long"
-    then = ["turn", "mark", "text"]
-    scored = _ordered(seen.select(*keys, "turn", "mark", F.xxhash64("text").alias("text"), "seen"), keys, ["turn", "seen"]).mapInArrow(matrices, f"{kind}, m array<double>")
-    found = cut(_ordered(scored, ["conv_id", "own"], ["chunk"]).mapInArrow(ends, f"{kind}, first int, last int"))
+    kind = "conv_id long, own long, part int, chunk long"
+    scored = rows.select(*keys, "seen").mapInArrow(matrices, f"{kind}, m array<double>")
+    found = scored.repartition("conv_id", "own").sortWithinPartitions(*keys).mapInArrow(ends, f"{kind}, first int, last int")
     found = found.select(*(F.col(k).alias(f"_{k}") for k in keys), "first", "last")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    rows = seen.join(found, same[0] & same[1] & same[2]).select(*keys, *then, "seen", "first", "last")
-    return _ordered(rows, keys, ["turn", "seen", *then[1:]]).mapInArrow(decoded, "conv_id long, turn long, role string, mark int, text string")
+    same = (F.col("part") == F.col("_part")) & (F.col("chunk") == F.col("_chunk")) & F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("own").eqNullSafe(F.col("_own"))
+    placed = rows.join(found, same).select(*keys, "row", "turn", "mark", "text", "seen", "first", "last")
+    # the join has brought the rows of a part of a chunk together
+    return placed.repartition("part", "chunk").sortWithinPartitions("part", "row").mapInArrow(decoded, "conv_id long, turn long, role string, mark int, text string")
 
 
 def render(turns: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ words that the text has had before. A word's vector is the mean of the vectors o
 to 5 bytes, with marks at both ends); a pair's and a mark's are their own. The mean of the units' vectors goes through a softmax layer.
 As both layers are linear, scoring adds up one learned number a bucket, so a task holds one table of BUCKETS numbers.
 
-Only fitting is bounded: by at most TRAIN_ROWS labelled rows, those with the smallest hash of doc_id. Every row is scored, over its whole text.
+Only fitting is bounded: by at most TRAIN_ROWS labelled rows with TRAIN_BYTES of text in all, those with the smallest hashes. Every row is scored, over its whole text.
 
 Defined results: a null or empty text has no unit and gets the score of the learned bias; equal texts get equal scores; without any row to
 learn from all scores are 0.5; labels of rows without a document, or without a label, are left out; of a doc_id with several labels each is
@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnwright.llm.clusterio import crc_of_id, table
+from turnwright.llm.clusterio import crc_of_id, sample, table
 from turnwright.llm.words import Words, gather, mix, ngrams, slices, words
 
 BUCKETS, WIDTH, EPOCHS, RATE = 1 << 18, 12, 6, 0.15
-TRAIN_ROWS = 4000
+#: Bounds of what the classifier is fitted on.
+TRAIN_ROWS, TRAIN_BYTES = 4000, 64 << 20
 REJECT_BELOW = 0.3
 _STUTTER, _AGAIN = 0, 1
 
@@ -134,8 +135,9 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = TRAIN_ROWS) -> Model:
     """The model of at most limit labelled rows of docs whose crc32(doc_id) mod 5 isn't 0."""
     known = labels.where(f"doc_id is not null and {label} in (0, 1)").where(crc_of_id() % 5 != 0).select("doc_id", F.col(label).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(limit)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", "label", "text")).limit(2 * limit).collect()  # repeated doc_ids: as many again at most
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * limit)  # some may have no document
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("order", F.xxhash64("doc_id", "label", "text"))
+    rows = sample(found, ["order"], "text", limit, TRAIN_BYTES).collect()
     return fit([r.text or "" for r in rows], [r.label for r in rows]) if rows else Model(np.zeros(BUCKETS), 0.0)
 
 
