@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = 8 << 20
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -16,6 +17,15 @@ def local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.split("[")[0] == "local"
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """spark, whose Arrow batches have at most ARROW_BYTES (or one row), so that what a Python worker and its task hold doesn't grow with the length of texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < size <= ARROW_BYTES:
+        spark.conf.set(name, ARROW_BYTES)
+    return spark
+
+
 def reachable(spark: SparkSession) -> SparkSession:
     """spark, whose Python workers will find this package: by its path, and beyond one process from an archive that Spark ships."""
     context = spark.sparkContext
@@ -29,7 +39,7 @@ def reachable(spark: SparkSession) -> SparkSession:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{paths}" if paths else ROOT
-    return spark
+    return bounded(spark)
 
 
 def session(name: str = "turnwright", **conf: str) -> SparkSession:
