@@ -41,6 +41,8 @@ SIZE, SIMILARITY = 5, 80
 FREQUENT, LIGHTEST, STAR, STARS = 1 << 18, 12, 64, 2
 #: Shingles of a group, or of a block of one, that a task compares: blocks are so large at least; a group has so many, unless blocks were larger than the last number.
 BLOCK, BLOCKS, LARGEST = 16_000, 64, 2_000_000
+#: Places that rows of one group are dealt to where they meet what is known of the group.
+SALTS = 32
 #: Shingles of a piece of input; bytes of text for each bucket of shingles; times that make one frequent; marks of classes that may link.
 SEEN, BUCKET, OFTEN, ALIVE = 2_000_000, 16 << 20, 4, 1 << 22
 
@@ -319,20 +321,26 @@ def verified(stars: DataFrame, sets: DataFrame, s: int = SIMILARITY) -> DataFram
     return rows.repartition("task").sortWithinPartitions("task", "side").mapInArrow(run, "a long, b long")
 
 
+def _with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """members (class, task_root) with what groups say of each task_root; a large group's rows are dealt to SALTS places."""
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return members.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")).join(salted, ["task_root", "salt"]).drop("salt")
+
+
 def _placed(entries: DataFrame, s: int = SIMILARITY) -> DataFrame:
     """(task, class, part): which tasks compare which classes of entries (key, class, n, part), so that each pair of classes of one key, of different parts and of sizes that can link, meets in one."""
     lows = entries.groupBy("key").agg(F.min("class").alias("low"))
     groups = components(entries.join(lows, "key").select("class", "low"), "class", "low").select(F.col("node").alias("class"), F.col("root").alias("task_root"))
     members = entries.select("class", "n", "part").distinct().join(groups, "class")
     sizes = members.groupBy("task_root").agg(F.sum("n").alias("all"))
-    members = cut(members.join(sizes, "task_root"))
+    members = cut(_with_group(members, sizes))
     small = members.where(f"all <= {BLOCK}").select(F.xxhash64("task_root").alias("task"), "class", "part")
     large = members.where(f"all > {BLOCK}")
     parts = large.groupBy("task_root", "part").agg(F.sum("n").alias("n"))
     main = parts.groupBy("task_root").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
     # sets that link are of one band of sizes or of neighbouring ones; two of the largest part needn't meet
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / s)) + 1e-9).cast("int")
-    large = large.join(main, "task_root").select("task_root", "class", "n", "part", "all", (F.col("part") == F.col("main")).alias("large"), band.alias("band"))
+    large = _with_group(large, main).select("task_root", "class", "n", "part", "all", (F.col("part") == F.col("main")).alias("large"), band.alias("band"))
     width = F.least(F.greatest(F.lit(BLOCK), F.max("all") / BLOCKS), F.lit(LARGEST))
     bands = large.groupBy("task_root", "band", "large").agg(F.ceil(F.sum("n") / width).cast("int").alias("blocks"))
     other = bands.select("task_root", F.col("band").alias("band2"), F.col("large").alias("large2"), F.col("blocks").alias("blocks2"))
