@@ -174,7 +174,7 @@ def decoder(path: str) -> ByteTable:
 
 
 def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of one row at least, and at most two megabytes of text or half a million ids."""
+    """The batch in pieces of one row at least, and at most a megabyte of text or half a million ids."""
     at = batch.schema.get_field_index(column)
     if pa.types.is_list(batch.schema.field(at).type):
         ends, done = np.cumsum(np.asarray(pc.list_value_length(batch.column(at)).fill_null(0))), 0
@@ -183,7 +183,7 @@ def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
             yield batch.slice(done, to - done)
             done = to
     else:
-        yield from slices(iter([batch]), column, 2 << 20)
+        yield from slices(iter([batch]), column, 1 << 20)
 
 
 def _with(df: DataFrame, add: list[T.StructField], column: str, work: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:

@@ -147,7 +147,7 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
     keep = [c for c in df.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, 4 << 20):
+        for part in slices(batches, text, 1 << 20):
             got = shared.value.score(part.column(part.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(got)], names=[*keep, name])
 

@@ -136,7 +136,7 @@ def ngrams(hashes: np.ndarray, size: int) -> np.ndarray:
         width <<= 1
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut into pieces of at most limit bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
