@@ -6,39 +6,53 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from turnwright.llm import op1_bpe, op2_decontaminate, op6_join, op8_substrings, op9_classifier
 from turnwright.llm.clusterio import cut, table
+from turnwright.session import bounded
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def _bounded(stage: Stage) -> Stage:
+    """The stage in a session whose Arrow batches are bounded, also where it is called by itself."""
+    return wraps(stage)(lambda spark, docs, sf_dir: stage(bounded(spark), docs, sf_dir))
+
+
+@_bounded
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on the labelled ones, doesn't reject."""
     return op9_classifier.accepted(docs, table(spark, sf_dir, "labels"))
 
 
+@_bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that the n-gram Jaccard join links."""
     return op6_join.dedup(docs)
 
 
+@_bounded
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that stand earlier in another place."""
     return op8_substrings.dedup(docs)
 
 
+@_bounded
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any item of the benchmark."""
     return op2_decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_bounded
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids and n_tokens of every document."""
     return op1_bpe.encode(docs.select("doc_id", "lang", "source", "text")).selectExpr("doc_id", "lang", "source", "ids", "cast(size(ids) AS bigint) AS n_tokens")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("substrings", substrings),
