@@ -25,7 +25,7 @@ SMALL_VERBS = "Am Think Want Know See Hope Believe Feel Guess Assume Remember Un
 CONJUNCTIONS = ("and", "but", "so", "or", "nor")
 CHAIR_PHRASES = ("good evening", "call to order", " work session", " work session.", "first item", "recognize ", " motion ", " seconded", "roll call", "public comment", "close ", "city council", "council chambers", "parliamentary", "rezoning", "ordinance")
 STAFF_PHRASES = ("director", "manager", "chief ", "presenting", "presentation", "budget", "parks", "recreation", "special events", "police", "finance", "planning", "city manager", "assistant city manager")
-HANDOFF = r"(?i)(?:turn\s+it\s+over\s+to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?|hand\s+(?:it\s+)?over\s+to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?|pass\s+(?:it\s+)?to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?)\s*([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)"
+HANDOFF = r"(?i)(?:turn\s+it\s+over\s+to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?|hand\s+(?:it\s+)?over\s+to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?|pass\s+(?:it\s+)?to\s+(?:(?:miss|mr|mrs|ms|dr)\s+)?|=>>\s*)\s*([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)"
 THANKS = r"(?i)(?:thank\s+you[.,!?\s]*|thanks[.,!?\s]*)([A-Z][a-z]+)"
 ROLL_CALL = r"(?i)Council\s*(Member|Mr\.|Ms\.)\s+(\w+(?:\s+\w+)?)\s*[?:]\s*(Aye|No|I)\b"
 OUTCOMES = (r"(?i)(?:passed|approved|adopted)\s+(?:unanimously|by\s+\d+[\s-]+\d+)", r"(?i)motion\s+(?:passed|failed|fails?)\s*(?:\d+\s+to\s+\d+|\d+\s+-\s+\d+)", r"(?i)unanimous(?:ly)?", r"(?i)tie\s+vote", r"(?i)(?:\d+)\s+to\s+(?:\d+)")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.functions import text as t
-from turnwright.operators import folds, sequence, temporal
+from turnwright.operators import folds, labels, sequence, temporal
 from turnwright.operators.resolve import weighted_vote
 from turnwright.plans.base import Plans, table, turns
 from turnwright.sinks import publish
@@ -16,11 +16,11 @@ HOUR = 3600
 ROW = "meeting_id long, pos long, start double, end double, speaker string, raw string, status string, text string, handoff_applied boolean, self_intro_applied boolean"
 
 
-def structured(words: DataFrame, intervals: DataFrame, approvals: DataFrame, gap: float = 1.2, cap: float = 35.0) -> DataFrame:
+def structured(words: DataFrame, intervals: DataFrame, approvals: DataFrame, gap: float = 1.2, cap: float = 35.0, roster: dict[str, str] | None = None, chair: str | None = None) -> DataFrame:
     """Entry point A: words (meeting_id, pos, start, end, text) and speaker intervals to structured turns.
 
     J1 tags words, W2 makes turns, approvals name them (J11, P22), W5 joins neighbours of one raw id, W11 takes self-introductions,
-    W10 hand-offs, W8 merges chains and W9 repairs fragments. Each meeting is folded once, through all the folds, so it is gathered once.
+    F30 the text's own hints at who of the roster speaks, W10 hand-offs, W8 merges chains and W9 repairs fragments. Each meeting is folded once, through all the folds, so it is gathered once.
     """
     tagged = temporal.longest_active(words.withColumn("t", F.when(F.col("end") > F.col("start"), (F.col("start") + F.col("end")) / 2).otherwise(F.col("start"))), intervals, ["meeting_id"], "pos")
     chunked = folds.fold(tagged.select("meeting_id", "pos", "start", "end", "speaker", "text"), ["meeting_id"], ["start", "pos"], lambda rows: folds.chunk_turns(rows, gap, cap), "meeting_id long, pos long, start double, end double, speaker string, text string")
@@ -29,8 +29,11 @@ def structured(words: DataFrame, intervals: DataFrame, approvals: DataFrame, gap
     names = named.select("meeting_id", F.regexp_replace("speaker", "_spk?$", "").alias("raw"), "name").groupBy("meeting_id", "raw").agg(F.max("name").alias("name"))
     df = runs.join(names, ["meeting_id", "raw"], "left")
     intro = t.self_intro(F.col("text"))
-    label = F.coalesce(intro, "name", F.lit("Unknown Speaker"))
-    status = F.when(intro.isNotNull(), "heuristic").when(F.col("name").isNotNull(), "approved").when(F.col("raw") == "UNKNOWN", "unknown").otherwise("unresolved")
+    df = df.withColumn("heard", F.lit(None).cast("string"))
+    if roster and chair:
+        df = labels.label_from_text(df.drop("heard"), ["meeting_id"], ["run_id"], "text", roster, chair, "heard", F.coalesce(intro, "name"))
+    label = F.coalesce(intro, "name", "heard", F.lit("Unknown Speaker"))
+    status = F.when(intro.isNotNull() | (F.col("name").isNull() & F.col("heard").isNotNull()), "heuristic").when(F.col("name").isNotNull(), "approved").when(F.col("raw") == "UNKNOWN", "unknown").otherwise("unresolved")
     df = df.select("meeting_id", F.col("run_id").alias("pos"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), label.alias("speaker"), "raw", status.alias("status"), "text", F.lit(False).alias("handoff_applied"), intro.isNotNull().alias("self_intro_applied"))
 
     def work(rows: list[dict]) -> list[dict]:
@@ -55,7 +58,7 @@ def _approvals(spark, sf):
 
 @plans.add("x1_recording_to_turns")
 def recording(spark, sf):
-    return structured(_words(spark, sf), _intervals(spark, sf), _approvals(spark, sf), 24.0, 168.0)
+    return structured(_words(spark, sf), _intervals(spark, sf), _approvals(spark, sf), 24.0, 168.0, {"Ada Moss": "Mayor", "Ben Ito": "Member"}, "Ada Moss")
 
 
 @plans.add("x1_publish")

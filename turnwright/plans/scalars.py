@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from turnwright.functions import text as t
+from turnwright.operators import labels
 from turnwright.plans.base import Plans, table
 
 plans = Plans()
@@ -64,21 +65,22 @@ c("f54_rebase", "pages", "page_id", {"x": lambda k: t.rebase(k("url"), "https://
 c("f55_rounded", "lineitem", "l_orderkey", {"l_linenumber": lambda k: k("l_linenumber"), "x": lambda k: t.rounded(k("l_extendedprice") * k("l_discount"), 2)}, {"l_linenumber": "l_linenumber", "x": "floor(l_extendedprice * l_discount * 100 + 0.5) / 100"})
 
 # projections and predicates
-c("p1_block_turn", "events", "event_id", {"speaker_public": lambda k: F.coalesce(F.nullif(k("event_type"), F.lit("view")), F.lit("Unknown Speaker")), "speaker_status": lambda k: F.when(k("value") < 10, "unresolved").otherwise("approved"), "needs_review": lambda k: F.coalesce(k("value") < 10, F.lit(True))}, {"speaker_public": "coalesce(nullif(event_type, 'view'), 'Unknown Speaker')", "speaker_status": "CASE WHEN value < 10 THEN 'unresolved' ELSE 'approved' END", "needs_review": "value < 10"})
-c("p2_utterance_turn", "events", "event_id", {"status": lambda k: F.when(F.startswith(F.concat(F.lit("Unknown "), k("event_type")), F.lit("Unknown")) & (k("event_id") % 2 == 0), "unresolved").otherwise("approved"), "confidence": lambda k: F.when(k("event_id") % 2 == 0, 0.0).otherwise(1.0)}, {"status": "CASE WHEN event_id % 2 = 0 THEN 'unresolved' ELSE 'approved' END", "confidence": "CASE WHEN event_id % 2 = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END"})
-c("p3_publish", "events", "event_id", {"speaker": lambda k: F.coalesce(F.nullif(F.when(k("event_id") % 3 == 0, "").otherwise(k("event_type")), F.lit("")), F.nullif(F.when(k("event_id") % 2 == 0, "Public").otherwise(""), F.lit("")), F.lit("Unknown Speaker"))}, {"speaker": "CASE WHEN event_id % 3 <> 0 THEN event_type WHEN event_id % 2 = 0 THEN 'Public' ELSE 'Unknown Speaker' END"})
-c("p4_provenance", "events", "event_id", {"source": lambda k: F.when(k("event_type").isin("view", "click"), "caption").when(k("event_type") == "error", "unknown").otherwise("diarization"), "detail": lambda k: F.when(k("event_type") == "view", "explicit caption label").when(k("event_type") == "click", "inline caption label").when(k("event_type") == "error", "caption marker")}, {"source": "CASE WHEN event_type IN ('view', 'click') THEN 'caption' WHEN event_type = 'error' THEN 'unknown' ELSE 'diarization' END", "detail": "CASE event_type WHEN 'view' THEN 'explicit caption label' WHEN 'click' THEN 'inline caption label' WHEN 'error' THEN 'caption marker' END"})
-c("p6_needs_review", "events", "event_id", {"x": lambda k: (k("value") < 5) | (k("event_type") == "error") | (k("value") / 490 < 0.85)}, {"x": "value < 5 OR event_type = 'error' OR value / 490 < 0.85"})
-c("p7_queue_predicate", "documents", "doc_id", {"x": lambda k: ((F.size(F.filter(F.split(k("text"), r"\s+"), lambda w: w != "")) <= 3) & k("lang").isin("de", "fr")) | (F.size(F.filter(F.split(k("text"), r"\s+"), lambda w: w != "")) <= 3) | t.any_of(F.lower(k("text")), ("even more oh", "has the name", ". i"))}, {"x": "len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) <= 3 OR contains(lower(text), 'even more oh') OR contains(lower(text), 'has the name') OR contains(lower(text), '. i')"})
-c("p8_known_unknown", "events", "event_id", {"unknown": lambda k: (k("event_type") == "error") | (F.upper(k("event_type")) == "SIGNUP"), "confirmed": lambda k: k("event_type").isin("view", "click") & (k("props") != "")}, {"unknown": "event_type IN ('error', 'signup')", "confirmed": "event_type IN ('view', 'click')"})
-c("p9_top_level", "orders", "o_orderkey", {"x": lambda k: F.rlike(F.concat(F.when(k("o_orderkey") % 2 == 0, F.concat(k("o_custkey"), F.lit(". "))).otherwise("a. "), k("o_orderpriority")), F.lit(r"^\d+\."))}, {"x": "o_orderkey % 2 = 0"})
-c("p11_watermark", "pages", "page_id", {"x": lambda k: F.rlike(k("url"), F.lit(r"(?i)www\.|captioning|\(\d{3}\)\s*\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"))}, {"x": "regexp_matches(url, '(?i)www\\.|captioning|\\(\\d{3}\\)\\s*\\d{3}-\\d{4}|\\d{3}-\\d{3}-\\d{4}')"})
-c("p17_speaker_norm", "events", "event_id", {"x": lambda k: F.when(F.lower(F.trim(k("event_type"))).isin("", "error", "view"), "Unknown Speaker").otherwise(k("event_type"))}, {"x": "CASE WHEN event_type IN ('error', 'view') THEN 'Unknown Speaker' ELSE event_type END"})
-c("p18_role_class", "part", "p_partkey", {"x": lambda k: F.when(F.contains(k("p_type"), F.lit("STEEL")), "mayor").when(F.contains(k("p_type"), F.lit("BRASS")), "council").when(F.contains(k("p_type"), F.lit("TIN")), "manager").otherwise("public")}, {"x": "CASE WHEN contains(p_type, 'STEEL') THEN 'mayor' WHEN contains(p_type, 'BRASS') THEN 'council' WHEN contains(p_type, 'TIN') THEN 'manager' ELSE 'public' END"})
-c("p19_meeting_type", "part", "p_partkey", {"x": lambda k: F.when(F.contains(F.lower(k("p_type")), F.lit("promo")), "work_session").when(F.contains(F.lower(k("p_type")), F.lit("economy")), "special").when(F.contains(F.lower(k("p_type")), F.lit("small")), "public_hearing").when(F.contains(F.lower(k("p_type")), F.lit("large")), "other").otherwise("regular")}, {"x": "CASE WHEN contains(lower(p_type), 'promo') THEN 'work_session' WHEN contains(lower(p_type), 'economy') THEN 'special' WHEN contains(lower(p_type), 'small') THEN 'public_hearing' WHEN contains(lower(p_type), 'large') THEN 'other' ELSE 'regular' END"})
-c("p22_label_priority", "events", "event_id", {"label": lambda k: F.coalesce(F.when(k("event_id") % 7 == 0, "Approved"), F.when(k("event_id") % 5 == 0, "Public Comment"), F.when(k("event_id") % 3 == 0, "Unknown Speaker"), F.when(k("event_type") == "view", "Caption"), F.when(k("value") > 100, "Heuristic"), F.lit("Unknown Speaker")), "status": lambda k: F.coalesce(F.when(k("event_id") % 7 == 0, "approved"), F.when(k("event_id") % 5 == 0, "public_comment"), F.when(k("event_id") % 3 == 0, "mixed"), F.when(k("event_type") == "view", "caption"), F.when(k("value") > 100, "heuristic"), F.when(k("event_type") == "error", "unknown"), F.lit("unresolved"))}, {"label": "CASE WHEN event_id % 7 = 0 THEN 'Approved' WHEN event_id % 5 = 0 THEN 'Public Comment' WHEN event_id % 3 = 0 THEN 'Unknown Speaker' WHEN event_type = 'view' THEN 'Caption' WHEN value > 100 THEN 'Heuristic' ELSE 'Unknown Speaker' END", "status": "CASE WHEN event_id % 7 = 0 THEN 'approved' WHEN event_id % 5 = 0 THEN 'public_comment' WHEN event_id % 3 = 0 THEN 'mixed' WHEN event_type = 'view' THEN 'caption' WHEN value > 100 THEN 'heuristic' WHEN event_type = 'error' THEN 'unknown' ELSE 'unresolved' END"})
-c("p26_modal_decision", "events", "event_id", {"action": lambda k: F.when(k("event_type") == "view", "approve").when(k("event_type") == "click", "override").when(k("event_type") == "error", "suppress").otherwise("keep_unknown"), "suppress": lambda k: k("event_type") == "error"}, {"action": "CASE event_type WHEN 'view' THEN 'approve' WHEN 'click' THEN 'override' WHEN 'error' THEN 'suppress' ELSE 'keep_unknown' END", "suppress": "event_type = 'error'"})
-c("p29_coercion", "events", "event_id", {"x": lambda k: F.get_json_object(k("props"), "$.k").try_cast("long"), "y": lambda k: k("props").try_cast("double"), "z": lambda k: F.coalesce(k("props").try_cast("long"), F.lit(0))}, {"x": "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)", "y": "TRY_CAST(props AS DOUBLE)", "z": "coalesce(TRY_CAST(props AS BIGINT), 0)"})
+c("p1_block_turn", "events", "event_id", {n: lambda k, n=n: labels.block_turn(F.nullif(k("event_type"), F.lit("view")), k("value") < 10)[n] for n in ("speaker_public", "speaker_status", "needs_review")}, {"speaker_public": "coalesce(nullif(event_type, 'view'), 'Unknown Speaker')", "speaker_status": "CASE WHEN value < 10 THEN 'unresolved' ELSE 'approved' END", "needs_review": "value < 10"})
+c("p2_utterance_turn", "events", "event_id", {n: lambda k, n=n: labels.utterance_turn(F.when(k("event_id") % 2 == 0, F.concat(F.lit("Unknown "), k("event_type"))).otherwise(k("event_type")))[n] for n in ("status", "confidence")}, {"status": "CASE WHEN event_id % 2 = 0 THEN 'unresolved' ELSE 'approved' END", "confidence": "CASE WHEN event_id % 2 = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END"})
+c("p3_publish", "events", "event_id", {"speaker": lambda k: labels.effective_speaker(F.when(k("event_id") % 3 == 0, "").otherwise(k("event_type")), F.when(k("event_id") % 2 == 0, "Public").otherwise(""))}, {"speaker": "CASE WHEN event_id % 3 <> 0 THEN event_type WHEN event_id % 2 = 0 THEN 'Public' ELSE 'Unknown Speaker' END"})
+_STRENGTH = {"view": "explicit", "click": "inline_loose", "error": "marker", "purchase": "diarization"}
+c("p4_provenance", "events", "event_id", {n: lambda k, n=n: labels.provenance(F.when(k("event_id") % 5 == 0, " ").otherwise(k("props")), F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in _STRENGTH.items() for x in kv)), k("event_type")), F.lit("")))[n] for n in ("speaker_source", "speaker_source_detail")}, {"speaker_source": "CASE WHEN event_id % 5 = 0 THEN 'unknown' WHEN event_type IN ('view', 'click') THEN 'captions' WHEN event_type = 'purchase' THEN 'diarization' ELSE 'unknown' END", "speaker_source_detail": "CASE event_type WHEN 'view' THEN 'Captions (explicit speaker tag)' WHEN 'click' THEN 'Captions (inline header, loose)' WHEN 'error' THEN 'Captions (standalone marker cue)' WHEN 'purchase' THEN 'Diarization (mapped from caption tags)' ELSE '' END"})
+c("p6_needs_review", "events", "event_id", {"x": lambda k: labels.needs_review(k("value") < 5, k("event_type") == "error", k("value") / 490)}, {"x": "value < 5 OR event_type = 'error' OR value / 490 < 0.85"})
+c("p8_known_unknown", "events", "event_id", {"unknown": lambda k: labels.is_unknown(F.when(k("event_type") == "error", "unknown").otherwise("approved"), F.when(k("event_type") == "signup", "Unknown").otherwise("S1")), "confirmed": lambda k: labels.is_confirmed(F.when(k("event_type") == "view", "approved").when(k("event_type") == "click", "mixed").otherwise("unresolved"), F.when(k("event_id") % 3 == 0, "").otherwise(k("props")))}, {"unknown": "event_type IN ('error', 'signup')", "confirmed": "event_type IN ('view', 'click') AND event_id % 3 <> 0"})
+c("p9_top_level", "orders", "o_orderkey", {"x": lambda k: labels.top_level(F.concat(F.when(k("o_orderkey") % 2 == 0, F.concat(k("o_custkey"), F.lit(". "))).otherwise("a. "), k("o_orderpriority")))}, {"x": "o_orderkey % 2 = 0"})
+c("p11_watermark", "pages", "page_id", {"x": lambda k: labels.watermark(k("url"))}, {"x": "regexp_matches(url, '(?i)www\\.|captioning|\\(\\d{3}\\)\\s*\\d{3}-\\d{4}|\\d{3}-\\d{3}-\\d{4}')"})
+c("p17_speaker_norm", "events", "event_id", {"x": lambda k: labels.normal_speaker(F.when(k("event_type") == "error", " Unknown").when(k("event_type") == "view", "SPEAKER").when(k("event_id") % 7 == 0, F.lit(None)).otherwise(k("event_type")))}, {"x": "CASE WHEN event_type IN ('error', 'view') OR event_id % 7 = 0 THEN 'Unknown Speaker' ELSE event_type END"})
+c("p18_role_class", "part", "p_partkey", {"x": lambda k: labels.role_class(F.concat(F.when(F.contains(k("p_type"), F.lit("STEEL")), "Mayor ").when(F.contains(k("p_type"), F.lit("BRASS")), "Council ").when(F.contains(k("p_type"), F.lit("TIN")), "City Manager ").otherwise(""), k("p_type")))}, {"x": "CASE WHEN contains(p_type, 'STEEL') THEN 'mayor' WHEN contains(p_type, 'BRASS') THEN 'council' WHEN contains(p_type, 'TIN') THEN 'manager' ELSE 'public' END"})
+c("p19_meeting_type", "part", "p_partkey", {"x": lambda k: labels.meeting_type(F.concat(k("p_type"), F.when(F.contains(k("p_type"), F.lit("PROMO")), " Work Session").when(F.contains(k("p_type"), F.lit("ECONOMY")), " Special Meeting").when(F.contains(k("p_type"), F.lit("SMALL")), " Public Hearing").when(F.contains(k("p_type"), F.lit("LARGE")), " Retreat").otherwise(" Meeting")))}, {"x": "CASE WHEN contains(p_type, 'PROMO') THEN 'work_session' WHEN contains(p_type, 'ECONOMY') THEN 'special' WHEN contains(p_type, 'SMALL') THEN 'public_hearing' WHEN contains(p_type, 'LARGE') THEN 'other' ELSE 'regular' END"})
+_P22 = lambda k: labels.label_priority(F.when(k("event_id") % 7 == 0, "approved").when(k("event_id") % 5 == 0, "public_comment").when(k("event_id") % 3 == 0, "rejected_audio").otherwise(""), F.lit("Ada Moss"), F.when(k("event_type") == "view", "Caption"), F.lit("inline"), F.when(k("value") > 100, "Heuristic"), F.when(k("event_type") == "error", "UNKNOWN").otherwise("S1"))
+c("p22_label_priority", "events", "event_id", {n: lambda k, n=n: _P22(k)[n] for n in ("label", "status", "review", "reason")}, {"label": "CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN 'Ada Moss' WHEN event_id % 3 = 0 THEN 'Unknown Speaker' WHEN event_type = 'view' THEN 'Caption' WHEN value > 100 THEN 'Heuristic' ELSE 'Unknown Speaker' END", "status": "CASE WHEN event_id % 7 = 0 THEN 'approved' WHEN event_id % 5 = 0 THEN 'public_comment' WHEN event_id % 3 = 0 THEN 'mixed' WHEN event_type = 'view' THEN 'caption_override' WHEN value > 100 THEN 'heuristic' WHEN event_type = 'error' THEN 'unknown' ELSE 'unresolved' END", "review": "CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN false WHEN event_id % 3 = 0 THEN true ELSE NOT (event_type = 'view' OR value > 100) END", "reason": "CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 5 = 0 THEN 'public_comment' WHEN event_id % 3 = 0 THEN 'mixed_or_rejected_audio' WHEN event_type = 'view' THEN 'caption:inline' WHEN value > 100 THEN 'text_heuristic' WHEN event_type = 'error' THEN 'no_diarization' ELSE 'unresolved_identity' END"})
+_KIND = lambda k: F.when(k("event_type") == "view", "council").when(k("event_type") == "click", "staff").when(k("event_type") == "error", "public_comment").when(k("event_type") == "signup", "unknown").otherwise("")
+c("p26_modal_decision", "events", "event_id", {n: lambda k, n=n: labels.modal_decision(_KIND(k), F.when(k("event_id") % 2 == 0, "Ada Moss").otherwise(""))[n] for n in ("reviewer_action", "speaker_type", "speaker_public_override", "speaker_status_override")}, {"reviewer_action": "CASE WHEN event_type IN ('view', 'click') THEN 'approve_named_official' WHEN event_type = 'error' THEN 'mark_public_comment' ELSE 'keep_unknown' END", "speaker_type": "CASE event_type WHEN 'view' THEN 'council' WHEN 'click' THEN 'staff' WHEN 'error' THEN 'public_comment' WHEN 'signup' THEN 'unknown' ELSE '' END", "speaker_public_override": "CASE WHEN event_type IN ('view', 'click') AND event_id % 2 = 0 THEN 'Ada Moss' WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'Ada Moss' ELSE 'Public Comment Speaker' END ELSE '' END", "speaker_status_override": "CASE WHEN event_type IN ('view', 'click', 'error') THEN 'approved' ELSE '' END"})
 
 # arrays, maps, JSON
 _LINES = "list_filter(string_split(text, chr(10)), lambda p: p <> '')"
@@ -146,3 +148,28 @@ def roster_match(spark, sf):
     heard = F.when(F.col("c_custkey") % 4 == 0, "Mayor Ada Mos").when(F.col("c_custkey") % 4 == 1, "councilmember ito").when(F.col("c_custkey") % 4 == 2, "chair dol").otherwise("nobody")
     df = table(spark, sf, "customer").select("c_custkey", heard.alias("heard"))
     return df.select("c_custkey", fuzzy_roster("heard", roster).alias("match"), parse_hint("heard", roster).alias("hint"))
+
+
+@plans.add("p7_queue_predicate", "SELECT doc_id, doc_id % 11 = 0 OR len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) <= 3 OR contains(lower(text), 'even more oh') OR contains(lower(text), 'has the name') OR contains(lower(text), '. i') AS x FROM documents")
+def queue_predicate(spark, sf):
+    from turnwright.operators.review import needs_queue
+
+    status = F.when(F.col("lang") == "de", "unresolved").otherwise("approved")
+    d = table(spark, sf, "documents").select("doc_id", "text", status.alias("speaker_status"), F.when(F.col("doc_id") % 11 == 0, True).alias("needs_review"))
+    return d.select("doc_id", needs_queue().alias("x"))
+
+
+@plans.add("p29_coercion", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(TRY_CAST(props AS DOUBLE), 0.5) AS half, coalesce(CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END, 'none') AS word FROM events WHERE event_id % 13 <> 0")
+def coercion(spark, sf):
+    e = table(spark, sf, "events").select(F.when(F.col("event_id") % 13 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("event_id"), F.get_json_object("props", "$.k").alias("k"), F.col("props").alias("half"), F.when(F.col("event_id") % 3 == 0, F.col("user_id")).alias("word"))
+    return labels.coerced(e, {"event_id": ("long", None), "k": ("long", None), "half": ("double", 0.5), "word": ("string", "none")}, ["event_id"])
+
+
+ROSTER = {"Ada Moss": "Mayor", "Ben Ito": "Member", "Cy Dole": "City Manager"}
+SAYS = ("Good evening, ada moss here", "As mayor I ask", "council member ben said it", "then thank you, Cy", "We call the meeting", "we go on with it", "Nobody knows", "")
+
+
+@plans.add("f30_speaker_from_text", f"WITH s AS (SELECT o_custkey, o_orderkey, o_orderkey % {len(SAYS)} AS k FROM orders), o AS (SELECT *, CASE k WHEN 0 THEN 'Mayor Ada Moss' WHEN 1 THEN 'Mayor Ada Moss' WHEN 2 THEN 'Ben Ito' WHEN 3 THEN 'Cy Dole' WHEN 4 THEN 'Mayor Ada Moss' END AS own FROM s), b AS (SELECT *, last_value(CASE WHEN k <> 5 THEN coalesce(own, '') END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM o) SELECT o_orderkey, CASE WHEN k = 5 AND prior = 'Mayor Ada Moss' THEN prior ELSE own END AS speaker FROM b")
+def from_text(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.element_at(F.array(*(F.lit(x) for x in SAYS)), (F.col("o_orderkey") % len(SAYS) + 1).cast("int")).alias("text"))
+    return labels.label_from_text(o, ["o_custkey"], ["o_orderkey"], "text", ROSTER, "Ada Moss", "speaker").select("o_orderkey", "speaker")
