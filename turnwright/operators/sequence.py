@@ -30,6 +30,15 @@ def runs(df: DataFrame, keys: list[str], order: list[str], same: str, text: str
     return runs_of.groupBy(*keys, F.col("__same").alias("run_id"), same).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"), *joined)
 
 
+def dominant_share(df: DataFrame, keys: list[str], order: list[str], unknown: str = "UNKNOWN") -> DataFrame:
+    """Of each group of blocks the known speaker with most seconds (best: speaker, n; ties to the first), total seconds, rows, and the speaker's share of the total."""
+    df = df.withColumn("__d", F.col("end") - F.col("start"))
+    known = df.where(F.col("speaker") != unknown).groupBy(*keys, "speaker").agg(F.sum("__d").alias("n"), F.min(F.struct(*order)).alias("first"))
+    best = known.groupBy(*keys).agg(F.min_by(F.struct("speaker", "n"), F.struct((-F.col("n")).alias("n"), "first")).alias("best"))
+    total = df.groupBy(*keys).agg(F.sum("__d").alias("total"), F.count(F.lit(1)).alias("rows"))
+    return total.join(best, keys, "left").withColumn("share", F.when(F.col("total") > 0, F.col("best.n") / F.col("total")))
+
+
 def small_blocks(df: DataFrame, keys: list[str], order: list[str], short: float, dominance: float = 0.6, unknown: str = "UNKNOWN") -> DataFrame:
     """Runs of blocks under `short`: merged into one of the main speaker's if that has the share, else kept and, without any known speaker, deferred.
 
@@ -38,10 +47,7 @@ def small_blocks(df: DataFrame, keys: list[str], order: list[str], short: float,
     df = df.withColumn("__d", F.col("end") - F.col("start"))
     df = df.withColumn("__short", F.col("__d") < short)
     df = islands(df, keys, order, before("__short", keys, order) != F.col("__short"), "__run")
-    known = df.where((F.col("__short")) & (F.col("speaker") != unknown)).groupBy(*keys, "__run", "speaker").agg(F.sum("__d").alias("n"), F.min(F.struct(*order)).alias("first"))
-    best = known.groupBy(*keys, "__run").agg(F.min_by(F.struct("speaker", "n"), F.struct((-F.col("n")).alias("n"), "first")).alias("best"))
-    total = df.where("__short").groupBy(*keys, "__run").agg(F.sum("__d").alias("total"), F.count(F.lit(1)).alias("rows"))
-    runs_of = total.join(best, [*keys, "__run"], "left").withColumn("share", F.when(F.col("total") > 0, F.col("best.n") / F.col("total")))
+    runs_of = dominant_share(df.where("__short"), [*keys, "__run"], order, unknown)
     df = df.join(runs_of, [*keys, "__run"], "left")
     merge = F.col("__short") & (F.col("share") >= dominance)
     defer = F.col("__short") & (F.col("best").isNull() | (F.col("total") == 0))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from turnwright.operators import resolve, sequence
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
+from turnwright.session import scratch
 from turnwright.sinks import publish
 from turnwright.sources import scans
 from turnwright.streaming import review as streams
@@ -129,3 +131,122 @@ def sessions(spark, sf):
 @add("t7_churn", "SELECT date_trunc('day', ts)::TIMESTAMP AS start, count(DISTINCT event_type) AS labels, count(*) AS n FROM events GROUP BY 1")
 def churn(spark, sf):
     return streams.churn(table(spark, sf, "events"), "event_type")
+
+
+@add("s1_meetings", "SELECT n_name AS meeting_id, DATE '2026-01-01' + CAST(n_nationkey AS INTEGER) AS meeting_date, n_regionkey AS duration_seconds, 1 AS sections FROM nation")
+def meeting_files(spark, sf):
+    """A file a meeting, read again."""
+    path = scratch(spark)
+    section = F.struct(F.lit(5).alias("start_seconds"), F.col("n_name").alias("label"))
+    doc = F.to_json(F.struct(F.col("n_name").alias("meeting_id"), F.expr("date_add(DATE '2026-01-01', cast(n_nationkey AS int))").cast("string").alias("meeting_date"), F.col("n_regionkey").alias("duration_seconds"), F.array(section).alias("sections")))
+    table(spark, sf, "nation").select("n_nationkey", doc.alias("value")).write.partitionBy("n_nationkey").text(path)
+    return scans.meetings(spark, f"{path}/*").select("meeting_id", "meeting_date", "duration_seconds", F.size("sections").alias("sections"))
+
+
+@add("s7_html_table", "SELECT s_nationkey AS page_id, s_suppkey AS clip_id, s_name AS name, strftime(DATE '2020-01-01' + CAST(s_suppkey AS INTEGER), '%b %d, %Y') AS date_label, DATE '2020-01-01' + CAST(s_suppkey AS INTEGER) AS date, printf('%02dh %02dm', s_suppkey % 5, s_suppkey % 60) AS duration_label, s_suppkey % 5 * 3600 + s_suppkey % 60 * 60 AS duration_seconds, 'https://m.example/AgendaViewer.php?id=' || s_suppkey AS agenda_url, CASE WHEN s_suppkey % 3 = 0 THEN 'https://m.example/MinutesViewer.php?id=' || s_suppkey END AS minutes_url, 'https://v.example/' || s_suppkey || '.mp3' AS mp3_url, NULL::VARCHAR AS mp4_url, 'https://m.example/player/clip/' || s_suppkey AS player_url, 'https://m.example/MediaPlayer.php?view_id=1&clip_id=' || s_suppkey AS media_player_url, lower(strftime(DATE '2020-01-01' + CAST(s_suppkey AS INTEGER), '%b-%d-%Y')) AS meeting_id_suggested FROM supplier WHERE s_suppkey % 4 <> 0")
+def html_table(spark, sf):
+    day = F.expr("date_add(DATE '2020-01-01', cast(s_suppkey AS int))")
+    key = F.col("s_suppkey")
+    clip = F.when(key % 4 != 0, F.concat(F.lit("<a href='/x?clip_id="), key, F.lit("'>play</a>"))).otherwise("")
+    minutes = F.when(key % 3 == 0, F.concat(F.lit('<a href="//m.example/MinutesViewer.php?id='), key, F.lit('">m</a>'))).otherwise("")
+    row = F.concat(F.lit("<TR class='x'>\n<td>&nbsp;"), "s_name", F.lit("</td><td nowrap> "), F.date_format(day, "MMM dd, yyyy"), F.lit(' </td><td class="d" headers="Duration a"><b>'), F.format_string("%02dh %02dm", key % 5, key % 60), F.lit('</b></td><td><a href="//m.example/AgendaViewer.php?id='), key, F.lit('">a</a>'), minutes, F.lit('<a href="https://v.example/'), key, F.lit('.mp3">s</a>'), clip, F.lit("</td></tr>"))
+    pages = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("page_id")).agg(F.concat(F.lit("<table><tr><td>clip_id=1</td></tr><!-- Meetings -->"), F.array_join(F.collect_list(row), "\n"), F.lit("<!-- End -->")).alias("html"))
+    return scans.meeting_table(pages, "page_id", "<!-- Meetings -->", "<!-- End -->", "https://m.example")
+
+
+@add("s8_html_points", "SELECT conv_id, turn * 60 AS start_seconds, role AS label FROM conversations WHERE turn % 3 <> 0")
+def html_points(spark, sf):
+    time = F.when(F.col("turn") % 3 != 0, (F.col("turn") * 60).cast("string")).otherwise("soon")
+    point = F.concat(F.lit("<div id='p' time='"), time, F.lit('\' class="item index-point">\n <b>'), "role", F.lit("</b>  </div>"))
+    pages = table(spark, sf, "conversations").groupBy("conv_id").agg(F.concat(F.lit("<div class='outer'>"), F.array_join(F.collect_list(point), ""), F.lit("</div>")).alias("html"))
+    return scans.html_points(pages, "conv_id").select("conv_id", "start_seconds", "label")
+
+
+@add("s9_registry", "SELECT 'k' || n_nationkey AS speaker_key, n_name AS display_name, 2 AS aliases FROM nation WHERE n_nationkey > 0")
+def registry_file(spark, sf):
+    """One file of speakers, where an entry comes twice and one has no key."""
+    path = scratch(spark)
+    key = F.when(F.col("n_nationkey") > 0, F.concat(F.lit("k"), "n_nationkey")).otherwise(" ")
+    entry = lambda name, at: F.struct(F.lit(at).alias("at"), key.alias("speaker_key"), name.alias("display_name"), F.array(F.lit("x"), F.col("n_name")).alias("aliases"))
+    n = table(spark, sf, "nation").select(F.explode(F.array(entry(F.lit("old"), 0), entry(F.col("n_name"), 1))).alias("s"))
+    n.agg(F.to_json(F.struct(F.sort_array(F.collect_list("s")).alias("speakers"))).alias("value")).coalesce(1).write.text(path)  # one row for each nation
+    return scans.registry(spark, path).select("speaker_key", "display_name", F.size("aliases").alias("aliases"))
+
+
+@add("s11_approval_file", "SELECT DISTINCT o_custkey, o_orderstatus AS speaker_raw, 'approved' AS status FROM orders WHERE o_orderstatus <> 'F'")
+def approval_file(spark, sf):
+    """Approvals under their own key, beside other ones; entries that are null are left out."""
+    entry = F.when(F.col("o_orderstatus") != "F", F.struct(F.lit("approved").alias("status")))
+    maps = table(spark, sf, "orders").select("o_custkey", "o_orderstatus").distinct().groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", entry.alias("v")))).alias("m"))
+    docs = maps.select("o_custkey", F.to_json(F.struct(F.lit("v1").alias("schema"), F.col("m").alias("approvals")), {"ignoreNullFields": "false"}).alias("document"))
+    return scans.approvals(docs, "o_custkey").select("o_custkey", "speaker_raw", "status")
+
+
+@add("s13_k5_review_sheet", "SELECT s_suppkey, s_name, 'say \"hi\", ' || s_nationkey AS note FROM supplier")
+def review_sheet(spark, sf):
+    path = f"{scratch(spark)}/sheet.csv"
+    publish.csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", F.concat(F.lit('say "hi", '), "s_nationkey").alias("note")), path)
+    return scans.review_sheet(spark, path, "s_suppkey long, s_name string, note string")
+
+
+@add("k4_search_index", "SELECT conv_id AS meeting_id, 'now' AS generated_at, count(*) AS segments, arg_min(role, turn) AS first_speaker, count(DISTINCT role) AS speakers FROM conversations GROUP BY conv_id")
+def search_index(spark, sf):
+    segments = spoken(spark, sf).select("meeting_id", "pos", "speaker", "text")
+    docs = publish.search_document(segments.select("meeting_id").distinct(), segments, "now")
+    read = F.from_json("content", "generated_at string, meetings array<struct<meeting_id:long>>, segments array<struct<pos:long,speaker:string,text:string>>, speakers array<string>")
+    d = docs.select(read.alias("d"))
+    return d.select(F.col("d.meetings")[0]["meeting_id"].alias("meeting_id"), "d.generated_at", F.size("d.segments").cast("long").alias("segments"), F.col("d.segments")[0]["speaker"].alias("first_speaker"), F.size("d.speakers").cast("long").alias("speakers"))
+
+
+@add("k4_index_by_date", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = DATE '1995-06-01'")
+def index_by_date(spark, sf):
+    path = scratch(spark)
+    publish.search_index(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("meeting_date")), path)
+    return spark.read.parquet(path).where("meeting_date = DATE '1995-06-01'").select("o_orderkey", "o_custkey")
+
+
+@add("k9_atomic", "SELECT c_custkey, c_name FROM customer")
+def replaced(spark, sf):
+    path, c = scratch(spark), table(spark, sf, "customer").select("c_custkey", "c_name")
+    publish.atomic(c.where("c_custkey % 2 = 0"), path)
+    publish.atomic(c, path)
+    return spark.read.parquet(publish.current(spark, path))
+
+
+@add("k11_append_state", "SELECT user_id, arg_max(event_id, event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
+def appended(spark, sf):
+    path, e = scratch(spark), table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    publish.append_state(e.where("event_id % 2 = 0"), path)
+    publish.append_state(e.where("event_id % 2 = 1"), path)
+    return resolve.latest(spark.read.parquet(path), ["user_id"], ["event_id"])
+
+
+@add("a9_dominance", f"WITH {TURNS_SQL}, d AS (SELECT meeting_id, speaker, sum(\"end\" - start) AS n, min(pos) AS first FROM turns WHERE speaker <> 'error' GROUP BY ALL), b AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY meeting_id ORDER BY n DESC, first) = 1), t AS (SELECT meeting_id, sum(\"end\" - start) AS total FROM turns GROUP BY meeting_id) SELECT t.meeting_id, b.speaker, CASE WHEN total > 0 THEN floor(b.n * 1000000 / total) END AS share FROM t LEFT JOIN b USING (meeting_id)")
+def dominance(spark, sf):
+    d = sequence.dominant_share(turns(spark, sf), ["meeting_id"], ["pos"], "error")
+    return d.select("meeting_id", F.col("best.speaker").alias("speaker"), F.when(F.col("total") > 0, F.floor(F.col("best.n") * 1000000 / F.col("total")).cast("double")).alias("share"))
+
+
+@add("t4_t5_decisions", "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
+def decision_stream(spark, sf):
+    """events as a stream of decisions, of which the last of each user stays."""
+    path, e = scratch(spark), table(spark, sf, "events")
+    e.select("user_id", "event_id", "event_type").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema("user_id long, event_id long, event_type string").parquet(f"{path}/in")
+    streams.latest_decisions(stream, f"{path}/state", f"{path}/checkpoint", ["user_id"], ["event_id"]).awaitTermination()
+    return streams.decisions(spark, f"{path}/state", ["user_id"], ["event_id"])
+
+
+@add("c4_lineage", "SELECT o_custkey, array_to_string(list_sort(flatten(list([o_orderkey, -o_orderkey]))), ',') AS ids FROM orders GROUP BY o_custkey")
+def lineage(spark, sf):
+    """The lists of ids of rows that were merged, as one list."""
+    ids = F.flatten(F.collect_list(F.array("o_orderkey", -F.col("o_orderkey"))))
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(ids).cast("array<string>"), ",").alias("ids"))
+
+
+@add("c7_map_increment", "SELECT user_id, coalesce(sum(value) FILTER (event_type = 'view'), 0) AS views, count(DISTINCT event_type) AS kinds FROM (SELECT user_id, event_type, floor(value) AS value FROM events) GROUP BY user_id")
+def increments(spark, sf):
+    """A map of scores by key for each user."""
+    each = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.sum(F.floor("value")).cast("double").alias("n"))
+    scores = each.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    return scores.select("user_id", F.coalesce(F.try_element_at("m", F.lit("view")), F.lit(0.0)).alias("views"), F.size("m").cast("long").alias("kinds"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +49,23 @@ def session(name: str = "turnwright", **conf: str) -> SparkSession:
     return reachable(builder.getOrCreate())
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the session's spark.checkpoint.dir; only where that is unset and all is one process (tests), in a new temporary folder."""
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; only where that is unset and all is one process (tests), a new temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession) -> str:
+    """The path of a new folder that the driver and all executors share."""
+    return f"{_shared_folder(spark)}/{uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a reliable checkpoint in the shared folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwright.functions.text import collapse, strip_tags, vtt_millis
+from turnwright.functions.text import collapse, duration, slug, strip_tags, unescape, vtt_millis
 
 WORD = "struct<start:string,end:string,word:string,text:string,speaker_id:string,type:string>"
 SEGMENT = "struct<start:string,end:string,text:string,speaker:string>"
@@ -83,6 +83,32 @@ def html_elements(df: DataFrame, key: str, tag: str, html: str = "html") -> Data
     return rows.select(key, "pos", strip_tags(F.col("item")).alias("label"))
 
 
+def html_rows(html: Column, begin: str, end: str, mark: str) -> Column:
+    """The table rows between two marks of a page that hold a pattern; none where a mark is missing."""
+    section = F.regexp_extract(html, rf"(?s)\Q{begin}\E(.*?)\Q{end}\E", 1)
+    return F.filter(F.regexp_extract_all(section, F.lit(r"(?is)<tr\b.*?</tr>"), 0), lambda r: F.rlike(r, F.lit(mark)))
+
+
+def meeting_table(df: DataFrame, key: str, begin: str, end: str, site: str, name: str = "Meeting", view: str = "1", html: str = "html") -> DataFrame:
+    """(key and 13 columns) of a page's table of recorded meetings between two marks, one row for each with a clip, newest first."""
+    cell = lambda pattern: collapse(unescape(F.regexp_replace(F.regexp_extract("r", pattern, 1), r"<[^>]+>", "")))
+    link = lambda pattern, scheme="": F.concat(F.lit(scheme), F.nullif(F.regexp_extract("r", rf'href="({pattern})"', 1), F.lit("")))
+    rows = df.select(key, F.explode(html_rows(F.col(html), begin, end, r"clip_id=\d")).alias("r"))
+    rows = rows.select(key, F.regexp_extract("r", r"clip_id=(\d+)", 1).cast("long").alias("clip_id"), F.coalesce(F.nullif(cell(r"&nbsp;([^<\r\n]+)"), F.lit("")), F.lit(name)).alias("name"), cell(r"(?i)<td[^>]*nowrap[^>]*>\s*([^<]+)\s*</td>").alias("date_label"), cell(r'(?is)<td[^>]*headers="Duration.*?">(.*?)</td>').alias("duration_label"), link(r"//[^\"]+/AgendaViewer\.php[^\"]+", "https:").alias("agenda_url"), link(r"//[^\"]+/MinutesViewer\.php[^\"]+", "https:").alias("minutes_url"), link(r"https://[^\"]+\.mp3").alias("mp3_url"), link(r"https://[^\"]+\.mp4").alias("mp4_url"))
+    date = F.expr("try_to_date(date_label, 'MMM d, yyyy')")
+    clip = F.col("clip_id").cast("string")
+    out = rows.select(key, "clip_id", "name", "date_label", date.alias("date"), "duration_label", duration(F.col("duration_label")).alias("duration_seconds"), "agenda_url", "minutes_url", "mp3_url", "mp4_url", F.concat(F.lit(f"{site}/player/clip/"), clip).alias("player_url"), F.concat(F.lit(f"{site}/MediaPlayer.php?view_id={view}&clip_id="), clip).alias("media_player_url"), slug(date).alias("meeting_id_suggested"))
+    return out.orderBy(F.col("date").desc_nulls_last(), F.col("clip_id").desc())
+
+
+def html_points(df: DataFrame, key: str, tag: str = "div", token: str = "index-point", attribute: str = "time", html: str = "html") -> DataFrame:
+    """(key, start_seconds, label) of elements whose class has a token and whose attribute is a number, in any order of attributes; the next end tag ends them."""
+    opening = rf"<{tag}\b(?=[^>]*\sclass=[\"'][^\"'>]*{token})(?=[^>]*\s{attribute}=[\"'](\d+)[\"'])[^>]*>"
+    rows = df.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(rf"(?is){opening}.*?</{tag}>"), 0)).alias("pos", "e"))
+    rows = rows.select(key, "pos", F.regexp_extract("e", rf"(?is){opening}", 1).cast("long").alias("start_seconds"), strip_tags(F.col("e")).alias("label"))
+    return rows.where("label <> ''")
+
+
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """Speakers by key, last entry of a key; their raw ids exploded by J12."""
     rows = read_json(spark, path, REGISTRY).select(F.posexplode("speakers").alias("pos", "s")).select("pos", "s.*").where("trim(speaker_key) <> ''")
@@ -106,7 +132,7 @@ def embeddings(listed: DataFrame, files: DataFrame) -> DataFrame:
 def review_sheet(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A sheet of reviews, CSV or JSON by its suffix."""
     reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if path.endswith(".csv") else reader.option("multiLine", True).json(path)
+    return reader.option("header", True).option("escape", '"').csv(path) if path.endswith(".csv") else reader.option("multiLine", True).json(path)
 
 
 def gold(df: DataFrame, key: str, document: str = "document") -> DataFrame:
