@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from importlib import import_module
 
+from pyspark.sql import DataFrame, SparkSession
+
 MODULES = {
     "op1_byte_bpe": "op1_bpe",
     "op2_decontamination": "op2_decontaminate",
@@ -18,10 +21,18 @@ MODULES = {
 }
 
 
-def queries() -> dict:
-    return {name: import_module(f"turnwright.llm.{module}").query for name, module in MODULES.items()}
+#: Operators with SQL.
+SQL = ("op7_license_scan",)
+
+
+def _query(module: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The query of a module, which is imported when the query is asked for: a library that one operator lacks keeps no other from running."""
+    return lambda spark, sf_dir: import_module(f"turnwright.llm.{module}").query(spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _query(module) for name, module in MODULES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {name: getattr(import_module(f"turnwright.llm.{module}"), "ORACLE_SQL", None) for name, module in MODULES.items()}
-    return {name: sql for name, sql in out.items() if sql}
+    return {name: import_module(f"turnwright.llm.{MODULES[name]}").ORACLE_SQL for name in SQL}
