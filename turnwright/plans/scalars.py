@@ -99,7 +99,7 @@ def explode(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
 
 
-@plans.add("f11_token_join")
+@plans.add("f11_token_join", "SELECT doc_id, array_to_string(list_transform(w, lambda t, i: CASE WHEN i = 1 OR left(t, 1) IN (chr(39), '.', ',') OR t IN ('!', '?', ':', ';') THEN t ELSE ' ' || t END), '') AS x FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '([.,!?:;])(\\s|$)', ' \\1\\2', 'g'), '\\s+') AS w FROM documents)")
 def token_join(spark, sf):
     apart = F.regexp_replace("text", r"([.,!?:;])(\s|$)", " $1$2")
     return table(spark, sf, "documents").select("doc_id", t.join_tokens(F.split(apart, r"\s+")).alias("x"))

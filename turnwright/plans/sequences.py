@@ -161,8 +161,35 @@ for _name, _work in {
 }.items():
     plans.queries[_name] = lambda spark, sf, work=_work: folds.fold(_turns_for_folds(spark, sf), KEYS, ORDER, work, FOLDED)
 
-
-@plans.add("w3_cue_chunks")
+# the same in SQL: rows one by one, each with what was gathered before it
+FT = f"""{TURNS_SQL}, ft AS (SELECT meeting_id, pos, start / 3600 AS start, "end" / 3600 AS "end", CASE WHEN speaker = 'error' THEN 'Unknown Speaker' ELSE speaker END AS speaker,
+ CASE speaker WHEN 'view' THEN 'approved' WHEN 'purchase' THEN 'chair' ELSE 'heuristic' END AS status, (['I', 'and we turn it over to Ben', 'Thank you, Ada', 'the budget is', 'Please rise. ', 'so it goes on'])[pos % 6 + 1] AS text FROM turns)"""
+_STEP = "SELECT f.*, r.pos AS rpos, r.start AS rs, r.\"end\" AS re, r.speaker AS rsp, r.status AS rst, r.text AS rt FROM f JOIN ft r ON r.meeting_id = f.meeting_id AND r.pos = f.pos + 1"
+_LAST = "QUALIFY row_number() OVER (PARTITION BY meeting_id, p0 ORDER BY pos DESC) = 1"
+
+
+def _chunks(test: str, end: str, text: str) -> str:
+    return f"""WITH RECURSIVE {FT}, f AS (SELECT meeting_id, pos, pos AS p0, start, "end", speaker, status, text FROM ft WHERE pos = 1 UNION ALL
+ SELECT meeting_id, rpos, CASE WHEN j THEN p0 ELSE rpos END, CASE WHEN j THEN start ELSE rs END, CASE WHEN j THEN {end} ELSE re END, CASE WHEN j THEN speaker ELSE rsp END, CASE WHEN j THEN status ELSE rst END, CASE WHEN j THEN {text} ELSE rt END
+ FROM (SELECT *, {test} AS j FROM ({_STEP}) x) y) SELECT meeting_id, p0 AS pos, start, "end", speaker, status, text FROM f {_LAST}"""
+
+
+plans.sql["w2_turn_chunks"] = _chunks("""speaker = rsp AND round(rs - "end", 3) <= 1.2 AND round("end" - start, 3) < 35 AND NOT (length(text) >= 650 AND right(text, 1) IN ('.', '!', '?'))""", 'greatest("end", re)', "trim(text || ' ' || rt)")
+_FIRST = "split_part(trim(rt), ' ', 1)"
+_STARTS = ", ".join(f"'{w}'" for w in sorted(folds.CONTINUATION_STARTS))
+_NOT = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(folds.NOT_FRAGMENTS))
+plans.sql["w9_fragment_repair"] = _chunks(f"""speaker NOT IN ('', 'Unknown Speaker') AND rs - "end" <= 3 AND length(trim(text)) BETWEEN 5 AND 600 AND right(trim(text), 1) NOT IN ('.', '!', '?', '"') AND ({_FIRST} IN ({_STARTS}) OR length(trim(rt)) < 80 AND left({_FIRST}, 1) BETWEEN 'A' AND 'Z' AND lower({_FIRST}) NOT IN ({_NOT}))""", "re", "trim(text) || ' ' || trim(rt)")
+plans.sql["w10_hand_offs"] = f"""WITH {FT}, l AS (SELECT *, lag(text) OVER w = 'and we turn it over to Ben' AND start - lag("end") OVER w < 3 AS called FROM ft WINDOW w AS (PARTITION BY meeting_id ORDER BY pos))
+ SELECT meeting_id, pos, start, "end", CASE WHEN called THEN 'Ben' ELSE speaker END AS speaker, CASE WHEN called THEN 'heuristic' ELSE status END AS status, text FROM l"""
+_GOES_ON = " OR ".join(f"contains(lower(left(text, 100)), '{p}')" for p in ("i ", "we ", "the ", "this ", "our ", "to the", "ask ", "please ", "will now"))
+plans.sql["w12b_chair_carry"] = f"""WITH {FT}, l AS (SELECT *, last_value(CASE WHEN status = 'chair' THEN speaker WHEN speaker NOT IN ('', 'Unknown Speaker') THEN '' END IGNORE NULLS) OVER (PARTITION BY meeting_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS chair FROM ft),
+ m AS (SELECT *, status <> 'chair' AND speaker IN ('', 'Unknown Speaker') AND coalesce(chair, '') <> '' AND ({_GOES_ON}) AS carried FROM l) SELECT meeting_id, pos, start, "end", CASE WHEN carried THEN chair ELSE speaker END AS speaker, CASE WHEN carried THEN 'heuristic' ELSE status END AS status, text FROM m"""
+
+
+@plans.add("w3_cue_chunks", f"""WITH RECURSIVE {FT}, f AS (SELECT meeting_id, pos, pos AS p0, start, "end", CASE WHEN status = 'approved' THEN speaker ELSE '' END AS speaker, CASE WHEN status = 'approved' THEN speaker ELSE '' END AS hint, trim(text) AS text, 1 AS n FROM ft WHERE pos = 1 UNION ALL
+ SELECT meeting_id, rpos, CASE WHEN j THEN p0 ELSE rpos END, CASE WHEN j THEN start ELSE rs END, re, CASE WHEN j THEN speaker ELSE now END, now, CASE WHEN j THEN trim(text || ' ' || trim(rt)) ELSE trim(rt) END, CASE WHEN j THEN n + 1 ELSE 1 END
+ FROM (SELECT *, rst <> 'chair' AND now = speaker AND "end" - start < 30 AND NOT (length(text) >= 650 AND right(text, 1) IN ('.', '!', '?')) AS j FROM (SELECT *, CASE WHEN rst = 'approved' THEN rsp WHEN rst = 'chair' THEN '' ELSE hint END AS now FROM ({_STEP}) x) y) z)
+ SELECT meeting_id, p0 AS pos, start, "end", speaker, n::BIGINT AS n, text FROM f {_LAST}""")
 def w3(spark, sf):
     df = _turns_for_folds(spark, sf).withColumns({"new_speaker": F.col("status") == "chair", "speaker_hint": F.when(F.col("status") == "approved", F.col("speaker")).otherwise("")})
     return folds.fold(df, KEYS, ORDER, folds.chunk_cues, "meeting_id long, pos long, start double, end double, speaker string, n long, text string")
@@ -177,7 +204,8 @@ def w11(spark, sf):
     return df.select("c_custkey", F.coalesce(name, "speaker").alias("speaker"), F.coalesce(name != F.col("speaker"), F.lit(False)).alias("self_intro_applied"))
 
 
-@plans.add("w19_roll_call_skip")
+@plans.add("w19_roll_call_skip", f"""WITH RECURSIVE {FT}, h AS (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY pos) AS k FROM ft WHERE status = 'chair'), f AS (SELECT meeting_id, k, pos, start, speaker, start AS taken, true AS hit FROM h WHERE k = 1
+ UNION ALL SELECT h.meeting_id, h.k, h.pos, h.start, h.speaker, CASE WHEN h.start - f.taken >= 60 THEN h.start ELSE f.taken END, h.start - f.taken >= 60 FROM f JOIN h ON h.meeting_id = f.meeting_id AND h.k = f.k + 1) SELECT meeting_id, pos, start, speaker FROM f WHERE hit""")
 def w19(spark, sf):
     df = _turns_for_folds(spark, sf).withColumn("hit", F.col("status") == "chair")
     return folds.fold(df, KEYS, ORDER, lambda rows: folds.skip_after(rows, "hit", 60.0), "meeting_id long, pos long, start double, speaker string")
