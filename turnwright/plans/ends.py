@@ -198,10 +198,10 @@ def search_index(spark, sf):
     return d.select(F.col("d.meetings")[0]["meeting_id"].alias("meeting_id"), "d.generated_at", F.size("d.segments").cast("long").alias("segments"), F.col("d.segments")[0]["speaker"].alias("first_speaker"), F.size("d.speakers").cast("long").alias("speakers"))
 
 
-@add("k4_index_by_date", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = DATE '1995-06-01'")
+@add("k4_index_by_date", "SELECT o_orderkey, o_custkey FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1995-06-01'")
 def index_by_date(spark, sf):
     path = scratch(spark)
-    publish.search_index(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("meeting_date")), path)
+    publish.search_index(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("meeting_date")), path)
     return spark.read.parquet(path).where("meeting_date = DATE '1995-06-01'").select("o_orderkey", "o_custkey")
 
 
