@@ -49,9 +49,9 @@ def hashed(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def bins() -> Column:
-    mask = F.lit((1 << BITS) - 1).cast("long")
-    return F.concat(F.transform("h1", lambda h: h.bitwiseAND(mask)), F.transform("h2", lambda h: h.bitwiseAND(mask)))
+def bin_of(h: str) -> Column:
+    """The bin of an n-gram's hash; told once the n-grams are rows, where generated code does it."""
+    return F.col(h).bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
 
 
 def symbols(text: Column) -> Column:
@@ -68,8 +68,9 @@ def trusted(text: Column) -> Column:
 def weights(corpus: DataFrame, text: str = "text", is_trusted: Column | None = None) -> DataFrame:
     """Of each of the 2**BITS bins, the log-likelihood ratio between the trusted documents of the corpus and all of them."""
     sides = hashed(corpus.select(F.col(text).alias("text"), *([is_trusted.alias("given")] if is_trusted is not None else [])), "text")
-    sides = sides.select((F.col("given") if is_trusted is not None else trusted(F.col("text"))).cast("int").alias("good"), bins().alias("bins"))
-    counts = sides.select("good", F.explode("bins").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
+    sides = sides.select((F.col("given") if is_trusted is not None else trusted(F.col("text"))).cast("int").alias("good"), F.concat("h1", "h2").alias("grams"))
+    # the outer form, as for the inner one the optimiser would ask first whether there are any, and split and hash each text several times for it
+    counts = sides.select("good", F.explode_outer("grams").alias("gram")).where("gram is not null").select("good", bin_of("gram").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target"))
     every = cut(corpus.sparkSession.range(1 << BITS).select(F.col("id").alias("bin")).join(counts, "bin", "left").na.fill(0))
     raw, target = (every.agg(F.sum(side) + float(1 << BITS)).scalar() for side in ("raw", "target"))
     return every.select("bin", (F.log((F.col("target") + 1.0) / target) - F.log((F.col("raw") + 1.0) / raw)).alias("weight"))
@@ -97,9 +98,9 @@ def base(df: DataFrame, text: str) -> DataFrame:
 
 def judge(docs: DataFrame, learned: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs without their text, with the counts of the base rules, base_failed, llr and kept. learned: what weights() gives."""
-    df = base(docs, text).withColumn("bins", bins()).drop("h1", "h2", text).withColumn("row", F.monotonically_increasing_id())
-    keys = [c for c in df.columns if c != "bins"]
-    each = df.select(*keys, F.explode_outer("bins").alias("bin")).join(F.broadcast(learned), "bin", "left")
+    df = base(docs, text).withColumn("grams", F.concat("h1", "h2")).drop("h1", "h2", text).withColumn("row", F.monotonically_increasing_id())
+    keys = [c for c in df.columns if c != "grams"]
+    each = df.select(*keys, F.explode_outer("grams").alias("gram")).select(*keys, bin_of("gram").alias("bin")).join(F.broadcast(learned), "bin", "left")
     df = each.groupBy(*keys).agg(F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr")).drop("row")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return df.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= threshold))
