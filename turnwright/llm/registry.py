@@ -18,6 +18,7 @@ MODULES = {
     "op8_substring_dedup": "op8_substrings",
     "op9_quality_classifier": "op9_classifier",
     "op10_language_id": "op10_language",
+    "op11_vector_codes": "op11_codes",
     "op12_secret_scan": "op12_secrets",
     "op13_token_alignment": "op13_align",
 }
