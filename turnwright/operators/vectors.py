@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,33 +43,175 @@ def blocks_of(df: DataFrame, size: int) -> int:
     return max(1, -(-df.count() // size))
 
 
-def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, size: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of different groups with cosine of at least `least`, exact.
+def _rows_of(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
+    return df.select(key, group, F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL")
 
-    Rows are dealt to as many blocks of about `size` as there are; each pair of blocks is one task that multiplies two matrices, so a
-    task's memory is the same at any number of rows, and no pair below the threshold leaves it.
-    """
-    blocks = blocks_of(df, size)
-    rows = df.select(key, group, F.transform(vector, lambda x: x.cast("double")).alias("v"), F.expr(f"pmod(xxhash64({key}), {blocks})").cast("int").alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    dealt = rows.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+def _multiplied(dealt: DataFrame, tile: list[str], key: str, group: str, least: float, same: bool) -> DataFrame:
+    """Pairs of each tile's two chunks. dealt: a row for each tile that a vector is in, with key, group, v, its chunk, and the tile's chunks left and right."""
+    kind = dealt.schema[key].dataType.simpleString()
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        left, right = part[part["block"] == i], part[part["block"] == j]
-        if not len(left) or not len(right):
+        i, j = part["left"].iloc[0], part["right"].iloc[0]
+        one, two = part[part["chunk"] == i], part[part["chunk"] == j]
+        if not len(one) or not len(two):
             return pd.DataFrame({"a": [], "b": [], "sim": []})
-        sim = unit_rows(left["v"]) @ unit_rows(right["v"]).T
+        sim = unit_rows(one["v"]) @ unit_rows(two["v"]).T
         a, b = np.nonzero(sim >= least)
-        out = pd.DataFrame({"a": left[key].to_numpy()[a], "b": right[key].to_numpy()[b], "sim": sim[a, b], "ga": left[group].to_numpy()[a], "gb": right[group].to_numpy()[b]})
+        out = pd.DataFrame({"a": one[key].to_numpy()[a], "b": two[key].to_numpy()[b], "sim": sim[a, b], "ga": one[group].to_numpy()[a], "gb": two[group].to_numpy()[b]})
         if i == j:
             out = out[out["a"] < out["b"]]
-        out = out[out["ga"] != out["gb"]]
+        out = out[(out["ga"] == out["gb"]) == same]
         swap = out["a"] > out["b"]
         out.loc[swap, ["a", "b"]] = out.loc[swap, ["b", "a"]].to_numpy()
         return out[["a", "b", "sim"]]
 
-    return dealt.groupBy("i", "j").applyInPandas(work, f"a {df.schema[key].dataType.simpleString()}, b {df.schema[key].dataType.simpleString()}, sim double")
+    return dealt.groupBy(*tile, "left", "right").applyInPandas(work, f"a {kind}, b {kind}, sim double")
+
+
+def block_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, blocks: int, same: bool = False) -> DataFrame:
+    """similar_pairs, by every block with every block."""
+    rows = _rows_of(df, key, vector, group).withColumn("chunk", F.expr(f"pmod(xxhash64({key}), {blocks})").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = rows.withColumn("other", other).withColumn("left", F.least("chunk", "other")).withColumn("right", F.greatest("chunk", "other"))
+    return _multiplied(dealt, [], key, group, least, same)
+
+
+#: Cells at most, numbers in their pivots at most, and rows at most, for each cell, among which pivots are sought.
+CELLS, PIVOT_NUMBERS, SOUGHT = 4096, 1 << 20, 8
+
+
+def farthest(x: np.ndarray, count: int) -> np.ndarray:
+    """Rows that stand far from each other: each is the farthest from those before it; fewer if there are no more distinct ones."""
+    chosen, gap = [0], np.linalg.norm(x - x[0], axis=1)
+    while len(chosen) < count and gap.max() > 0:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, np.linalg.norm(x - x[chosen[-1]], axis=1))
+    return x[chosen]
+
+
+class Cells:
+    """Unit vectors dealt to the nearest of some pivots, and the cells that may hold a neighbour of a vector within reach."""
+
+    def __init__(self, pivots: np.ndarray, least: float):
+        self.pivots, self.reach = pivots, np.sqrt(max(0.0, 2 - 2 * least)) + 1e-7
+        self.between = np.linalg.norm(pivots[:, None] - pivots[None], axis=2) if len(pivots) <= 256 else np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
+        self.members = self.visitors = self.nearest = self.farthest = np.zeros(0)
+
+    def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each vector, the distances to all pivots, and its cell."""
+        far = np.sqrt(np.maximum(0, 2 - 2 * x @ self.pivots.T))
+        return far, far.argmin(axis=1)
+
+    def visits(self, far: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, cell) where a vector must be held against a later cell than its own.
+
+        A vector nearer to pivot j than to i is beyond the plane between them, so what is in cell i is no nearer to it than to that plane; and no
+        nearer than its distance to j is outside the least and greatest distances of j's members.
+        """
+        own = np.take_along_axis(far, home[:, None], axis=1)
+        gap = np.maximum(self.between[home], 1e-12)
+        near = (far * far - own * own) / (2 * gap) <= self.reach
+        near &= (far - self.farthest <= self.reach) & (self.nearest - far <= self.reach)
+        near &= (np.arange(len(self.pivots)) > home[:, None]) & (self.members > 0)
+        return np.nonzero(near)
+
+    def share(self) -> float:
+        """Of all pairs of vectors, the share that meets."""
+        n = self.members.sum()
+        return float((self.members * (self.members - 1) / 2 + self.members * self.visitors).sum() / max(n * (n - 1) / 2, 1))
+
+
+def _units(batch: pa.RecordBatch) -> np.ndarray:
+    flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1)
+
+
+def _unit_vectors(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
+    """key, group and v of length one; vectors of zeros, which are like no other, are left out."""
+    norm = F.sqrt(dot("v", "v"))
+    return _rows_of(df, key, vector, group).withColumn("norm", norm).where("norm > 0").select(key, group, F.transform("v", lambda x: x / F.col("norm")).alias("v"))
+
+
+def cells(units: DataFrame, key: str, least: float, count: int) -> Cells:
+    """Cells for so many pivots or fewer, with their members, their radii, and how many vectors visit each."""
+    width = units.select(F.size("v").alias("n")).first()
+    count = max(1, min(count, CELLS, PIVOT_NUMBERS // max(1, width.n)))
+    sought = units.orderBy(F.xxhash64(key), key).limit(count * SOUGHT).select("v").collect()
+    out = Cells(farthest(np.array([r.v for r in sought]), count), least)
+    n = len(out.pivots)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, low, high = np.zeros(n, np.int64), np.full(n, np.inf), np.zeros(n)
+        for batch in batches:
+            far, home = out.distances(_units(batch))
+            own = far[np.arange(len(home)), home]
+            members += np.bincount(home, minlength=n)
+            np.minimum.at(low, home, own)
+            np.maximum.at(high, home, own)
+        some = np.flatnonzero(members)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(members[some]), pa.array(low[some]), pa.array(high[some])], names=["cell", "n", "low", "high"])
+
+    found = units.select("v").mapInArrow(homes, "cell int, n long, low double, high double").groupBy("cell").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    out.members, out.nearest, out.farthest = np.zeros(n, np.int64), np.full(n, np.inf), np.zeros(n)
+    for r in found:  # a row for each pivot
+        out.members[r.cell], out.nearest[r.cell], out.farthest[r.cell] = r.n, r.low, r.high
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        visitors = np.zeros(n, np.int64)
+        for batch in batches:
+            visitors += np.bincount(out.visits(*out.distances(_units(batch)))[1], minlength=n)
+        some = np.flatnonzero(visitors)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(visitors[some])], names=["cell", "n"])
+
+    out.visitors = np.zeros(n, np.int64)
+    for r in units.select("v").mapInArrow(visits, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out.visitors[r.cell] = r.n
+    return out
+
+
+def cell_pairs(units: DataFrame, key: str, group: str, least: float, where: Cells, size: int, same: bool = False) -> DataFrame:
+    """similar_pairs of unit vectors, by cells: members of a cell meet each other and the cell's visitors, in chunks of about `size`."""
+    own_chunks, visiting_chunks = np.maximum(1, -(-where.members // size)), -(-where.visitors // size)
+    schema = f"{key} {units.schema[key].dataType.simpleString()}, {group} {units.schema[group].dataType.simpleString()}, v array<double>, tiles array<struct<cell: int, chunk: int, left: int, right: int>>"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far, home = where.distances(_units(batch))
+            row, cell = where.visits(far, home)
+            hashed = batch.column("hash").to_numpy().view(np.uint64)
+            lo, hi = (hashed & np.uint64(0xFFFFFFFF)).astype(np.int64), (hashed >> np.uint64(32)).astype(np.int64)
+            # each vector as a member of its cell, then as a visitor of others
+            row, cell, visitor = np.append(np.arange(len(home)), row), np.append(home, cell), np.append(np.zeros(len(home), bool), np.ones(len(row), bool))
+            chunk = np.where(visitor, own_chunks[cell] + hi[row] % np.maximum(1, visiting_chunks[cell]), lo[row] % own_chunks[cell])
+            copies = np.where(visitor, own_chunks[cell], own_chunks[cell] + visiting_chunks[cell])
+            order = np.argsort(row, kind="stable")
+            row, cell, chunk, copies = row[order], cell[order], chunk[order], copies[order]
+            other = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+            cell, chunk = np.repeat(cell, copies), np.repeat(chunk, copies)
+            tiles = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (cell, chunk, np.minimum(chunk, other), np.maximum(chunk, other))], names=["cell", "chunk", "left", "right"])
+            ends = np.append(0, np.cumsum(np.bincount(row, weights=copies, minlength=len(home)))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column(group), batch.column("v"), pa.ListArray.from_arrays(pa.array(ends), tiles)], names=[key, group, "v", "tiles"])
+
+    dealt = units.select(key, group, "v", F.xxhash64(key).alias("hash")).mapInArrow(deal, schema).select(key, group, "v", F.inline("tiles"))
+    return _multiplied(dealt, ["cell"], key, group, least, same)
+
+
+def similar_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, size: int = BLOCK, same: bool = False) -> DataFrame:
+    """Pairs (a, b) of different groups (same: of one group) with cosine of at least `least`, exact. Null vectors are in no pair.
+
+    On unit vectors a cosine is a distance. Each is dealt to the nearest of some pivots, about one for `size` rows, and is held only against the cells
+    that may reach it by the triangle inequality. Cells are cut into chunks of about `size`, two of which are one task that multiplies two matrices, so a
+    task's memory is the same at any number of rows, whatever one cell holds, and no pair below the threshold leaves it. Where nothing can be pruned (few rows, or a
+    threshold of 0 or less) every block meets every block.
+    """
+    blocks = blocks_of(df, size)
+    if blocks < 4 or least <= 0:
+        return block_pairs(df, key, vector, group, least, blocks, same)
+    units = _unit_vectors(df, key, vector, group)
+    if units.isEmpty():
+        return block_pairs(df, key, vector, group, least, 1, same)
+    return cell_pairs(units, key, group, least, cells(units, key, least, blocks), size, same)
 
 
 def top_matches(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, row_key: str | None = None, size: int = BLOCK) -> DataFrame:
