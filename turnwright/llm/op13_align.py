@@ -14,8 +14,10 @@ counts, those that repeat another row or a doc_id too; a null doc_id stays null.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +33,7 @@ from turnwright.llm.words import gather, raw, slices
 from turnwright.session import scratch
 
 SIDE_A, SIDE_B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-CACHED_CUTS = 150_000
+CACHED_CUTS = 300_000
 #: Bytes of text in a piece of work, pairs in a row of postings, cuts hashed at once.
 PIECE, POSTINGS, HASHED = 1 << 20, 1 << 14, 1 << 12
 #: Added to a serialized model it says: normalizer_spec { add_dummy_prefix: false }, as cuts bring their own spaces.
@@ -58,7 +60,26 @@ class Pieces:
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+
+
+#: Decimal numbers up to a tokenizer's ids, each with a comma, and where they start.
+_DECIMALS = b"".join(b"%d," % k for k in range(1 << 17))
+_DECIMAL_BYTES, _DECIMAL_ENDS = np.frombuffer(_DECIMALS, np.uint8), np.append(0, np.flatnonzero(np.frombuffer(_DECIMALS, np.uint8) == ord(",")) + 1)
+
+
+def _written(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Groups in order as text, each with its A ids, a bar, its B ids and a semicolon; and of each group where it starts."""
+    group = np.concatenate([group_a, group_b])
+    order = np.argsort(group, kind="stable")  # of equal groups A's come first
+    group, ids = group[order], np.concatenate([ids_a, ids_b])[order]
+    of_b = order >= len(ids_a)
+    text, ends = gather(_DECIMAL_BYTES, _DECIMAL_ENDS[ids], _DECIMAL_ENDS[ids + 1])
+    last = np.append(group[1:] != group[:-1], True)[: len(group)]
+    bar = np.append(of_b[1:] & ~of_b[:-1] & ~last[:-1], False)[: len(group)]
+    text[ends[1:][last] - 1] = ord(";")
+    text[ends[1:][bar] - 1] = ord("|")
+    return text.tobytes(), np.append(0, ends[1:][last])
 
 
 class Aligner:
@@ -67,17 +88,29 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are as many as cores
         self.a, self.b = ByteTable(path_a), Pieces(path_b)
         self.encoder = Tokenizer.from_file(path_a)
         self.encoder.encode_special_tokens = True
         self._forget()
 
     def _forget(self) -> None:
+        """Nothing is known."""
         self.known: dict[bytes, int] = {}
         self.groups: list[bytes] = []
         self.numbers: dict[int, int] = {}  # of pairs
         self.counts = np.zeros((0, 5), np.int64)  # of a cut: A tokens, B tokens, groups, links, whether both sides spell it
         self.pairs, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.used = np.zeros(0, np.int64)
+
+    def _tidy(self) -> None:
+        """Keep a third of what may be known, the cuts used most; their use counts half from now on."""
+        at = np.sort(np.argsort(-self.used, kind="stable")[: CACHED_CUTS // 3])
+        cuts = list(self.known)
+        self.known = {cuts[k]: i for i, k in enumerate(at.tolist())}
+        self.groups = [self.groups[k] for k in at.tolist()]
+        self.pairs, self.ends = gather(self.pairs, self.ends[at], self.ends[at + 1])
+        self.counts, self.used = self.counts[at], self.used[at] // 2
 
     def _learn(self, cuts: list[bytes]) -> None:
         texts = [c.decode() for c in cuts]
@@ -101,28 +134,25 @@ class Aligner:
         ids_a, ids_b = ids_a[keep_a], ids_b[keep_b]
         ends_a = np.cumsum(self.a.token_ends[ids_a + 1] - self.a.token_ends[ids_a])
         ends_b = np.cumsum(self.b.token_ends[ids_b + 1] - self.b.token_ends[ids_b])
-        cut_a, cut_b = np.repeat(np.arange(len(cuts)), n_a), np.repeat(np.arange(len(cuts)), n_b)
-        common, is_a, is_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        cut_a = np.repeat(np.arange(len(cuts)), n_a)
         # between neighbouring ends of either side lies what one token of A shares with one of B
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        fresh = np.append(True, ends[1:] != ends[:-1])[: len(ends)]
+        common, ends = ends[~fresh], ends[fresh]
         link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        n_groups, n_links = np.bincount(cut_a[is_a], minlength=len(cuts)), np.bincount(cut_a[link_a], minlength=len(cuts))
-        keys = (ids_b[link_b] << 32 | ids_a[link_a]).tolist()
+        n_groups, n_links = np.bincount(cut_a[np.searchsorted(ends_a, common)], minlength=len(cuts)), np.bincount(cut_a[link_a], minlength=len(cuts))
+        keys, which = np.unique(ids_b[link_b] << 32 | ids_a[link_a], return_inverse=True)
         numbers = self.numbers
-        pairs = np.fromiter((numbers.setdefault(k, len(numbers)) for k in keys), np.int64, len(keys))
-        say_a, say_b, groups, x, y = ids_a.astype("U").tolist(), ids_b.astype("U").tolist(), [], 0, 0
-        for p, q in zip((is_a + 1).tolist(), (is_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(say_a[x:p])}|{','.join(say_b[y:q])}")
-            x, y = p, q
-        at = 0
-        for n in n_groups.tolist():
-            self.groups.append(";".join(groups[at : at + n]).encode())
-            at += n
+        pairs = np.fromiter((numbers.setdefault(k, len(numbers)) for k in keys.tolist()), np.int64, len(keys))[which]
+        text, starts = _written(ids_a, ids_b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b))
+        starts = starts[np.concatenate([[0], np.cumsum(n_groups)])].tolist()
+        self.groups += [text[x:y] for x, y in zip(starts[:-1], starts[1:], strict=True)]
         first = len(self.known)
         self.known.update(zip(cuts, range(first, first + len(cuts)), strict=True))
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups, n_links, good], axis=1)])
         self.pairs = np.concatenate([self.pairs, pairs])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n_links)])
+        self.used = np.append(self.used, np.zeros(len(cuts), np.int64))
 
     def cuts(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Positions that no token of either side crosses: rows' ends, and places beside single white space that both allow."""
@@ -145,10 +175,11 @@ class Aligner:
         data = buf.tobytes()
         keys = [data[x:y] for x, y in zip(cuts[first].tolist(), cuts[first + 1].tolist(), strict=True)]
         if len(self.known) + len(keys) > CACHED_CUTS:
-            self._forget()
+            self._tidy()
         if new := list(dict.fromkeys(k for k in keys if k not in self.known)):
             self._learn(new)
         where = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
+        self.used += np.bincount(where, minlength=len(self.used))
         bounds = np.searchsorted(cuts, offsets)
         total = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(self.counts[where], axis=0)])
         numbers = total[bounds[1:]] - total[bounds[:-1]]
@@ -165,7 +196,7 @@ class Aligner:
         for k in np.flatnonzero(live).tolist():
             digest, own = hashlib.sha256(), where[bounds[k] : bounds[k + 1]].tolist()
             for at in range(0, len(own), HASHED):
-                digest.update(b";" * (at > 0) + b";".join([self.groups[i] for i in own[at : at + HASHED]]))
+                digest.update(b"".join([self.groups[i] for i in own[at : at + HASHED]])[: -1 if at + HASHED >= len(own) else None])
             digests[k] = digest.hexdigest()
         return numbers, digests, [(found[x:y], often[x:y]) for x, y in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
 
