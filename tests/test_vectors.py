@@ -65,3 +65,28 @@ def test_odd_vectors(spark):
         assert {(r.b, r.a) for r in vectors.similar_pairs(df, "id", "e", "g", 0.9, size=size).collect()} == own
     assert vectors.similar_pairs(df.where("e[0] = 0"), "id", "e", "g", 0.9, size=2).count() == 0
     assert vectors.similar_pairs(df.limit(0), "id", "e", "g", 0.9).count() == 0
+
+
+def linked(x, least):
+    """The plain method: the pair of clusters of greatest mean similarity, while it is least or more."""
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sim, clusters = u @ u.T, [[k] for k in range(len(x))]
+    while len(clusters) > 1:
+        mean, i, j = max((sim[np.ix_(a, b)].mean(), -i, -j) for i, a in enumerate(clusters) for j, b in enumerate(clusters) if i < j)
+        if mean < least:
+            break
+        clusters[-i] += clusters.pop(-j)
+    return {frozenset(c) for c in clusters}
+
+
+@pytest.mark.parametrize("dense", [vectors.DENSE, 12])
+def test_linkage_in_one_task_and_in_rounds(spark, dense):
+    x = clustered(5, 50, dim=8, clusters=6, spread=0.15)
+    rows = [(k, 1, v.tolist()) for k, v in enumerate(x)] + [(100 + k, None, v.tolist()) for k, v in enumerate(x[:9])] + [(200, 1, [0.0] * 8), (201, 1, None)]
+    df = spark.createDataFrame(rows, "id long, g int, e array<double>").repartition(4)
+    found = {}
+    for r in vectors.linkage(df, "id", "e", "g", 0.5, dense=dense).collect():
+        found.setdefault((r.g, r.cluster), set()).add(r.id)
+    assert all(min(c) == name for (_, name), c in found.items())
+    want = linked(x, 0.5) | {frozenset(100 + k for k in c) for c in linked(x[:9], 0.5)} | {frozenset({200}), frozenset({201})}
+    assert {frozenset(c) for c in found.values()} == want

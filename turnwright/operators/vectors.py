@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from turnwright.operators.graph import components
+from turnwright.session import cut
+
 
 def dot(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -241,10 +244,10 @@ def top_matches(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: i
     return found.withColumn("place", place).where(F.col("place") <= k).select("query", F.col("id").alias(row_key or key), "score", "place")
 
 
-def average_linkage(sim: np.ndarray, least: float) -> np.ndarray:
-    """Labels after merging the two clusters of greatest mean similarity until it is under `least`."""
+def average_linkage(sim: np.ndarray, least: float, size: np.ndarray | None = None) -> np.ndarray:
+    """Labels after merging the two clusters of greatest mean similarity until it is under `least`. size: how many rows each already is."""
     label = np.arange(len(sim))
-    s, size, alive = sim.astype(float).copy(), np.ones(len(sim)), np.ones(len(sim), bool)
+    s, size, alive = sim.astype(float).copy(), np.ones(len(sim)) if size is None else size.astype(float), np.ones(len(sim), bool)
     np.fill_diagonal(s, -np.inf)
     while alive.sum() > 1:
         a, b = np.unravel_index(np.argmax(s), s.shape)
@@ -260,6 +263,91 @@ def average_linkage(sim: np.ndarray, least: float) -> np.ndarray:
     return label
 
 
+#: Rows of a group whose similarities one task holds.
+DENSE = 2048
+
+
+def _merged_once(nodes: DataFrame, edges: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """One round: (gone, into) of the pairs of clusters that are each other's nearest, and the edges that are still similar enough."""
+    side = lambda name: nodes.select(F.col("c").alias(name), F.col("mean").alias(f"mean_{name}"))
+    e = edges.join(side("a"), "a").join(side("b"), "b").select("a", "b", dot("mean_a", "mean_b").alias("sim")).where(F.col("sim") >= least)
+    e = cut(e)
+    # the least pair of all that are equally alike counts as the nearest, from either side, so the most similar pair always merges
+    rank = F.struct("sim", (-F.col("a")).alias("i"), (-F.col("b")).alias("j"))
+    seen = e.select(F.col("a").alias("x"), "a", "b", rank.alias("rank")).union(e.select(F.col("b").alias("x"), "a", "b", rank.alias("rank")))
+    nearest = seen.groupBy("x").agg(F.max_by(F.struct("a", "b"), "rank").alias("p"))
+    return nearest.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select(F.col("p.b").alias("gone"), F.col("p.a").alias("into")), e.select("a", "b")
+
+
+def _replaced(df: DataFrame, column: str, names: DataFrame) -> DataFrame:
+    """df with a column's values replaced as names (gone, into) says."""
+    return df.join(names.withColumnRenamed("gone", column), column, "left").withColumn(column, F.coalesce("into", column)).drop("into")
+
+
+def linked_clusters(units: DataFrame, key: str, edges: DataFrame, least: float, dense: int = DENSE) -> DataFrame:
+    """G3 of unit vectors: (key, cluster) by average linkage; a cluster's name is its least key. edges: the pairs (a < b) whose cosine is `least` or more.
+
+    The mean similarity of two clusters is the dot product of their mean vectors, so a cluster is kept as one vector. Clusters that are `least` alike hold
+    an edge between them, so those that no path of edges connects never merge: each connected part of up to `dense` clusters is one task. In larger parts all pairs that are each
+    other's nearest merge in a round, which is exact as a mean similarity is never over both of those that it was made of; edges that are less alike are
+    dropped for good, and what is left falls into smaller parts.
+    """
+    nodes = cut(units.select(F.col(key).alias("c"), F.lit(1.0).alias("n"), F.col("v").alias("mean")))
+    members, edges = units.select(key, F.col(key).alias("c")), cut(edges.select("a", "b"))
+    kind = nodes.schema["c"].dataType.simpleString()
+
+    def finish(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("c")
+        mean, ids = np.stack(part["mean"].to_numpy()), part["c"].to_numpy()
+        return pd.DataFrame({"gone": ids, "into": ids[average_linkage(mean @ mean.T, least, part["n"].to_numpy())]})
+
+    while True:
+        parts = cut(components(edges))
+        large = parts.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > dense)
+        done = nodes.join(parts.join(large, "root", "left_anti"), F.col("c") == F.col("node")).select("root", "c", "n", "mean").groupBy("root").applyInPandas(finish, f"gone {kind}, into {kind}")
+        members = cut(_replaced(members, "c", done.where("gone <> into")))
+        left = parts.join(large, "root", "left_semi").select(F.col("node").alias("a"))
+        edges = cut(edges.join(left, "a", "left_semi"))
+        if edges.isEmpty():
+            return members.withColumnRenamed("c", "cluster")
+        pairs, edges = _merged_once(nodes, edges, least)
+        pairs = cut(pairs)
+        both = nodes.join(pairs.withColumnRenamed("gone", "c"), "c", "left").select(F.coalesce("into", "c").alias("c"), "n", F.transform("mean", lambda x: x * F.col("n")).alias("total"))
+        one = both.groupBy("c").agg(F.sum("n").alias("n"), F.collect_list("total").alias("parts"))  # two at most
+        total = F.when(F.size("parts") == 1, F.col("parts")[0]).otherwise(F.zip_with(F.col("parts")[0], F.try_element_at("parts", F.lit(2)), lambda x, y: x + y))
+        nodes = cut(one.select("c", "n", F.transform(total, lambda x: x / F.col("n")).alias("mean")))
+        members = _replaced(members, "c", pairs)
+        edges = _replaced(_replaced(edges, "a", pairs), "b", pairs)
+        edges = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def linkage(df: DataFrame, key: str, vector: str, group: str, least: float, dense: int = DENSE) -> DataFrame:
+    """(key, group, cluster) by average linkage of cosines within each group, as long as it is `least` (over 0) or more; a cluster's name is its least key.
+
+    Groups of up to `dense` rows are merged in one task each, larger ones by the table of their similar pairs. Vectors of zeros, and null ones, stay alone.
+    """
+    kind = f"{key} {df.schema[key].dataType.simpleString()}, {group} {df.schema[group].dataType.simpleString()}, cluster {df.schema[key].dataType.simpleString()}"
+    rows = df.select(key, group, F.col(vector).alias("v"))
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size")).withColumnRenamed(group, "__group")
+    sized = rows.join(sizes, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
+
+    def work(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(key)
+        ids, cluster, some = part[key].to_numpy(), part[key].to_numpy().copy(), part["v"].notna().to_numpy()
+        if some.any():
+            unit = unit_rows(part["v"][some])
+            cluster[some] = ids[some][average_linkage(unit @ unit.T, least)]
+        return pd.DataFrame({key: ids, group: part[group].to_numpy(), "cluster": cluster})
+
+    small = sized.where(F.col("size") <= dense).drop("size").groupBy(group).applyInPandas(work, kind)
+    large = sized.where(F.col("size") > dense).drop("size")
+    if sizes.where(F.col("size") > dense).isEmpty():
+        return small
+    units = cut(_unit_vectors(large, key, "v", group))
+    found = linked_clusters(units.select(key, "v"), key, similar_pairs(units, key, "v", group, least, same=True), least, dense)
+    return small.unionByName(large.select(key, group).join(found, key, "left").select(key, group, F.coalesce("cluster", key).alias("cluster")))
+
+
 def cluster_count(n: Column) -> Column:
     """All up to nine, else half of them, nine at least."""
     return F.when(n <= 9, n).otherwise(F.least(n, F.greatest(F.lit(9), F.ceil(n / 2)))).cast("long")

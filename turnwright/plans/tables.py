@@ -330,15 +330,7 @@ def g5(spark, sf):
 
 @add("g3_average_linkage")
 def g3(spark, sf):
-    import numpy as np
-    import pandas as pd
-
-    def work(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part.sort_values("vec_id")["embedding"].to_numpy()).astype(float)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        return pd.DataFrame({"vec_id": np.sort(part["vec_id"].to_numpy()), "label": part["label"].iloc[0], "cluster": vectors.average_linkage(x @ x.T, 0.3)})
-
-    return table(spark, sf, "embeddings").groupBy("label").applyInPandas(work, "vec_id long, label int, cluster long")
+    return vectors.linkage(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", 0.3)
 
 
 @add("g6_component_assign", f"WITH RECURSIVE {_EDGES}, r AS (SELECT a AS node, a AS root FROM bth UNION SELECT bth.b, r.root FROM r JOIN bth ON bth.a = r.node), c AS (SELECT node, min(root) AS root FROM r GROUP BY node), k AS (SELECT root FROM c GROUP BY root HAVING count(*) >= 3) SELECT vec_id, CASE WHEN k.root IS NULL THEN 'SINGLE_' || vec_id ELSE 'CLUSTER_' || k.root END AS cluster FROM embeddings LEFT JOIN c ON vec_id = node LEFT JOIN k ON c.root = k.root")
