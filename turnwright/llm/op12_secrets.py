@@ -146,11 +146,19 @@ def labelled(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
     return secret, plain
 
 
+def first_texts(docs: DataFrame) -> list[str]:
+    """The texts of the sample. Only documents whose crc32 is low enough for some four times as many are put in order; all are if these turn out to be too few."""
+    known = docs.select("doc_id", F.col("text").cast("string").alias("text"), crc_of_id().alias("crc")).where(F.octet_length("text").between(1, SAMPLE_TEXT) & F.col("crc").isNotNull())
+    share = 4 * SAMPLE_ROWS / max(docs.count(), 1)
+    near = known.where(F.col("crc") < int(share * (1 << 32))) if share < 1 else known
+    if share < 1 and near.limit(SAMPLE_ROWS).count() < SAMPLE_ROWS:
+        near = known
+    return [r.text for r in sample(near, ["crc", "doc_id", F.xxhash64("text"), "text"], "text", SAMPLE_ROWS, SAMPLE_BYTES).select("text").collect()]
+
+
 def fit(docs: DataFrame) -> np.ndarray:
     """The logarithms of the two models' ratio, learned from the first documents."""
-    known = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text").between(1, SAMPLE_TEXT))
-    first = sample(known, [crc_of_id(), "doc_id", F.xxhash64("text"), "text"], "text", SAMPLE_ROWS, SAMPLE_BYTES)
-    secret, plain = labelled([r.text for r in first.select("text").collect()])
+    secret, plain = labelled(first_texts(docs))
     return transitions(secret + written()) - transitions(plain, REPEATED)
 
 
