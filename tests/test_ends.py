@@ -90,11 +90,6 @@ def test_streams(spark, tmp_path):
     q.awaitTermination()
     state = lambda: sorted((r.key, r.v) for r in streams.decisions(spark, str(tmp_path / "state"), ["key"], ["t"]).collect())
     assert state() == [(1, "d"), (2, "b")]
-    out = streams.capped_sessions(stream.select("key", "ts"), "key", 4 * 3600.0, 50 * 3600.0)
-    q = out.writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    began = 1_704_067_200.0
-    assert sorted(tuple(r) for r in spark.sql("SELECT * FROM closed").collect()) == [(1, began, began + 3 * 3600, 2), (2, began, began, 1)]
     assert streams.sessions(spark.read.schema(schema).json(str(tmp_path / "in")), ["key"]).count() == 3
 
 

@@ -1,15 +1,12 @@
-"""Structured Streaming: decision logs to latest state, sessions by gap with a cap, and churn by window."""
+"""Structured Streaming: decision logs to latest state, sessions by gap, and churn by window."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from turnwright.operators.resolve import latest
 from turnwright.sinks.publish import atomic, current
@@ -72,36 +69,6 @@ def churn(events: DataFrame, label: str, width: str = "1 day", late: str = "1 ho
     return df.groupBy(F.window(ts, width).alias("w")).agg(n.alias("labels"), F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "labels", "n")
 
 
-def capped_sessions(events: DataFrame, key: str, gap: float, cap: float, ts: str = "ts", late: str = "1 hour") -> DataFrame:
-    """T6 with a cap (W1 on a stream): (key, start, end, n) of sessions in seconds, closed by a gap, or once they last `cap`.
-
-    A session goes out when a later event of its key closes it, or when the watermark has passed its end by the gap, and its state goes with it.
-    """
-    schema = "key long, start double, end double, n long"
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, end, n = state.get if state.exists else (0.0, 0.0, 0)
-        closed = []
-        if state.hasTimedOut:
-            closed.append((k[0], start, end, n))
-            state.remove()
-        else:
-            times = sorted(t for batch in batches for t in batch["__t"])
-            for t in times:
-                if n and (t - end > gap or end - start >= cap):
-                    closed.append((k[0], start, end, n))
-                    n = 0
-                start, end, n = (t if not n else start), (t if not n else max(end, t)), n + 1
-            state.update((float(start), float(end), int(n)))
-            state.setTimeoutTimestamp(max(int((end + gap) * 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        if closed:
-            yield pd.DataFrame(closed, columns=["key", "start", "end", "n"])
-
-    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
-    df = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).withColumn("__t", seconds)
-    return df.groupBy(key).applyInPandasWithState(step, schema, "start double, end double, n long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def unseen(new: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What was not done yet."""
     return new.join(done.select(key), key, "left_anti")
