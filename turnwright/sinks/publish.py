@@ -6,6 +6,7 @@ table so that readers see the old one or the new one.
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 from uuid import uuid4
 
@@ -14,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwright.functions.text import escape, hms, vtt_time
+from turnwright.sinks.gate import Gate, RefusedError
 
 
 def _gathered(turns: DataFrame, line: Column, separator: str, key: str, order: str) -> DataFrame:
@@ -117,22 +119,36 @@ def current(spark: SparkSession, path: str) -> str | None:
     return name and f"{path}/{name}"
 
 
-def atomic(df: DataFrame, path: str, version: str | None = None) -> str:
+#: What folders of versions are called.
+VERSIONS = ("v-", "upto=")
+
+
+def atomic(df: DataFrame, path: str, version: str | None = None, gate: Gate | None = None, hours: float = 24) -> str:
     """K9: df in place of what was published at a path; returns its folder.
 
-    The rows go to a folder of their own; only when all are written does the pointer file change, by one rename. A writer that fails leaves
-    the old version as it was. Of older versions the last one stays, for readers that still have it open.
+    The rows go to a folder of their own; only when all are written, and none broke a rule of the gate, does the pointer file change, by one rename. A writer that fails leaves
+    the old version as it was. Versions before the last one go once they are so many hours old, for readers and writers that still have them open; nothing else under the path is touched.
     """
     spark = df.sparkSession
     before, name = _pointer(spark, path), version or f"v-{uuid4().hex}"
     if name == before:
         raise ValueError(f"{name} is what readers see now")
-    df.write.mode("overwrite").parquet(f"{path}/{name}")
+    if not name.startswith(VERSIONS):
+        raise ValueError(f"a version's name begins with {' or '.join(VERSIONS)}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (gate.watch(df) if gate else df).write.mode("overwrite").parquet(f"{path}/{name}")
+    if gate:
+        try:
+            gate.verdict()
+        except RefusedError:
+            fs.delete(place(f"{path}/{name}"), True)
+            raise
     _pointer(spark, path, name)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for f in fs.listStatus(folder):
-        if f.isDirectory() and f.getPath().getName() not in (name, before) and not f.getPath().getName().startswith("log"):
+    old = (time.time() - hours * 3600) * 1000
+    for f in fs.listStatus(place(path)):
+        own = f.getPath().getName()
+        if f.isDirectory() and own.startswith(VERSIONS) and own not in (name, before) and f.getModificationTime() < old:
             fs.delete(f.getPath(), True)
     return f"{path}/{name}"
 
