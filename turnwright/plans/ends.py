@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from turnwright.operators import resolve, sequence
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
 from turnwright.session import scratch
-from turnwright.sinks import publish
+from turnwright.sinks import gate, parts, publish
 from turnwright.sources import scans
 from turnwright.streaming import review as streams
 
@@ -112,9 +112,36 @@ def plain(spark, sf):
     return publish.plain_text(spoken(spark, sf))
 
 
-@add("k12_validation", "SELECT c_custkey, 'c_name' AS field FROM customer WHERE c_name = ''")
+_SITE = "c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE 'm' END || c_custkey AS stem FROM customer)"
+
+
+@add("k12_validation", f"WITH {_SITE} SELECT 'meetings/' || stem || '.json' AS path, 'missing required field title' AS rule, true AS fatal FROM c WHERE k % 5 = 0 UNION ALL SELECT 'meetings/' || stem || '.json', 'filename stem must equal meeting_id', true FROM c WHERE k % 7 = 0 UNION ALL SELECT 'meetings/' || stem || '.json', 'not published yet', false FROM c WHERE k % 3 = 0 UNION ALL SELECT 'docs/js/m' || k || '.js', 'does not define TRANSCRIPT_TURNS', true FROM c WHERE k % 3 <> 0 AND k % 11 = 0 UNION ALL SELECT 'docs/js/search.js', 'missing asset', true")
 def validation(spark, sf):
-    return publish.violations(table(spark, sf, "customer"), "c_custkey", ["c_name", "c_nationkey"])
+    """The files of a site with a meeting a customer, in which some titles, names, pages and scripts are amiss."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), "c_name")
+    own = F.concat(F.lit("m"), "k")
+    meeting = F.to_json(F.struct(own.alias("meeting_id"), F.lit("2026-01-06").alias("meeting_date"), F.when(F.col("k") % 5 == 0, "").otherwise(F.col("c_name")).alias("title"), F.lit("council").alias("meeting_type"), F.lit("u").alias("source_video_url"), F.concat(F.lit("t/"), own, F.lit(".html")).alias("transcript_url"), F.concat(F.lit("docs/js/"), own, F.lit(".js")).alias("transcript_turns_js")))
+    meetings = c.select(F.concat(F.lit("meetings/"), F.when(F.col("k") % 7 == 0, "x").otherwise("m"), "k", F.lit(".json")).alias("path"), meeting.alias("content"))
+    pages = c.where("k % 3 <> 0").select(F.concat(F.lit("docs/t/"), own, F.lit(".html")).alias("path"), F.col("c_name").alias("content"))
+    scripts = c.select(F.concat(F.lit("docs/js/"), own, F.lit(".js")).alias("path"), F.when(F.col("k") % 11 == 0, "let x = []").otherwise("const TRANSCRIPT_TURNS = [{}];").alias("content"))
+    assets = c.select(F.explode(F.array(*map(F.lit, gate.SITE_ASSETS))).alias("path"), F.lit("x").alias("content")).where("path <> 'docs/js/search.js'").distinct()
+    return gate.site_violations(publish.union_all([meetings, pages, scripts, assets]))
+
+
+@add("k12_gate", "SELECT 'o_clerk is missing' AS rule, count(*) FILTER (o_orderkey % 100 = 0) AS refused, count(*) FILTER (o_orderkey % 100 <> 0) AS published FROM orders UNION ALL SELECT 'price is low', count(*) FILTER (o_totalprice < 5000), count(*) FILTER (o_orderkey % 100 <> 0) FROM orders")
+def gated(spark, sf):
+    """orders without what breaks a rule are published, all of them are refused: rows that broke each rule, and what readers see."""
+    path = scratch(spark)
+    rows = table(spark, sf, "orders").withColumn("o_clerk", F.when(F.col("o_orderkey") % 100 != 0, "clerk").otherwise(""))
+    publish.atomic(rows.where("o_clerk <> ''"), path, gate=gate.Gate(gate.required(["o_clerk"])))
+    refused = {}
+    try:
+        publish.atomic(rows, path, gate=gate.Gate(gate.required(["o_clerk"]) | {"price is low": F.col("o_totalprice") < 5000}))
+    except gate.RefusedError as e:
+        refused = e.counts
+    seen = spark.read.parquet(publish.current(spark, path)).agg(F.count(F.lit(1)).alias("published"))
+    rules = spark.createDataFrame([(r, refused.get(r, 0)) for r in ("o_clerk is missing", "price is low")], "rule string, refused long")
+    return rules.withColumn("published", seen.scalar())
 
 
 @add("t2_resume", "SELECT event_id FROM events WHERE event_id % 3 <> 0")
@@ -213,6 +240,15 @@ def replaced(spark, sf):
     return spark.read.parquet(publish.current(spark, path))
 
 
+@add("k9_partitions", "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'second' ELSE 'first' END AS version FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0")
+def replaced_partitions(spark, sf):
+    """All orders by status, then other rows for one status."""
+    path, o = scratch(spark), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    parts.replace(o.withColumn("version", F.lit("first")), path, ["o_orderstatus"])
+    parts.replace(o.where("o_orderstatus = 'F' AND o_orderkey % 2 = 0").withColumn("version", F.lit("second")), path, ["o_orderstatus"])
+    return parts.read(spark, path)
+
+
 @add("k11_append_state", "SELECT user_id, arg_max(event_id, event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
 def appended(spark, sf):
     path, e = scratch(spark), table(spark, sf, "events").select("user_id", "event_id", "event_type")
@@ -229,7 +265,7 @@ def dominance(spark, sf):
 
 @add("t4_t5_decisions", "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
 def decision_stream(spark, sf):
-    """events as a stream of decisions, of which the last of each user stays."""
+    """events as a stream of decisions, of which the last of each user stays; read back from the log."""
     path, e = scratch(spark), table(spark, sf, "events")
     e.select("user_id", "event_id", "event_type").write.parquet(f"{path}/in")
     stream = spark.readStream.schema("user_id long, event_id long, event_type string").parquet(f"{path}/in")
@@ -237,6 +273,39 @@ def decision_stream(spark, sf):
     return streams.decisions(spark, f"{path}/state", ["user_id"], ["event_id"])
 
 
+@add("t4_once", "SELECT user_id, event_type FROM events GROUP BY ALL")
+def once(spark, sf):
+    """events as a stream, of which one of each user and type goes on."""
+    path, e = scratch(spark), table(spark, sf, "events")
+    e.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema("user_id long, event_type string, ts timestamp").parquet(f"{path}/in")
+    out = streams.once(stream, ["user_id", "event_type"], "ts").writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
+    out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("user_id long, event_type string").parquet(f"{path}/out")
+
+
+_NATIONS = "t AS (SELECT c_nationkey AS m, c_custkey AS k, c_name AS name FROM customer), d AS (SELECT DISTINCT m FROM t WHERE k % 40 = 0)"
+
+
+@add("t5_republish", f"WITH {_NATIONS} SELECT m AS meeting_id, count(*) AS turns, count(*) FILTER (k % 40 = 0) AS redacted, any_value(CASE WHEN d.m IS NULL THEN 1 ELSE 2 END) AS version FROM t LEFT JOIN d USING (m) GROUP BY m")
+def republished(spark, sf):
+    """Customers as turns of their nation; those that a stream of decisions touches are published again: turns, redacted ones, and by which write each document stands."""
+    path, keys = scratch(spark), ["meeting_id", "turn_id"]
+    c = table(spark, sf, "customer")
+    turns = c.select(F.col("c_nationkey").alias("meeting_id"), F.format_string("t%d", "c_custkey").alias("turn_id"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("text"), F.lit("A").alias("speaker_public"), F.lit(True).alias("needs_review"), F.lit(None).cast("string").alias("review_reason"))
+    fields = ["turn_id", "text"]
+    first = parts.replace(streams.documents(turns, None, keys, ["at"], fields), f"{path}/docs", ["meeting_id"])
+    empty = F.lit("")
+    decided = turns.where("pos % 40 = 0").select(*keys, F.col("pos").alias("at"), F.lit("suppress").alias("reviewer_action"), empty.alias("speaker_public_override"), empty.alias("text_override"), F.lit(True).alias("suppress"), empty.alias("evidence_note"))
+    decided.write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(decided.schema).parquet(f"{path}/in")
+    streams.republish(stream, turns, f"{path}/state", f"{path}/docs", f"{path}/checkpoint", keys, ["at"], fields).awaitTermination()
+    old = parts.read(spark, f"{path}/docs", first).select("meeting_id", F.col("content").alias("old"))
+    read = F.from_json("content", "turns array<struct<turn_id: string, text: string>>").alias("d")
+    docs = parts.read(spark, f"{path}/docs").join(old, "meeting_id").select("meeting_id", read, F.when(F.col("content") == F.col("old"), 1).otherwise(2).alias("version"))
+    return docs.select("meeting_id", F.size("d.turns").cast("long").alias("turns"), F.size(F.filter("d.turns", lambda t: t["text"] == "[REDACTED]")).cast("long").alias("redacted"), "version")
+
+
 @add("c4_lineage", "SELECT o_custkey, array_to_string(list_sort(flatten(list([o_orderkey, -o_orderkey]))), ',') AS ids FROM orders GROUP BY o_custkey")
 def lineage(spark, sf):
     """The lists of ids of rows that were merged, as one list."""

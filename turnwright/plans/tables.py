@@ -275,9 +275,9 @@ def u3(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_custkey").alias("k")).intersect(table(spark, sf, "customer").where("c_nationkey < 10").select("c_custkey"))
 
 
-@add("u5_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@add("u5_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def u5(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf, "orders").select("o_custkey"))
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf, "orders").where("o_orderstatus = 'P'").select("o_custkey"))
 
 
 @add("u6_union_all", "SELECT n_nationkey AS id, n_name AS name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region")

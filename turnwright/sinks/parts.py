@@ -69,7 +69,7 @@ def latest(spark: SparkSession, path: str) -> tuple[int, dict | None]:
 
 def replace(df: DataFrame, path: str, by: list[str], gate: Gate | None = None) -> int:
     """K9: df's partitions in place of those published at path; returns the manifest's number. gate: rules that df's rows must keep, else nothing is published."""
-    spark, version = df.sparkSession, f"version=v-{uuid4().hex}"
+    spark, version = df.sparkSession, f"turnwright_version=v-{uuid4().hex}"
     folder = f"{path}/data/{version}"
     (gate.watch(df) if gate else df).write.partitionBy(*by).parquet(folder)
     fs = _store(spark, path)
@@ -101,7 +101,7 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
     if not manifest["parts"]:
         return spark.createDataFrame([], schema)
     places = [f"{path}/data/{version}/{part}" for part, version in manifest["parts"].items()]
-    return spark.read.schema(StructType([*schema.fields]).add("version", "string")).option("basePath", f"{path}/data").parquet(*places).drop("version")
+    return spark.read.schema(StructType([*schema.fields]).add("turnwright_version", "string")).option("basePath", f"{path}/data").parquet(*places).drop("turnwright_version")
 
 
 def vacuum(spark: SparkSession, path: str, hours: float = 24) -> int:
@@ -111,7 +111,7 @@ def vacuum(spark: SparkSession, path: str, hours: float = 24) -> int:
     old = [n for n in numbers[:-1] if fs.getFileStatus(place(n)).getModificationTime() < before]
     used = {v for n in numbers if n not in old for v in _manifest(spark, path, n)["parts"].values()}
     gone = 0
-    for f in fs.globStatus(_hadoop(spark).Path(f"{path}/data/version=v-*")) or []:
+    for f in fs.globStatus(_hadoop(spark).Path(f"{path}/data/turnwright_version=v-*")) or []:
         if f.getPath().getName() not in used and f.getModificationTime() < before:
             gone += bool(fs.delete(f.getPath(), True))
     for n in old:
