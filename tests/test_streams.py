@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from turnwright.operators import folds
+from tests import plain
 from turnwright.streaming import sessions
 
 EPOCH = 1_704_067_200
@@ -50,7 +50,7 @@ def test_order_of_arrival_changes_nothing(spark, tmp_path):
     want = []
     for key in (0, 1):
         turns = [{"pos": t, "start": t, "end": t, "speaker": s, "text": x} for k, t, s, x in rows if k == key]
-        want += [(key, b["start"], b["end"], b["speaker"], b["text"], b["n"]) for b in folds.chunk_turns(turns, gap=1.2, cap=6.0, most=60)]
+        want += [(key, b["start"], b["end"], b["speaker"], b["text"], b["n"]) for b in plain.chunk_turns(turns, gap=1.2, cap=6.0, most=60)]
     moved = sorted(rows, key=lambda x: x[1] + r.uniform(0, 50))
     done = [event(k, 100_000) for k in (0, 1)]
     for n, order in enumerate((rows, moved)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -113,3 +115,42 @@ def places(df: DataFrame, order: list, name: str = "place") -> DataFrame:
     before = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))  # one row a partition
     return ranged.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__row") + 1).drop("__part", "__row", "__before")
+
+
+def pieces(df: DataFrame, keys: list[str], order: list[str], seen: list[str], new: Callable[[Callable[[int, str], Column]], Column], high: str | None = None, depth: int = 1, tell: dict[str, tuple[int, str]] | None = None) -> DataFrame:
+    """df with piece (a struct that names a stretch of one group's rows) and row (its place in its part): a piece begins with the group, and where `new` is true.
+
+    new is made of before(i, field): a field of `seen`, i rows earlier in the same group (up to depth; the field there is 1 if there is a row), and of the column __high, the greatest `high` before the row. tell: columns to add, each such a field. Rows are
+    sorted by ranges, which cut large groups anywhere, so a group is never in one place; windows run over the parts, and what a part needs of those before it (their last rows, the last piece that
+    began) is one row a part.
+    """
+    mine = F.monotonically_increasing_id()
+    ranged = cut(df.orderBy(*keys, *order).withColumns({"__part": F.shiftright(mine, 33).cast("int"), "row": mine.bitwiseAND((1 << 33) - 1)}))
+    part, parts = W.partitionBy("__part").orderBy("row"), W.orderBy("__part")
+    upto, earlier = (W.unboundedPreceding, 0), (W.unboundedPreceding, -1)
+    own = W.partitionBy("__part", *keys).orderBy("row")
+    highest = lambda frame: F.max(high).over(own.rowsBetween(*frame)) if high else F.lit(None)
+    one = F.struct(F.struct(*keys).alias("key"), F.lit(1).alias("there"), *seen)
+    last = ranged.withColumns({"__back": F.collect_list(one).over(part.rowsBetween(1 - depth, 0)), "__top": highest(upto)}).groupBy("__part").agg(F.max_by(F.struct("__back", "__top"), "row").alias("l"))
+    last = last.select("__part", "l.__back", F.element_at("l.__back", -1)["key"].alias("__key"), "l.__top")
+    last = last.withColumn("__top", F.max("__top").over(W.partitionBy("__key").orderBy("__part").rowsBetween(*upto)))
+    # a part may have fewer rows than depth, so those of as many parts are looked at
+    carried = last.select("__part", F.flatten(F.collect_list("__back").over(parts.rowsBetween(-depth, -1))).alias("__carried"), F.lag(F.struct("__key", "__top")).over(parts).alias("__prior"))
+    back = F.concat("__carried", F.collect_list(one).over(part.rowsBetween(-depth, -1)))
+    rows = ranged.join(F.broadcast(carried), "__part").withColumn("__back", back)
+    mine_too = lambda key: F.struct(*keys).eqNullSafe(key)
+
+    def before(i: int, field: str) -> Column:
+        found = F.try_element_at("__back", F.lit(-i))
+        return F.when(mine_too(found["key"]), found[field])
+
+    above = F.when(mine_too(F.col("__prior.__key")), F.col("__prior.__top")) if high else F.lit(None)
+    rows = rows.withColumn("__high", F.greatest(highest(earlier), above) if high else above)
+    begins = ~F.coalesce(mine_too(F.try_element_at("__back", F.lit(-1))["key"]), F.lit(False)) | F.coalesce(new(before), F.lit(True))
+    rows = rows.withColumn("__begins", begins.cast("long")).withColumn("__count", F.sum("__begins").over(part.rowsBetween(*upto)))
+    more = {name: before(*what) for name, what in (tell or {}).items()}
+    rows = rows.withColumns(more).select(*df.columns, *more, "__part", "row", "__count")
+    count = rows.groupBy("__part").agg(F.max("__count").alias("n"))
+    opened = count.select("__part", F.last(F.when(F.col("n") > 0, F.struct(F.col("__part").alias("part"), F.col("n").alias("number"))), ignorenulls=True).over(parts.rowsBetween(*earlier)).alias("__opened"))
+    named = F.when(F.col("__count") > 0, F.struct(F.col("__part").alias("part"), F.col("__count").alias("number"))).otherwise(F.col("__opened"))
+    return rows.join(F.broadcast(opened), "__part").select(*df.columns, *more, named.alias("piece"), F.struct(F.col("__part").alias("part"), "row").alias("row"))

@@ -20,10 +20,10 @@ def structured(words: DataFrame, intervals: DataFrame, approvals: DataFrame, gap
     """Entry point A: words (meeting_id, pos, start, end, text) and speaker intervals to structured turns.
 
     J1 tags words, W2 makes turns, approvals name them (J11, P22), W5 joins neighbours of one raw id, W11 takes self-introductions,
-    F30 the text's own hints at who of the roster speaks, W10 hand-offs, W8 merges chains and W9 repairs fragments. Each meeting is folded once, through all the folds, so it is gathered once.
+    F30 the text's own hints at who of the roster speaks, W10 hand-offs, W8 merges chains and W9 repairs fragments, all three in one pass over pieces of meetings.
     """
     tagged = temporal.longest_active(words.withColumn("t", F.when(F.col("end") > F.col("start"), (F.col("start") + F.col("end")) / 2).otherwise(F.col("start"))), intervals, ["meeting_id"], "pos")
-    chunked = folds.fold(tagged.select("meeting_id", "pos", "start", "end", "speaker", "text"), ["meeting_id"], ["start", "pos"], lambda rows: folds.chunk_turns(rows, gap, cap), "meeting_id long, pos long, start double, end double, speaker string, text string")
+    chunked = folds.chunk_turns(tagged.select("meeting_id", "pos", "start", "end", "speaker", "text"), ["meeting_id"], ["start", "pos"], gap, cap)
     named = chunked.join(approvals.select("meeting_id", F.col("speaker_raw").alias("speaker"), "name"), ["meeting_id", "speaker"], "left")
     runs = sequence.runs(named.withColumn("raw", F.regexp_replace("speaker", "_spk?$", "")), ["meeting_id"], ["start", "pos"], "raw", "text")
     names = named.select("meeting_id", F.regexp_replace("speaker", "_spk?$", "").alias("raw"), "name").groupBy("meeting_id", "raw").agg(F.max("name").alias("name"))
@@ -36,10 +36,7 @@ def structured(words: DataFrame, intervals: DataFrame, approvals: DataFrame, gap
     status = F.when(intro.isNotNull() | (F.col("name").isNull() & F.col("heard").isNotNull()), "heuristic").when(F.col("name").isNotNull(), "approved").when(F.col("raw") == "UNKNOWN", "unknown").otherwise("unresolved")
     df = df.select("meeting_id", F.col("run_id").alias("pos"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), label.alias("speaker"), "raw", status.alias("status"), "text", F.lit(False).alias("handoff_applied"), intro.isNotNull().alias("self_intro_applied"))
 
-    def work(rows: list[dict]) -> list[dict]:
-        return folds.repair_fragments(folds.chain_merge(folds.hand_offs(rows)))
-
-    return folds.fold(df, ["meeting_id"], ["pos"], work, ROW)
+    return folds.merged(df, ["meeting_id"], ["pos"], ROW)
 
 
 def _words(spark, sf):

@@ -21,12 +21,6 @@ def w4(spark, sf):
     return sequence.runs(turns(spark, sf), KEYS, ORDER, "speaker", gap=2 * HOUR).drop("run_id")
 
 
-@plans.add("w4c_capped_merge")
-def w4c(spark, sf):
-    df = turns(spark, sf).select("meeting_id", "pos", "start", "end", "speaker", F.lit("approved").alias("status"), "text")
-    return folds.fold(df, KEYS, ORDER, lambda rows: folds.capped_merge(rows, 2 * HOUR, 120 * HOUR), "meeting_id long, pos long, start long, end long, speaker string, n long, text string")
-
-
 @plans.add("w5_run_merge", f"""WITH {TURNS_SQL}, a AS (SELECT *, sum(x) OVER (PARTITION BY meeting_id ORDER BY pos) AS k FROM (SELECT *, {_RUN} AS x FROM turns WINDOW w AS (PARTITION BY meeting_id ORDER BY pos)))
  SELECT meeting_id, k::BIGINT AS run_id, speaker, min(start) AS start, max("end") AS "end", count(*) AS n, string_agg(text, ' ' ORDER BY pos) AS text FROM a GROUP BY ALL""")
 def w5(spark, sf):
@@ -152,14 +146,15 @@ def _turns_for_folds(spark, sf):
 
 FOLDED = "meeting_id long, pos long, start double, end double, speaker string, status string, text string"
 for _name, _work in {
-    "w2_turn_chunks": folds.chunk_turns,
-    "w8_chain_merge": folds.chain_merge,
-    "w9_fragment_repair": folds.repair_fragments,
-    "w10_hand_offs": folds.hand_offs,
-    "w12b_chair_carry": folds.carry_speakers,
-    "w14_stray_tokens": folds.stray_tokens,
+    "w2_turn_chunks": lambda t: folds.chunk_turns(t, KEYS, ORDER),
+    "w4c_capped_merge": lambda t: folds.capped_merge(t, KEYS, ORDER),
+    "w8_chain_merge": lambda t: folds.chained(t, KEYS, ORDER, FOLDED),
+    "w9_fragment_repair": lambda t: folds.repaired(t, KEYS, ORDER, FOLDED),
+    "w10_hand_offs": lambda t: folds.handed_off(t, KEYS, ORDER, FOLDED),
+    "w12b_chair_carry": lambda t: folds.carry_speakers(t, KEYS, ORDER),
+    "w14_stray_tokens": lambda t: folds.without_strays(t, KEYS, ORDER, FOLDED),
 }.items():
-    plans.queries[_name] = lambda spark, sf, work=_work: folds.fold(_turns_for_folds(spark, sf), KEYS, ORDER, work, FOLDED)
+    plans.queries[_name] = lambda spark, sf, work=_work: work(_turns_for_folds(spark, sf)).select(*(c.split()[0] for c in FOLDED.split(", ")))
 
 # the same in SQL: rows one by one, each with what was gathered before it
 FT = f"""{TURNS_SQL}, ft AS (SELECT meeting_id, pos, start / 3600 AS start, "end" / 3600 AS "end", CASE WHEN speaker = 'error' THEN 'Unknown Speaker' ELSE speaker END AS speaker,
@@ -175,6 +170,7 @@ def _chunks(test: str, end: str, text: str) -> str:
 
 
 plans.sql["w2_turn_chunks"] = _chunks("""speaker = rsp AND round(rs - "end", 3) <= 1.2 AND round("end" - start, 3) < 35 AND NOT (length(text) >= 650 AND right(text, 1) IN ('.', '!', '?'))""", 'greatest("end", re)', "trim(text || ' ' || rt)")
+plans.sql["w4c_capped_merge"] = _chunks("""speaker = rsp AND status = rst AND rs - "end" < 2 AND re - start <= 120""", 'greatest("end", re)', "trim(text || ' ' || rt)")
 _FIRST = "split_part(trim(rt), ' ', 1)"
 _STARTS = ", ".join(f"'{w}'" for w in sorted(folds.CONTINUATION_STARTS))
 _NOT = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(folds.NOT_FRAGMENTS))
@@ -192,7 +188,7 @@ plans.sql["w12b_chair_carry"] = f"""WITH {FT}, l AS (SELECT *, last_value(CASE W
  SELECT meeting_id, p0 AS pos, start, "end", speaker, n::BIGINT AS n, text FROM f {_LAST}""")
 def w3(spark, sf):
     df = _turns_for_folds(spark, sf).withColumns({"new_speaker": F.col("status") == "chair", "speaker_hint": F.when(F.col("status") == "approved", F.col("speaker")).otherwise("")})
-    return folds.fold(df, KEYS, ORDER, folds.chunk_cues, "meeting_id long, pos long, start double, end double, speaker string, n long, text string")
+    return folds.chunk_cues(df, KEYS, ORDER).select("meeting_id", "pos", "start", "end", "speaker", "n", "text")
 
 
 @plans.add("w11_self_intro", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Ada Moss' ELSE 'Ben Ito' END AS speaker, c_custkey % 2 = 0 AS self_intro_applied FROM customer")
@@ -207,5 +203,4 @@ def w11(spark, sf):
 @plans.add("w19_roll_call_skip", f"""WITH RECURSIVE {FT}, h AS (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY pos) AS k FROM ft WHERE status = 'chair'), f AS (SELECT meeting_id, k, pos, start, speaker, start AS taken, true AS hit FROM h WHERE k = 1
  UNION ALL SELECT h.meeting_id, h.k, h.pos, h.start, h.speaker, CASE WHEN h.start - f.taken >= 60 THEN h.start ELSE f.taken END, h.start - f.taken >= 60 FROM f JOIN h ON h.meeting_id = f.meeting_id AND h.k = f.k + 1) SELECT meeting_id, pos, start, speaker FROM f WHERE hit""")
 def w19(spark, sf):
-    df = _turns_for_folds(spark, sf).withColumn("hit", F.col("status") == "chair")
-    return folds.fold(df, KEYS, ORDER, lambda rows: folds.skip_after(rows, "hit", 60.0), "meeting_id long, pos long, start double, speaker string")
+    return folds.skipped_after(_turns_for_folds(spark, sf).where("status = 'chair'"), KEYS, ORDER, "meeting_id long, pos long, start double, speaker string")
