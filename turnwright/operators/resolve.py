@@ -87,27 +87,3 @@ def _over_distinct(heard: pd.Series, work) -> pd.Series:
 def fuzzy_roster(heard: str, roster: dict[str, str]) -> Column:
     """F24 as a column; Arrow batches, distinct values once."""
     return F.pandas_udf(lambda s: _over_distinct(s, lambda h: closest(h, roster)), "string")(heard)
-
-
-def hint(heard: str, roster: dict[str, str]) -> str:
-    """the canonical label of a title and a name; chairs and managers only if surely alike."""
-    words = (heard or "").replace(".", "").replace(":", "").split()
-    titles = {"mayor": "Mayor ", "chair": "Mayor ", "manager": "City Manager ", "councilmember": "", "councilman": "", "councilwoman": "", "member": ""}
-    for k, w in enumerate(words[:3]):
-        if w.lower() in titles:
-            name = closest(" ".join(words[k + 1 :]), roster)
-            if not name:
-                return ""
-            ratio = SequenceMatcher(None, " ".join(words[k + 1 :]).lower(), name.lower()).ratio()
-            return "" if titles[w.lower()] and ratio < 0.7 else titles[w.lower()] + name
-    return ""
-
-
-def parse_hint(heard: str, roster: dict[str, str]) -> Column:
-    return F.pandas_udf(lambda s: _over_distinct(s, lambda h: hint(h, roster)), "string")(heard)
-
-
-def inline_header(text: str, roster: dict[str, str]) -> Column:
-    """the label of a header before a colon or comma at a text's start."""
-    head = F.regexp_extract(text, r"^\s*([^:,]{3,40})[:,]\s", 1)
-    return F.pandas_udf(lambda s: _over_distinct(s, lambda h: hint(h, roster)), "string")(head)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnwright.functions.text import collapse, duration, slug, strip_tags, unescape, vtt_millis
+from turnwright.operators.headers import Council, spoken_by
 
 WORD = "struct<start:string,end:string,word:string,text:string,speaker_id:string,type:string>"
 SEGMENT = "struct<start:string,end:string,text:string,speaker:string>"
@@ -52,18 +53,34 @@ def word_speakers(df: DataFrame, key: str, document: str = "document") -> DataFr
     return rows.select(key, F.col("r.start").try_cast("double").alias("start"), F.col("r.end").try_cast("double").alias("end"), F.col("r.speaker_id").alias("speaker"))
 
 
-def webvtt(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Cues (key, cue, start_ms, end_ms, new_speaker, text) of whole WebVTT texts: blocks between blank lines that hold a timing."""
+STAMP = r"(\d{2}:\d{2}:\d{2}\.\d{3})"
+TIMING = rf"{STAMP}\s*-->\s*{STAMP}[^\n]*\n?"
+# Fixed value: what marks a vendor's own cue.
+WATERMARK = r"(?i)aberdeen\s+captioning|www\.|\b\d{3}-\d{3}-\d{4}\b"
+
+
+def _cues(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, cue, start_ms, end_ms, body) of whole WebVTT texts: blocks between blank lines that hold a timing."""
     clean = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), "^﻿", "")
-    blocks = df.select(key, F.posexplode(F.split(clean, r"\n\s*\n")).alias("cue", "b"))
-    stamp = r"(\d{2}:\d{2}:\d{2}\.\d{3})"
-    line = rf"{stamp}\s+-->\s+{stamp}[^\n]*\n?"
-    blocks = blocks.where(F.rlike("b", F.lit(line)))
-    body = F.regexp_replace("b", rf"(?s)^.*?{line}", "")
-    out = blocks.select(key, "cue", vtt_millis(F.regexp_extract("b", line, 1)).alias("start_ms"), vtt_millis(F.regexp_extract("b", line, 2)).alias("end_ms"), F.rlike(body, F.lit(r"^\s*(>>|&gt;&gt;)")).alias("new_speaker"), collapse(F.regexp_replace(F.regexp_replace(body, r"^\s*(>>|&gt;&gt;)\s*", ""), r"</?[vc][^>]*>", "")).alias("text"))
+    blocks = df.select(key, F.posexplode(F.split(clean, r"\n\s*\n")).alias("cue", "b")).where(F.rlike("b", F.lit(TIMING)))
+    return blocks.select(key, "cue", vtt_millis(F.regexp_extract("b", TIMING, 1)).alias("start_ms"), vtt_millis(F.regexp_extract("b", TIMING, 2)).alias("end_ms"), F.regexp_replace("b", rf"(?s)^.*?{TIMING}", "").alias("body"))
+
+
+def webvtt(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Cues (key, cue, start_ms, end_ms, new_speaker, text) of whole WebVTT texts."""
+    cues = _cues(df, key, text)
+    body = F.col("body")
+    out = cues.select(key, "cue", "start_ms", "end_ms", F.rlike(body, F.lit(r"^\s*(>>|&gt;&gt;)")).alias("new_speaker"), collapse(F.regexp_replace(F.regexp_replace(body, r"^\s*(>>|&gt;&gt;)\s*", ""), r"</?[vc][^>]*>", "")).alias("text"))
     return out.where(~F.rlike("text", F.lit(r"(?i)www\.|captioning")))
 
 
+def captions(df: DataFrame, key: str, council: Council, text: str = "text") -> DataFrame:
+    """Cues as webvtt() gives them, with speaker_hint and speaker_hint_strength; what says who speaks is no text. Cues without either are left out, as are a vendor's own."""
+    cues = _cues(df, key, text)
+    told = spoken_by(cues.withColumn("lines", F.split(F.regexp_replace("body", "&gt;", ">"), "\n")).drop("body"), "lines", council).drop("lines")
+    return told.where(~F.rlike("text", F.lit(WATERMARK)) & ((F.col("text") != "") | ((F.col("speaker_hint") != "") & F.col("new_speaker"))))
+
+
 def js_array(script: Column, constant: str, schema: str) -> Column:
     """The array of structs that a script assigns to a constant; trailing commas are allowed."""
     body = F.regexp_extract(script, rf"(?s){constant}\s*=\s*(\[.*?\])\s*;?\s*(?:\n\s*(?:if|module|window)|$)", 1)
