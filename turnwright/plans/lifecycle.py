@@ -76,12 +76,3 @@ def captions(spark, sf):
 def vote_save(spark, sf):
     rows = F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("item"), F.col("o_orderstatus").alias("result"))))
     return table(spark, sf, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(rows.alias("votes"))).alias("document"))
-
-
-@plans.add("f25_f26_inline_header")
-def inline_header(spark, sf):
-    from turnwright.operators.resolve import inline_header as header
-
-    says = F.when(F.col("c_custkey") % 3 == 0, "Mayor Ada Moss: good evening").when(F.col("c_custkey") % 3 == 1, "Councilmember Ito, thank you").otherwise("no header here")
-    df = table(spark, sf, "customer").select("c_custkey", says.alias("text"))
-    return df.select("c_custkey", header("text", {"ada moss": "Ada Moss", "ben ito": "Ben Ito"}).alias("label"))

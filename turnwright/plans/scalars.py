@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnwright.functions import text as t
 from turnwright.operators import labels
+from turnwright.operators.headers import Council, hint_of, marker_of, split_header
 from turnwright.plans.base import Plans, table
 
 plans = Plans()
@@ -105,30 +106,58 @@ def token_join(spark, sf):
     return table(spark, sf, "documents").select("doc_id", t.join_tokens(F.split(apart, r"\s+")).alias("x"))
 
 
-@plans.add("f31_self_intro", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE 'Customer Ito' END AS x FROM customer")
+# names and sentences made of a part's own columns; the SQL builds the sentence likewise and takes it apart by plain patterns
+_NAME = "array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+_INTRO = f"CASE p_partkey % 5 WHEN 0 THEN 'Good evening. My name is ' || {_NAME} || ', part ' || p_partkey WHEN 1 THEN 'I''m going; i am ' || {_NAME} || ' the first' WHEN 2 THEN 'this is ' || {_NAME} || '. ' || p_size WHEN 3 THEN 'my name is ' || p_name ELSE 'This is the ' || {_NAME} END"
+INTRO_SQL = f"i AS (SELECT p_partkey, p_brand, nullif(rtrim(regexp_extract({_INTRO}, '(?:[Mm]y name is|i am|this is) ((?:[A-Z][a-z]+ ?)+)', 1)), '') AS heard FROM part)"
+
+
+def _chosen(*forms):
+    """By a part's key, one form or the other."""
+    return F.element_at(F.array(*forms), (F.col("p_partkey") % len(forms) + 1).cast("int"))
+
+
+def introduced(spark, sf):
+    """Parts with a sentence in which some say who they are."""
+    name = F.initcap("p_name")
+    says = _chosen(F.concat(F.lit("Good evening. My name is "), name, F.lit(", part "), "p_partkey"), F.concat(F.lit("I'm going; i am "), name, F.lit(" the first")), F.concat(F.lit("this is "), name, F.lit(". "), "p_size"), F.concat(F.lit("my name is "), "p_name"), F.concat(F.lit("This is the "), name))
+    return table(spark, sf, "part").withColumn("text", says)
+
+
+@plans.add("f31_self_intro", f"WITH {INTRO_SQL} SELECT p_partkey, heard AS x FROM i")
 def self_intro(spark, sf):
-    says = F.when(F.col("c_custkey") % 4 == 0, "Good evening. My name is Customer Ito, hello").when(F.col("c_custkey") % 4 == 1, "I'm going; i am Customer Ito the first").when(F.col("c_custkey") % 4 == 2, "this is Customer Ito. 12").otherwise("This is the end")
-    return table(spark, sf, "customer").select("c_custkey", t.self_intro(says).alias("x"))
+    return introduced(spark, sf).select("p_partkey", t.self_intro(F.col("text")).alias("x"))
 
 
-@plans.add("f35_evidence", "SELECT c_custkey, name, reason, weight FROM customer, (VALUES ('Ada Moss', 'self_intro', 5), ('Ben Ito', 'self_intro', 4), ('Cy Ray Dole', 'opening_intro_with_context', 4)) v(name, reason, weight)")
+@plans.add("f35_evidence", f"WITH n AS (SELECT p_partkey, p_partkey % 4 AS k, {_NAME} AS name FROM part), e AS (SELECT p_partkey, name, 'self_intro' AS reason, 5 AS weight FROM n WHERE k = 0 UNION ALL SELECT p_partkey, name, 'self_intro', 4 FROM n WHERE k = 1 UNION ALL SELECT p_partkey, name || ' Dole', 'opening_intro_with_context', 4 FROM n WHERE k = 2 UNION ALL SELECT p_partkey, name || ' Dole', 'opening_intro', 3 FROM n WHERE k = 3) SELECT * FROM e")
 def evidence(spark, sf):
     from turnwright.operators.resolve import evidence as find
 
-    says = table(spark, sf, "customer").select("c_custkey", F.lit("Good evening, Cy Ray Dole, I live here. my name is Ada Moss and this is Ben Ito ok").alias("text"))
-    return find(says, "text").select("c_custkey", "name", "reason", "weight")
+    name = F.initcap("p_name")
+    says = _chosen(F.concat(F.lit("well my name is "), name, F.lit(" and part "), "p_partkey"), F.concat(F.lit("now this is "), name, F.lit(" ok")), F.concat(F.lit("Good evening, "), name, F.lit(" Dole, I live here")), F.concat(F.lit("Good evening, "), name, F.lit(" Dole, part "), "p_partkey"))
+    return find(table(spark, sf, "part").select("p_partkey", says.alias("text")), "text").select("p_partkey", "name", "reason", "weight")
+
+
+_VERBS = "v AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'So I Think that ' || p_name || ' I Am I Think ' || p_type WHEN 1 THEN p_name || '. I Know ' || p_type || ' and I Know it' ELSE p_type || ' I Know ' || p_name || '. I Think so' END AS t FROM part)"
 
 
-@plans.add("f44_small_verbs", "SELECT doc_id, 'So I think that I am I Think ' || lang AS x, 'Yes. I Know it' AS y FROM documents")
+@plans.add("f44_small_verbs", f"WITH {_VERBS} SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN regexp_replace(regexp_replace(t, 'I Think ', 'I think '), 'I Am ', 'I am ') ELSE regexp_replace(t, '([^.!?\" ] +I) Know ', '\\1 know ') END AS x FROM v WHERE p_partkey % 3 <> 1 UNION ALL SELECT p_partkey, t FROM v WHERE p_partkey % 3 = 1")
 def small_verbs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", t.small_verbs(F.concat(F.lit("So I Think that I Am I Think "), "lang")).alias("x"), t.small_verbs(F.lit("Yes. I Know it")).alias("y"))
+    says = _chosen(F.concat(F.lit("So I Think that "), "p_name", F.lit(" I Am I Think "), "p_type"), F.concat("p_name", F.lit(". I Know "), "p_type", F.lit(" and I Know it")), F.concat("p_type", F.lit(" I Know "), "p_name", F.lit(". I Think so")))
+    return table(spark, sf, "part").select("p_partkey", t.small_verbs(says).alias("x"))
 
 
-@plans.add("f51_f52_roll_call", "SELECT o_orderkey, 2 AS n, 'Ito' AS first_name, 'passed unanimously' AS outcome FROM orders")
+_CALL = f"c AS (SELECT p_partkey, 'Council Member ' || split_part({_NAME}, ' ', 1) || '? ' || (['Aye', 'nay', 'No'])[p_partkey % 3 + 1] || '. Council Ms. ' || {_NAME} || ': No. ' || (['The motion passed ' || p_size || ' to ' || p_size % 7, 'It was adopted by ' || p_size || ' 2', 'All were Unanimous', 'A tie vote', 'On to ' || p_name])[p_partkey % 5 + 1] AS t FROM part)"
+
+
+@plans.add("f51_f52_roll_call", f"WITH {_CALL} SELECT p_partkey, CAST(len(regexp_extract_all(t, '(Member|Ms\\.) [A-Za-z ]+[?:] (Aye|No)\\b')) AS INTEGER) AS n, regexp_extract(t, '(?:Member|Ms\\.) ([A-Za-z ]+)[?:] (?:Aye|No)\\b', 1) AS first_name, nullif(regexp_extract(t, 'motion passed [0-9]+ to [0-9]+|adopted by [0-9]+ 2|Unanimous|tie vote'), '') AS outcome FROM c")
 def roll_call(spark, sf):
-    says = F.lit("Council Member Ito? Aye. Council Ms. Moss: No. The motion passed unanimously 2 to 0")
+    name = F.initcap("p_name")
+    size = F.col("p_size").cast("string")
+    ends = _chosen(F.concat(F.lit("The motion passed "), size, F.lit(" to "), (F.col("p_size") % 7).cast("string")), F.concat(F.lit("It was adopted by "), size, F.lit(" 2")), F.lit("All were Unanimous"), F.lit("A tie vote"), F.concat(F.lit("On to "), "p_name"))
+    says = F.concat(F.lit("Council Member "), F.substring_index(name, " ", 1), F.lit("? "), _chosen(F.lit("Aye"), F.lit("nay"), F.lit("No")), F.lit(". Council Ms. "), name, F.lit(": No. "), ends)
     names = F.regexp_extract_all(says, F.lit(t.ROLL_CALL), 2)
-    return table(spark, sf, "orders").select("o_orderkey", F.size(names).alias("n"), F.get(names, F.lit(0)).alias("first_name"), t.outcome(says).alias("outcome"))
+    return table(spark, sf, "part").select("p_partkey", F.size(names).alias("n"), F.get(names, F.lit(0)).alias("first_name"), t.outcome(says).alias("outcome"))
 
 
 @plans.add("f41_word_error_rate")
@@ -140,14 +169,41 @@ def word_error_rate(spark, sf):
     return d.join(nxt, "doc_id").select("doc_id", wer("ref", "hyp").alias("wer"))
 
 
-@plans.add("f24_f28_roster_match")
+COUNCIL = Council({"amos": "Ann Amos", "hall": "Sy Hall", "hardy-chandler": "Sy Hardy-Chandler", "peterson": "Tim Peterson"}, ("moss", "Ada Moss"), ("dole", "Cy Dole"))
+_TITLES = ("Councilmember", "Council member", "councilwoman", "Mayor", "City Manager")
+_HEARD = ("Hall", "HAL", "Hardy Chandler", "Zzz", "Moss", "pern", "Dole")
+#: What each heard name is, said after a member's title.
+_MEMBERS = {"Hall": "Sy Hall", "HAL": "Sy Hall", "Hardy Chandler": "Sy Hardy-Chandler", "Moss": "Ann Amos", "pern": "Tim Peterson"}
+_STOPS = (". ", ": ", ", ", " ")
+_LIST = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
+_SAID = f"c AS (SELECT c_custkey, c_name, ({_LIST(_TITLES)})[c_custkey % 5 + 1] AS title, ({_LIST(_HEARD)})[c_custkey // 5 % 7 + 1] AS heard, ({_LIST(_STOPS)})[c_custkey // 35 % 4 + 1] AS stop FROM customer)"
+_MEMBER_SQL = "CASE heard " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _MEMBERS.items()) + " ELSE '' END"
+
+
+def _said(spark, sf):
+    """Customers with a title, a name as heard and what stands between these and the rest, in all combinations."""
+    pick = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (F.floor(F.col("c_custkey") / by) % len(values) + 1).cast("int"))
+    return table(spark, sf, "customer").select("c_custkey", "c_name", pick(_TITLES, 1).alias("title"), pick(_HEARD, 5).alias("heard"), pick(_STOPS, 35).alias("stop"))
+
+
+@plans.add("f24_f28_roster_match", f"""WITH {_SAID}, k AS (SELECT *, {_MEMBER_SQL} AS member FROM c), l AS (SELECT *, CASE WHEN heard = 'Hardy Chandler' THEN 'Sy Hardy-Chandler' WHEN heard = 'Dole' THEN '' ELSE member END AS match,
+ CASE WHEN title = 'Mayor' THEN CASE WHEN heard = 'Moss' THEN 'Mayor Ada Moss' ELSE '' END WHEN title = 'City Manager' THEN CASE WHEN heard = 'Dole' THEN 'City Manager Cy Dole' ELSE '' END WHEN member <> '' AND heard <> 'Hardy Chandler' THEN 'Councilmember ' || member ELSE '' END AS label FROM k)
+ SELECT c_custkey, match, label AS hint, CASE WHEN title <> 'City Manager' AND c_custkey % 2 = 0 THEN label ELSE '' END AS marker FROM l""")
 def roster_match(spark, sf):
-    from turnwright.operators.resolve import fuzzy_roster, parse_hint
+    """Names matched with a roster, labels that lines begin with, and labels that lines are: every other line goes on."""
+    from turnwright.operators.resolve import fuzzy_roster
+
+    line = F.concat_ws(" ", "title", F.col("heard"), F.when(F.col("c_custkey") % 2 == 1, F.concat(F.lit("of "), "c_name")))
+    df = _said(spark, sf).select("c_custkey", F.lower(F.regexp_replace("heard", " ", "-")).alias("heard"), line.alias("line"))
+    return df.select("c_custkey", fuzzy_roster("heard", COUNCIL.members).alias("match"), hint_of(COUNCIL, "line").alias("hint"), marker_of(COUNCIL, "line").alias("marker"))
+
 
-    roster = {"ada moss": "Ada Moss", "ben ito": "Ben Ito", "cy dole": "Cy Dole"}
-    heard = F.when(F.col("c_custkey") % 4 == 0, "Mayor Ada Mos").when(F.col("c_custkey") % 4 == 1, "councilmember ito").when(F.col("c_custkey") % 4 == 2, "chair dol").otherwise("nobody")
-    df = table(spark, sf, "customer").select("c_custkey", heard.alias("heard"))
-    return df.select("c_custkey", fuzzy_roster("heard", roster).alias("match"), parse_hint("heard", roster).alias("hint"))
+@plans.add("f25_f26_inline_header", f"""WITH {_SAID}, k AS (SELECT *, title || ' ' || heard || stop || CASE WHEN stop = ' ' THEN 'yes ' || substr(c_name, 10) ELSE c_name END AS line, {_MEMBER_SQL} AS member FROM c),
+ l AS (SELECT *, CASE WHEN title = 'Mayor' AND heard = 'Moss' AND stop <> ' ' THEN 'Mayor Ada Moss' WHEN title IN ('Councilmember', 'Council member', 'councilwoman') AND member <> '' AND (stop IN ('. ', ': ') OR stop = ' ' AND title <> 'councilwoman') THEN 'Councilmember ' || member ELSE '' END AS label FROM k)
+ SELECT c_custkey, label, CASE WHEN label = '' THEN line WHEN stop = ' ' THEN CASE WHEN heard = 'Hardy Chandler' THEN 'yes ' ELSE '' END || substr(c_name, 10) WHEN title = 'councilwoman' THEN trim(regexp_replace(lower(c_name), '[^a-z0-9]', ' ', 'g')) ELSE c_name END AS rest, CASE WHEN label = '' THEN '' WHEN stop = ' ' THEN 'inline_loose' ELSE 'inline' END AS strength FROM l""")
+def inline_header(spark, sf):
+    line = F.concat("title", F.lit(" "), "heard", "stop", F.when(F.col("stop") == " ", F.concat(F.lit("yes "), F.substr("c_name", F.lit(10)))).otherwise(F.col("c_name")))
+    return split_header(_said(spark, sf).withColumn("line", line), "line", COUNCIL, "label").select("c_custkey", "label", "rest", "strength")
 
 
 @plans.add("p7_queue_predicate", "SELECT doc_id, doc_id % 11 = 0 OR len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) <= 3 OR contains(lower(text), 'even more oh') OR contains(lower(text), 'has the name') OR contains(lower(text), '. i') AS x FROM documents")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnwright.operators import folds, sequence
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
+from turnwright.plans.scalars import INTRO_SQL, introduced
 
 plans = Plans()
 KEYS, ORDER = ["meeting_id"], ["pos"]
@@ -191,13 +192,12 @@ def w3(spark, sf):
     return folds.chunk_cues(df, KEYS, ORDER).select("meeting_id", "pos", "start", "end", "speaker", "n", "text")
 
 
-@plans.add("w11_self_intro", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Ada Moss' ELSE 'Ben Ito' END AS speaker, c_custkey % 2 = 0 AS self_intro_applied FROM customer")
+@plans.add("w11_self_intro", f"WITH {INTRO_SQL} SELECT p_partkey, coalesce(heard, p_brand) AS speaker, heard IS NOT NULL AS self_intro_applied FROM i")
 def w11(spark, sf):
     from turnwright.functions.text import self_intro
 
-    df = table(spark, sf, "customer").select("c_custkey", F.lit("Ben Ito").alias("speaker"), F.when(F.col("c_custkey") % 2 == 0, "Good evening, my name is Ada Moss.").otherwise("Hello").alias("text"))
     name = self_intro(F.col("text"))
-    return df.select("c_custkey", F.coalesce(name, "speaker").alias("speaker"), F.coalesce(name != F.col("speaker"), F.lit(False)).alias("self_intro_applied"))
+    return introduced(spark, sf).select("p_partkey", F.coalesce(name, "p_brand").alias("speaker"), F.coalesce(name != F.col("p_brand"), F.lit(False)).alias("self_intro_applied"))
 
 
 @plans.add("w19_roll_call_skip", f"""WITH RECURSIVE {FT}, h AS (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY pos) AS k FROM ft WHERE status = 'chair'), f AS (SELECT meeting_id, k, pos, start, speaker, start AS taken, true AS hit FROM h WHERE k = 1
