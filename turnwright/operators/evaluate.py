@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -26,6 +27,14 @@ def edits(a: list[str], b: list[str]) -> int:
     return at
 
 
+def with_next(df: DataFrame, number: str, text: str, name: str, block: int = 64) -> DataFrame:
+    """Rows that have a next one, by their whole numbers, with its text. Rows are dealt by blocks of numbers, so each travels once, and only the first of a block twice; numbers don't repeat."""
+    own = F.floor(F.col(number) / block)
+    dealt = df.withColumn("__block", F.explode(F.when(F.col(number) % block == 0, F.array(own, own - 1)).otherwise(F.array(own))))
+    after = F.lead(F.struct(number, text)).over(W.partitionBy("__block").orderBy(number))
+    return dealt.withColumn("__after", after).where((F.col(f"__after.{number}") == F.col(number) + 1) & (own == F.col("__block"))).withColumn(name, F.col(f"__after.{text}")).drop("__block", "__after")
+
+
 def wer(reference: str, hypothesis: str) -> Column:
     """word error rate; of an empty reference 0 if the other is empty too, else 1."""
 

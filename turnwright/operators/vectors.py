@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwright.operators.graph import components
-from turnwright.session import cut
+from turnwright.session import cut, stored
 
 
 def dot(a: str | Column, b: str | Column) -> Column:
@@ -353,11 +353,44 @@ def cluster_count(n: Column) -> Column:
     return F.when(n <= 9, n).otherwise(F.least(n, F.greatest(F.lit(9), F.ceil(n / 2)))).cast("long")
 
 
-def tf_idf(tokens: DataFrame, doc: str, term: str, least: int = 1) -> DataFrame:
-    """(doc, term, weight) from a long table of tokens: count over distinct terms, times ln((n + 1) / (df + 1)) + 1."""
-    counts = tokens.groupBy(doc, term).agg(F.count(F.lit(1)).alias("c"))
-    distinct = counts.groupBy(doc).agg(F.count(F.lit(1)).alias("m"))
-    n = tokens.select(doc).distinct().agg(F.count(F.lit(1)).alias("n"))
-    df = counts.groupBy(term).agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least)
+def term_counts(docs: DataFrame, keys: list[str], terms: str) -> DataFrame:
+    """(keys, m, n, place, term, c): of each row, the distinct terms of an array and how often it has them; m is how many they are, place their number from 0 on. All within the row."""
+    rows = docs.select(*keys, F.sort_array(F.array_compact(terms)).alias("__s"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("__s") - 1), lambda i: (i == 0) | (F.get("__s", i) != F.get("__s", i - 1)))
+    begun = rows.withColumn("__at", F.when(F.size("__s") > 0, starts))
+    pairs = F.transform("__at", lambda at, k: F.struct(F.get("__s", at).alias("term"), (F.coalesce(F.get("__at", k + 1), F.size("__s")) - at).alias("c")))
+    # the outer form, as for the inner one the optimiser would ask first whether there are any, and cut each text twice
+    return begun.select(*keys, F.size("__at").alias("m"), F.posexplode_outer(pairs).alias("place", "p")).where("p IS NOT NULL").select(*keys, "m", "place", "p.term", "p.c")
+
+
+def tf_idf(docs: DataFrame, keys: list[str], terms: str, least: int = 1) -> DataFrame:
+    """(keys, term, weight) of documents with an array of terms: count over distinct terms, times ln((n + 1) / (df + 1)) + 1.
+
+    Terms are counted within their document; what is shuffled are the sums of each term, which are combined first, and the counts to meet them. A document is one row; n counts those with a term.
+    """
+    counts = stored(term_counts(docs, keys, terms))
+    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.count_if(F.col("place") == 0).alias("__first"))
+    n = df.agg(F.sum("__first").alias("n"))
     weight = F.col("c") / F.col("m") * (F.log((n.scalar() + 1.0) / (F.col("df") + 1.0)) + 1.0)
-    return counts.join(distinct, doc).join(df, term).select(doc, term, weight.alias("weight"))
+    return counts.join(df.where(F.col("df") >= least).drop("__first"), "term").select(*keys, "term", weight.alias("weight"))
+
+
+def sparse_means(weights: DataFrame, group: str, doc: str) -> DataFrame:
+    """(group, term, m): the mean weight of a term over the documents of a group; groups' documents are counted by their weights."""
+    k = weights.groupBy(group, doc).agg(F.lit(1)).groupBy(group).agg(F.count(F.lit(1)).alias("k"))
+    return weights.groupBy(group, "term").agg(F.sum("weight").alias("s")).join(k, group).select(group, "term", (F.col("s") / F.col("k")).alias("m"))
+
+
+def nearest_mean(weights: DataFrame, means: DataFrame, doc: str, group: str, grain: int) -> DataFrame:
+    """(doc, group) of the group whose mean is most alike (cosine, to 1/grain; ties to the least name).
+
+    A term's means come as one array of (group, m over the group's length), so a weight meets one row whatever the number of groups; a document's dot products are sums of these by group, made
+    along with its own length.
+    """
+    norms = means.groupBy(group).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("length"))
+    unit = means.join(norms, group).select("term", F.struct(F.col(group).alias("g"), "m", "length").alias("x"))
+    by_term = unit.groupBy("term").agg(F.collect_list("x").alias("xs"))  # a group each
+    length = weights.groupBy(doc).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("own"))
+    dots = weights.join(by_term, "term").select(doc, "weight", F.explode("xs").alias("x")).groupBy(doc, F.col("x.g").alias(group)).agg(F.sum(F.col("weight") * F.col("x.m")).alias("dot"), F.first("x.length").alias("length"))
+    score = F.floor(F.col("dot") / F.col("length") / F.col("own") * grain)
+    return dots.join(length, doc).groupBy(doc).agg(F.min_by(group, F.struct((-score).alias("s"), F.col(group).alias("g"))).alias(group))

@@ -162,11 +162,9 @@ def roll_call(spark, sf):
 
 @plans.add("f41_word_error_rate")
 def word_error_rate(spark, sf):
-    from turnwright.operators.evaluate import wer
+    from turnwright.operators.evaluate import wer, with_next
 
-    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("ref"))
-    nxt = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("ref").alias("hyp"))
-    return d.join(nxt, "doc_id").select("doc_id", wer("ref", "hyp").alias("wer"))
+    return with_next(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", "hyp").select("doc_id", wer("text", "hyp").alias("wer"))
 
 
 COUNCIL = Council({"amos": "Ann Amos", "hall": "Sy Hall", "hardy-chandler": "Sy Hardy-Chandler", "peterson": "Tim Peterson"}, ("moss", "Ada Moss"), ("dole", "Cy Dole"))

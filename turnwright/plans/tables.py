@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnwright.functions import text as t
 from turnwright.operators import evaluate, graph, review, search, sequence, vectors
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
-from turnwright.session import cut
+from turnwright.session import stored
 
 plans = Plans()
 add = plans.add
@@ -49,6 +49,10 @@ def a7(spark, sf):
     return m.select("label", F.posexplode("embedding").alias("k", "m")).select("label", "k", F.floor(F.col("m") * 1000000 + 0.5).cast("double").alias("micro"))
 
 
+def cut_texts(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "source", t.tokens(F.col("text")).alias("terms"))
+
+
 def tokens(spark, sf):
     # the outer form, as for the inner one the optimiser would ask first whether there are any tokens, and cut each text twice
     each = F.explode_outer(t.tokens(F.col("text"))).alias("term")
@@ -62,9 +66,8 @@ TFIDF_SQL = f"{TOKENS_SQL}, c AS (SELECT doc_id, source, term, count(*) AS c FRO
 
 @add("a8_sparse_mean", f"WITH {TFIDF_SQL}, k AS (SELECT source, count(DISTINCT doc_id) AS k FROM w GROUP BY source) SELECT source, term, floor(sum(weight) / any_value(k) * 1000000 + 0.5) AS micro FROM w JOIN k USING (source) GROUP BY source, term")
 def a8(spark, sf):
-    w = cut(vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id"))
-    k = w.groupBy("source").agg(F.count_distinct("doc_id").alias("k"))
-    return w.groupBy("source", "term").agg(F.sum("weight").alias("s")).join(k, "source").select("source", "term", F.floor(F.col("s") / F.col("k") * 1000000 + 0.5).cast("double").alias("micro"))
+    m = vectors.sparse_means(vectors.tf_idf(cut_texts(spark, sf), ["doc_id", "source"], "terms"), "source", "doc_id")
+    return m.select("source", "term", F.floor(F.col("m") * 1000000 + 0.5).cast("double").alias("micro"))
 
 
 @add("a10_majority", "WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS k, sum(n) OVER (PARTITION BY user_id) AS t FROM c) SELECT user_id, event_type, floor(n * 1000 / t + 0.5) / 1000 AS confidence FROM r WHERE k = 1")
@@ -103,9 +106,8 @@ def a15(spark, sf):
 
 @add("a16_macro_wer")
 def a16(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", F.col("text").alias("ref"))
-    h = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("ref").alias("hyp"))
-    return d.join(h, "doc_id").groupBy("lang").agg(t.rounded(F.avg(evaluate.wer("ref", "hyp")), 4).alias("wer"), F.count(F.lit(1)).alias("n"))
+    d = evaluate.with_next(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id", "text", "hyp")
+    return d.groupBy("lang").agg(t.rounded(F.avg(evaluate.wer("text", "hyp")), 4).alias("wer"), F.count(F.lit(1)).alias("n"))
 
 
 @add("a17_duration", f"WITH {TURNS_SQL} SELECT meeting_id, greatest(arg_max(\"end\", pos), 2000000) AS duration FROM turns GROUP BY meeting_id")
@@ -289,7 +291,7 @@ def u6(spark, sf):
 # vectors and graphs
 @add("f39_tf_idf", f"WITH {TFIDF_SQL} SELECT doc_id, term, floor(weight * 1000000 + 0.5) AS micro FROM w")
 def f39(spark, sf):
-    return vectors.tf_idf(tokens(spark, sf), "doc_id", "term").select("doc_id", "term", F.floor(F.col("weight") * 1000000 + 0.5).cast("double").alias("micro"))
+    return vectors.tf_idf(cut_texts(spark, sf), ["doc_id"], "terms").select("doc_id", "term", F.floor(F.col("weight") * 1000000 + 0.5).cast("double").alias("micro"))
 
 
 @add("f40_cosine", "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) SELECT a.vec_id, floor(list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) * 1000000 + 0.5) AS micro FROM v a JOIN v b ON b.vec_id = a.vec_id + 1")
@@ -352,14 +354,9 @@ def g7(spark, sf):
 @add("g8_attribution", f"WITH {TFIDF_SQL}, k AS (SELECT source, count(DISTINCT doc_id) AS k FROM w GROUP BY source), ce AS (SELECT source, term, sum(weight) / any_value(k) AS m FROM w JOIN k USING (source) GROUP BY source, term), cn AS (SELECT source, sqrt(sum(m * m)) AS n FROM ce GROUP BY source), dn AS (SELECT doc_id, sqrt(sum(weight * weight)) AS n FROM w GROUP BY doc_id), s AS (SELECT w.doc_id, ce.source, sum(weight * ce.m) / any_value(cn.n) / any_value(dn.n) AS s FROM w JOIN ce USING (term) JOIN cn ON ce.source = cn.source JOIN dn ON dn.doc_id = w.doc_id GROUP BY w.doc_id, ce.source) SELECT doc_id, source AS best FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY floor(s * 1000000000), source DESC) = count(*) OVER (PARTITION BY doc_id)")
 def g8(spark, sf):
     """Documents attributed to the source whose mean TF-IDF vector is most alike."""
-    w = cut(vectors.tf_idf(tokens(spark, sf), "doc_id", "term").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id"))
-    k = w.groupBy("source").agg(F.count_distinct("doc_id").alias("k"))
-    c = w.groupBy("source", "term").agg(F.sum("weight").alias("s")).join(k, "source").select("source", "term", (F.col("s") / F.col("k")).alias("m"))
-    cn = c.groupBy("source").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("cn"))
-    dn = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("dn"))
-    s = w.drop("source").join(c, "term").groupBy("doc_id", "source").agg(F.sum(F.col("weight") * F.col("m")).alias("dot"))
-    s = s.join(cn, "source").join(dn, "doc_id").withColumn("score", F.floor(F.col("dot") / F.col("cn") / F.col("dn") * 1000000000))
-    return s.groupBy("doc_id").agg(F.min_by("source", F.struct((-F.col("score")).alias("s"), "source")).alias("best"))
+    w = stored(vectors.tf_idf(cut_texts(spark, sf), ["doc_id", "source"], "terms"))
+    best = vectors.nearest_mean(w.drop("source"), vectors.sparse_means(w, "source", "doc_id"), "doc_id", "source", 1_000_000_000)
+    return best.select("doc_id", F.col("source").alias("best"))
 
 
 # evaluation

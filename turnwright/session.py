@@ -69,3 +69,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df as a reliable checkpoint in the shared folder."""
     _shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder, which readers take by column; like cut, but smaller and sooner written."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
