@@ -8,7 +8,7 @@ from turnwright.operators import resolve, sequence
 from turnwright.plans.base import TURNS_SQL, Plans, table, turns
 from turnwright.session import scratch
 from turnwright.sinks import gate, parts, publish
-from turnwright.sources import scans
+from turnwright.sources import scans, tables
 from turnwright.streaming import review as streams
 
 plans = Plans()
@@ -189,6 +189,29 @@ def html_points(spark, sf):
     return scans.html_points(pages, "conv_id").select("conv_id", "start_seconds", "label")
 
 
+@add("s7_links_lateral", plans.sql["s7_html_links"])
+def links_lateral(spark, sf):
+    """The pages' links by a table function in SQL, with other quotes, attributes and cases than patterns would take."""
+    tables.register(spark)
+    html = F.regexp_replace("html", r'<li><a href="([^"]*)">', r"""<LI class=x><a title="a > b" HREF='$1'>""")
+    return spark.sql("SELECT page_id, l.href FROM {pages}, LATERAL list_links(html) l", pages=table(spark, sf, "pages").select("page_id", html.alias("html")))
+
+
+@add("s8_points_lateral", plans.sql["s8_html_points"])
+def points_lateral(spark, sf):
+    """Points of an index with attributes in another order, and an element within them."""
+    time = F.when(F.col("turn") % 3 != 0, (F.col("turn") * 60).cast("string")).otherwise("soon")
+    point = F.concat(F.lit("<DIV time="), time, F.lit(" id='p' class='item index-point'>\n <b>"), "role", F.lit("</b> <br></DIV>"))
+    pages = table(spark, sf, "conversations").groupBy("conv_id").agg(F.concat(F.lit("<div class='outer'>"), F.array_join(F.collect_list(point), ""), F.lit("</div>")).alias("html"))
+    return tables.points(pages).select("conv_id", "start_seconds", "label")
+
+
+@add("s5_cues_lateral", plans.sql["s5_k7_webvtt"])
+def cues_lateral(spark, sf):
+    cues = tables.cues(publish.webvtt(spoken(spark, sf)), "content")
+    return cues.select("meeting_id", "start_ms", "end_ms", F.regexp_replace(F.array_join("lines", " "), r"</?v[^>]*>", "").alias("text"))
+
+
 @add("s9_registry", "SELECT 'k' || n_nationkey AS speaker_key, n_name AS display_name, 2 AS aliases FROM nation WHERE n_nationkey > 0")
 def registry_file(spark, sf):
     """One file of speakers, where an entry comes twice and one has no key."""
