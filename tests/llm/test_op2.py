@@ -160,3 +160,24 @@ def test_clean_heeds_items_without_id(spark):
     docs = spark.createDataFrame([(1, "this is the question of all questions"), (2, "nothing of the kind is said here")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "this is the question of all questions")], "item_id long, text string")
     assert [r.doc_id for r in op2.clean(docs, items).collect()] == [2] and op2.find_leaks(docs, items).count() == 0
+
+
+def test_a_long_text_of_one_opening_that_many_items_share():
+    """100 items of different lengths begin alike; a text holds the opening tens of thousands of times, and one item."""
+    import resource
+    import time
+
+    opening = "which of the following is"
+    items = [f"{opening} " + " ".join(f"w{k}_{j}" for j in range(10 + k)) for k in range(100)]
+    words_of = op2.Items.of(list(range(100)), items)
+    text = " ".join(f"{opening} x{k}" for k in range(60_000)) + " " + items[40]
+    import pyarrow as pa
+
+    from turnwright.llm.words import ngrams, words
+
+    hashes = words(op2.plain(pa.array([text]))).hash
+    known = np.isin(ngrams(hashes, op2.SIZE), words_of.known)
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.perf_counter()
+    found = list(op2.leaks(hashes, words_of, {op2.SIZE: np.flatnonzero(known)}))
+    assert [f[0] for f in found] == [40] and found[0][1] == 6 * 60_000
+    assert time.perf_counter() - began < 20 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000

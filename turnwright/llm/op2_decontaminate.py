@@ -152,18 +152,23 @@ def leaks(hashes: np.ndarray, items: Items, hits: dict[int, np.ndarray]) -> Iter
 
     hits: for each shingle size, the words where a known shingle starts.
     """
-    begins: dict[int, list[np.ndarray]] = {}
+    wanted: dict[int, list[np.ndarray]] = {}  # by length of items, the words where a shingle of theirs starts
     for size, at in hits.items():
         grams = ngrams(hashes, size)
-        for a in at.tolist():
-            for n in items.lengths_of.get(int(grams[a]), ()):
+        order = np.argsort(grams[at], kind="stable")
+        value, first = np.unique(grams[at][order], return_index=True)
+        for x, own in zip(value.tolist(), np.split(at[order], first[1:]), strict=True) if len(at) else ():
+            for n in items.lengths_of.get(x, ()):
                 if min(SIZE, n) == size and len(hashes) >= n:
-                    begins.setdefault(int(n), []).append(np.arange(max(0, a - n + size), min(a, len(hashes) - n) + 1))
+                    wanted.setdefault(int(n), []).append(own)
     best: dict[int, tuple[int, int, int, int]] = {}
-    for n, parts in begins.items():
+    for n, parts in wanted.items():
         size = min(SIZE, n)
         grams = ngrams(hashes, size)
-        start = np.unique(np.concatenate(parts))
+        a = np.concatenate(parts)
+        # windows that hold one of these words begin in a stretch; stretches are counted in and out, however many there are
+        inside = np.bincount(np.maximum(0, a - n + size), minlength=len(hashes) + 2) - np.bincount(np.minimum(a, len(hashes) - n) + 1, minlength=len(hashes) + 2)
+        start = np.flatnonzero(np.cumsum(inside))
         seen, m = np.zeros(len(hashes) + 1, np.int64), n - size + 1
         seen[hits[size] + 1] = 1
         seen = np.cumsum(seen)
