@@ -107,3 +107,20 @@ def test_odd_rows(spark):
     none = docs.where("lang = 'xx'")
     assert op10.predict(docs, op10.learn(none)).where("lang_pred = 'und'").count() == 67
     assert op10.predict(none, model).count() == 0
+
+
+def test_sums_of_a_long_part_are_kept_in_a_ring():
+    """One word of 300 KB: the last sums give what all of them do, and memory doesn't follow the word."""
+    import tracemalloc
+
+    pieces = op10.vocabulary(op10.VOCABULARY)
+    text = "ab=" * 100_000
+    data, ends, *_ = op10.strings(pa.array([text]))
+    lattice = op10.Lattice(data, ends, pieces)
+    log_p = np.log(np.full((lattice.none + 1, 3), 1e-4))
+    for _, edges in lattice.long():
+        tracemalloc.start()
+        last = lattice.logs(edges, log_p)
+        assert tracemalloc.get_traced_memory()[1] < 5_000_000
+        tracemalloc.stop()
+        assert np.allclose(last, lattice.logs(edges, log_p, whole=True)[-1])

@@ -122,11 +122,10 @@ class Lattice:
             for k in range(a, b, BLOCK):
                 yield order[k : min(b, k + BLOCK)], int(self.size[order[a]])
 
-    def long(self) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
-        """Long parts, and for each place but the first the pieces that end there: places where they begin, and numbers."""
+    def long(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Long parts, and where the pieces that end at each place but the first begin among all such, with their end."""
         for k in np.flatnonzero(self.size > SHORT).tolist():
-            edges = np.searchsorted(self.stop, np.arange(self.start[k] + 1, self.start[k] + self.size[k] + 2))
-            yield k, [(j + 1 - self.back[a:b], self.ending[a:b]) for j, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))]
+            yield k, np.searchsorted(self.stop, np.arange(self.start[k] + 1, self.start[k] + self.size[k] + 2))
 
     def forward(self, some: np.ndarray, length: int, p: np.ndarray) -> np.ndarray:
         """Sums of the probabilities of all segmentations of each start of the parts; p: (pieces and one of 0) x languages."""
@@ -139,21 +138,23 @@ class Lattice:
                     sums[j] += sums[j - k] * p[at]
         return sums
 
-    @staticmethod
-    def logs(ending: list[tuple[np.ndarray, np.ndarray]], log_p: np.ndarray) -> np.ndarray:
-        """The logarithms of such sums of one long part."""
-        out = np.zeros((len(ending) + 1, log_p.shape[1]))
-        for j, (begin, piece) in enumerate(ending, 1):
-            out[j] = np.logaddexp.reduce(out[begin] + log_p[piece], axis=0)
-        return out
+    def logs(self, edges: np.ndarray, log_p: np.ndarray, whole: bool = False) -> np.ndarray:
+        """The logarithms of such sums of one long part: its last one, kept with no more before it than the longest piece has bytes; whole: all."""
+        n = len(edges) - 1
+        ring = n + 1 if whole else int(self.back[edges[0] : edges[-1]].max(initial=0)) + 1
+        out = np.zeros((ring, log_p.shape[1]))
+        for j in range(1, n + 1):
+            own = slice(edges[j - 1], edges[j])
+            out[j % ring] = np.logaddexp.reduce(out[(j - self.back[own]) % ring] + log_p[self.ending[own]], axis=0)
+        return out if whole else out[n % ring]
 
     def log_likelihood(self, p: np.ndarray, log_p: np.ndarray) -> np.ndarray:
         """Of each part, by language."""
         out = np.zeros((len(self.size), p.shape[1]))
         for some, length in self.blocks():
             out[some] = np.log(self.forward(some, length, p)[length])
-        for k, ending in self.long():
-            out[k] = self.logs(ending, log_p)[-1]
+        for k, edges in self.long():
+            out[k] = self.logs(edges, log_p)
         return out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -171,12 +172,13 @@ class Lattice:
                     out += np.bincount(at, use * ahead[j - k], self.none + 1)
         with np.errstate(divide="ignore"):
             log_p = np.log(p)
-        for k, ending in self.long():
-            ahead = self.logs(ending, log_p)[:, 0]
+        for k, edges in self.long():
+            ahead = self.logs(edges, log_p, whole=True)[:, 0]
             behind = np.full(len(ahead), -np.inf)
             behind[-1] = -ahead[-1]
-            for j in range(len(ending), 0, -1):
-                begin, piece = ending[j - 1]
+            for j in range(len(edges) - 1, 0, -1):
+                own = slice(edges[j - 1], edges[j])
+                begin, piece = j - self.back[own], self.ending[own]
                 use = log_p[piece, 0] + behind[j]
                 behind[begin] = np.logaddexp(behind[begin], use)
                 np.add.at(out, piece, weight[k] * np.exp(use + ahead[begin]))
