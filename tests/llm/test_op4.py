@@ -85,3 +85,12 @@ def test_only_built_in_functions_and_empty_tables(spark):
     assert "Python" not in plan and "Arrow" not in plan
     none = spark.createDataFrame([], "doc_id long, text string")
     assert op4.judge(none, op4.weights(none)).count() == 0
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["bin", "row", "words", "lines", "h1", "h2", "h4", "h8", "places", "twice", "grams", "gram", "weight", "doc", "raw", "good", "a.b"]
+    rows = [(k, t, *range(len(names)), "old") for k, t in ((1, "a b c " * 10), (2, None))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names, "kept"])
+    got = {r.doc_id: r for r in op4.judge(docs, op4.weights(docs)).collect()}
+    assert all([r[c] for c in names] == list(range(len(names))) for r in got.values())
+    assert got[1].n_words == 30 and got[1].base_failed and got[2].n_words == 0 and got[1].kept is False

@@ -7,7 +7,7 @@ a document is kept if it passes the base rules and its score is at least THRESHO
 however large the corpus, so they are broadcast to the scoring pass, whose n-grams are summed before any shuffle.
 
 Defined results: a null or empty text has no words, all counts 0, score 0 and fails the base rules; a document is judged by its
-text alone, so repeated rows get the same verdict each; an empty table gives an empty result; other columns are ignored.
+text alone, so repeated rows get the same verdict each; an empty table gives an empty result; other columns pass through, whatever they are called, but for those that the operator adds.
 """
 
 from __future__ import annotations
@@ -96,14 +96,19 @@ def base(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("h4", "h8", "places", "twice")
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def judge(docs: DataFrame, learned: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without their text, with the counts of the base rules, base_failed, llr and kept. learned: what weights() gives."""
-    df = base(docs, text).withColumn("grams", F.concat("h1", "h2")).drop("h1", "h2", text).withColumn("row", F.monotonically_increasing_id())
-    keys = [c for c in df.columns if c != "grams"]
+    """docs without their text, with the counts of the base rules, base_failed, llr and kept, which replace namesakes. learned: what weights() gives."""
+    others = [c for c in docs.columns if c not in (text, *COUNTS, "base_failed", "llr", "kept")]
+    carried = docs.select(F.struct(*(F.col(f"`{c}`") for c in others), F.lit(0).alias("__none")).alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    df = base(carried, "text").select("doc", *COUNTS, F.concat("h1", "h2").alias("grams"), F.monotonically_increasing_id().alias("row"))
+    keys = ["row", "doc", *COUNTS]
     each = df.select(*keys, F.explode_outer("grams").alias("gram")).select(*keys, bin_of("gram").alias("bin")).join(F.broadcast(learned), "bin", "left")
-    df = each.groupBy(*keys).agg(F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr")).drop("row")
+    df = each.groupBy(*keys).agg(F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= threshold))
+    return df.select(*(F.col(f"doc.`{c}`") for c in others), *COUNTS, "llr", failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
