@@ -47,3 +47,10 @@ def test_odd_rows(spark):
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     empty = docs.limit(0)
     assert op9.accepted(empty, labels.limit(0)).columns == docs.columns and op9.accepted(empty, labels).count() == 0
+
+
+def test_labels_without_documents_use_up_no_limit(spark):
+    docs = spark.createDataFrame([(k, "good plain words here" if k % 2 else "### $$$ ###") for k in range(900_000, 900_200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 2)) for k in [*range(5000), *range(900_000, 900_200)]], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in op9.score(docs, op9.learn(docs, labels, limit=100)).collect()}
+    assert all((s > 0.5) == (d % 2 == 1) for d, s in scores.items())

@@ -135,7 +135,8 @@ def fit(texts: list[str], labels: list[int], seed: int = 1) -> Model:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = TRAIN_ROWS) -> Model:
     """The model of at most limit labelled rows of docs whose crc32(doc_id) mod 5 isn't 0."""
     known = labels.where(f"doc_id is not null and {label} in (0, 1)").where(crc_of_id() % 5 != 0).select("doc_id", F.col(label).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * limit)  # some may have no document
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # those of other documents would use up the limit
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * limit)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("order", F.xxhash64("doc_id", "label", "text"))
     rows = sample(found, ["order"], "text", limit, TRAIN_BYTES).collect()
     return fit([r.text or "" for r in rows], [r.label for r in rows]) if rows else Model(np.zeros(BUCKETS), 0.0)
