@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from turnwright.llm import op1_bpe, op2_decontaminate, op6_join, op8_substrings, op9_classifier
 from turnwright.llm.clusterio import cut, table
-from turnwright.session import bounded
+from turnwright.session import reachable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _bounded(stage: Stage) -> Stage:
-    """The stage in a session whose Arrow batches are bounded, also where it is called by itself."""
-    return wraps(stage)(lambda spark, docs, sf_dir: stage(bounded(spark), docs, sf_dir))
+    """The stage in a session whose workers find this package, and whose Arrow batches are bounded, also where it is called by itself."""
+    return wraps(stage)(lambda spark, docs, sf_dir: stage(reachable(spark), docs, sf_dir))
 
 
 @_bounded
