@@ -162,9 +162,9 @@ def roll_call(spark, sf):
 
 @plans.add("f41_word_error_rate")
 def word_error_rate(spark, sf):
-    from turnwright.operators.evaluate import wer, with_next
+    from turnwright.operators.evaluate import packed, wer, with_next
 
-    return with_next(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", "hyp").select("doc_id", wer("text", "hyp").alias("wer"))
+    return with_next(table(spark, sf, "documents").select("doc_id", packed("text").alias("ref")), "doc_id", "ref", "hyp").select("doc_id", wer("ref", "hyp").alias("wer"))
 
 
 COUNCIL = Council({"amos": "Ann Amos", "hall": "Sy Hall", "hardy-chandler": "Sy Hardy-Chandler", "peterson": "Tim Peterson"}, ("moss", "Ada Moss"), ("dole", "Cy Dole"))

@@ -106,8 +106,8 @@ def a15(spark, sf):
 
 @add("a16_macro_wer")
 def a16(spark, sf):
-    d = evaluate.with_next(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id", "text", "hyp")
-    return d.groupBy("lang").agg(t.rounded(F.avg(evaluate.wer("text", "hyp")), 4).alias("wer"), F.count(F.lit(1)).alias("n"))
+    d = evaluate.with_next(table(spark, sf, "documents").select("doc_id", "lang", evaluate.packed("text").alias("ref")), "doc_id", "ref", "hyp")
+    return d.groupBy("lang").agg(t.rounded(F.avg(evaluate.wer("ref", "hyp")), 4).alias("wer"), F.count(F.lit(1)).alias("n"))
 
 
 @add("a17_duration", f"WITH {TURNS_SQL} SELECT meeting_id, greatest(arg_max(\"end\", pos), 2000000) AS duration FROM turns GROUP BY meeting_id")
