@@ -1,11 +1,14 @@
 """Queries that SQL can't express, against plain models on whole tables."""
 
+import json
 import math
 
 import numpy as np
 import pytest
 
-from turnwright.plans import registry
+from tests import plain
+from turnwright.operators import folds
+from turnwright.plans import registry, sequences
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,3 +69,62 @@ def test_average_linkage(spark):
         for r in own:
             found.setdefault(got[r.vec_id], set()).add(r.vec_id)
         assert {frozenset(c) for c in found.values()} == want
+
+
+@pytest.fixture(scope="module")
+def recorded(spark):
+    """Entry point A in plain steps: words get the longest interval around their middle, then chunks, names, runs, and the folds."""
+    by_user = {}
+    for r in spark.read.parquet(f"{SF}/events.parquet").selectExpr("user_id", "event_id", "ts", "event_type", "value", "props", "floor(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01', ts) / 1000000) AS s").orderBy("user_id", "ts", "event_id").collect():
+        by_user.setdefault(r.user_id, []).append(r)
+    out = {}
+    for user, rows in by_user.items():
+        marks = [(r.s / 3600, (r.s + math.floor(r.value * 100 + 0.5) * 36) / 3600, r.event_type) for r in rows if r.event_type in ("view", "purchase")]
+        words = []
+        for pos, r in enumerate(rows, 1):
+            if r.event_type not in ("view", "purchase"):
+                at = r.s / 3600
+                over = [(a - b, who) for a, b, who in marks if a <= at + 0.25 < b]
+                words.append({"pos": pos, "start": at, "end": at + 0.5, "text": f"{r.event_type} {r.props}", "speaker": min(over)[1] if over else "UNKNOWN"})
+        runs = []
+        for c in plain.chunk_turns(sorted(words, key=lambda w: (w["start"], w["pos"])), 24.0, 168.0):
+            if runs and runs[-1]["raw"] == c["speaker"]:
+                runs[-1] |= {"end": max(runs[-1]["end"], c["end"]), "text": f"{runs[-1]['text']} {c['text']}"}
+            else:
+                named = c["speaker"] == "view"
+                status = "approved" if named else "unknown" if c["speaker"] == "UNKNOWN" else "unresolved"
+                runs.append({"meeting_id": user, "pos": len(runs) + 1, "start": c["start"], "end": c["end"], "speaker": "Ada Moss" if named else "Unknown Speaker", "raw": c["speaker"], "status": status, "text": c["text"], "handoff_applied": False, "self_intro_applied": False})
+        out[user] = folds.repair_fragments(folds.chain_merge(folds.hand_offs(runs)))
+    return {k: v for k, v in out.items() if v}
+
+
+FIELDS = ("speaker", "start", "end", "text", "status")
+
+
+def test_recording_to_turns(spark, recorded):
+    got = {}
+    for r in registry.queries()["x1_recording_to_turns"](spark, SF).orderBy("meeting_id", "pos").collect():
+        got.setdefault(r.meeting_id, []).append(r)
+    assert got.keys() == recorded.keys()
+    for user, rows in recorded.items():
+        assert [(r.pos, r.raw, *(r[c] for c in FIELDS if isinstance(r[c], str))) for r in got[user]] == [(r["pos"], r["raw"], *(r[c] for c in FIELDS if isinstance(r[c], str))) for r in rows]
+        assert np.allclose([(r.start, r.end) for r in got[user]], [(r["start"], r["end"]) for r in rows])
+
+
+def test_published_documents(spark, recorded):
+    got = {r.meeting_id: json.loads(r.content) for r in registry.queries()["x1_publish"](spark, SF).collect()}
+    assert got.keys() == recorded.keys()
+    for user, rows in recorded.items():
+        assert got[user]["schema"] == "structured_transcript.v1" and got[user]["meeting_id"] == user
+        assert [(t["speaker"], t["text"], t["status"]) for t in got[user]["turns"]] == [(r["speaker"], r["text"], r["status"]) for r in rows]
+
+
+def test_folds_without_sql(spark):
+    """W8 and W14 over the whole table, meeting by meeting."""
+    meetings = {}
+    for r in sequences._turns_for_folds(spark, SF).orderBy("meeting_id", "pos").collect():
+        meetings.setdefault(r.meeting_id, []).append(r.asDict())
+    for name, work in (("w8_chain_merge", folds.chain_merge), ("w14_stray_tokens", folds.stray_tokens)):
+        df = registry.queries()[name](spark, SF)
+        want = sorted(tuple(r[c] for c in df.columns) for rows in meetings.values() for r in work([dict(x) for x in rows]))
+        assert sorted(map(tuple, df.collect())) == want
