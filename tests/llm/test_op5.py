@@ -21,7 +21,7 @@ def score(seen, path):
 @pytest.mark.parametrize("seed", range(20))
 def test_chunks_give_a_best_path(seed):
     r = random.Random(seed)
-    seen = [r.randrange(24) for _ in range(r.randrange(1, 8))]
+    seen = [r.randrange(96) for _ in range(r.randrange(1, 8))]
     cuts = sorted({0, len(seen), *(r.randrange(len(seen) + 1) for _ in range(2))})
     chunks = [np.array(seen[a:b]) for a, b in itertools.pairwise(cuts)]
     found = op5.borders([op5.matrix(c) for c in chunks])
@@ -88,10 +88,31 @@ def test_one_conversation_of_equal_turns_is_cut_anywhere(spark, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     df = spark.range(3000).selectExpr("7L AS conv_id", "CAST(NULL AS BIGINT) AS turn", "'user' AS role", "'hi' AS text").repartition(4)
     placed = op5.sorted_turns(df)
-    assert placed.select("part").distinct().count() > 1 and placed.groupBy("part", "chunk").count().agg({"count": "max"}).first()[0] <= 50
+    assert placed.select("range").distinct().count() > 1 and placed.groupBy("range", "chunk").count().agg({"count": "max"}).first()[0] <= 50
     got = [r.role for r in op5.roles(df).collect()]
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     first = op5.features(df).first().seen
     whole = np.array([first] * 3000)
     path = op5.decode(whole, *op5.borders([op5.matrix(whole)])[0])
     assert np.isclose(score(whole, path), plain_viterbi(whole)) and [got.count(r) for r in op5.ROLES] == np.bincount(path, minlength=3).tolist()
+
+
+def rendered(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return [(r.turn, r.part, r.role, r.rendered.removeprefix(f"<|im_start|>{r.role}\n").removesuffix("<|im_end|>\n")) for r in sorted(op5.render(df).collect(), key=lambda r: (r.conv_id, r.turn, r.part))]
+
+
+def test_a_row_may_hold_a_transcript(spark):
+    assert rendered(spark, [(1, 0, None, "User: hi\nAssistant: hello\nUser: joke")]) == [(0, 0, "user", "hi"), (0, 1, "assistant", "hello"), (0, 2, "user", "joke")]
+    text = "System: Be kind.\n\n### Human: What is it?\nI ask\n\n  **AI**: It is\n    User: quoted\nso: it\nand\n[assistant] more"
+    assert rendered(spark, [(1, 0, "", text), (1, 1, "user", "and then?")]) == [(0, 0, "system", "Be kind.\n"), (0, 1, "user", "What is it?\nI ask\n"), (0, 2, "assistant", "It is\n    User: quoted\nso: it\nand"), (0, 3, "assistant", "more"), (1, 0, "user", "and then?")]
+    assert [r[2:] for r in rendered(spark, [(1, 0, None, "Q: why?\nA: so.\nQ: and then?\nA: no.")])] == [("user", "why?"), ("assistant", "so."), ("user", "and then?"), ("assistant", "no.")]
+    assert [r[1:] for r in rendered(spark, [(1, 0, "assistant", "Steps\na: one\nquestion: two")])] == [(0, "assistant", "Steps\na: one\nquestion: two")]
+    assert [r[2] for r in rendered(spark, [(1, 0, "user", "Assistant: is what I am called, and who are you?")])] == ["user"]  # the column is the stronger evidence
+
+
+def test_a_long_transcript_in_one_row(spark, monkeypatch):
+    monkeypatch.setattr(op5, "CHUNK", 64)
+    text = "\n".join(f"{'User' if k % 2 == 0 else 'Bot'}: line {k}" for k in range(5000))
+    got = rendered(spark, [(1, 0, None, text), (2, 0, "user", "x")])
+    assert got[:-1] == [(0, k, "user" if k % 2 == 0 else "assistant", f"line {k}") for k in range(5000)]
