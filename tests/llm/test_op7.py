@@ -6,11 +6,11 @@ import pytest
 
 from turnwright.llm import op7_licenses as op7
 
-KNOWN = {s: name for name, forms in op7.SENTENCES.items() for s in forms}
+KNOWN = {s: name for more in (op7.SENTENCES, op7.MORE) for name, forms in more.items() for s in forms}
 
 
 def brute(text):
-    ids = [KNOWN[s] for s in (re.sub("[^a-z0-9]+", " ", x).strip() for x in re.split(r"\n|[.!?]+(?=\s|$)", (text or "").lower())) if s in KNOWN]
+    ids = [KNOWN[s] for s in (re.sub("^" + op7._UNDER, "licensed under the ", re.sub("[^a-z0-9]+", " ", x).strip()) for x in re.split(r"\n|[.!?]+(?=\s|$)", (text or "").lower())) if s in KNOWN]
     left, found = "".join(f"|{i}|" for i in ids), []
     for name, run in op7.RULES:
         key = "".join(f"|{s}|" for s in run)
@@ -106,3 +106,28 @@ def test_bodies_leave_nothing_unruled(spark):
     got = {r.doc_id: r for r in op7.scan(df).collect()}
     assert [(t, got[k].licenses) for k, (t, _) in enumerate(rows)] == rows
     assert {n for k, (_, [n]) in enumerate(rows) if got[k].unruled} <= {"Apache-2.0"}
+
+
+REACH = [
+    ("Distributed under the MIT license.", ["MIT"]),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["Apache-2.0", "MIT"]),
+    ("// SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR GPL-2.0-or-later", ["MIT", "BSD", "GPL-2-or-later"]),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", ["GPL-2.0"]),
+    ("License: MIT", ["MIT"]),
+    ("CC BY-SA 4.0", ["CC-BY-SA-4.0"]),
+    ("This program is licensed under the GNU General Public License, version 3 or later.", ["GPL-3-or-later"]),
+    ("Available under the terms of the Mozilla Public License 2.0", ["MPL-2.0"]),
+    ("The license of this is not MIT OR such", []),
+    ("SPDX-License-Identifier: LicenseRef-Own", []),
+]
+
+
+def test_reach_and_its_sql(spark):
+    texts = [f"Some words here.\n{t}\nAnd more." for t, _ in REACH]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in op7.scan(df).collect()}
+    assert [(t, sorted(got[k])) for k, (t, _) in enumerate(REACH)] == [(t, sorted(want)) for t, want in REACH]
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert {d: sorted(x for x in names.split(",") if x) for d, _, _, names, _ in con.execute(op7.ORACLE_SQL).fetchall()} == {k: sorted(want) for k, (_, want) in enumerate(REACH)}

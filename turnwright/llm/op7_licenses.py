@@ -6,6 +6,8 @@ lines, however it is wrapped and whatever signs of a comment its lines begin wit
 rules in order, each a run of identifiers that names a licence. A rule takes the runs that it matches away, so that a later, more general rule
 doesn't see them; what no rule takes is reported as unruled. All is done row by row, without any shuffle.
 
+A sentence that names several licences (an SPDX expression, or a choice between two) counts as one for each.
+
 Defined results: a null or empty text, and one without known sentences, has no licences and no identifiers; each rule reports its licence once
 however often it matches; repeated rows get equal results; other columns are ignored.
 """
@@ -73,7 +75,7 @@ for _terms in _CC:
         _starts = ("licensed under", "released under", "this work is licensed under", "published under")
         SENTENCES[f"Cc{_terms.title().replace(' ', '')}{_v.replace(' ', '')}"] = (*(f"{s} {cc} {_terms} {_v}" for s in _starts for cc in ("cc", "creative commons")), f"spdx license identifier cc {_terms} {_v}")
 
-#: More forms of the same identifiers, which ORACLE_SQL doesn't know; nor does it join wrapped lines.
+#: More forms of the same identifiers, made by rule.
 MORE: dict[str, tuple[str, ...]] = {
     f"{kind}{v.replace(' ', '')}Later": (f"spdx license identifier {kind.lower()} {(v + ' 0')[:3]} or later",) for kind in _GNU for v in _VERSIONS[kind]
 }
@@ -86,6 +88,46 @@ for _terms in _CC:
         _starts = ("", *(f"{s} {a}" for s in ("licensed under", "released under", "this work is licensed under", "published under") for a in ("", "a ", "the ")))
         MORE[f"Cc{_terms.title().replace(' ', '')}{_v.replace(' ', '')}"] = tuple(dict.fromkeys(s + n for s in _starts for n in _names))
 
+# What licences are called for short, and what stands before it.
+_TITLES = {
+    "MitName": ("mit license", "mit"),
+    "ApacheName": ("apache license version 2 0", "apache license 2 0", "apache 2 0 license", "apache 2 0"),
+    "BsdName": ("bsd license", "new bsd license", "simplified bsd license", "bsd 3 clause license", "bsd 2 clause license", "bsd 3 clause", "bsd 2 clause"),
+    "MplName": ("mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0"),
+    "ZlibName": ("zlib license", "zlib"),
+    "UnlicenseName": ("unlicense",),
+    "Epl20Name": ("eclipse public license version 2 0", "eclipse public license 2 0", "epl 2 0"),
+    "Epl10Name": ("eclipse public license version 1 0", "eclipse public license 1 0", "epl 1 0"),
+}
+def _more(name: str, titles: tuple[str, ...]) -> None:
+    forms = [f"{start} {title}" for title in titles for start in ("licensed under the", "released under the", "licensed under", "released under", "license", "licence", "spdx license identifier")]
+    MORE[name] = tuple(dict.fromkeys((*MORE.get(name, ()), *(f for f in forms if f not in SENTENCES.get(name, ())))))
+
+
+for _name, _titles in _TITLES.items():
+    _more(_name, _titles)
+for _kind, _name in _GNU.items():
+    for _v in _VERSIONS[_kind]:
+        _own = tuple(f"{n} {w}{_v}" for n in (_name, f"gnu {_kind.lower()}", _kind.lower()) for w in ("version ", "v ", "v"))
+        _more(f"{_kind}{_v.replace(' ', '')}Name", _own)
+        _more(f"{_kind}{_v.replace(' ', '')}Later", tuple(f"{x} or {end}" for x in _own for end in ("later", "any later version", "at your option any later version")))
+for _terms in _CC:
+    for _v in _CC_VERSIONS:
+        _id = f"Cc{_terms.title().replace(' ', '')}{_v.replace(' ', '')}"
+        MORE[_id] = tuple(dict.fromkeys((*MORE[_id], *(f"{start}cc {_terms} {_v}" for start in ("", "license ", "licence ")))))
+
+#: Ways to say that something is under a licence, at a sentence's start, which are all written as one.
+_THIS = "this (?:project|software|program|library|package|code|file|work) is "
+_UNDER = f"(?:(?:{_THIS})?(?:(?:distributed|available|made available|provided) under the(?: terms of the)?|(?:licensed|released) under the terms of the)|{_THIS}(?:licensed|released) under the) "
+#: What names several licences is written as so many sentences: the parts of an SPDX expression, and what one may choose between; what follows WITH is left out.
+_SPDX = "spdx license identifier"
+_SEVERAL = (
+    (rf"(?<![^\n\x01]){_UNDER.replace(' ', '[ \n]')}", "licensed under the "),
+    (rf"({_SPDX}[a-z0-9 ]*?) with [a-z0-9 ]*?exception(?: [0-9]+)*", "$1"),
+    *[(rf"({_SPDX} [a-z0-9 ]*?) (?:or|and) (?!later)", f"$1\x01{_SPDX} ")] * 3,
+    (r"licensed[ \n]under[ \n]either[ \n]of[ \n](?:the[ \n])?([a-z0-9 \n]*?)[ \n]or[ \n](?:the[ \n])?([a-z0-9 \n]*?)(?:[ \n]at[ \n]your[ \n]option)?(?=\x01|$)", "licensed under the $1\x01licensed under the $2"),
+)
+
 #: Licences with the runs of identifiers that name them, the more specific first.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("ApacheName", "ApacheUse", "ApacheCopy", "ApacheAsIs")),
@@ -127,7 +169,7 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Proprietary", ("AllRights",)),
 ]
 #: Every known sentence matches this, so a text that does not has none.
-_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+cc\W|creative\W+commons|required\W+by\W+applicable|free\W+to\W+copy|in\W+the\W+hope|copy\W+of\W+the\W+mpl|gpl"
+_ANCHOR = r"licen|permission|redistribution|copyright|neither\W+the\W+name|public\W+domain|rights\W+reserved|provided\W+as\W+is|under\W+cc\W|creative\W+commons|required\W+by\W+applicable|free\W+to\W+copy|in\W+the\W+hope|copy\W+of\W+the\W+mpl|gpl|\bcc\W+by\W|under\W+(?:the\W+)?(?:terms\W+of\W+the\W+)?(?:mit|apache|(?:new\W+|simplified\W+)?bsd|mpl|zlib|epl|eclipse|gnu)\b"
 
 
 def _pattern(sentences: list[str]) -> str:
@@ -159,6 +201,7 @@ def identifiers(text: Column) -> Column:
         (r"[^a-z0-9\n\x01]+", " "),
         (r"[ \n\x01]*(?:\x01|\n ?\n)[ \n\x01]*", "\x01"),
         (r" ?\n ?", "\n"),
+        *_SEVERAL,
     ):
         plain = F.regexp_replace(plain, old, new)
     met = F.regexp_extract_all(F.trim(plain), F.lit(_pattern(list(known))), F.lit(0))
@@ -193,7 +236,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    known = ", ".join(f"('{s}', '{name}')" for name, forms in SENTENCES.items() for s in forms)
+    """The same, sentence by sentence, for texts whose known sentences aren't wrapped."""
+    known = ", ".join(f"('{s}', '{name}')" for more in (SENTENCES, MORE) for name, forms in more.items() for s in forms)
     steps = ["SELECT doc_id, ids, '|' || array_to_string(ids, '||') || '|' AS l0 FROM found"]
     for k, (_, run) in enumerate(RULES):
         key = "".join(f"|{s}|" for s in run)
@@ -201,9 +245,13 @@ def _oracle() -> str:
     chain = ", ".join(f"s{k} AS ({s})" for k, s in enumerate(steps))
     hits = ", ".join(f"CASE WHEN l{k} <> l{k + 1} THEN '{name}' END" for k, (name, _) in enumerate(RULES))
     n = len(RULES)
+    spdx = f"list_transform(regexp_split_to_array(replace(regexp_replace(s, ' with [a-z0-9 ]*?exception( [0-9]+)*', '', 'g'), ' or later', ' orlater'), ' (or|and) '), lambda x, i: replace(CASE WHEN i = 1 THEN x ELSE '{_SPDX} ' || x END, ' orlater', ' or later'))"
+    either = "list_transform(regexp_split_to_array(regexp_replace(regexp_replace(s, '^licensed under either of (the )?', ''), ' at your option$', ''), ' or (the )?'), lambda x: 'licensed under the ' || x)"
+    several = f"CASE WHEN s LIKE '{_SPDX} %' THEN {spdx} WHEN s LIKE 'licensed under either of % or %' THEN {either} ELSE [s] END"
     return f"""WITH known(s, id) AS (VALUES {known}), k AS MATERIALIZED (SELECT map(list(s), list(id)) AS m FROM known),
     cut AS (SELECT doc_id, list_transform(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '[.!?]+(\\s|$)', chr(10) || '\\1', 'g'), '\\n'), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))) AS parts FROM documents),
-    found AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: m[s]), lambda i: i IS NOT NULL) AS ids FROM cut, k), {chain},
+    each AS (SELECT doc_id, flatten(list_transform(list_transform(parts, lambda s: regexp_replace(s, '^{_UNDER}', 'licensed under the ')), lambda s: {several})) AS parts FROM cut),
+    found AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: m[s]), lambda i: i IS NOT NULL) AS ids FROM each, k), {chain},
     named AS (SELECT doc_id, ids, l{n} AS rest, list_filter([{hits}], lambda h: h IS NOT NULL) AS hits FROM s{n})
     SELECT doc_id, len(ids)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentences,
       coalesce(array_to_string(list_filter(hits, lambda h, i: list_position(hits, h) = i), ','), '') AS licenses,
