@@ -167,11 +167,11 @@ def word_error_rate(spark, sf):
     return with_next(table(spark, sf, "documents").select("doc_id", packed("text").alias("ref")), "doc_id", "ref", "hyp").select("doc_id", wer("ref", "hyp").alias("wer"))
 
 
-COUNCIL = Council({"amos": "Ann Amos", "hall": "Sy Hall", "hardy-chandler": "Sy Hardy-Chandler", "peterson": "Tim Peterson"}, ("moss", "Ada Moss"), ("dole", "Cy Dole"))
+COUNCIL = Council({"anders": "Ann Anders", "holt": "Sy Holt", "hart-collins": "Sy Hart-Collins", "pryor": "Tim Pryor"}, ("moss", "Ada Moss"), ("dole", "Cy Dole"))
 _TITLES = ("Councilmember", "Council member", "councilwoman", "Mayor", "City Manager")
-_HEARD = ("Hall", "HAL", "Hardy Chandler", "Zzz", "Moss", "pern", "Dole")
+_HEARD = ("Holt", "HOL", "Hart Collins", "Zzz", "Moss", "pern", "Dole")
 #: What each heard name is, said after a member's title.
-_MEMBERS = {"Hall": "Sy Hall", "HAL": "Sy Hall", "Hardy Chandler": "Sy Hardy-Chandler", "Moss": "Ann Amos", "pern": "Tim Peterson"}
+_MEMBERS = {"Holt": "Sy Holt", "HOL": "Sy Holt", "Hart Collins": "Sy Hart-Collins", "pern": "Tim Pryor"}
 _STOPS = (". ", ": ", ", ", " ")
 _LIST = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
 _SAID = f"c AS (SELECT c_custkey, c_name, ({_LIST(_TITLES)})[c_custkey % 5 + 1] AS title, ({_LIST(_HEARD)})[c_custkey // 5 % 7 + 1] AS heard, ({_LIST(_STOPS)})[c_custkey // 35 % 4 + 1] AS stop FROM customer)"
@@ -184,8 +184,8 @@ def _said(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", "c_name", pick(_TITLES, 1).alias("title"), pick(_HEARD, 5).alias("heard"), pick(_STOPS, 35).alias("stop"))
 
 
-@plans.add("f24_f28_roster_match", f"""WITH {_SAID}, k AS (SELECT *, {_MEMBER_SQL} AS member FROM c), l AS (SELECT *, CASE WHEN heard = 'Hardy Chandler' THEN 'Sy Hardy-Chandler' WHEN heard = 'Dole' THEN '' ELSE member END AS match,
- CASE WHEN title = 'Mayor' THEN CASE WHEN heard = 'Moss' THEN 'Mayor Ada Moss' ELSE '' END WHEN title = 'City Manager' THEN CASE WHEN heard = 'Dole' THEN 'City Manager Cy Dole' ELSE '' END WHEN member <> '' AND heard <> 'Hardy Chandler' THEN 'Councilmember ' || member ELSE '' END AS label FROM k)
+@plans.add("f24_f28_roster_match", f"""WITH {_SAID}, k AS (SELECT *, {_MEMBER_SQL} AS member FROM c), l AS (SELECT *, CASE WHEN heard = 'Hart Collins' THEN 'Sy Hart-Collins' WHEN heard = 'Dole' THEN '' ELSE member END AS match,
+ CASE WHEN title = 'Mayor' THEN CASE WHEN heard = 'Moss' THEN 'Mayor Ada Moss' ELSE '' END WHEN title = 'City Manager' THEN CASE WHEN heard = 'Dole' THEN 'City Manager Cy Dole' ELSE '' END WHEN member <> '' AND heard <> 'Hart Collins' THEN 'Councilmember ' || member ELSE '' END AS label FROM k)
  SELECT c_custkey, match, label AS hint, CASE WHEN title <> 'City Manager' AND c_custkey % 2 = 0 THEN label ELSE '' END AS marker FROM l""")
 def roster_match(spark, sf):
     """Names matched with a roster, labels that lines begin with, and labels that lines are: every other line goes on."""
@@ -198,7 +198,7 @@ def roster_match(spark, sf):
 
 @plans.add("f25_f26_inline_header", f"""WITH {_SAID}, k AS (SELECT *, title || ' ' || heard || stop || CASE WHEN stop = ' ' THEN 'yes ' || substr(c_name, 10) ELSE c_name END AS line, {_MEMBER_SQL} AS member FROM c),
  l AS (SELECT *, CASE WHEN title = 'Mayor' AND heard = 'Moss' AND stop <> ' ' THEN 'Mayor Ada Moss' WHEN title IN ('Councilmember', 'Council member', 'councilwoman') AND member <> '' AND (stop IN ('. ', ': ') OR stop = ' ' AND title <> 'councilwoman') THEN 'Councilmember ' || member ELSE '' END AS label FROM k)
- SELECT c_custkey, label, CASE WHEN label = '' THEN line WHEN stop = ' ' THEN CASE WHEN heard = 'Hardy Chandler' THEN 'yes ' ELSE '' END || substr(c_name, 10) WHEN title = 'councilwoman' THEN trim(regexp_replace(lower(c_name), '[^a-z0-9]', ' ', 'g')) ELSE c_name END AS rest, CASE WHEN label = '' THEN '' WHEN stop = ' ' THEN 'inline_loose' ELSE 'inline' END AS strength FROM l""")
+ SELECT c_custkey, label, CASE WHEN label = '' THEN line WHEN stop = ' ' THEN CASE WHEN heard = 'Hart Collins' THEN 'yes ' ELSE '' END || substr(c_name, 10) WHEN title = 'councilwoman' THEN trim(regexp_replace(lower(c_name), '[^a-z0-9]', ' ', 'g')) ELSE c_name END AS rest, CASE WHEN label = '' THEN '' WHEN stop = ' ' THEN 'inline_loose' ELSE 'inline' END AS strength FROM l""")
 def inline_header(spark, sf):
     line = F.concat("title", F.lit(" "), "heard", "stop", F.when(F.col("stop") == " ", F.concat(F.lit("yes "), F.substr("c_name", F.lit(10)))).otherwise(F.col("c_name")))
     return split_header(_said(spark, sf).withColumn("line", line), "line", COUNCIL, "label").select("c_custkey", "label", "rest", "strength")
