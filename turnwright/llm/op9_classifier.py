@@ -138,8 +138,17 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # those of other documents would use up the limit
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * limit)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("order", F.xxhash64("doc_id", "label", "text"))
-    rows = sample(found, ["order"], "text", limit, TRAIN_BYTES).collect()
-    return fit([r.text or "" for r in rows], [r.label for r in rows]) if rows else Model(np.zeros(BUCKETS), 0.0)
+    rows = sample(found, ["order"], "text", limit, TRAIN_BYTES).select("text", "label")
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = pa.Table.from_batches(batches, pa.schema([("text", pa.string()), ("label", pa.int32())])).to_pydict()
+        if seen["label"]:
+            model = fit([t or "" for t in seen["text"]], seen["label"])
+            yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.bias])], names=["weights", "bias"])
+
+    # the bounded sample is learned from in one task, so the driver holds but the model
+    found = rows.coalesce(1).mapInArrow(train, "weights binary, bias double").first()
+    return Model(np.frombuffer(found.weights, np.float64), found.bias) if found else Model(np.zeros(BUCKETS), 0.0)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
