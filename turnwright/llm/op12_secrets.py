@@ -4,7 +4,7 @@ The rules find assignments to words like password or token, access keys, and lon
 the signs of base 64 is scored by two character Markov models, one of random strings and one of ordinary identifiers; a run whose log-likelihood ratio
 passes a threshold is a span of kind random, unless a span of the rules holds it. The models are learned from labelled samples: random strings are the values
 that the rules find in a bounded sample of documents, and strings written from digests in the usual alphabets; ordinary ones are the sample's other runs,
-alone and joined as identifiers are, with characters repeated, digits and signs now and then, as in numbers, dates and rules across a page. A sample is the documents that come first by the crc32 of their id, SAMPLE_ROWS and SAMPLE_BYTES of them at most,
+alone, in capitals and joined as identifiers are, with characters repeated, digits and signs now and then, as in numbers, dates and rules across a page. A sample is the documents that come first by the crc32 of their id, SAMPLE_ROWS and SAMPLE_BYTES of them at most,
 none over SAMPLE_TEXT bytes; all documents are scanned whole.
 
 Defined results: a null or empty text has no spans; equal texts have equal spans, whatever their ids; a null doc_id stays null; other columns pass through, but for one named found,
@@ -141,7 +141,7 @@ def labelled(texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         k = np.searchsorted(edges[:, 1], starts, side="right")
         free = np.append(edges[:, 0], len(buf) + 1)[k] >= ends
         words = [data[s:e] for s, e in zip(starts[free].tolist(), ends[free].tolist(), strict=True)]
-        plain += words
+        plain += words + [w.upper() for w in words[::8]]
         plain += [(b"_", b"-", b"/", b"")[i % 4].join((x, y.capitalize() if i % 4 == 3 else y)) for i, (x, y) in enumerate(zip(words[::2], words[1::2], strict=False))]
     return secret, plain
 
