@@ -24,3 +24,15 @@ def _events(path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet'")
     return con
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "c_custkey long, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(10, 1, "P"), (11, 2, "F")], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+def test_anti_join_reads_all_orders(spark, shop):
+    assert [tuple(r) for r in QUERIES["j19_anti_join"](spark, shop).collect()] == [(3, "c")]
+    assert "o_orderstatus" not in SQL["j19_anti_join"]
