@@ -36,3 +36,8 @@ def shop(spark, tmp_path):
 def test_anti_join_reads_all_orders(spark, shop):
     assert [tuple(r) for r in QUERIES["j19_anti_join"](spark, shop).collect()] == [(3, "c")]
     assert "o_orderstatus" not in SQL["j19_anti_join"]
+
+
+def test_difference_reads_all_orders(spark, shop):
+    assert [r.k for r in QUERIES["u5_difference"](spark, shop).collect()] == [3]
+    assert "o_orderstatus" not in SQL["u5_difference"]
