@@ -22,3 +22,14 @@ def test_vectors_without_a_group(spark):
     df = spark.createDataFrame(rows, "id long, g int, e array<double>")
     assert vectors.similar_pairs(df, "id", "e", "g", 0.5).count() == 0
     assert {(r.a, r.b) for r in vectors.similar_pairs(df, "id", "e", "g", 0.5, same=True).collect()} == {(0, 1), (0, 2), (1, 2), (3, 4)}
+
+
+def test_nearest_mean_makes_no_row_for_each_group(spark, monkeypatch):
+    weights = spark.createDataFrame([(1, "x", 1.0), (1, "y", 2.0), (2, "y", 1.0), (3, "z", 1.0)], "doc long, term string, weight double")
+    means = spark.createDataFrame([("p", "x", 1.0), ("p", "y", 1.0), ("q", "y", 3.0), ("r", "y", 3.0)], "g string, term string, m double")
+    wide = vectors.nearest_mean(weights, means, "doc", "g", 1000)
+    assert "Generate" not in wide._jdf.queryExecution().executedPlan().toString()
+    want = {(1, "p"), (2, "q")}
+    assert {tuple(r) for r in wide.collect()} == want
+    monkeypatch.setattr(vectors, "WIDE", 2)
+    assert {tuple(r) for r in vectors.nearest_mean(weights, means, "doc", "g", 1000).collect()} == want
