@@ -2,6 +2,7 @@ import numpy as np
 
 from tests.test_vectors import all_pairs, frame
 from turnwright.operators import graph, vectors
+from turnwright.plans import registry
 
 
 def test_vectors_without_clusters_are_shuffled_once(spark):
@@ -24,6 +25,16 @@ def test_vectors_without_a_group(spark):
     assert {(r.a, r.b) for r in vectors.similar_pairs(df, "id", "e", "g", 0.5, same=True).collect()} == {(0, 1), (0, 2), (1, 2), (3, 4)}
 
 
+def test_document_frequency_shuffles_terms_alone(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a", "apple apple pear"), (2, "a", "apple plum"), (None, "b", "plum pear")], "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    df = registry.queries()["a13_document_frequency"](spark, str(tmp_path))
+    assert [tuple(r) for r in df.collect()] == [("apple", 2)]
+    assert "doc_id" not in "".join(x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x)
+    docs.where("doc_id = 1").write.mode("append").parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in registry.queries()["a13_document_frequency"](spark, str(tmp_path)).collect()] == [("apple", 2)]
+
+
 def test_nearest_mean_makes_no_row_for_each_group(spark, monkeypatch):
     weights = spark.createDataFrame([(1, "x", 1.0), (1, "y", 2.0), (2, "y", 1.0), (3, "z", 1.0)], "doc long, term string, weight double")
     means = spark.createDataFrame([("p", "x", 1.0), ("p", "y", 1.0), ("q", "y", 3.0), ("r", "y", 3.0)], "g string, term string, m double")
