@@ -90,3 +90,27 @@ def test_linkage_in_one_task_and_in_rounds(spark, dense):
     assert all(min(c) == name for (_, name), c in found.items())
     want = linked(x, 0.5) | {frozenset(100 + k for k in c) for c in linked(x[:9], 0.5)} | {frozenset({200}), frozenset({201})}
     assert {frozenset(c) for c in found.values()} == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_linkage_by_means(seed):
+    x = clustered(seed, 700, dim=12, clusters=8, spread=0.15)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = np.random.default_rng(seed).integers(1, 4, len(u)).astype(float)
+    for least in (0.2, 0.6, 0.9):
+        assert np.array_equal(vectors.linked_means(u, least, n), vectors.average_linkage(u @ u.T, least, n))
+
+
+@pytest.mark.parametrize("alone", [1000, 20])
+def test_linkage_of_large_groups_writes_no_pairs(spark, monkeypatch, alone):
+    """Clusters by their means, in one task and in rounds, with copies, which once merged one a round."""
+    monkeypatch.setattr(vectors, "similar_pairs", lambda *a, **b: pytest.fail("a row for each similar pair"))
+    x = clustered(8, 60, dim=8, clusters=6, spread=0.15)
+    rows = [(k, 1, v.tolist()) for k, v in enumerate(x)] + [(100 + k, 1, x[7].tolist()) for k in range(40)] + [(200 + k, None, v.tolist()) for k, v in enumerate(x[:35])]
+    rows += [(300, 1, [float("nan")] * 8), (301, 1, [0.0] * 8), (302, None, None)]
+    found = {}
+    for r in vectors.linkage(spark.createDataFrame(rows, "id long, g int, e array<double>").repartition(4), "id", "e", "g", 0.5, dense=12, alone=alone).collect():
+        found.setdefault((r.g, r.cluster), set()).add(r.id)
+    assert all(min(c) == name for (_, name), c in found.items())
+    want = {frozenset(k if k < 60 else k + 40 for k in c) for c in linked(np.concatenate([x, np.tile(x[7], (40, 1))]), 0.5)} | {frozenset(200 + k for k in c) for c in linked(x[:35], 0.5)}
+    assert {frozenset(c) for c in found.values()} == want | {frozenset({k}) for k in (300, 301, 302)}
