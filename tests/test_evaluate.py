@@ -1,6 +1,6 @@
 import random
 
-from turnwright.operators.evaluate import edits
+from turnwright.operators.evaluate import edits, with_next
 from turnwright.plans import registry
 
 
@@ -29,3 +29,19 @@ def test_word_error_rates_read_whole_texts(spark, tmp_path):
     assert got == {1: 3 / 54, 2: 3 / 53}
     [row] = registry.queries()["a16_macro_wer"](spark, str(tmp_path)).collect()
     assert row.lang == "en" and row.n == 2 and row.wer == round((3 / 54 + 3 / 53) / 2, 4)
+
+
+def test_edits_of_texts_with_few_words_in_common():
+    r = random.Random(3)
+    for _ in range(1000):
+        own = "abc", "dexyz"
+        a, b = ([r.choice("m" if r.random() < 0.2 else words) for _ in range(r.choice([1, 2, 29, 31, 64, 90]))] for words in own)
+        assert edits(a, b) == edits(b, a) == table_of_distances(a, b)
+
+
+def test_blocks_go_to_several_tasks_a_core(spark):
+    """However few bytes they have: what a pair costs is its words multiplied."""
+    docs = spark.createDataFrame([(k, f"t{k}") for k in range(1000)], "doc_id long, text string")
+    pairs = with_next(docs, "doc_id", "text", "after")
+    assert pairs.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert {(r.doc_id, r.after) for r in pairs.collect()} == {(k, f"t{k + 1}") for k in range(999)}
