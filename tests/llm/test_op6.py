@@ -121,3 +121,27 @@ def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in op6_join.query(spark, sf).collect()), key=str) == brute(rows)
+
+
+def test_parts_of_a_survey_add_up(spark):
+    """What one pass sends at once, several passes send one after the other; they find the same."""
+    df = spark.createDataFrame([(d, t) for d, t in corpus(7, 100)], "doc_id long, text string").repartition(3)
+
+    def lone(parts: int) -> dict:
+        found: dict = {}
+        for k in range(parts):
+            for r in op6_join.survey(df, 6, k, parts).where("kind = 0").collect():
+                found[r.key] = found.get(r.key, 0) + r.lone
+        return found
+
+    whole = lone(1)
+    assert any(whole.values()) and whole == lone(3)
+
+
+def test_only_one_document_of_a_class_puts_out_keys(spark, monkeypatch):
+    seen, before = [], op6_join.signatures
+    monkeypatch.setattr(op6_join, "signatures", lambda docs, *a: seen.append(docs.count()) or before(docs, *a))
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, text) for k in range(50)] + [(50, text + " more"), (51, "quite another text of a few words")]
+    assert run(spark, rows) == brute(rows)
+    assert seen == [2]
