@@ -145,3 +145,15 @@ def test_only_one_document_of_a_class_puts_out_keys(spark, monkeypatch):
     rows = [(k, text) for k in range(50)] + [(50, text + " more"), (51, "quite another text of a few words")]
     assert run(spark, rows) == brute(rows)
     assert seen == [2]
+
+
+def test_marks_tell_most_of_what_goes(spark, monkeypatch):
+    """Where nearly all documents go, their texts aren't shuffled to find out."""
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(400)] + [(None, "x")], "doc_id long, text string")
+    stay, gone = df.where("doc_id % 10 = 0").select("doc_id"), df.where("doc_id % 10 > 0").select("doc_id")
+    rows = op6_join.told(df, gone, stay).collect()
+    assert sum(r["__stays"] is None for r in rows) < 5
+    for bits in (op6_join.ALIVE, 1 << 8):
+        monkeypatch.setattr(op6_join, "ALIVE", bits)
+        for r in op6_join.told(df, gone, stay).collect():
+            assert r["__stays"] in (None, r.doc_id is None or r.doc_id % 10 == 0)
